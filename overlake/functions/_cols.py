@@ -1,0 +1,11 @@
+from __future__ import annotations
+
+from typing import Union
+
+from pyspark.sql import Column, functions as F
+
+ColumnLike = Union[str, Column]
+
+
+def as_col(c: ColumnLike) -> Column:
+    return F.col(c) if isinstance(c, str) else c
