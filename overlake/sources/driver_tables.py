@@ -253,25 +253,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _zip_rows(batches):
+def _zipped(batches):
     import io
     import zipfile
 
     import pandas as pd
 
     for batch in batches:
-        blobs = []
-        for key in batch["key"]:
+        keys = batch["key"].tolist()
+        whole = [k for k in keys if k % 10]
+        rows = [(f"archive-{k}", b"not an archive") for k in keys if k % 10 == 0]
+        for start in range(0, len(whole), 500):
+            chunk = whole[start : start + 500]
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as zf:
-                zf.writestr(f"{key}.json", f'{{"id": {key}}}')
                 zf.writestr("__index.json", "{}")
                 zf.writestr("README.txt", "not a document")
-            blobs.append(buffer.getvalue() if key % 10 else b"broken")
-        yield pd.DataFrame({"path": "archive-" + batch["key"].astype(str), "content": blobs})
+                for k in chunk:
+                    zf.writestr(f"matches/{k}.json", f'{{"id": {k}}}')
+            rows.append((f"archive-from-{chunk[0]}", buffer.getvalue()))
+        yield pd.DataFrame(rows, columns=["path", "content"])
 
 
 def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One small zip archive per order as (path, content); some are not archives."""
+    """Zip archives of many small documents, one member per order, as (path, content);
+    every tenth order stands for a file that is no archive."""
     keys = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
-    return keys.mapInPandas(_zip_rows, "path string, content binary")
+    return keys.mapInPandas(_zipped, "path string, content binary")

@@ -188,9 +188,10 @@ def unlisted_priorities(spark, sf_dir):
     return bad.select("o_orderkey", "o_orderpriority")
 
 
-def childless_customers(spark, sf_dir):
-    customers = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
-    return relationships(customers, _read(spark, sf_dir, "orders"), "o_custkey")
+def childless_orders(spark, sf_dir):
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey")
+    items = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return relationships(orders, items, "o_orderkey")
 
 
 def heavy_discounts(spark, sf_dir):
@@ -229,7 +230,9 @@ def quarantined(spark, sf_dir):
 def archive_members(spark, sf_dir):
     members = explode_members(dt.archives(spark, sf_dir))
     return members.select(
-        "archive", member_stem().alias("match_id"), "content", F.col("error").isNotNull().alias("failed")
+        F.when(F.col("error").isNotNull(), F.col("archive")).alias("unreadable"),
+        member_stem().alias("match_id"),
+        "content",
     )
 
 
@@ -246,11 +249,10 @@ def inventory(spark, sf_dir):
 
 def bronze_state(spark, sf_dir):
     """Two batches into a fresh store: settled orders, then all at a later revision."""
-    docs = bronze_rows(_documents(spark, sf_dir).select("name", "content", "o_custkey", "o_orderstatus"))
     store = BronzeStore(spark, fresh_path(spark, "bronze"))
-    first = dt.documents(spark, sf_dir).filter("o_orderstatus <> 'P'")
-    store.apply(bronze_rows(first).withColumn("revision", F.lit(1)), 0)
-    store.apply(docs, 1)
+    settled = dt.documents(spark, sf_dir).filter("o_orderstatus <> 'P'")
+    store.apply(bronze_rows(settled).withColumn("revision", F.lit(1)), 0)
+    store.apply(bronze_rows(_documents(spark, sf_dir)), 1)
     return store.current().select("match_id", "match_type", "year", "revision", "batch")
 
 
@@ -408,7 +410,7 @@ def queries() -> dict[str, Query]:
         "check_report": on_tables(audit.check_report),
         "check_unique": on_source(duplicate_items),
         "check_accepted_values": on_source(unlisted_priorities),
-        "check_relationships": on_source(childless_customers),
+        "check_relationships": on_source(childless_orders),
         "check_rule": on_source(heavy_discounts),
         "check_null_counts": on_source(missing_values),
         # generic operators
