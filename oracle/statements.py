@@ -593,11 +593,10 @@ def statements() -> dict[str, str]:
         CASE WHEN NOT broken THEN '{"id": ' || o_orderkey || '}' END AS content
         FROM (SELECT o_orderkey, o_orderkey % 10 = 0 AS broken FROM orders)""")
     add("partition_inventory", """SELECT NULL::VARCHAR AS match_type, NULL::VARCHAR AS year, count(*) AS files FROM docs
-        UNION ALL SELECT match_type, year, count(*) FROM docs GROUP BY match_type, year""", "docs")
-    add("bronze_state", """SELECT match_id, match_type, year,
-        CASE WHEN o_custkey % 10 = 0 OR (o_orderstatus <> 'P' AND revision = 1) THEN 1 ELSE revision END::INT AS revision,
-        CASE WHEN o_orderstatus = 'P' OR (revision > 1 AND o_custkey % 10 <> 0) THEN 1 ELSE 0 END::BIGINT AS batch
-        FROM docs WHERE o_orderstatus <> 'P' OR o_custkey % 10 <> 0""", "docs")
+        UNION ALL SELECT match_type, year, count(*) FROM docs WHERE o_custkey % 10 <> 0 GROUP BY match_type, year""", "docs")
+    add("bronze_state", """SELECT match_id, match_type, year, revision,
+        CASE WHEN o_orderstatus = 'P' OR revision > 1 THEN 1 ELSE 0 END::BIGINT AS batch
+        FROM docs WHERE o_custkey % 10 <> 0""", "docs")
     add("streamed_state", """SELECT user_id::VARCHAR AS match_id, max((props->>'$.k')::INT) AS revision FROM events GROUP BY user_id""")
     add("silver_round_trip", """SELECT match_type, year::VARCHAR AS year, 2 * count(*) AS balls,
         2 * sum(runs_batter + extras_wides + extras_noballs + extras_byes + extras_legbyes)::BIGINT AS runs

@@ -147,3 +147,11 @@ FLATTEN = {
     "deliveries": flatten_deliveries,
     "players": flatten_players,
 }
+
+# Parts of a document each table is built from.
+PARTS = {
+    "matches": ("meta", "info"),
+    "innings": ("meta", "info", "innings"),
+    "deliveries": ("meta", "info", "innings"),
+    "players": ("meta", "info"),
+}

@@ -213,8 +213,11 @@ named_struct(
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested match document per order as (match_id, name, content); every leaf
-    follows from the order.  Optional parts are absent in some documents."""
-    orders = _table(spark, sf_dir, "orders")
+    follows from the order.  Optional parts are absent in some documents.
+
+    The narrow rows are spread first: building a document costs far more than moving
+    an order, and a small source may come in one piece."""
+    orders = _table(spark, sf_dir, "orders").repartition("o_orderkey")
     # x numbers a ball by order, innings, over and ball, without any grouping.
     deliveries = f"transform(sequence(1, 2), b -> transform(array(o_orderkey + n * 7 + v * 3 + b), x -> {_DELIVERY})[0])"
     overs = f"transform(sequence(0L, o_orderkey % 2), v -> named_struct('over', v, 'deliveries', {deliveries}))"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -87,17 +88,24 @@ def read_raw_texts(
 
 
 def parse_documents(
-    df: DataFrame, content: str = "content", match_id: ColumnLike = "match_id"
+    df: DataFrame,
+    content: str = "content",
+    match_id: ColumnLike = "match_id",
+    parts: Sequence[str] = ("meta", "info", "innings"),
 ) -> DataFrame:
-    """Parse a text column holding one document per row, e.g. archive members."""
+    """Parse a text column holding one document per row, e.g. archive members.
+
+    Parts left out of ``parts`` are skipped over and not built, but a document broken
+    anywhere is still found.  The document is unfolded by a generator, which keeps a
+    later filter from being pushed into a second parse.
+    """
+    fields = [f for f in _READ_SCHEMA if f.name in (*parts, CORRUPT)]
     doc = F.from_json(
         F.col(content),
-        _READ_SCHEMA,
+        T.StructType(fields),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    parsed = df.select(as_col(match_id).alias("match_id"), doc.alias("__d")).select(
-        "match_id", "__d.meta", "__d.info", "__d.innings", F.col(f"__d.{CORRUPT}")
-    )
+    parsed = df.select(as_col(match_id).alias("match_id"), F.inline(F.array(doc)))
     return with_partition_keys(parsed)
 
 

@@ -42,18 +42,28 @@ from overlake.streaming import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_tables: dict[tuple[str, str], MatchTables] = {}
-_lock = threading.Lock()
+_kept: dict[tuple[str, str, str], object] = {}
+_lock = threading.RLock()
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[], object]):
+    """Value of ``build``, made once per application and source folder."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    with _lock:
+        if key not in _kept:
+            _kept[key] = build()
+        return _kept[key]
 
 
 def match_tables(spark: SparkSession, sf_dir: str) -> MatchTables:
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    with _lock:
-        if key not in _tables:
-            store = fresh_path(spark, "tables")
-            _tables[key] = MatchTables(dt.silver(spark, sf_dir), dt.seeds(spark), store)
-        return _tables[key]
+
+    def build():
+        return MatchTables(
+            dt.silver(spark, sf_dir), dt.seeds(spark), fresh_path(spark, "tables")
+        )
+
+    return _once(spark, sf_dir, "tables", build)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -208,17 +218,28 @@ def missing_values(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    """The derived documents, every tenth customer's cut off before the last brace."""
-    docs = dt.documents(spark, sf_dir)
-    cut = F.expr("substr(content, 1, length(content) - 1)")
-    broken = F.col("o_custkey") % 10 == 0
-    return docs.withColumn("content", F.when(broken, cut).otherwise(F.col("content")))
+    """The derived documents, every tenth customer's cut off before the last brace.
+
+    Stored once per session.  Rows are spread before they grow into documents, since
+    that takes far more work than reading them."""
+
+    def build():
+        cut = F.expr("substr(content, 1, length(content) - 1)")
+        broken = F.col("o_custkey") % 10 == 0
+        docs = dt.documents(spark, sf_dir).withColumn(
+            "content", F.when(broken, cut).otherwise(F.col("content"))
+        )
+        path = fresh_path(spark, "documents")
+        docs.write.parquet(path)
+        return spark.read.parquet(path)
+
+    return _once(spark, sf_dir, "documents", build)
 
 
 def flattened(table: str):
     def run(spark, sf_dir):
-        docs = well_formed(parse_documents(_documents(spark, sf_dir)))
-        return flatten.FLATTEN[table](docs).drop("wicket_fielders_arr")
+        docs = parse_documents(_documents(spark, sf_dir), parts=flatten.PARTS[table])
+        return flatten.FLATTEN[table](well_formed(docs)).drop("wicket_fielders_arr")
 
     return run
 
@@ -237,22 +258,21 @@ def archive_members(spark, sf_dir):
 
 
 def inventory(spark, sf_dir):
-    rows = bronze_rows(dt.documents(spark, sf_dir))
-    path = F.concat_ws(
-        "/",
-        F.concat(F.lit("match_type="), "match_type"),
-        F.concat(F.lit("year="), "year"),
-        F.concat("match_id", F.lit(".json")),
-    )
+    """Paths the documents would have; unreadable ones lie above the folders."""
+    rows = bronze_rows(_documents(spark, sf_dir))
+    folders = F.concat(F.lit("match_type="), "match_type", F.lit("/year="), "year", F.lit("/"))
+    prefix = F.when(F.col("error").isNull(), folders).otherwise("")
+    path = F.concat(prefix, "match_id", F.lit(".json"))
     return inventory_of(rows.select(path.alias("path")))
 
 
 def bronze_state(spark, sf_dir):
-    """Two batches into a fresh store: settled orders, then all at a later revision."""
+    """Two batches into a fresh store: settled orders at revision 1, then all at theirs."""
     store = BronzeStore(spark, fresh_path(spark, "bronze"))
-    settled = dt.documents(spark, sf_dir).filter("o_orderstatus <> 'P'")
-    store.apply(bronze_rows(settled).withColumn("revision", F.lit(1)), 0)
-    store.apply(bronze_rows(_documents(spark, sf_dir)), 1)
+    docs = _documents(spark, sf_dir)
+    settled = bronze_rows(docs.filter("o_orderstatus <> 'P'"))
+    store.apply(settled.withColumn("revision", F.lit(1)), 0)
+    store.apply(bronze_rows(docs), 1)
     return store.current().select("match_id", "match_type", "year", "revision", "batch")
 
 
