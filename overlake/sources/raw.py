@@ -39,52 +39,37 @@ def _modified_after(spark: SparkSession, since_days: float) -> str:
     return row.t
 
 
-def read_raw(
-    spark: SparkSession,
-    path: str | list[str],
-    since_days: float | None = None,
+def read_raw_texts(
+    spark: SparkSession, path: str | list[str], since_days: float | None = None
 ) -> DataFrame:
-    """Documents under ``path``, all folders: match_id, file_modified, the document's
-    three parts, the text of unreadable ones, and the partition keys.
-
-    ``since_days`` keeps files changed within so many days.  Documents packed many to
-    a file or archive go through :func:`parse_documents` instead.
-    """
+    """Unparsed documents under ``path``, all folders, as (name, file_modified,
+    content), one row per file; ``since_days`` keeps files changed within so many days."""
     reader = (
-        spark.read.schema(_READ_SCHEMA)
-        .option("multiLine", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        spark.read.format("text")
+        .option("wholetext", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
     )
     if since_days is not None:
         reader = reader.option("modifiedAfter", _modified_after(spark, since_days))
-    docs = reader.json(path).select(
-        match_id_from(F.col("_metadata.file_name")).alias("match_id"),
+    return reader.load(path).select(
+        F.col("_metadata.file_name").alias("name"),
         F.col("_metadata.file_modification_time").alias("file_modified"),
-        "meta",
-        "info",
-        "innings",
-        CORRUPT,
+        F.col("value").alias("content"),
     )
-    return with_partition_keys(docs)
 
 
-def read_raw_texts(
+def read_raw(
     spark: SparkSession, path: str | list[str], since_days: float | None = None
 ) -> DataFrame:
-    """Unparsed documents as (name, content), one row per file."""
-    reader = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-    )
-    if since_days is not None:
-        reader = reader.option("modifiedAfter", _modified_after(spark, since_days))
-    return reader.text(path).select(
-        F.col("_metadata.file_name").alias("name"), F.col("value").alias("content")
-    )
+    """Documents under ``path``: match_id, file_modified, the document's three parts,
+    the text of unreadable ones, and the partition keys.
+
+    A match is one small file, so many of them are packed into a task; the session's
+    ``files.maxPartitionBytes`` and ``files.openCostInBytes`` say how many.
+    """
+    texts = read_raw_texts(spark, path, since_days)
+    return parse_documents(texts, "content", match_id_from("name"), keep=("file_modified",))
 
 
 def parse_documents(
@@ -92,6 +77,7 @@ def parse_documents(
     content: str = "content",
     match_id: ColumnLike = "match_id",
     parts: Sequence[str] = ("meta", "info", "innings"),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Parse a text column holding one document per row, e.g. archive members.
 
@@ -105,7 +91,7 @@ def parse_documents(
         T.StructType(fields),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    parsed = df.select(as_col(match_id).alias("match_id"), F.inline(F.array(doc)))
+    parsed = df.select(as_col(match_id).alias("match_id"), *keep, F.inline(F.array(doc)))
     return with_partition_keys(parsed)
 
 
