@@ -162,7 +162,7 @@ table("ball", "deliveries", "innings", "matches", "results", "renamed")("""
 
 table("dismissed", "ball")("""
   SELECT match_id, innings_number, wicket_player_out AS player_name, max(wicket_kind) AS dismissal_kind
-  FROM ball WHERE is_wicket AND wicket_kind <> 'retired hurt' GROUP BY ALL""")
+  FROM ball WHERE is_wicket AND wicket_player_out IS NOT NULL AND wicket_kind <> 'retired hurt' GROUP BY ALL""")
 
 # The three ways of taking part, each on its own.
 table("bat", "ball", "dismissed")("""

@@ -16,6 +16,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
