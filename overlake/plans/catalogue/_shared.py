@@ -27,9 +27,10 @@ def regular() -> Column:
     return F.col("innings_number").isin(*REGULAR)
 
 
-def league_balls(t, league: str, season: str | None = None) -> DataFrame:
-    balls = t.balls.filter(in_league(league) & regular())
-    return balls if season is None else balls.filter(F.col("season") == season)
+def league_rows(rows: DataFrame, league: str, season: str | None = None) -> DataFrame:
+    """Balls or overs of the league's regular innings."""
+    out = rows.filter(in_league(league) & regular())
+    return out if season is None else out.filter(F.col("season") == season)
 
 
 def league_matches(
@@ -45,8 +46,7 @@ def league_matches(
 
 def league_innings(innings: DataFrame, league: str, season: str | None = None) -> DataFrame:
     """Batting or bowling innings of the league, super overs left out."""
-    out = innings.filter(in_league(league) & regular() & ~F.col("super_over"))
-    return out if season is None else out.filter(F.col("season") == season)
+    return league_rows(innings, league, season).filter(~F.col("super_over"))
 
 
 def opponent(names: Sequence[str]) -> Column:

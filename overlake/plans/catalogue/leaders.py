@@ -127,17 +127,14 @@ def wicket_kinds(t) -> DataFrame:
 def economy_by_over(t, match_type: str = "t20", strict: bool = False) -> DataFrame:
     """Economy per over.  The divisor is the balls less the *runs* from wides, no-balls
     kept; ``strict`` divides by legal balls."""
-    if strict:
-        legal = F.count_if((F.col("extras_wides") == 0) & (F.col("extras_noballs") == 0))
-    else:
-        legal = F.count("*") - F.sum("extras_wides")
-    rows = t.balls.filter((F.col("match_type") == match_type) & regular())
+    legal = F.sum("legal") if strict else F.sum("deliveries") - F.sum("wide_runs")
+    rows = t.overs.filter((F.col("match_type") == match_type) & regular())
     return (
         rows.groupBy("over_number")
         .agg(
-            F.count("*").alias("balls"),
-            F.sum("runs_total").alias("runs"),
-            ratio(F.sum("runs_total"), legal, 2, times=6).alias("economy"),
+            F.sum("deliveries").alias("balls"),
+            F.sum("runs").alias("runs"),
+            ratio(F.sum("runs"), legal, 2, times=6).alias("economy"),
         )
         .orderBy(up("over_number"))
     )

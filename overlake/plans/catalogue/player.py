@@ -1,4 +1,4 @@
-"""One player's league figures, from the balls the player took part in.
+"""One player's league figures, innings by innings.
 
 Here balls faced leave wides out, runs conceded leave byes and leg-byes out, and
 being retired hurt counts as out; career tables differ in all three.
@@ -6,59 +6,35 @@ being retired hurt counts as out; career tables differ in all three.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from overlake.functions import (
-    bowler_runs,
-    count_when,
-    credited_wicket,
-    format_overs,
-    four,
-    legal_ball,
-    ratio,
-    six,
-    wide_free,
-)
+from pyspark.sql import Column, DataFrame, functions as F
+
+from overlake.functions import count_when, format_overs, ratio
 from overlake.operators.ranking import top_n
 from overlake.plans.catalogue._shared import (
     LEAGUE,
     down,
     in_league,
-    league_balls,
+    league_rows,
     regular,
     up,
 )
 
-_INNINGS = ["match_id", "innings_number", "match_date", "season", "batting_team", "bowling_team"]
-
 
 def batting_log(t, player: str, league: str = LEAGUE) -> DataFrame:
     """The player's innings: runs, balls, fours, sixes, dismissed, faced.
 
-    One filtered scan and one aggregate.  Whether the player faced a ball anywhere in
-    the match is decided over all its innings, before super overs are left out.
+    Read from the participation table, where a player's rows lie together.  Whether the
+    player faced a ball anywhere in the match was decided there over all innings, super
+    overs included.
     """
-    facing = F.col("batter") == player
-    out = F.col("is_wicket") & (F.col("wicket_player_out") == player)
-    involved = facing | out | (F.col("non_striker") == player)
-    per_innings = (
-        t.balls.filter(in_league(league) & involved)
-        .groupBy(*_INNINGS)
-        .agg(
-            count_when(facing).alias("faced"),
-            F.coalesce(F.sum(F.when(facing, F.col("runs_batter"))), F.lit(0)).alias("runs"),
-            count_when(facing & wide_free()).alias("balls"),
-            count_when(facing & four()).alias("fours"),
-            count_when(facing & six()).alias("sixes"),
-            F.max(F.when(out, 1).otherwise(0)).alias("dismissed"),
-        )
+    faced, out = F.col("balls_faced"), F.col("out_any")
+    rows = t.took_part.filter(
+        (F.col("player_name") == player) & in_league(league) & regular()
     )
-    in_match = Window.partitionBy("match_id")
-    return (
-        per_innings.withColumn("in_match", F.max("faced").over(in_match))
-        .filter(regular())
-        .filter((F.col("faced") > 0) | (F.col("dismissed") > 0) | (F.col("in_match") == 0))
-        .drop("in_match")
+    return rows.filter((faced > 0) | out | ~F.col("batted")).select(
+        "match_id", "innings_number", "match_date", "season", "batting_team", "bowling_team",
+        "runs", F.col("non_wides").alias("balls"), "fours", "sixes",
+        faced.alias("faced"), out.cast("int").alias("dismissed"),
     )
 
 
@@ -180,25 +156,18 @@ def player_innings_diagnostic(t, player: str, league: str = LEAGUE) -> DataFrame
 
 
 def bowling_log(t, player: str, league: str = LEAGUE, season: str | None = None) -> DataFrame:
-    """The player's spells per innings, with maidens, by way of figures per over."""
-    keys = ["match_id", "innings_number", "match_date", "season", "bowling_team"]
-    overs = (
-        league_balls(t, league, season)
-        .filter(F.col("bowler") == player)
-        .groupBy(*keys, "over_number")
-        .agg(
-            F.count("*").alias("deliveries"),
-            count_when(legal_ball()).alias("balls"),
-            F.sum(bowler_runs()).alias("runs"),
-            count_when(credited_wicket()).alias("wkts"),
-            count_when(F.col("extras_wides") > 0).alias("wides"),
-            count_when(F.col("extras_noballs") > 0).alias("nb"),
-        )
+    """The player's spells per innings, runs as charged to the bowler."""
+    rows = t.bowling.filter((F.col("player_name") == player) & in_league(league) & regular())
+    if season is not None:
+        rows = rows.filter(F.col("season") == season)
+    return rows.select(
+        "match_id", "innings_number", "match_date", "season", "bowling_team",
+        F.col("total_deliveries").alias("deliveries"),
+        F.col("legal_deliveries").alias("balls"),
+        F.col("charged_runs").alias("runs"),
+        F.col("wickets_credited").alias("wkts"),
+        "wides", F.col("no_balls").alias("nb"), F.col("maidens").alias("mdns"),
     )
-    sums = [F.sum(c).alias(c) for c in ("deliveries", "balls", "runs", "wkts", "wides", "nb")]
-    # A maiden: nothing charged to the bowler in at least six deliveries of the over.
-    maiden = (F.col("runs") == 0) & (F.col("deliveries") >= 6)
-    return overs.groupBy(*keys).agg(count_when(maiden).alias("mdns"), *sums)
 
 
 def _figures() -> list[Column]:
@@ -297,11 +266,11 @@ def player_fielding(
 ) -> DataFrame:
     """Fielding totals.  Names are compared whole; ``legacy_like`` looks for the name
     inside the joined text, which also counts longer names that contain it."""
-    return league_balls(t, league).filter("is_wicket").agg(*_fielding(player, legacy_like))
+    return league_rows(t.balls, league).filter("is_wicket").agg(*_fielding(player, legacy_like))
 
 
 def player_fielding_by_season(
     t, player: str, league: str = LEAGUE, legacy_like: bool = False
 ) -> DataFrame:
-    wickets = league_balls(t, league).filter("is_wicket")
+    wickets = league_rows(t.balls, league).filter("is_wicket")
     return wickets.groupBy("season").agg(*_fielding(player, legacy_like)).orderBy(up("season"))

@@ -6,28 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from overlake.functions import (
-    PHASES,
-    boundary,
-    count_when,
-    dot_ball,
-    format_overs,
-    four,
-    legal_ball,
-    phase_label,
-    ratio,
-    round_half_up,
-    six,
-    wide_free,
-)
+from overlake.functions import PHASES, format_overs, phase_label, ratio, round_half_up
 from overlake.operators.phases import phase_pivot
 from overlake.operators.ranking import top_k_share, top_n
 from overlake.plans.catalogue._shared import (
     LEAGUE,
     down,
-    league_balls,
     league_innings,
     league_matches,
+    league_rows,
     lost,
     opponent,
     record,
@@ -43,21 +30,6 @@ from overlake.plans.catalogue.team import (
 
 Names = Sequence[str]
 
-# Row-level measures; counted ones are 0 or 1 per ball.
-_MEASURES = {
-    "bat_runs": lambda: F.col("runs_batter"),
-    "runs": lambda: F.col("runs_total"),
-    "wkts": lambda: F.col("wicket_count"),
-    "balls": lambda: F.when(wide_free(), 1).otherwise(0),
-    "legal": lambda: F.when(legal_ball(), 1).otherwise(0),
-    "dots": lambda: F.when(dot_ball(), 1).otherwise(0),
-    "fours": lambda: F.when(four(), 1).otherwise(0),
-    "sixes": lambda: F.when(six(), 1).otherwise(0),
-    "boundaries": lambda: F.when(boundary(4, 6), 1).otherwise(0),
-    "extra_runs": lambda: F.col("extras_wides") + F.col("extras_noballs"),
-}
-
-
 def _phase_overs() -> Column:
     first = min(p[0] for p in PHASES.values())
     last = max(p[1] for p in PHASES.values())
@@ -65,21 +37,17 @@ def _phase_overs() -> Column:
 
 
 def _sums(*names: str) -> list[Column]:
-    return [F.sum(_MEASURES[n]()).alias(n) for n in names]
-
-
-def _again(*names: str) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
-def _per_match(balls: DataFrame, keys: list[str], *measures: str) -> DataFrame:
+def _per_match(overs: DataFrame, keys: list[str], *measures: str) -> DataFrame:
     """Sums per key with ``mat``, the number of matches.  Going through (key, match)
     turns the distinct count into a plain one and leaves a row per match to exchange."""
-    by_match = balls.groupBy(*keys, "match_id").agg(*_sums(*measures))
+    by_match = overs.groupBy(*keys, "match_id").agg(*_sums(*measures))
     matches = F.count("*").alias("mat")
     if keys:
-        return by_match.groupBy(*keys).agg(matches, *_again(*measures))
-    return by_match.agg(matches, *_again(*measures))
+        return by_match.groupBy(*keys).agg(matches, *_sums(*measures))
+    return by_match.agg(matches, *_sums(*measures))
 
 
 # season record ---------------------------------------------------------------
@@ -152,48 +120,61 @@ def bowling_concentration(t, season: str, k: int = 3, league: str = LEAGUE) -> D
     return _concentration(shares, k, "wkts", "bowlers")
 
 
+def _boundaries(prefix: str = "") -> Column:
+    return F.col(f"{prefix}fours") + F.col(f"{prefix}sixes")
+
+
 def _batting_profile(four_name: str, six_name: str) -> list[Column]:
     return [
         ratio("bat_runs", "mat", 1).alias("avg_score"),
-        ratio("bat_runs", "balls", 1, times=100).alias("avg_sr"),
-        ratio("balls", "fours", 1).alias(four_name),
-        ratio("balls", "sixes", 1).alias(six_name),
-        ratio("dots", "balls", 1, times=100).alias("dot_pct"),
-        ratio("boundaries", "balls", 1, times=100).alias("boundary_pct"),
+        ratio("bat_runs", "non_wides", 1, times=100).alias("avg_sr"),
+        ratio("non_wides", "fours", 1).alias(four_name),
+        ratio("non_wides", "sixes", 1).alias(six_name),
+        ratio("dots", "non_wides", 1, times=100).alias("dot_pct"),
+        ratio(_boundaries(), "non_wides", 1, times=100).alias("boundary_pct"),
     ]
 
 
-_BATTING = ("bat_runs", "balls", "fours", "sixes", "dots", "boundaries")
-_BOWLING = ("legal", "wkts", "runs", "dots", "balls", "extra_runs")
+_BATTING = ("bat_runs", "non_wides", "fours", "sixes", "dots")
+_BOWLING = ("legal", "wkts", "runs", "dots", "non_wides", "wide_runs", "no_ball_runs")
+
+
+def _bowling_profile(economy: str) -> list[Column]:
+    return [
+        ratio("legal", "wkts", 1).alias("balls_per_wkt"),
+        ratio("runs", "legal", 2, times=6).alias(economy),
+        ratio("dots", "non_wides", 1, times=100).alias("dot_pct"),
+        ratio(F.col("wide_runs") + F.col("no_ball_runs"), "mat", 2).alias("extras_per_match"),
+    ]
 
 
-def _team_balls(t, side: str, season: str, league: str) -> DataFrame:
-    return league_balls(t, league, season).withColumn("team", F.col(side))
+def _team_overs(t, side: str, season: str, league: str) -> DataFrame:
+    return league_rows(t.overs, league, season).withColumn("team", F.col(side))
 
 
 def batting_profile(t, season: str, league: str = LEAGUE) -> DataFrame:
     """All teams; the score counts runs off the bat only."""
-    sums = _per_match(_team_balls(t, "batting_team", season, league), ["team"], *_BATTING)
+    sums = _per_match(_team_overs(t, "batting_team", season, league), ["team"], *_BATTING)
     return sums.select("team", "mat", *_batting_profile("balls_per_4", "balls_per_6")).orderBy(
         down("avg_score"), up("team")
     )
 
 
 def _phases_wide(t, side: str, season: str, league: str) -> DataFrame:
-    balls = _team_balls(t, side, season, league).filter(_phase_overs())
-    measures = {n: _MEASURES[n]() for n in ("runs", "wkts", "legal", "balls", "boundaries")}
-    by_match = balls.groupBy("team", "match_id").agg(
+    overs = _team_overs(t, side, season, league).filter(_phase_overs())
+    measures = {n: n for n in ("runs", "wkts", "legal", "non_wides", "fours", "sixes")}
+    by_match = overs.groupBy("team", "match_id").agg(
         *phase_pivot("over_number", PHASES, measures)
     )
     cells = [c for c in by_match.columns if c not in ("team", "match_id")]
-    sums = by_match.groupBy("team").agg(F.count("*").alias("mat"), *_again(*cells))
+    sums = by_match.groupBy("team").agg(F.count("*").alias("mat"), *_sums(*cells))
     out: list[Column] = []
     for p in PHASES:
         out += [
             ratio(f"{p}_runs", "mat", 1).alias(f"{p}_avg_runs"),
             ratio(f"{p}_wkts", "mat", 2).alias(f"{p}_avg_wkts"),
             ratio(f"{p}_runs", f"{p}_legal", 2, times=6).alias(f"{p}_rate"),
-            ratio(f"{p}_boundaries", f"{p}_balls", 1, times=100).alias(f"{p}_boundaries_pct"),
+            ratio(_boundaries(f"{p}_"), f"{p}_non_wides", 1, times=100).alias(f"{p}_boundaries_pct"),
         ]
     return sums.select("team", *out)
 
@@ -213,25 +194,18 @@ def batting_phases(t, season: str, league: str = LEAGUE) -> DataFrame:
 
 
 def bowling_profile(t, season: str, league: str = LEAGUE) -> DataFrame:
-    sums = _per_match(_team_balls(t, "bowling_team", season, league), ["team"], *_BOWLING)
-    return sums.select(
-        "team",
-        ratio("legal", "wkts", 1).alias("balls_per_wkt"),
-        ratio("runs", "legal", 2, times=6).alias("economy"),
-        ratio("dots", "balls", 1, times=100).alias("dot_pct"),
-        ratio("extra_runs", "mat", 2).alias("extras_per_match"),
-    ).orderBy(up("economy"), up("team"))
+    sums = _per_match(_team_overs(t, "bowling_team", season, league), ["team"], *_BOWLING)
+    return sums.select("team", *_bowling_profile("economy")).orderBy(up("economy"), up("team"))
 
 
 def _match_phases(t, season: str, league: str) -> DataFrame:
     """Runs per match and pair of sides, in total and per phase, for matches with a
-    winner, with ``outcome_winner``.  Balls are summed before the match is joined."""
-    runs = {"runs": F.col("runs_total")}
+    winner, with ``outcome_winner``.  Overs are summed before the match is joined."""
     per_match = (
-        league_balls(t, league, season)
+        league_rows(t.overs, league, season)
         .filter(_phase_overs())
         .groupBy("match_id", "batting_team", "bowling_team")
-        .agg(F.sum("runs_total").alias("all_runs"), *phase_pivot("over_number", PHASES, runs))
+        .agg(F.sum("runs").alias("all_runs"), *phase_pivot("over_number", PHASES, {"runs": "runs"}))
     )
     decided = league_matches(t, league, season=season).filter("has_result")
     return per_match.join(decided.select("match_id", "outcome_winner"), "match_id")
@@ -329,13 +303,13 @@ def season_bowler_share(t, names: Names, season: str, k: int = 3, league: str =
     return _top_share(rows, "bowler", "wkts", "pct_of_team_wkts", k)
 
 
-def _side_balls(t, side: str, names: Names, season: str, league: str) -> DataFrame:
-    return league_balls(t, league, season).filter(F.col(side).isin(*names))
+def _side_overs(t, side: str, names: Names, season: str, league: str) -> DataFrame:
+    return league_rows(t.overs, league, season).filter(F.col(side).isin(*names))
 
 
 def season_batting_profile(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
-    balls = _side_balls(t, "batting_team", names, season, league)
-    sums = _per_match(balls, [], *_BATTING)
+    overs = _side_overs(t, "batting_team", names, season, league)
+    sums = _per_match(overs, [], *_BATTING)
     return sums.select(
         F.col("mat").alias("matches"),
         F.col("bat_runs").alias("total_runs"),
@@ -344,39 +318,37 @@ def season_batting_profile(t, names: Names, season: str, league: str = LEAGUE) -
 
 
 def season_bowling_profile(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
-    balls = _side_balls(t, "bowling_team", names, season, league)
-    sums = _per_match(balls, [], *_BOWLING)
+    overs = _side_overs(t, "bowling_team", names, season, league)
+    sums = _per_match(overs, [], *_BOWLING)
     return sums.select(
         F.col("mat").alias("matches"),
         F.col("wkts").alias("total_wkts"),
-        ratio("legal", "wkts", 1).alias("balls_per_wkt"),
-        ratio("runs", "legal", 2, times=6).alias("avg_economy"),
-        ratio("dots", "balls", 1, times=100).alias("dot_pct"),
-        ratio("extra_runs", "mat", 2).alias("extras_per_match"),
+        *_bowling_profile("avg_economy"),
     )
 
 
-def _phases_long(balls: DataFrame, runs: str, wkts: str, rate: str, bound: str) -> DataFrame:
-    labelled = balls.filter(_phase_overs()).withColumn("phase", phase_label())
-    sums = _per_match(labelled, ["phase"], "runs", "wkts", "legal", "balls", "dots", "boundaries")
+def _phases_long(overs: DataFrame, runs: str, wkts: str, rate: str, bound: str) -> DataFrame:
+    labelled = overs.filter(_phase_overs()).withColumn("phase", phase_label())
+    measures = ("runs", "wkts", "legal", "non_wides", "dots", "fours", "sixes")
+    sums = _per_match(labelled, ["phase"], *measures)
     return sums.select(
         "phase",
         ratio("runs", "mat", 1).alias(runs),
         ratio("wkts", "mat", 2).alias(wkts),
         ratio("runs", "legal", 2, times=6).alias(rate),
-        ratio("dots", "balls", 1, times=100).alias("dot_pct"),
-        ratio("boundaries", "balls", 1, times=100).alias(bound),
+        ratio("dots", "non_wides", 1, times=100).alias("dot_pct"),
+        ratio(_boundaries(), "non_wides", 1, times=100).alias(bound),
     ).orderBy(up("phase"))
 
 
 def season_batting_phases(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
-    balls = _side_balls(t, "batting_team", names, season, league)
-    return _phases_long(balls, "avg_runs", "avg_wkts_lost", "run_rate", "boundary_pct")
+    overs = _side_overs(t, "batting_team", names, season, league)
+    return _phases_long(overs, "avg_runs", "avg_wkts_lost", "run_rate", "boundary_pct")
 
 
 def season_bowling_phases(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
-    balls = _side_balls(t, "bowling_team", names, season, league)
-    return _phases_long(balls, "avg_runs_conceded", "avg_wkts_taken", "economy", "boundary_pct_conceded")
+    overs = _side_overs(t, "bowling_team", names, season, league)
+    return _phases_long(overs, "avg_runs_conceded", "avg_wkts_taken", "economy", "boundary_pct_conceded")
 
 
 def season_win_loss(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
@@ -454,7 +426,7 @@ def powerplay_impact(t, player: str, names: Names, season: str, league: str = LE
     out = F.col("is_wicket") & (F.col("wicket_player_out") == player)
     facing = F.col("batter") == player
     per_match = (
-        league_balls(t, league, season)
+        league_rows(t.balls, league, season)
         .filter(F.col("over_number").between(first, last))
         .filter(F.col("batting_team").isin(*names) & (out | facing))
         .groupBy("match_id")

@@ -6,24 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from overlake.functions import (
-    count_when,
-    credited_wicket,
-    format_overs,
-    four,
-    legal_ball,
-    ratio,
-    round_half_up,
-    six,
-    team_wicket,
-)
+from overlake.functions import count_when, format_overs, ratio, round_half_up
 from overlake.operators.ranking import top_n
 from overlake.plans.catalogue._shared import (
     LEAGUE,
     down,
-    league_balls,
     league_innings,
     league_matches,
+    league_rows,
     lost,
     opponent,
     record,
@@ -92,32 +82,27 @@ def team_toss_decision(t, names: Names, league: str = LEAGUE) -> DataFrame:
 # totals per innings ----------------------------------------------------------
 
 
-def _innings_totals(t, side: str, names: Names, league: str, **measures: Column) -> DataFrame:
-    """Sums per innings in which one of ``names`` is the given side."""
+def _innings_totals(t, side: str, names: Names, league: str, **measures: str) -> DataFrame:
+    """Sums of over figures per innings in which one of ``names`` is the given side."""
     return (
-        league_balls(t, league)
+        league_rows(t.overs, league)
         .filter(F.col(side).isin(*names))
         .groupBy("match_id", "innings_number", "match_date", "season")
-        .agg(*[m.alias(n) for n, m in measures.items()])
+        .agg(*[F.sum(m).alias(n) for n, m in measures.items()])
     )
 
 
 def _batting_totals(t, names: Names, league: str) -> DataFrame:
     return _innings_totals(
         t, "batting_team", names, league,
-        team_total=F.sum("runs_total"),
-        wickets_lost=count_when(team_wicket()),
-        fours=count_when(four()),
-        sixes=count_when(six()),
+        team_total="runs", wickets_lost="team_wkts", fours="fours", sixes="sixes",
     )
 
 
 def _bowling_totals(t, names: Names, league: str) -> DataFrame:
     return _innings_totals(
         t, "bowling_team", names, league,
-        runs_conceded=F.sum("runs_total"),
-        legal=count_when(legal_ball()),
-        wkts_taken=count_when(credited_wicket()),
+        runs_conceded="runs", legal="legal", wkts_taken="credited",
     )
 
 

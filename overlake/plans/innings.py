@@ -1,17 +1,21 @@
-"""Batting and bowling figures per innings."""
+"""Figures per over and bowler, and batting and bowling figures per innings."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from overlake.functions import (
+    bowler_runs,
     count_when,
     credited_wicket,
+    dot_ball,
     four,
     legal_ball,
     overs_decimal,
     ratio,
     six,
+    team_wicket,
+    wide_free,
 )
 from overlake.schemas import BATTING_INNINGS, BOWLING_INNINGS
 
@@ -23,52 +27,106 @@ _CARRIED = ["super_over", "event_name"]
 NOT_A_DISMISSAL = "retired hurt"
 
 
-def dismissals(balls: DataFrame) -> DataFrame:
-    """Dismissed players per innings, whoever faced the ball, with the kind."""
-    return (
-        balls.filter(
-            F.col("is_wicket")
-            & F.col("wicket_player_out").isNotNull()
-            & (F.col("wicket_kind") != NOT_A_DISMISSAL)
-        )
-        .groupBy("match_id", "innings_number", F.col("wicket_player_out").alias("player_name"))
-        .agg(F.max("wicket_kind").alias("dismissal_kind"))
+def _over_measures() -> list[Column]:
+    """Additive figures of an over.  Where a query sums balls over anything no finer
+    than over and bowler, it sums these instead and reads a sixth of the rows."""
+    return [
+        F.count("*").alias("deliveries"),
+        count_when(legal_ball()).alias("legal"),
+        count_when(wide_free()).alias("non_wides"),
+        F.sum("runs_batter").alias("bat_runs"),
+        F.sum("runs_total").alias("runs"),
+        F.sum(bowler_runs()).alias("charged_runs"),
+        F.sum("wicket_count").alias("wkts"),
+        count_when(credited_wicket()).alias("credited"),
+        count_when(team_wicket()).alias("team_wkts"),
+        count_when(dot_ball()).alias("dots"),
+        count_when(four()).alias("fours"),
+        count_when(six()).alias("sixes"),
+        count_when(F.col("extras_wides") > 0).alias("wides"),
+        count_when(F.col("extras_noballs") > 0).alias("no_balls"),
+        F.sum("extras_wides").alias("wide_runs"),
+        F.sum("extras_noballs").alias("no_ball_runs"),
+    ]
+
+
+def over_figures(balls: DataFrame) -> DataFrame:
+    """One row per over and bowler: the additive figures of its balls.
+
+    All measures are numbers, so both halves of the aggregate are hash based, and the
+    balls of an over meet before the exchange.
+    """
+    keys = [*_MATCH, "over_number", *_SIDES, *_CARRIED, "balls_per_over"]
+    return balls.groupBy(*keys, F.col("bowler").alias("player_name")).agg(*_over_measures())
+
+
+def bowling_innings(overs: DataFrame) -> DataFrame:
+    """One row per bowler and innings.
+
+    Beyond the contract it carries the maidens and the runs charged to the bowler.  An
+    over is a maiden when nothing was charged in at least six deliveries of it.
+    """
+    keys = [*_MATCH, *_SIDES, *_CARRIED, "balls_per_over", "player_name"]
+    maiden = (F.col("charged_runs") == 0) & (F.col("deliveries") >= 6)
+    figures = overs.groupBy(*keys).agg(
+        F.sum("legal").alias("legal_deliveries"),
+        F.sum("deliveries").alias("total_deliveries"),
+        F.sum("runs").alias("runs_conceded"),
+        F.sum("wkts").alias("wickets"),
+        F.sum("credited").alias("wickets_credited"),
+        F.sum("no_balls").alias("no_balls"),
+        F.sum("wides").alias("wides"),
+        F.sum("charged_runs").alias("charged_runs"),
+        count_when(maiden).alias("maidens"),
     )
+    per_over = F.col("balls_per_over").cast("double")
+    economy = F.col("runs_conceded").cast("double") * per_over
+    return figures.withColumns(
+        {
+            "overs_bowled": overs_decimal("legal_deliveries", "balls_per_over"),
+            "economy": ratio(economy, "legal_deliveries", 2),
+        }
+    ).select(*BOWLING_INNINGS, "event_name", "charged_runs", "maidens")
 
 
-def batting_innings(balls: DataFrame) -> DataFrame:
-    """One row per player and innings in which the player took part as a batter.
+def participation(balls: DataFrame) -> DataFrame:
+    """One row per player and innings in which the player faced, stood at the other end
+    or was out, with the batting figures.
 
-    That is: faced a ball; or was dismissed, perhaps without facing one; or stood at
-    the other end without facing or being out, unless the player bats elsewhere in the
-    same match, which points to a wrong name in the record.
+    ``counted`` marks the rows that are batting innings: the player faced a ball; or
+    was dismissed, perhaps without facing one; or stood at the other end without facing
+    or being out, unless the player bats elsewhere in the same match (``batted``), which
+    points to a wrong name in the record.  ``out_any`` also tells of being retired hurt,
+    which is no dismissal.
 
     Every ball gives one row per role a player has in it; one partially aggregated
     exchange by innings and player replaces separate plans for the three cases.
     """
-    wicket = (
-        F.col("is_wicket")
-        & F.col("wicket_player_out").isNotNull()
-        & (F.col("wicket_kind") != NOT_A_DISMISSAL)
-    )
-    zero, one = F.lit(0), F.lit(1)
+    out = F.col("is_wicket") & F.col("wicket_player_out").isNotNull()
+    dismissal = F.col("wicket_kind") != NOT_A_DISMISSAL
+    none = F.lit(None)
 
-    def role(name: str, player: str, faces: bool, kind=None):
+    def flag(cond: Column) -> Column:
+        return F.when(cond, 1).otherwise(0)
+
+    def role(name: str, player: str) -> Column:
+        faces = name == "bat"
         return F.struct(
             F.col(player).alias("player_name"),
             F.lit(name).alias("role"),
-            (one if faces else zero).alias("faced"),
-            (F.col("runs_batter") if faces else F.lit(None).cast("int")).alias("runs"),
-            (F.when(F.col("extras_wides") > 0, 1).otherwise(0) if faces else zero).alias("wide"),
-            (F.when(four(), 1).otherwise(0) if faces else zero).alias("four"),
-            (F.when(six(), 1).otherwise(0) if faces else zero).alias("six"),
-            (kind if kind is not None else F.lit(None).cast("string")).alias("kind"),
+            F.lit(int(faces)).alias("faced"),
+            (F.col("runs_batter") if faces else none.cast("int")).alias("runs"),
+            (flag(F.col("extras_wides") > 0) if faces else F.lit(0)).alias("wide"),
+            (flag(wide_free()) if faces else F.lit(0)).alias("non_wide"),
+            (flag(four()) if faces else F.lit(0)).alias("four"),
+            (flag(six()) if faces else F.lit(0)).alias("six"),
+            (F.when(dismissal, F.col("wicket_kind")) if name == "out" else none.cast("string")).alias("kind"),
         )
 
     roles = F.array(
-        role("bat", "batter", True),
-        role("ns", "non_striker", False),
-        F.when(wicket, role("out", "wicket_player_out", False, F.col("wicket_kind"))),
+        role("bat", "batter"),
+        role("stood", "non_striker"),
+        F.when(out, role("out", "wicket_player_out")),
     )
     keys = [*_MATCH, *_SIDES, *_CARRIED]
     exploded = (
@@ -83,10 +141,12 @@ def batting_innings(balls: DataFrame) -> DataFrame:
         F.sum("faced").alias("faced"),
         F.sum("runs").alias("runs"),
         F.sum("wide").alias("wides_faced"),
+        F.sum("non_wide").alias("non_wides"),
         F.sum("four").alias("fours"),
         F.sum("six").alias("sixes"),
-        F.max(F.when(F.col("role") == "ns", 1).otherwise(0)).alias("stood"),
-        F.max(F.when(F.col("role") == "out", 1).otherwise(0)).alias("out"),
+        F.max(flag(F.col("role") == "stood")).alias("stood"),
+        F.max(flag(F.col("role") == "out")).alias("out"),
+        F.max(flag(F.col("kind").isNotNull())).alias("dismissed"),
     )
     # Placed by match and player once, which serves the second grouping and the window.
     placed = by_kind.repartition("match_id", "player_name")
@@ -94,21 +154,19 @@ def batting_innings(balls: DataFrame) -> DataFrame:
         F.sum("faced").alias("balls_faced"),
         F.sum("runs").alias("runs"),
         F.sum("wides_faced").alias("wides_faced"),
+        F.sum("non_wides").alias("non_wides"),
         F.sum("fours").alias("fours"),
         F.sum("sixes").alias("sixes"),
         F.max("stood").alias("stood"),
-        F.max("out").alias("dismissals"),
+        F.max("out").alias("out"),
+        F.max("dismissed").alias("dismissals"),
         F.max("kind").alias("dismissal_kind"),
     )
     in_match = Window.partitionBy("match_id", "player_name")
-    batted = F.max(F.col("balls_faced") > 0).over(in_match)
-    kept = per_player.withColumn("batted", batted).filter(
-        (F.col("balls_faced") > 0)
-        | (F.col("dismissals") > 0)
-        | ((F.col("stood") > 0) & (F.col("player_name").isNull() | ~F.col("batted")))
-    )
     faced_any = F.col("balls_faced") > 0
-    return kept.withColumns(
+    named = F.col("player_name").isNotNull()
+    with_match = per_player.withColumn("batted", F.max(faced_any).over(in_match) & named)
+    return with_match.withColumns(
         {
             "strike_rate": F.when(
                 faced_any,
@@ -116,27 +174,13 @@ def batting_innings(balls: DataFrame) -> DataFrame:
             ),
             "runs": F.coalesce("runs", F.when(~faced_any, F.lit(0))),
             "not_out": F.col("dismissals") == 0,
+            "out_any": F.col("out") > 0,
+            "counted": faced_any
+            | (F.col("dismissals") > 0)
+            | ((F.col("stood") > 0) & ~F.col("batted")),
         }
-    ).select(*BATTING_INNINGS, "event_name")
-
-
-def bowling_innings(balls: DataFrame) -> DataFrame:
-    """One row per bowler and innings, a single partial aggregate over the balls."""
-    keys = [*_MATCH, *_SIDES, *_CARRIED, "balls_per_over"]
-    figures = balls.groupBy(*keys, F.col("bowler").alias("player_name")).agg(
-        count_when(legal_ball()).alias("legal_deliveries"),
-        F.count("*").alias("total_deliveries"),
-        F.sum("runs_total").alias("runs_conceded"),
-        F.sum("wicket_count").alias("wickets"),
-        count_when(credited_wicket()).alias("wickets_credited"),
-        count_when(F.col("extras_noballs") > 0).alias("no_balls"),
-        count_when(F.col("extras_wides") > 0).alias("wides"),
-    )
-    per_over = F.col("balls_per_over").cast("double")
-    economy = F.col("runs_conceded").cast("double") * per_over
-    return figures.withColumns(
-        {
-            "overs_bowled": overs_decimal("legal_deliveries", "balls_per_over"),
-            "economy": ratio(economy, "legal_deliveries", 2),
-        }
-    ).select(*BOWLING_INNINGS, "event_name")
+    ).select(*BATTING_INNINGS, "event_name", "non_wides", "out_any", "batted", "counted")
+
+
+def batting_innings(took_part: DataFrame) -> DataFrame:
+    return took_part.filter("counted")

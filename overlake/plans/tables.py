@@ -15,18 +15,21 @@ from overlake.sources.seeds import read_seed
 from overlake.sources.silver import read_silver
 
 # Tables written in folders by these columns, and sorted within files by those.
-_PARTITIONED = {"ball_by_ball", "batting_innings", "bowling_innings"}
+_PARTITIONED = {"ball_by_ball", "overs", "participation", "bowling_innings"}
 _LAYOUT = ("match_type", "year")
 _SORT = {
     "ball_by_ball": ["match_id", "innings_number", "over_number", "ball_in_over"],
-    "batting_innings": ["player_name", "match_id"],
+    "overs": ["match_id", "innings_number", "over_number"],
+    # A player's rows lie together, so a query on one reads few row groups.
+    "participation": ["player_name", "match_id"],
     "bowling_innings": ["player_name", "match_id"],
 }
 
 # Stored tables and the attribute each is reached by.
 _KEPT = {
     "ball_by_ball": "balls",
-    "batting_innings": "batting",
+    "overs": "overs",
+    "participation": "took_part",
     "bowling_innings": "bowling",
     "match_results": "match_results",
     "dim_players": "dim_players",
@@ -168,9 +171,19 @@ class MatchTables:
     def fct_deliveries(self) -> DataFrame:
         return self.ball_by_ball
 
+    @property
+    def overs(self) -> DataFrame:
+        """Additive figures per over and bowler."""
+        return self._kept("overs", lambda: inn.over_figures(self.balls))
+
+    @property
+    def took_part(self) -> DataFrame:
+        """Every player and innings, batting innings or not."""
+        return self._kept("participation", lambda: inn.participation(self.balls))
+
     @property
     def batting(self) -> DataFrame:
-        return self._kept("batting_innings", lambda: inn.batting_innings(self.balls))
+        return inn.batting_innings(self.took_part)
 
     @property
     def batting_innings(self) -> DataFrame:
@@ -178,7 +191,7 @@ class MatchTables:
 
     @property
     def bowling(self) -> DataFrame:
-        return self._kept("bowling_innings", lambda: inn.bowling_innings(self.balls))
+        return self._kept("bowling_innings", lambda: inn.bowling_innings(self.overs))
 
     @property
     def bowling_innings(self) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overlake.functions import to_int
 from overlake.operators.versions import classify_revisions, dedupe, revision_stats
-from overlake.sources.raw import match_id_from
+from overlake.sources.raw import match_id_from, match_type_key, year_key
 
 _HEAD = (
     "meta struct<revision string>, "
@@ -32,14 +32,18 @@ def bronze_rows(texts: DataFrame, name: str = "name", content: str = "content")
     Only the few leaves that route a document are parsed.
     """
     head = F.from_json(F.col(content), _HEAD, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    opened = texts.select(match_id_from(name).alias("match_id"), F.col(content).alias("content"), head.alias("h"))
+    opened = texts.select(
+        match_id_from(name).alias("match_id"),
+        F.col(content).alias("content"),
+        F.inline(F.array(head)),
+    )
     return opened.select(
         "match_id",
-        F.lower(F.coalesce("h.info.match_type", F.lit("unknown"))).alias("match_type"),
-        F.coalesce(F.substring(F.get("h.info.dates", F.lit(0)), 1, 4), F.lit("unknown")).alias("year"),
-        F.coalesce(to_int("h.meta.revision"), F.lit(1)).alias("revision"),
+        match_type_key().alias("match_type"),
+        year_key().alias("year"),
+        F.coalesce(to_int("meta.revision"), F.lit(1)).alias("revision"),
         "content",
-        F.col("h._corrupt_record").alias("error"),
+        F.col("_corrupt_record").alias("error"),
     )
 
 

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from oracle.base import TABLES
-from overlake.plans.innings import batting_innings
+from overlake.plans.innings import batting_innings, participation
 from overlake.schemas import BATTING_INNINGS
 
 SCHEMA = """match_id string, match_type string, year int, match_date date, season string, innings_number int,
@@ -38,7 +38,7 @@ def random_balls(seed, matches):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_three_cases(spark, seed):
     balls = spark.createDataFrame(random_balls(seed, 400), SCHEMA)
-    ours = batting_innings(balls).select(BATTING_INNINGS)
+    ours = batting_innings(participation(balls)).select(BATTING_INNINGS)
     ball = balls.toArrow()
     con = duckdb.connect()
     con.register("ball", ball)

@@ -30,10 +30,15 @@ def test_no_cross_joins_and_no_python(spark):
 def test_player_query_prunes_and_pushes(t):
     text = plan(player.player_batting(t, "NATION_2_P7"))
     scan = text[text.index("FileScan"):]
-    assert "EqualTo(batter,NATION_2_P7)" in scan
+    assert "EqualTo(player_name,NATION_2_P7)" in scan
     schema = re.search(r"ReadSchema: struct<(.*?)>", scan).group(1)
-    assert "venue" not in schema and "bowler" not in schema
-    assert text.count("FileScan") == 1
+    assert "strike_rate" not in schema and "dismissal_kind" not in schema
+    assert text.count("FileScan") == 1 and "participation" in scan
+
+
+def test_fielding_reads_wicket_balls_only(t):
+    text = plan(player.player_fielding(t, "NATION_2_P1"))
+    assert "EqualTo(is_wicket,true)" in text[text.index("FileScan"):]
 
 
 def test_format_filter_prunes_partitions(t):
@@ -43,10 +48,10 @@ def test_format_filter_prunes_partitions(t):
 
 def test_season_queries_sum_before_joining(t):
     text = plan(season.phase_split_by_result(t, "2010"))
-    # Below the join, the balls are already aggregated.
-    join = text.index("Join")
-    balls = text[join:]
-    assert balls.index("HashAggregate") < balls.index("over_number")
+    # Below the join, the overs are already aggregated, and balls are not read at all.
+    below = text[text.index("Join"):]
+    assert below.index("HashAggregate") < below.index("over_number")
+    assert "ball_by_ball" not in text
 
 
 def test_top_lists_do_not_sort_everything(t):

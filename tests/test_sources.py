@@ -4,7 +4,6 @@ import time
 import zipfile
 
 import pyarrow.parquet as pq
-from pyspark.sql import functions as F
 
 from overlake.plans.flatten import flatten_deliveries
 from overlake.plans.ingest import transform
