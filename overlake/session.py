@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,6 +19,9 @@ RUNTIME_CONF = {
     # costs one more exchange further down.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Broadcast a side only when its measured size is small against an executor; beyond
+    # that the join is by shuffle.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
 }
@@ -25,7 +30,7 @@ _local_scratch: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    explicit = spark.conf.getAll
     for key, value in RUNTIME_CONF.items():
         if key not in explicit:
             spark.conf.set(key, value)
@@ -47,6 +52,7 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         _local_scratch[app] = tempfile.mkdtemp(prefix="overlake-")
+        atexit.register(shutil.rmtree, _local_scratch[app], ignore_errors=True)
     return _local_scratch[app]
 
 

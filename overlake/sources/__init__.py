@@ -3,7 +3,7 @@
 from overlake.sources.archives import explode_archives, explode_members
 from overlake.sources.bronze import BronzeStore, bronze_rows
 from overlake.sources.inventory import inventory_of, partition_inventory
-from overlake.sources.publish import publish
+from overlake.sources.publish import publish, publish_models, register_views
 from overlake.sources.raw import (
     parse_documents,
     quarantine,

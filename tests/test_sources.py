@@ -4,6 +4,7 @@ import time
 import zipfile
 
 import pyarrow.parquet as pq
+import pytest
 
 from overlake.plans.flatten import flatten_deliveries
 from overlake.plans.ingest import transform
@@ -14,6 +15,8 @@ from overlake.sources import (
     explode_archives,
     partition_inventory,
     publish,
+    publish_models,
+    register_views,
     read_raw,
     read_raw_texts,
     read_seed,
@@ -160,3 +163,38 @@ def test_publish(spark, tables, tmp_path):
     table = publish(tables.batting_career, "marts", "mart_batting_career", partition_by=["match_type"], sort_by=["player_name"])
     assert rows(table.select(*tables.batting_career.columns)) == rows(tables.batting_career)
     assert spark.sql("select count(*) from marts.mart_batting_career where match_type = 't20'").first()[0] > 0
+
+
+def test_models_in_sql(spark, tables, tmp_path):
+    names = register_views(tables)
+    assert len(names) == 15
+    found = spark.sql(
+        "select player_name, total_runs from mart_batting_career where player_name = :p", args={"p": "S First"}
+    ).collect()
+    assert [r.total_runs for r in found] == [11]
+    for layer in ("staging", "intermediate", "marts"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS t_{layer} LOCATION '{tmp_path}/{layer}'")
+    published = publish_models(tables, "t_")
+    assert len(published) == 12
+    balls = spark.table("t_marts.fct_deliveries")
+    assert balls.count() == tables.ball_by_ball.count()
+    joined = spark.sql(
+        """select m.season, sum(d.runs_total) as runs from t_marts.fct_deliveries d
+           join t_marts.fct_match_results m using (match_id) where m.event_name ilike '%premier%'
+           group by m.season order by m.season"""
+    ).collect()
+    assert [r.season for r in joined] == ["2012", "2013"]
+
+
+def test_scratch_follows_the_session(spark):
+    from types import SimpleNamespace
+
+    from overlake.session import scratch_dir
+
+    context = SimpleNamespace(applicationId="app-1", master="spark://host")
+    shared = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: "/shared/area/"))
+    assert scratch_dir(shared) == "/shared/area/overlake-app-1"
+    unset = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(ValueError):
+        scratch_dir(unset)
+    assert scratch_dir(spark) == scratch_dir(spark)
