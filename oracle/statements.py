@@ -312,6 +312,19 @@ def statements() -> dict[str, str]:
     del none["match_type_number"]
     add("match_results", f"SELECT * REPLACE (match_date::VARCHAR AS match_date), {fixed}, {', '.join(none.values())} FROM results", "results")
     add("batting_innings", "SELECT * EXCLUDE (event_name) REPLACE (match_date::VARCHAR AS match_date) FROM bat", "bat")
+    add("dismissals", "SELECT * FROM dismissed", "dismissed")
+    add("match_batters", "SELECT DISTINCT match_id, batter AS player_name FROM ball", "ball")
+    bat_rows = "SELECT * EXCLUDE (event_name) REPLACE (match_date::VARCHAR AS match_date) FROM bat"
+    add("zero_ball_dismissals", bat_rows + " WHERE balls_faced = 0 AND NOT not_out", "bat")
+    add("non_striker_only", bat_rows + " WHERE balls_faced = 0 AND not_out", "bat")
+    add("over_figures", f"""SELECT match_id, match_type, year, match_date::VARCHAR AS match_date, season, innings_number, over_number,
+        batting_team, bowling_team, super_over, event_name, 6 AS balls_per_over, bowler AS player_name, count(*) AS deliveries,
+        {LEGALS} AS legal, {WIDE_FREE} AS non_wides, {big('runs_batter')} AS bat_runs, {big('runs_total')} AS runs,
+        {big(CHARGED)} AS charged_runs, {big('wicket_count')} AS wkts, count(*) FILTER (WHERE {CREDITED}) AS credited,
+        count(*) FILTER (WHERE is_wicket AND wicket_kind NOT IN ('retired hurt', 'retired out')) AS team_wkts,
+        {DOTS} AS dots, {FOURS} AS fours, {SIXES} AS sixes, count(*) FILTER (WHERE extras_wides > 0) AS wides,
+        count(*) FILTER (WHERE extras_noballs > 0) AS no_balls, {big('extras_wides')} AS wide_runs,
+        {big('extras_noballs')} AS no_ball_runs FROM ball GROUP BY ALL""", "ball")
     add("bowling_innings", "SELECT * EXCLUDE (event_name) REPLACE (match_date::VARCHAR AS match_date) FROM bowl", "bowl")
     add("dim_players", "SELECT * FROM people", "people")
     add("batting_career", "SELECT * FROM bat_career", "bat_career")

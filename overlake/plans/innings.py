@@ -184,3 +184,26 @@ def participation(balls: DataFrame) -> DataFrame:
 
 def batting_innings(took_part: DataFrame) -> DataFrame:
     return took_part.filter("counted")
+
+
+def dismissals(took_part: DataFrame) -> DataFrame:
+    """Dismissed players per innings, whoever faced the ball, with the kind."""
+    out = took_part.filter((F.col("dismissals") > 0) & F.col("player_name").isNotNull())
+    return out.select("match_id", "innings_number", "player_name", "dismissal_kind")
+
+
+def match_batters(took_part: DataFrame) -> DataFrame:
+    """Distinct (match, player) of everybody who faced a ball in the match."""
+    return took_part.filter(F.col("balls_faced") > 0).select("match_id", "player_name").distinct()
+
+
+def zero_ball_dismissals(took_part: DataFrame) -> DataFrame:
+    """Batting innings that ended without a ball faced."""
+    return took_part.filter((F.col("balls_faced") == 0) & (F.col("dismissals") > 0))
+
+
+def non_striker_only(took_part: DataFrame) -> DataFrame:
+    """Batting innings spent at the other end only."""
+    return took_part.filter(
+        F.col("counted") & (F.col("balls_faced") == 0) & (F.col("dismissals") == 0)
+    )

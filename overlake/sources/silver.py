@@ -15,6 +15,7 @@ def write_silver(
     name: str,
     mode: str = "full",
     max_records_per_file: int = 5_000_000,
+    row_group_rows: int = 100_000,
 ) -> None:
     """Write one silver table; ``full`` replaces it, ``incremental`` appends to it.
 
@@ -30,7 +31,7 @@ def write_silver(
         typed.hint("rebalance", *PARTITIONS)
         .write.mode("overwrite" if mode == "full" else "append")
         .option("compression", "zstd")
-        .option("parquet.block.row.count.limit", "100000")
+        .option("parquet.block.row.count.limit", row_group_rows)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PARTITIONS)
         .parquet(f"{root.rstrip('/')}/{name}")

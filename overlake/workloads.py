@@ -26,9 +26,10 @@ from overlake.operators import (
     unique,
     upsert_by_revision,
 )
-from overlake.plans import flatten
+from overlake.plans import flatten, innings as inn
 from overlake.plans.catalogue import audit, coverage, leaders, matches, player, season, team
 from overlake.plans.tables import MatchTables
+from overlake.schemas import BATTING_INNINGS
 from overlake.session import configure, fresh_path
 from overlake.sources import driver_tables as dt
 from overlake.sources.archives import explode_members, member_stem
@@ -334,6 +335,11 @@ def queries() -> dict[str, Query]:
         "match_results": _table("match_results"),
         "batting_innings": _table("batting_innings"),
         "bowling_innings": _table("bowling_innings"),
+        "dismissals": on_tables(lambda t: inn.dismissals(t.took_part)),
+        "match_batters": on_tables(lambda t: inn.match_batters(t.took_part)),
+        "zero_ball_dismissals": on_tables(lambda t: inn.zero_ball_dismissals(t.took_part).select(*BATTING_INNINGS)),
+        "non_striker_only": on_tables(lambda t: inn.non_striker_only(t.took_part).select(*BATTING_INNINGS)),
+        "over_figures": _table("overs"),
         "dim_players": _table("dim_players"),
         "batting_career": _table("batting_career"),
         "bowling_career": _table("bowling_career"),
