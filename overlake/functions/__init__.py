@@ -1,29 +1,32 @@
-"""Column expressions shared by the plans; all run inside the JVM."""
+"""Expressions shared by the plans; all run inside the JVM."""
 
 from overlake.functions.numeric import (
     count_when,
     flag_sum,
     format_overs,
+    named,
     overs_decimal,
+    overs_sql,
     ratio,
+    ratio_sql,
     round_half_up,
+    round_half_up_sql,
     to_int,
+    to_int_sql,
 )
 from overlake.functions.scoring import (
+    BOWLER_RUNS,
     BOWLER_UNCREDITED,
+    CREDITED_WICKET,
+    DOT_BALL,
+    FOUR,
+    LEGAL_BALL,
     PHASES,
+    SIX,
     TEAM_UNCOUNTED,
-    boundary,
-    bowler_runs,
-    credited_wicket,
-    dot_ball,
-    four,
-    in_phase,
-    legal_ball,
+    TEAM_WICKET,
+    WIDE_FREE,
     phase_label,
-    six,
-    team_wicket,
-    wide_free,
 )
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -1,36 +1,61 @@
-"""Numeric helpers: coercion, exact-order rounding, ratios, overs notation."""
+"""Numeric helpers: coercion, exact-order rounding, ratios, overs notation.
+
+Arguments are SQL expressions over the frame's columns, not user input; each helper
+makes one parsed expression, which keeps plans with dozens of them cheap to build.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from overlake.functions._cols import ColumnLike, as_col
+
+def to_int_sql(text: str) -> str:
+    return (
+        f"coalesce(try_cast({text} AS int), CASE WHEN {text} RLIKE '^\\\\s*-?[0-9]+[.][0-9]+\\\\s*$' "
+        f"THEN try_cast(try_cast({text} AS double) AS int) END)"
+    )
 
 
-def to_int(col: ColumnLike) -> Column:
+def to_int(text: str) -> Column:
     """Integer or NULL.
 
     Raw leaves arrive as text: an integer literal converts, a JSON float is cut to
     its whole part, anything else is NULL.
     """
-    text = as_col(col)
-    number = F.when(text.rlike(r"^\s*-?[0-9]+\.[0-9]+\s*$"), text.try_cast("double"))
-    return F.coalesce(text.try_cast("int"), number.try_cast("int"))
+    return F.expr(to_int_sql(text))
+
+
+def round_half_up_sql(x: str, scale: int) -> str:
+    step = f"{10**scale}D"
+    return f"(cast(floor(({x}) * {step} + 0.5D) AS double) / {step})"
 
 
-def round_half_up(col: ColumnLike, scale: int) -> Column:
+def round_half_up(x: str, scale: int) -> Column:
     """Round a non-negative double by binary scaling.
 
     ``round`` on doubles goes through the shortest decimal text; scaling in binary
     gives what engines with a plain floating-point round give, bit for bit.
     """
-    step = float(10**scale)
-    return F.floor(as_col(col) * step + F.lit(0.5)).cast("double") / F.lit(step)
+    return F.expr(round_half_up_sql(x, scale))
+
+
+def ratio_sql(
+    num: str,
+    den: str,
+    scale: int | None = 2,
+    times: float | None = None,
+    then_times: float | None = None,
+) -> str:
+    top = f"cast({num} AS double)" + (f" * {float(times)}D" if times is not None else "")
+    out = f"{top} / nullif(cast({den} AS double), 0D)"
+    if then_times is not None:
+        out = f"{out} * {float(then_times)}D"
+    return f"({out})" if scale is None else round_half_up_sql(out, scale)
 
 
 def ratio(
-    num: ColumnLike,
-    den: ColumnLike,
+    num: str,
+    den: str,
     scale: int | None = 2,
     times: float | None = None,
     then_times: float | None = None,
@@ -39,38 +64,36 @@ def ratio(
 
     The two factors differ only in the order of floating-point operations.
     """
-    top = as_col(num).cast("double")
-    if times is not None:
-        top = top * F.lit(float(times))
-    bottom = as_col(den).cast("double")
-    out = top / F.nullif(bottom, F.lit(0.0))
-    if then_times is not None:
-        out = out * F.lit(float(then_times))
-    return out if scale is None else round_half_up(out, scale)
+    return F.expr(ratio_sql(num, den, scale, times, then_times))
 
 
-def count_when(cond: Column) -> Column:
+def count_when(cond: str) -> Column:
     """Rows satisfying ``cond``; zero, not NULL, when none does (but NULL on no rows)."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
+    return F.expr(f"sum(CASE WHEN {cond} THEN 1 ELSE 0 END)")
 
 
-def flag_sum(cond: Column) -> Column:
+def flag_sum(cond: str) -> Column:
     """Sum of a three-valued flag: unknown rows are skipped, all unknown gives NULL."""
-    return F.sum(cond.cast("int"))
+    return F.expr(f"sum(cast(({cond}) AS int))")
+
+
+def overs_sql(balls: str, per_over: int = 6) -> str:
+    return f"concat({balls} div {per_over}, '.', {balls} % {per_over})"
 
 
-def format_overs(balls: ColumnLike, per_over: int = 6) -> Column:
+def format_overs(balls: str, per_over: int = 6) -> Column:
     """Ball count as ``overs.balls`` text, e.g. 25 -> ``4.1``."""
-    b = as_col(balls).cast("bigint")
-    whole = F.floor(b / F.lit(per_over)).cast("string")
-    return F.concat(whole, F.lit("."), (b % F.lit(per_over)).cast("string"))
+    return F.expr(overs_sql(balls, per_over))
 
 
+def overs_decimal(balls: str, per_over: str) -> Column:
+    """Ball count as the number ``overs.balls``, e.g. 25 at 6 an over -> 4.1."""
+    per = f"nullif({per_over}, 0)"
+    return F.expr(
+        f"cast(floor(cast({balls} AS double) / {per}) AS double) + cast({balls} % {per} AS double) * 0.1D"
+    )
 
 
-def overs_decimal(balls: ColumnLike, per_over: ColumnLike) -> Column:
-    """Ball count as the number ``overs.balls``, e.g. 25 at 6 a over -> 4.1."""
-    b = as_col(balls).cast("bigint")
-    per = F.nullif(as_col(per_over), F.lit(0))
-    whole = F.floor(b.cast("double") / per.cast("double")).cast("double")
-    return whole + (b % per).cast("double") * F.lit(0.1)
+def named(**expressions: str) -> list[Column]:
+    """Columns from SQL expressions by name."""
+    return [F.expr(f"{sql} AS `{name}`") for name, sql in expressions.items()]

@@ -1,9 +1,14 @@
-"""Scoring rules as column predicates over the ball table."""
+"""Scoring rules as SQL predicates and expressions over the ball table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+
+def _listed(kinds: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{k}'" for k in kinds) + ")"
+
+
 # Kinds of dismissal not credited to the bowler, kinds that do not
 # count as a lost wicket of a side, and the phases of a 20-over innings.
 BOWLER_UNCREDITED = ("run out", "retired hurt", "retired out", "obstructing the field")
@@ -14,51 +19,17 @@ PHASES = {
     "death": (15, 19, "3. Death (16-20)"),
 }
 
-
-def legal_ball() -> Column:
-    return (F.col("extras_wides") == 0) & (F.col("extras_noballs") == 0)
-
-
-def wide_free() -> Column:
-    return F.col("extras_wides") == 0
-
-
-def boundary(*runs: int) -> Column:
-    """Ball hit to the boundary for one of the given values."""
-    return F.col("runs_batter").isin(*runs) & ~F.col("runs_non_boundary")
-
-
-def four() -> Column:
-    return boundary(4)
-
-
-def six() -> Column:
-    return boundary(6)
-
-
-def dot_ball() -> Column:
-    return (F.col("runs_batter") == 0) & wide_free()
-
-
-def credited_wicket() -> Column:
-    return F.col("is_wicket") & ~F.col("wicket_kind").isin(*BOWLER_UNCREDITED)
-
-
-def team_wicket() -> Column:
-    return F.col("is_wicket") & ~F.col("wicket_kind").isin(*TEAM_UNCOUNTED)
-
-
-def bowler_runs() -> Column:
-    """Runs charged to the bowler: byes and leg-byes are not."""
-    return F.col("runs_total") - F.col("extras_byes") - F.col("extras_legbyes")
-
-
-def in_phase(phase: tuple) -> Column:
-    return F.col("over_number").between(phase[0], phase[1])
+WIDE_FREE = "extras_wides = 0"
+LEGAL_BALL = "extras_wides = 0 AND extras_noballs = 0"
+FOUR = "runs_batter = 4 AND NOT runs_non_boundary"
+SIX = "runs_batter = 6 AND NOT runs_non_boundary"
+DOT_BALL = "runs_batter = 0 AND extras_wides = 0"
+CREDITED_WICKET = f"is_wicket AND wicket_kind NOT IN {_listed(BOWLER_UNCREDITED)}"
+TEAM_WICKET = f"is_wicket AND wicket_kind NOT IN {_listed(TEAM_UNCOUNTED)}"
+# Runs charged to the bowler: byes and leg-byes are not.
+BOWLER_RUNS = "runs_total - extras_byes - extras_legbyes"
 
 
 def phase_label(phases: dict[str, tuple] = PHASES) -> Column:
-    out = F
-    for lo, hi, label in phases.values():
-        out = out.when(F.col("over_number").between(lo, hi), F.lit(label))
-    return out
+    cases = " ".join(f"WHEN over_number BETWEEN {lo} AND {hi} THEN '{label}'" for lo, hi, label in phases.values())
+    return F.expr(f"CASE {cases} END")

@@ -4,21 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column
 
-from overlake.functions._cols import ColumnLike, as_col
+from overlake.functions import named
 
 
 def phase_pivot(
-    position: ColumnLike,
-    phases: Mapping[str, tuple],
-    measures: Mapping[str, ColumnLike],
+    position: str, phases: Mapping[str, tuple], measures: Mapping[str, str]
 ) -> list[Column]:
-    """Aggregates ``<phase>_<measure>``: the sum of each measure over the rows whose
-    ``position`` lies in the phase's closed range; 0 where a group has none."""
-    pos = as_col(position)
-    return [
-        F.sum(F.when(pos.between(lo, hi), as_col(m)).otherwise(F.lit(0))).alias(f"{p}_{name}")
-        for p, (lo, hi, *_) in phases.items()
-        for name, m in measures.items()
-    ]
+    """Aggregates ``<phase>_<measure>``: the sum of each measure, a SQL expression, over
+    the rows whose ``position`` lies in the phase's closed range; 0 where there is none."""
+    return named(
+        **{
+            f"{p}_{name}": f"sum(CASE WHEN {position} BETWEEN {lo} AND {hi} THEN {m} ELSE 0 END)"
+            for p, (lo, hi, *_) in phases.items()
+            for name, m in measures.items()
+        }
+    )

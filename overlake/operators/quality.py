@@ -17,7 +17,7 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row (column_name, failures) per column, all counted in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = df.agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in columns])
     return counts.unpivot([], list(columns), "column_name", "failures")
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from overlake.functions import ratio
+from overlake.functions import named, ratio
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
@@ -26,20 +26,20 @@ def top_k_share(
     very many entities is never gathered in one task.
     Returns group, total, top, pct, names; ties rank by entity name.
     """
-    order = [F.desc_nulls_last(measure), F.asc_nulls_last(entity)]
-    w = Window.partitionBy(group).orderBy(*order)
-    ranked = df.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= k)
-    label = F.concat(F.col(entity), F.lit(" ("), F.col(measure).cast("string"), F.lit(")"))
+    rank = f"row_number() OVER (PARTITION BY `{group}` ORDER BY `{measure}` DESC NULLS LAST, `{entity}` ASC NULLS LAST)"
+    ranked = df.withColumn("__rank", F.expr(rank)).filter(f"__rank <= {int(k)}")
+    label = f"concat(`{entity}`, ' (', `{measure}`, ')')"
     best = ranked.groupBy(group).agg(
-        F.sum(measure).alias("top"),
-        F.array_sort(F.collect_list(F.struct(F.col("__rank"), label.alias("label")))).alias("__l"),
+        *named(
+            top=f"sum(`{measure}`)",
+            __l=f"array_sort(collect_list(named_struct('rank', __rank, 'label', {label})))",
+        )
     )
-    names = F.array_join(F.transform("__l", lambda x: x["label"]), ", ")
     totals = df.groupBy(group).agg(F.sum(measure).alias("total"))
     return totals.join(best, group).select(
         group,
         "total",
         "top",
         ratio("top", "total", 1, times=100).alias("pct"),
-        names.alias("names"),
+        F.expr("array_join(__l.label, ', ') AS names"),
     )

@@ -4,28 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-_RN = "__rn"
-
-
-def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row per key in the given order.
+def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First row per key; ``order`` holds SQL sort terms such as ``"revision DESC"``.
 
     Filtering ``row_number() = 1`` lets Spark plan a window group limit on both sides
     of the exchange: every map task sends at most one row per key, so a key with very
     many copies does not travel, nor pile up in one task.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+    by = ", ".join(f"`{k}`" for k in keys)
+    rank = f"row_number() OVER (PARTITION BY {by} ORDER BY {', '.join(order)})"
+    return df.withColumn("__rn", F.expr(rank)).filter("__rn = 1").drop("__rn")
 
 
-def dedupe(
-    df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = ()
-) -> DataFrame:
+def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
     """One row per key, chosen by ``prefer`` and then by every other column in turn,
     so the choice never depends on the order in which rows arrive."""
-    rest = [F.asc_nulls_last(c) for c in df.columns if c not in set(keys)]
+    rest = [f"`{c}` ASC NULLS LAST" for c in df.columns if c not in set(keys)]
     return latest_by(df, keys, [*prefer, *rest])
 
 
@@ -40,7 +36,7 @@ def classify_revisions(
     ``index`` holds (key, revision) of what is already stored.  A key is new when it
     is unknown, updated when its revision rises, else skipped.
     """
-    newest = dedupe(incoming, [key], [F.desc_nulls_last(revision)])
+    newest = dedupe(incoming, [key], [f"{revision} DESC NULLS LAST"])
     known = index.groupBy(key).agg(F.max(revision).alias("__known"))
     # Absent revisions count as 1, as on reading.
     rev = F.coalesce(F.col(revision), F.lit(1))

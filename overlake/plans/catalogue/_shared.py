@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from overlake.functions import count_when, ratio
+from overlake.functions import named, ratio_sql
 
 # The league the queries look at and the innings without super overs.
 LEAGUE = "%indian premier league%"
@@ -24,7 +24,7 @@ def in_league(league: str) -> Column:
 
 
 def regular() -> Column:
-    return F.col("innings_number").isin(*REGULAR)
+    return F.expr(f"innings_number IN {REGULAR}")
 
 
 def league_rows(rows: DataFrame, league: str, season: str | None = None) -> DataFrame:
@@ -46,7 +46,7 @@ def league_matches(
 
 def league_innings(innings: DataFrame, league: str, season: str | None = None) -> DataFrame:
     """Batting or bowling innings of the league, super overs left out."""
-    return league_rows(innings, league, season).filter(~F.col("super_over"))
+    return league_rows(innings, league, season).filter("NOT super_over")
 
 
 def opponent(names: Sequence[str]) -> Column:
@@ -58,27 +58,30 @@ def won(names: Sequence[str]) -> Column:
 
 
 def lost(names: Sequence[str]) -> Column:
-    return F.col("has_result") & ~F.col("outcome_winner").isin(*names)
+    return F.col("has_result") & ~won(names)
 
 
-def record(names: Sequence[str]) -> list[Column]:
-    """played, won, lost, tied, nr, win_pct over match results."""
-    wins = count_when(won(names))
-    return [
-        F.count("*").alias("played"),
-        wins.alias("won"),
-        count_when(lost(names)).alias("lost"),
-        F.sum(F.col("is_tie").cast("int")).alias("tied"),
-        F.sum(F.col("is_no_result").cast("int")).alias("nr"),
-        ratio(wins, F.sum(F.col("has_result").cast("int")), 1, times=100).alias("win_pct"),
-    ]
+def with_outcome(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Adds ``won`` and ``lost`` as seen by the named team."""
+    return rows.withColumns({"won": won(names), "lost": lost(names)})
+
+
+_WINS = "sum(CASE WHEN won THEN 1 ELSE 0 END)"
+
+
+def record() -> list[Column]:
+    """played, won, lost, tied, nr, win_pct over rows of :func:`with_outcome`."""
+    return named(
+        played="count(*)",
+        won=_WINS,
+        lost="sum(CASE WHEN lost THEN 1 ELSE 0 END)",
+        tied="sum(cast(is_tie AS int))",
+        nr="sum(cast(is_no_result AS int))",
+        win_pct=ratio_sql(_WINS, "sum(cast(has_result AS int))", 1, times=100),
+    )
 
 
 def result_code(names: Sequence[str]) -> Column:
     """W, NR, T, and L for all the rest, a draw included."""
-    return (
-        F.when(won(names), "W")
-        .when(F.col("is_no_result"), "NR")
-        .when(F.col("is_tie"), "T")
-        .otherwise("L")
-    )
+    rest = F.expr("CASE WHEN is_no_result THEN 'NR' WHEN is_tie THEN 'T' ELSE 'L' END")
+    return F.when(won(names), "W").otherwise(rest)

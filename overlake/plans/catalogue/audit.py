@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from overlake.functions import count_when, format_overs, ratio
+from overlake.functions import count_when
 from overlake.operators import quality
 from overlake.operators.reconcile import reconcile
 from overlake.plans.catalogue._shared import LEAGUE, down, league_innings, up
-from overlake.plans.catalogue.team import batting_summary
+from overlake.plans.catalogue.team import batting_summary, bowling_summary
 from overlake.schemas import struct
 from overlake.sources.seeds import seed_frame
 
@@ -43,35 +43,18 @@ BOWLING_EXPECTED = struct(player=_S, wkts=_L, note=_S)
 
 def career_batting(t, players: Sequence[str] = PLAYERS, league: str = LEAGUE) -> DataFrame:
     rows = league_innings(t.batting, league).filter(F.col("player_name").isin(*players))
-    ducks = count_when((F.col("runs") == 0) & ~F.col("not_out")).alias("ducks")
+    ducks = count_when("runs = 0 AND NOT not_out").alias("ducks")
     figures = rows.groupBy(F.col("player_name").alias("player")).agg(*batting_summary(), ducks)
-    return figures.select(
+    return figures.selectExpr(
         "player", "mat", "inns", "no", "runs", "hs", "avg", "bf", "sr",
-        F.col("100s").alias("100"), F.col("50s").alias("50"), "ducks", "4s", "6s",
+        "`100s` AS `100`", "`50s` AS `50`", "ducks", "`4s`", "`6s`",
     ).orderBy(down("runs"), up("player"))
 
 
 def career_bowling(t, players: Sequence[str] = PLAYERS, league: str = LEAGUE) -> DataFrame:
     rows = league_innings(t.bowling, league).filter(F.col("player_name").isin(*players))
-    runs, balls, wkts = (F.sum(c) for c in ("runs_conceded", "legal_deliveries", "wickets_credited"))
-    per_innings = F.col("wickets_credited")
-    return (
-        rows.groupBy(F.col("player_name").alias("player"))
-        .agg(
-            F.count_distinct("match_id").alias("mat"),
-            F.count("*").alias("inns"),
-            format_overs(balls).alias("overs"),
-            balls.alias("balls"),
-            runs.alias("runs"),
-            wkts.alias("wkts"),
-            ratio(runs, wkts).alias("avg"),
-            ratio(runs, balls, times=6).alias("econ"),
-            ratio(balls, wkts).alias("sr"),
-            count_when(per_innings >= 4).alias("4w"),
-            count_when(per_innings >= 5).alias("5w"),
-        )
-        .orderBy(down("wkts"), up("player"))
-    )
+    per_player = rows.groupBy(F.col("player_name").alias("player"))
+    return per_player.agg(*bowling_summary("4w", "5w")).orderBy(down("wkts"), up("player"))
 
 
 def reconcile_batting(t, expected: Sequence[tuple] = PUBLISHED_BATTING, league: str = LEAGUE) -> DataFrame:
@@ -121,8 +104,8 @@ CHILDREN = ("stg_innings", "stg_deliveries", "stg_players")
 
 def runs_add_up(t) -> DataFrame:
     """Balls whose total is not runs off the bat plus extras."""
-    holds = F.col("runs_total") == F.col("runs_batter") + F.col("runs_extras")
-    return quality.rule(t.ball_by_ball, holds).select(
+    holds = F.expr("runs_total = runs_batter + runs_extras")
+    return quality.rule(t.balls, holds).select(
         "match_id", "innings_number", "over_number", "ball_in_over",
         "runs_batter", "runs_extras", "runs_total",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from overlake.functions import ratio
+from overlake.functions import named, ratio_sql
 from overlake.operators.ranking import top_n
 from overlake.plans.catalogue._shared import down, regular, up
 
@@ -70,14 +70,14 @@ def most_sixes_innings(t, match_type: str = "t20", n: int = 20) -> DataFrame:
 
 def average_trend(t, player: str, match_type: str = "odi") -> DataFrame:
     rows = t.batting.filter(
-        (F.col("player_name") == player)
-        & (F.col("match_type") == match_type)
-        & ~F.col("super_over")
-    )
+        (F.col("player_name") == player) & (F.col("match_type") == match_type)
+    ).filter("NOT super_over")
     per_year = rows.groupBy("year").agg(
-        F.count_distinct("match_id").alias("matches"),
-        F.sum("runs").alias("runs"),
-        ratio(F.sum("runs"), F.sum("dismissals")).alias("avg"),
+        *named(
+            matches="count(DISTINCT match_id)",
+            runs="sum(runs)",
+            avg=ratio_sql("sum(runs)", "sum(dismissals)"),
+        )
     )
     return per_year.orderBy(up("year"))
 
@@ -111,7 +111,7 @@ def best_bowling_innings(t, n: int = 20) -> DataFrame:
         down("wickets_credited"), up("runs_conceded"),
         up("match_id"), up("innings_number"), up("player_name"),
     ]
-    return top_n(t.bowling.filter(~F.col("super_over")), order, n).select(
+    return top_n(t.bowling.filter("NOT super_over"), order, n).select(
         "player_name", "bowling_team", "batting_team", "match_date", "match_type",
         "wickets_credited", "runs_conceded", "legal_deliveries",
     )
@@ -127,14 +127,11 @@ def wicket_kinds(t) -> DataFrame:
 def economy_by_over(t, match_type: str = "t20", strict: bool = False) -> DataFrame:
     """Economy per over.  The divisor is the balls less the *runs* from wides, no-balls
     kept; ``strict`` divides by legal balls."""
-    legal = F.sum("legal") if strict else F.sum("deliveries") - F.sum("wide_runs")
+    legal = "sum(legal)" if strict else "(sum(deliveries) - sum(wide_runs))"
     rows = t.overs.filter((F.col("match_type") == match_type) & regular())
-    return (
-        rows.groupBy("over_number")
-        .agg(
-            F.sum("deliveries").alias("balls"),
-            F.sum("runs").alias("runs"),
-            ratio(F.sum("runs"), legal, 2, times=6).alias("economy"),
-        )
-        .orderBy(up("over_number"))
+    figures = named(
+        balls="sum(deliveries)",
+        runs="sum(runs)",
+        economy=ratio_sql("sum(runs)", legal, 2, times=6),
     )
+    return rows.groupBy("over_number").agg(*figures).orderBy(up("over_number"))

@@ -6,39 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from overlake.functions import flag_sum, ratio
+from overlake.functions import flag_sum, named, ratio_sql
 from overlake.operators.ranking import top_n
 from overlake.plans.catalogue._shared import down, up
 
 
 def team_record(t, team: str, match_type: str = "odi") -> DataFrame:
     """One row for the matches in which the team is listed first, one for second."""
-    sides = F.array(
-        F.struct(F.lit(1).alias("listed"), F.col("team_1").alias("team"), F.col("team_2").alias("other")),
-        F.struct(F.lit(2).alias("listed"), F.col("team_2").alias("team"), F.col("team_1").alias("other")),
-    )
+    sides = "inline(array(named_struct('listed', 1, 'team', team_1, 'other', team_2), named_struct('listed', 2, 'team', team_2, 'other', team_1)))"
     rows = (
-        t.match_results.filter(
-            (F.col("match_type") == match_type)
-            & ((F.col("team_1") == team) | (F.col("team_2") == team))
-        )
-        .select("outcome_winner", "is_tie", "has_result", F.inline(sides))
+        t.match_results.filter(F.col("match_type") == match_type)
+        .filter((F.col("team_1") == team) | (F.col("team_2") == team))
+        .selectExpr("outcome_winner", "is_tie", "has_result", sides)
         .filter(F.col("team") == team)
     )
-    wins = flag_sum(F.col("outcome_winner") == F.col("team"))
-    return (
-        rows.groupBy("listed", "team")
-        .agg(
-            F.count("*").alias("played"),
-            wins.alias("won"),
-            flag_sum(F.col("outcome_winner") == F.col("other")).alias("lost"),
-            flag_sum(F.col("is_tie")).alias("tied"),
-            flag_sum(~F.col("has_result")).alias("no_result"),
-            ratio(wins, flag_sum(F.col("has_result")), 1, times=100).alias("win_pct"),
-        )
-        .orderBy("listed")
-        .drop("listed")
+    wins = "sum(cast(outcome_winner = team AS int))"
+    figures = named(
+        played="count(*)",
+        won=wins,
+        lost="sum(cast(outcome_winner = other AS int))",
+        tied="sum(cast(is_tie AS int))",
+        no_result="sum(cast(NOT has_result AS int))",
+        win_pct=ratio_sql(wins, "sum(cast(has_result AS int))", 1, times=100),
     )
+    return rows.groupBy("listed", "team").agg(*figures).orderBy("listed").drop("listed")
 
 
 def head_to_head(t, team_a: str, team_b: str) -> DataFrame:
@@ -50,9 +41,9 @@ def head_to_head(t, team_a: str, team_b: str) -> DataFrame:
         .groupBy("match_type")
         .agg(
             F.count("*").alias("played"),
-            flag_sum(F.col("outcome_winner") == team_a).alias("team_a_wins"),
-            flag_sum(F.col("outcome_winner") == team_b).alias("team_b_wins"),
-            flag_sum(F.col("is_tie")).alias("ties"),
+            F.sum((F.col("outcome_winner") == team_a).cast("int")).alias("team_a_wins"),
+            F.sum((F.col("outcome_winner") == team_b).cast("int")).alias("team_b_wins"),
+            flag_sum("is_tie").alias("ties"),
         )
         .orderBy(up("match_type"))
     )
@@ -60,16 +51,14 @@ def head_to_head(t, team_a: str, team_b: str) -> DataFrame:
 
 def toss_advantage(t, match_types: Sequence[str] = ("t20", "odi", "test")) -> DataFrame:
     rows = t.match_results.filter(F.col("has_result") & F.col("match_type").isin(*match_types))
-    kept = flag_sum(F.col("toss_winner") == F.col("outcome_winner"))
-    return (
-        rows.groupBy("match_type", "toss_decision")
-        .agg(
-            F.count("*").alias("matches"),
-            kept.alias("toss_winner_won"),
-            ratio(kept, F.count("*"), 1, times=100).alias("toss_win_pct"),
-        )
-        .orderBy(up("match_type"), up("toss_decision"))
+    kept = "sum(cast(toss_winner = outcome_winner AS int))"
+    figures = named(
+        matches="count(*)",
+        toss_winner_won=kept,
+        toss_win_pct=ratio_sql(kept, "count(*)", 1, times=100),
     )
+    counted = rows.groupBy("match_type", "toss_decision").agg(*figures)
+    return counted.orderBy(up("match_type"), up("toss_decision"))
 
 
 def biggest_run_margins(t, match_type: str = "t20", n: int = 20) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from overlake.functions import count_when, format_overs, ratio
+from overlake.functions import count_when, format_overs, named, overs_sql, ratio, ratio_sql
 from overlake.operators.ranking import top_n
 from overlake.plans.catalogue._shared import (
     LEAGUE,
@@ -27,34 +27,34 @@ def batting_log(t, player: str, league: str = LEAGUE) -> DataFrame:
     player faced a ball anywhere in the match was decided there over all innings, super
     overs included.
     """
-    faced, out = F.col("balls_faced"), F.col("out_any")
     rows = t.took_part.filter(
         (F.col("player_name") == player) & in_league(league) & regular()
     )
-    return rows.filter((faced > 0) | out | ~F.col("batted")).select(
+    return rows.filter("balls_faced > 0 OR out_any OR NOT batted").selectExpr(
         "match_id", "innings_number", "match_date", "season", "batting_team", "bowling_team",
-        "runs", F.col("non_wides").alias("balls"), "fours", "sixes",
-        faced.alias("faced"), out.cast("int").alias("dismissed"),
+        "runs", "non_wides AS balls", "fours", "sixes", "balls_faced AS faced",
+        "cast(out_any AS int) AS dismissed",
     )
 
 
 def _summary() -> list[Column]:
-    runs, out = F.col("runs"), F.col("dismissed")
-    return [
-        F.count_distinct("match_id").alias("mat"),
-        F.count("*").alias("inns"),
-        F.sum(1 - out).alias("no"),
-        F.sum("runs").alias("runs"),
-        F.max("runs").alias("hs"),
-        ratio(F.sum("runs"), F.sum("dismissed")).alias("ave"),
-        F.sum("balls").alias("bf"),
-        ratio(F.sum("runs"), F.sum("balls"), times=100).alias("sr"),
-        count_when(runs >= 100).alias("100"),
-        count_when((runs >= 50) & (runs < 100)).alias("50"),
-        count_when((runs == 0) & (out == 1)).alias("0"),
-        F.sum("fours").alias("4s"),
-        F.sum("sixes").alias("6s"),
-    ]
+    return named(
+        **{
+            "mat": "count(DISTINCT match_id)",
+            "inns": "count(*)",
+            "no": "sum(1 - dismissed)",
+            "runs": "sum(runs)",
+            "hs": "max(runs)",
+            "ave": ratio_sql("sum(runs)", "sum(dismissed)"),
+            "bf": "sum(balls)",
+            "sr": ratio_sql("sum(runs)", "sum(balls)", times=100),
+            "100": "sum(CASE WHEN runs >= 100 THEN 1 ELSE 0 END)",
+            "50": "sum(CASE WHEN runs >= 50 AND runs < 100 THEN 1 ELSE 0 END)",
+            "0": "sum(CASE WHEN runs = 0 AND dismissed = 1 THEN 1 ELSE 0 END)",
+            "4s": "sum(fours)",
+            "6s": "sum(sixes)",
+        }
+    )
 
 
 def player_batting(t, player: str, league: str = LEAGUE) -> DataFrame:
@@ -63,19 +63,11 @@ def player_batting(t, player: str, league: str = LEAGUE) -> DataFrame:
 
 def player_batting_career(t, player: str, league: str = LEAGUE) -> DataFrame:
     """:func:`player_batting` under spelled-out names."""
-    s = player_batting(t, player, league)
-    return s.select(
-        F.lit(player).alias("player_name"),
-        F.col("mat").alias("matches"),
-        F.col("inns").alias("innings"),
-        F.col("runs").alias("total_runs"),
-        F.col("hs").alias("highest_score"),
-        F.col("ave").alias("batting_avg"),
-        F.col("sr").alias("strike_rate"),
-        F.col("`100`").alias("centuries"),
-        F.col("`50`").alias("fifties"),
-        F.col("4s").alias("total_fours"),
-        F.col("6s").alias("total_sixes"),
+    short = player_batting(t, player, league).withColumn("player_name", F.lit(player))
+    return short.selectExpr(
+        "player_name", "mat AS matches", "inns AS innings", "runs AS total_runs",
+        "hs AS highest_score", "ave AS batting_avg", "sr AS strike_rate",
+        "`100` AS centuries", "`50` AS fifties", "`4s` AS total_fours", "`6s` AS total_sixes",
     )
 
 
@@ -88,67 +80,54 @@ def player_batting_by_season(t, player: str, league: str = LEAGUE) -> DataFrame:
 
 def player_batting_trend(t, player: str, league: str = LEAGUE) -> DataFrame:
     """Seasons in short, with all scores of fifty or more in one count."""
-    return (
-        batting_log(t, player, league)
-        .groupBy("season")
-        .agg(
-            F.count_distinct("match_id").alias("matches"),
-            F.count("*").alias("innings"),
-            F.sum("runs").alias("runs"),
-            F.max("runs").alias("highest"),
-            ratio(F.sum("runs"), F.sum("dismissed")).alias("avg"),
-            ratio(F.sum("runs"), F.sum("balls"), times=100).alias("sr"),
-            count_when(F.col("runs") >= 50).alias("fifties_plus"),
-        )
-        .orderBy(up("season"))
+    figures = named(
+        matches="count(DISTINCT match_id)",
+        innings="count(*)",
+        runs="sum(runs)",
+        highest="max(runs)",
+        avg=ratio_sql("sum(runs)", "sum(dismissed)"),
+        sr=ratio_sql("sum(runs)", "sum(balls)", times=100),
+        fifties_plus="sum(CASE WHEN runs >= 50 THEN 1 ELSE 0 END)",
     )
+    return batting_log(t, player, league).groupBy("season").agg(*figures).orderBy(up("season"))
 
 
-def _not_out() -> Column:
-    return F.col("dismissed") == 0
+_RATE = ratio_sql("runs", "balls", 1, times=100)
 
 
 def player_top_innings(t, player: str, n: int = 20, league: str = LEAGUE) -> DataFrame:
-    faced = batting_log(t, player, league).filter(F.col("faced") > 0)
+    faced = batting_log(t, player, league).filter("faced > 0")
     best = top_n(faced, [down("runs"), up("match_id"), up("innings_number")], n)
-    return best.select(
-        "season", "match_date", "batting_team", F.col("bowling_team").alias("vs"), "runs",
-        _not_out().alias("not_out"), "balls",
-        ratio("runs", "balls", 1, times=100).alias("sr"), "fours", "sixes",
+    return best.selectExpr(
+        "season", "match_date", "batting_team", "bowling_team AS vs", "runs",
+        "dismissed = 0 AS not_out", "balls", f"{_RATE} AS sr", "fours", "sixes",
     )
 
 
 def player_innings_log(t, player: str, league: str = LEAGUE) -> DataFrame:
     log = batting_log(t, player, league)
-    return log.orderBy(down("match_date"), up("match_id"), up("innings_number")).select(
-        "season", "match_date", "batting_team", F.col("bowling_team").alias("vs"), "runs",
-        F.col("balls").alias("balls_faced"),
-        ratio("runs", "balls", 1, times=100).alias("strike_rate"), "fours", "sixes",
-        _not_out().alias("not_out"),
+    return log.orderBy(down("match_date"), up("match_id"), up("innings_number")).selectExpr(
+        "season", "match_date", "batting_team", "bowling_team AS vs", "runs",
+        "balls AS balls_faced", f"{_RATE} AS strike_rate", "fours", "sixes",
+        "dismissed = 0 AS not_out",
     )
 
 
 def player_dismissals_by_season(t, player: str, league: str = LEAGUE) -> DataFrame:
-    return (
-        batting_log(t, player, league)
-        .groupBy("season")
-        .agg(
-            F.count("*").alias("innings"),
-            F.sum("dismissed").alias("dismissed"),
-            F.sum(1 - F.col("dismissed")).alias("not_out"),
-            F.sum("runs").alias("runs"),
-            ratio(F.sum("runs"), F.sum("dismissed")).alias("avg"),
-        )
-        .select("season", "innings", "dismissed", "not_out", "runs", "avg")
-        .orderBy(up("season"))
+    figures = named(
+        innings="count(*)",
+        dismissed="sum(dismissed)",
+        not_out="sum(1 - dismissed)",
+        runs="sum(runs)",
+        avg=ratio_sql("sum(runs)", "sum(dismissed)"),
     )
+    return batting_log(t, player, league).groupBy("season").agg(*figures).orderBy(up("season"))
 
 
 def player_innings_diagnostic(t, player: str, league: str = LEAGUE) -> DataFrame:
     log = batting_log(t, player, league)
-    return log.orderBy(up("match_date"), up("match_id"), up("innings_number")).select(
-        "season", "match_date", "batting_team", "runs", "balls",
-        (F.col("dismissed") > 0).alias("dismissed"),
+    return log.orderBy(up("match_date"), up("match_id"), up("innings_number")).selectExpr(
+        "season", "match_date", "batting_team", "runs", "balls", "dismissed > 0 AS dismissed"
     )
 
 
@@ -160,42 +139,37 @@ def bowling_log(t, player: str, league: str = LEAGUE, season: str | None = None)
     rows = t.bowling.filter((F.col("player_name") == player) & in_league(league) & regular())
     if season is not None:
         rows = rows.filter(F.col("season") == season)
-    return rows.select(
+    return rows.selectExpr(
         "match_id", "innings_number", "match_date", "season", "bowling_team",
-        F.col("total_deliveries").alias("deliveries"),
-        F.col("legal_deliveries").alias("balls"),
-        F.col("charged_runs").alias("runs"),
-        F.col("wickets_credited").alias("wkts"),
-        "wides", F.col("no_balls").alias("nb"), F.col("maidens").alias("mdns"),
+        "total_deliveries AS deliveries", "legal_deliveries AS balls", "charged_runs AS runs",
+        "wickets_credited AS wkts", "wides", "no_balls AS nb", "maidens AS mdns",
     )
 
 
 def _figures() -> list[Column]:
-    best = F.max_by(
-        F.concat(F.col("wkts").cast("string"), F.lit("/"), F.col("runs").cast("string")),
-        F.col("wkts") * 1000 - F.col("runs"),
+    return named(
+        **{
+            "mat": "count(DISTINCT match_id)",
+            "inns": "count(*)",
+            "overs": overs_sql("sum(balls)"),
+            "balls": "sum(balls)",
+            "runs": "sum(runs)",
+            "wkts": "sum(wkts)",
+            "bbi": "max_by(concat(wkts, '/', runs), wkts * 1000 - runs)",
+            "ave": ratio_sql("sum(runs)", "sum(wkts)"),
+            "econ": ratio_sql("sum(runs)", "sum(balls)", times=6),
+            "sr": ratio_sql("sum(balls)", "sum(wkts)"),
+            "4w": "sum(CASE WHEN wkts >= 4 THEN 1 ELSE 0 END)",
+            "5w": "sum(CASE WHEN wkts >= 5 THEN 1 ELSE 0 END)",
+        }
     )
-    return [
-        F.count_distinct("match_id").alias("mat"),
-        F.count("*").alias("inns"),
-        format_overs(F.sum("balls")).alias("overs"),
-        F.sum("balls").alias("balls"),
-        F.sum("runs").alias("runs"),
-        F.sum("wkts").alias("wkts"),
-        best.alias("bbi"),
-        ratio(F.sum("runs"), F.sum("wkts")).alias("ave"),
-        ratio(F.sum("runs"), F.sum("balls"), times=6).alias("econ"),
-        ratio(F.sum("balls"), F.sum("wkts")).alias("sr"),
-        count_when(F.col("wkts") >= 4).alias("4w"),
-        count_when(F.col("wkts") >= 5).alias("5w"),
-    ]
 
 
 def player_bowling(t, player: str, league: str = LEAGUE) -> DataFrame:
-    maidens = F.coalesce(F.sum("mdns"), F.lit(0)).alias("mdns")
+    maidens = named(mdns="coalesce(sum(mdns), 0)")
     return (
         bowling_log(t, player, league)
-        .agg(*_figures(), maidens)
+        .agg(*_figures(), *maidens)
         .select(
             "mat", "inns", "overs", "balls", "mdns", "runs", "wkts", "bbi", "ave",
             "econ", "sr", "4w", "5w",
@@ -210,8 +184,8 @@ def player_bowling_by_season(t, player: str, league: str = LEAGUE) -> DataFrame:
 def _with_sides(t, spells: DataFrame) -> DataFrame:
     """Adds the match teams and the opponent; joined at one row per innings."""
     sides = t.match_results.select("match_id", "team_1", "team_2")
-    vs = F.when(F.col("team_1") == F.col("bowling_team"), F.col("team_2")).otherwise(F.col("team_1"))
-    return spells.join(sides, "match_id").withColumn("vs", vs)
+    vs = "CASE WHEN team_1 = bowling_team THEN team_2 ELSE team_1 END"
+    return spells.join(sides, "match_id").withColumn("vs", F.expr(vs))
 
 
 def player_best_bowling(t, player: str, n: int = 20, league: str = LEAGUE) -> DataFrame:
@@ -238,27 +212,32 @@ def player_bowling_diagnostic(
     spells = _with_sides(t, bowling_log(t, player, league, season))
     return spells.orderBy(up("match_date"), up("innings_number"), up("match_id")).select(
         "match_id", "innings_number", "match_date", "bowling_team", "team_1", "team_2",
-        "deliveries", F.col("balls").alias("legal_del"), "runs", "wkts",
+        "deliveries", F.expr("balls AS legal_del"), "runs", "wkts",
     )
 
 
 # fielding --------------------------------------------------------------------
 
 
-def _fielding(player: str, legacy_like: bool) -> list[Column]:
+def _fielding(wickets: DataFrame, player: str, legacy_like: bool) -> DataFrame:
+    """Adds ``fielded`` and ``bowled``: whether the player took part as either."""
     if legacy_like:
-        took_part = F.col("wicket_fielders").contains(player)
+        fielded = F.col("wicket_fielders").contains(player)
     else:
-        took_part = F.array_contains("wicket_fielders_arr", player)
-    kind = F.col("wicket_kind")
-    return [
-        count_when((kind == "caught") & took_part).alias("catches"),
-        count_when((kind == "caught and bowled") & (F.col("bowler") == player)).alias(
-            "caught_and_bowled"
-        ),
-        count_when((kind == "stumped") & took_part).alias("stumpings"),
-        count_when((kind == "run out") & took_part).alias("run_outs"),
-    ]
+        fielded = F.array_contains("wicket_fielders_arr", player)
+    return wickets.withColumns({"fielded": fielded, "bowled": F.col("bowler") == player})
+
+
+_CATCHES = {
+    "catches": "wicket_kind = 'caught' AND fielded",
+    "caught_and_bowled": "wicket_kind = 'caught and bowled' AND bowled",
+    "stumpings": "wicket_kind = 'stumped' AND fielded",
+    "run_outs": "wicket_kind = 'run out' AND fielded",
+}
+
+
+def _fielding_sums() -> list[Column]:
+    return [count_when(cond).alias(name) for name, cond in _CATCHES.items()]
 
 
 def player_fielding(
@@ -266,11 +245,13 @@ def player_fielding(
 ) -> DataFrame:
     """Fielding totals.  Names are compared whole; ``legacy_like`` looks for the name
     inside the joined text, which also counts longer names that contain it."""
-    return league_rows(t.balls, league).filter("is_wicket").agg(*_fielding(player, legacy_like))
+    wickets = league_rows(t.balls, league).filter("is_wicket")
+    return _fielding(wickets, player, legacy_like).agg(*_fielding_sums())
 
 
 def player_fielding_by_season(
     t, player: str, league: str = LEAGUE, legacy_like: bool = False
 ) -> DataFrame:
     wickets = league_rows(t.balls, league).filter("is_wicket")
-    return wickets.groupBy("season").agg(*_fielding(player, legacy_like)).orderBy(up("season"))
+    seasons = _fielding(wickets, player, legacy_like).groupBy("season")
+    return seasons.agg(*_fielding_sums()).orderBy(up("season"))

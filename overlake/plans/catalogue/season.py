@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from overlake.functions import PHASES, format_overs, phase_label, ratio, round_half_up
+from overlake.functions import PHASES, named, overs_sql, phase_label, ratio_sql, round_half_up_sql
 from overlake.operators.phases import phase_pivot
 from overlake.operators.ranking import top_k_share, top_n
 from overlake.plans.catalogue._shared import (
@@ -15,11 +15,11 @@ from overlake.plans.catalogue._shared import (
     league_innings,
     league_matches,
     league_rows,
-    lost,
     opponent,
     record,
     result_code,
     up,
+    with_outcome,
     won,
 )
 from overlake.plans.catalogue.team import (
@@ -30,14 +30,12 @@ from overlake.plans.catalogue.team import (
 
 Names = Sequence[str]
 
-def _phase_overs() -> Column:
-    first = min(p[0] for p in PHASES.values())
-    last = max(p[1] for p in PHASES.values())
-    return F.col("over_number").between(first, last)
+# Overs of any phase.
+_PHASE_OVERS = f"over_number BETWEEN {min(p[0] for p in PHASES.values())} AND {max(p[1] for p in PHASES.values())}"
 
 
 def _sums(*names: str) -> list[Column]:
-    return [F.sum(n).alias(n) for n in names]
+    return named(**{n: f"sum({n})" for n in names})
 
 
 def _per_match(overs: DataFrame, keys: list[str], *measures: str) -> DataFrame:
@@ -55,19 +53,23 @@ def _per_match(overs: DataFrame, keys: list[str], *measures: str) -> DataFrame:
 
 def season_results(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
     rows = league_matches(t, league, names, season)
-    return rows.orderBy(up("match_date"), up("match_id")).select(
+    found = rows.orderBy(up("match_date"), up("match_id")).select(
         "match_date",
         opponent(names).alias("vs"),
-        F.coalesce("event_stage", F.lit("League")).alias("stage"),
         result_code(names).alias("result"),
-        F.col("outcome_by_runs").alias("by_runs"),
-        F.col("outcome_by_wickets").alias("by_wkts"),
         "outcome_method",
+        *named(
+            stage="coalesce(event_stage, 'League')",
+            by_runs="outcome_by_runs",
+            by_wkts="outcome_by_wickets",
+        ),
     )
+    return found.select("match_date", "vs", "stage", "result", "by_runs", "by_wkts", "outcome_method")
 
 
 def season_summary(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
-    return league_matches(t, league, names, season).agg(*record(names))
+    rows = league_matches(t, league, names, season)
+    return with_outcome(rows, names).agg(*record())
 
 
 # all teams -------------------------------------------------------------------
@@ -88,12 +90,12 @@ def _bowler_wickets(t, season: str, league: str) -> DataFrame:
 
 
 def _concentration(shares: DataFrame, k: int, measure: str, people: str) -> DataFrame:
-    return shares.select(
+    return shares.selectExpr(
         "team",
-        F.col("total").alias(f"total_{measure}"),
-        F.col("top").alias(f"top{k}_{measure}"),
-        F.col("pct").alias(f"top{k}_pct"),
-        F.col("names").alias(f"top{k}_{people}"),
+        f"total AS total_{measure}",
+        f"top AS top{k}_{measure}",
+        f"pct AS top{k}_pct",
+        f"names AS top{k}_{people}",
     ).orderBy(down(f"top{k}_pct"), up("team"))
 
 
@@ -106,11 +108,14 @@ def batting_dominance(t, season: str, pct: float = 25.0, league: str = LEAGUE) -
     """Batters with at least ``pct`` percent of their team's runs."""
     runs = _batter_runs(t, season, league)
     totals = runs.groupBy("team").agg(F.sum("runs").alias("total_runs"))
-    share = ratio("runs", "total_runs", None, times=100)
+    share = ratio_sql("runs", "total_runs", None, times=100)
     return (
         runs.join(totals, "team")
-        .filter(share >= F.lit(float(pct)))
-        .select("team", "batter", "runs", "total_runs", round_half_up(share, 1).alias("pct_of_team_runs"))
+        .filter(f"{share} >= {float(pct)}D")
+        .selectExpr(
+            "team", "batter", "runs", "total_runs",
+            f"{round_half_up_sql(share, 1)} AS pct_of_team_runs",
+        )
         .orderBy(down("pct_of_team_runs"), up("team"), up("batter"))
     )
 
@@ -120,32 +125,28 @@ def bowling_concentration(t, season: str, k: int = 3, league: str = LEAGUE) -> D
     return _concentration(shares, k, "wkts", "bowlers")
 
 
-def _boundaries(prefix: str = "") -> Column:
-    return F.col(f"{prefix}fours") + F.col(f"{prefix}sixes")
-
-
-def _batting_profile(four_name: str, six_name: str) -> list[Column]:
-    return [
-        ratio("bat_runs", "mat", 1).alias("avg_score"),
-        ratio("bat_runs", "non_wides", 1, times=100).alias("avg_sr"),
-        ratio("non_wides", "fours", 1).alias(four_name),
-        ratio("non_wides", "sixes", 1).alias(six_name),
-        ratio("dots", "non_wides", 1, times=100).alias("dot_pct"),
-        ratio(_boundaries(), "non_wides", 1, times=100).alias("boundary_pct"),
-    ]
+def _batting_profile(four_name: str, six_name: str) -> dict[str, str]:
+    return {
+        "avg_score": ratio_sql("bat_runs", "mat", 1),
+        "avg_sr": ratio_sql("bat_runs", "non_wides", 1, times=100),
+        four_name: ratio_sql("non_wides", "fours", 1),
+        six_name: ratio_sql("non_wides", "sixes", 1),
+        "dot_pct": ratio_sql("dots", "non_wides", 1, times=100),
+        "boundary_pct": ratio_sql("(fours + sixes)", "non_wides", 1, times=100),
+    }
 
 
 _BATTING = ("bat_runs", "non_wides", "fours", "sixes", "dots")
 _BOWLING = ("legal", "wkts", "runs", "dots", "non_wides", "wide_runs", "no_ball_runs")
 
 
-def _bowling_profile(economy: str) -> list[Column]:
-    return [
-        ratio("legal", "wkts", 1).alias("balls_per_wkt"),
-        ratio("runs", "legal", 2, times=6).alias(economy),
-        ratio("dots", "non_wides", 1, times=100).alias("dot_pct"),
-        ratio(F.col("wide_runs") + F.col("no_ball_runs"), "mat", 2).alias("extras_per_match"),
-    ]
+def _bowling_profile(economy: str) -> dict[str, str]:
+    return {
+        "balls_per_wkt": ratio_sql("legal", "wkts", 1),
+        economy: ratio_sql("runs", "legal", 2, times=6),
+        "dot_pct": ratio_sql("dots", "non_wides", 1, times=100),
+        "extras_per_match": ratio_sql("(wide_runs + no_ball_runs)", "mat", 2),
+    }
 
 
 def _team_overs(t, side: str, season: str, league: str) -> DataFrame:
@@ -155,47 +156,37 @@ def _team_overs(t, side: str, season: str, league: str) -> DataFrame:
 def batting_profile(t, season: str, league: str = LEAGUE) -> DataFrame:
     """All teams; the score counts runs off the bat only."""
     sums = _per_match(_team_overs(t, "batting_team", season, league), ["team"], *_BATTING)
-    return sums.select("team", "mat", *_batting_profile("balls_per_4", "balls_per_6")).orderBy(
-        down("avg_score"), up("team")
-    )
+    profile = named(**_batting_profile("balls_per_4", "balls_per_6"))
+    return sums.select("team", "mat", *profile).orderBy(down("avg_score"), up("team"))
 
 
-def _phases_wide(t, side: str, season: str, league: str) -> DataFrame:
-    overs = _team_overs(t, side, season, league).filter(_phase_overs())
+def _phases_wide(
+    t, side: str, season: str, league: str, runs: str, rate: str
+) -> DataFrame:
+    """All teams, four figures per phase side by side; ``runs`` and ``rate`` name two."""
+    overs = _team_overs(t, side, season, league).filter(_PHASE_OVERS)
     measures = {n: n for n in ("runs", "wkts", "legal", "non_wides", "fours", "sixes")}
-    by_match = overs.groupBy("team", "match_id").agg(
-        *phase_pivot("over_number", PHASES, measures)
-    )
-    cells = [c for c in by_match.columns if c not in ("team", "match_id")]
+    by_match = overs.groupBy("team", "match_id").agg(*phase_pivot("over_number", PHASES, measures))
+    cells = [f"{p}_{m}" for p in PHASES for m in measures]
     sums = by_match.groupBy("team").agg(F.count("*").alias("mat"), *_sums(*cells))
-    out: list[Column] = []
+    out: dict[str, str] = {}
     for p in PHASES:
-        out += [
-            ratio(f"{p}_runs", "mat", 1).alias(f"{p}_avg_runs"),
-            ratio(f"{p}_wkts", "mat", 2).alias(f"{p}_avg_wkts"),
-            ratio(f"{p}_runs", f"{p}_legal", 2, times=6).alias(f"{p}_rate"),
-            ratio(_boundaries(f"{p}_"), f"{p}_non_wides", 1, times=100).alias(f"{p}_boundaries_pct"),
-        ]
-    return sums.select("team", *out)
-
-
-def _named(wide: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Phase columns ``<phase>_<measure>`` under a query's own measure names."""
-    return wide.select(
-        "team",
-        *[F.col(f"{p}_{m}").alias(f"{p}_{n}") for p in PHASES for m, n in names.items()],
-    )
+        boundaries = f"({p}_fours + {p}_sixes)"
+        out[f"{p}_{runs}"] = ratio_sql(f"{p}_runs", "mat", 1)
+        out[f"{p}_wkts"] = ratio_sql(f"{p}_wkts", "mat", 2)
+        out[f"{p}_{rate}"] = ratio_sql(f"{p}_runs", f"{p}_legal", 2, times=6)
+        out[f"{p}_boundary_pct"] = ratio_sql(boundaries, f"{p}_non_wides", 1, times=100)
+    return sums.select("team", *named(**out))
 
 
 def batting_phases(t, season: str, league: str = LEAGUE) -> DataFrame:
-    wide = _phases_wide(t, "batting_team", season, league)
-    names = {"avg_runs": "runs", "avg_wkts": "wkts", "rate": "rr", "boundaries_pct": "boundary_pct"}
-    return _named(wide, names).orderBy(down("pp_runs"), up("team"))
+    wide = _phases_wide(t, "batting_team", season, league, "runs", "rr")
+    return wide.orderBy(down("pp_runs"), up("team"))
 
 
 def bowling_profile(t, season: str, league: str = LEAGUE) -> DataFrame:
     sums = _per_match(_team_overs(t, "bowling_team", season, league), ["team"], *_BOWLING)
-    return sums.select("team", *_bowling_profile("economy")).orderBy(up("economy"), up("team"))
+    return sums.select("team", *named(**_bowling_profile("economy"))).orderBy(up("economy"), up("team"))
 
 
 def _match_phases(t, season: str, league: str) -> DataFrame:
@@ -203,7 +194,7 @@ def _match_phases(t, season: str, league: str) -> DataFrame:
     winner, with ``outcome_winner``.  Overs are summed before the match is joined."""
     per_match = (
         league_rows(t.overs, league, season)
-        .filter(_phase_overs())
+        .filter(_PHASE_OVERS)
         .groupBy("match_id", "batting_team", "bowling_team")
         .agg(F.sum("runs").alias("all_runs"), *phase_pivot("over_number", PHASES, {"runs": "runs"}))
     )
@@ -217,52 +208,40 @@ def phase_split_by_result(
     """All teams: average score and powerplay score in wins and losses, made and
     conceded.  ``swapped_bowling`` exchanges wins and losses in the four bowling
     columns, as a long-standing version of this report does."""
-    cells = ["all_runs", "pp_runs"]
-
-    def role(side: str, flag: int):
-        return F.struct(
-            F.col(side).alias("team"),
-            *[F.when(F.lit(flag == 0), F.col(c)).alias(f"bat_{c}") for c in cells],
-            *[F.when(F.lit(flag == 1), F.col(c)).alias(f"bowl_{c}") for c in cells],
-        )
+    def role(side: str, role: str) -> str:
+        cells = [
+            f"'{r}_{c}', {f'{c}_runs' if r == role else 'cast(NULL AS bigint)'}"
+            for r in ("bat", "bowl")
+            for c in ("all", "pp")
+        ]
+        return f"named_struct('team', {side}, {', '.join(cells)})"
 
+    roles = f"inline(array({role('batting_team', 'bat')}, {role('bowling_team', 'bowl')}))"
     per_team = (
         _match_phases(t, season, league)
-        .select("match_id", "outcome_winner", F.inline(F.array(role("batting_team", 0), role("bowling_team", 1))))
+        .selectExpr("match_id", "outcome_winner", roles)
         .groupBy("team", "match_id", "outcome_winner")
-        .agg(*[F.sum(f"{r}_{c}").alias(f"{r}_{c}") for r in ("bat", "bowl") for c in cells])
+        .agg(*_sums("bat_all", "bat_pp", "bowl_all", "bowl_pp"))
         # Both roles are needed, as when joining batting to bowling.
-        .filter(F.col("bat_all_runs").isNotNull() & F.col("bowl_all_runs").isNotNull())
-        .filter(F.col("team").isNotNull())
+        .filter("team IS NOT NULL AND bat_all IS NOT NULL AND bowl_all IS NOT NULL")
+        .withColumn("won", F.expr("outcome_winner = team"))
     )
-    win = F.col("outcome_winner") == F.col("team")
-    bowl_win = ~win if swapped_bowling else win
 
-    def mean(cond: Column, column: str) -> Column:
-        return round_half_up(F.avg(F.when(cond, F.col(column))), 1)
+    def mean(won: bool, column: str) -> str:
+        return round_half_up_sql(f"avg(CASE WHEN {'won' if won else 'NOT won'} THEN {column} END)", 1)
 
-    return (
-        per_team.groupBy("team")
-        .agg(
-            F.sum(win.cast("int")).alias("wins"),
-            F.sum((~win).cast("int")).alias("losses"),
-            mean(win, "bat_all_runs").alias("bat_avg_W"),
-            mean(~win, "bat_all_runs").alias("bat_avg_L"),
-            mean(win, "bat_pp_runs").alias("bat_pp_W"),
-            mean(~win, "bat_pp_runs").alias("bat_pp_L"),
-            mean(bowl_win, "bowl_all_runs").alias("bowl_avg_W"),
-            mean(~bowl_win, "bowl_all_runs").alias("bowl_avg_L"),
-            mean(bowl_win, "bowl_pp_runs").alias("bowl_pp_W"),
-            mean(~bowl_win, "bowl_pp_runs").alias("bowl_pp_L"),
-        )
-        .orderBy(down("wins"), up("team"))
-    )
+    figures = {"wins": "sum(cast(won AS int))", "losses": "sum(cast(NOT won AS int))"}
+    for r in ("bat", "bowl"):
+        for cell, label in (("all", "avg"), ("pp", "pp")):
+            for letter, won_ in (("W", True), ("L", False)):
+                flip = swapped_bowling and r == "bowl"
+                figures[f"{r}_{label}_{letter}"] = mean(won_ != flip, f"{r}_{cell}")
+    return per_team.groupBy("team").agg(*named(**figures)).orderBy(down("wins"), up("team"))
 
 
 def bowling_phases(t, season: str, league: str = LEAGUE) -> DataFrame:
-    wide = _phases_wide(t, "bowling_team", season, league)
-    names = {"avg_runs": "conceded", "avg_wkts": "wkts", "rate": "econ", "boundaries_pct": "boundary_pct"}
-    return _named(wide, names).orderBy(up("pp_econ"), up("team"))
+    wide = _phases_wide(t, "bowling_team", season, league, "conceded", "econ")
+    return wide.orderBy(up("pp_econ"), up("team"))
 
 
 # one team --------------------------------------------------------------------
@@ -273,14 +252,14 @@ def season_batters(t, names: Names, season: str, league: str = LEAGUE) -> DataFr
 
 
 def season_bowlers(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
-    return team_top_bowlers(t, names, None, league, season, five=False)
+    return team_top_bowlers(t, names, None, league, season, hauls=("4w+",))
 
 
 def _top_share(rows: DataFrame, person: str, measure: str, share: str, k: int) -> DataFrame:
     """Largest ``k`` with their percentage of the sum over all rows."""
     total = rows.agg(F.sum(measure)).scalar()
-    best = top_n(rows, [down(measure), up(person)], k)
-    return best.select(person, measure, ratio(measure, total, 1, times=100).alias(share))
+    best = top_n(rows.withColumn("total", total), [down(measure), up(person)], k)
+    return best.selectExpr(person, measure, f"{ratio_sql(measure, 'total', 1, times=100)} AS {share}")
 
 
 def season_batter_share(t, names: Names, season: str, k: int = 3, league: str = LEAGUE) -> DataFrame:
@@ -310,35 +289,28 @@ def _side_overs(t, side: str, names: Names, season: str, league: str) -> DataFra
 def season_batting_profile(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
     overs = _side_overs(t, "batting_team", names, season, league)
     sums = _per_match(overs, [], *_BATTING)
-    return sums.select(
-        F.col("mat").alias("matches"),
-        F.col("bat_runs").alias("total_runs"),
-        *_batting_profile("balls_per_four", "balls_per_six"),
-    )
+    profile = _batting_profile("balls_per_four", "balls_per_six")
+    return sums.select(*named(matches="mat", total_runs="bat_runs", **profile))
 
 
 def season_bowling_profile(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
     overs = _side_overs(t, "bowling_team", names, season, league)
     sums = _per_match(overs, [], *_BOWLING)
-    return sums.select(
-        F.col("mat").alias("matches"),
-        F.col("wkts").alias("total_wkts"),
-        *_bowling_profile("avg_economy"),
-    )
+    return sums.select(*named(matches="mat", total_wkts="wkts", **_bowling_profile("avg_economy")))
 
 
 def _phases_long(overs: DataFrame, runs: str, wkts: str, rate: str, bound: str) -> DataFrame:
-    labelled = overs.filter(_phase_overs()).withColumn("phase", phase_label())
+    labelled = overs.filter(_PHASE_OVERS).withColumn("phase", phase_label())
     measures = ("runs", "wkts", "legal", "non_wides", "dots", "fours", "sixes")
     sums = _per_match(labelled, ["phase"], *measures)
-    return sums.select(
-        "phase",
-        ratio("runs", "mat", 1).alias(runs),
-        ratio("wkts", "mat", 2).alias(wkts),
-        ratio("runs", "legal", 2, times=6).alias(rate),
-        ratio("dots", "non_wides", 1, times=100).alias("dot_pct"),
-        ratio(_boundaries(), "non_wides", 1, times=100).alias(bound),
-    ).orderBy(up("phase"))
+    figures = {
+        runs: ratio_sql("runs", "mat", 1),
+        wkts: ratio_sql("wkts", "mat", 2),
+        rate: ratio_sql("runs", "legal", 2, times=6),
+        "dot_pct": ratio_sql("dots", "non_wides", 1, times=100),
+        bound: ratio_sql("(fours + sixes)", "non_wides", 1, times=100),
+    }
+    return sums.select("phase", *named(**figures)).orderBy(up("phase"))
 
 
 def season_batting_phases(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
@@ -357,25 +329,22 @@ def season_win_loss(t, names: Names, season: str, league: str = LEAGUE) -> DataF
     A row stands for all the season's matches the team did not win, its own or not;
     only its own enter the averages.
     """
-    rows = _match_phases(t, season, league).withColumn("won", won(names))
-    cells = {"all_runs": "total", **{f"{p}_runs": p for p in PHASES}}
-    aggs: list[Column] = []
-    for role, side in (("bat", "batting_team"), ("bowl", "bowling_team")):
-        ours = F.col(side).isin(*names)
-        matches = F.count_distinct(F.when(ours, F.col("match_id")))
-        for column, cell in cells.items():
-            total = F.sum(F.when(ours, F.col(column)).otherwise(F.lit(0)))
-            name = {"bat": "score", "bowl": "conceded"}[role] if cell == "total" else "avg"
-            label = f"{role}_avg_{name}" if cell == "total" else f"{role}_{cell}_avg"
-            aggs.append(ratio(total, matches, 1).alias(label))
-    return (
-        rows.groupBy("won")
-        .agg(*aggs)
-        .orderBy(down("won"))
-        .withColumn("result", F.when(F.col("won"), "Won").otherwise("Lost"))
-        .select("result", *[f"bat_{c}" for c in ("avg_score", "pp_avg", "mid_avg", "death_avg")],
-                *[f"bowl_{c}" for c in ("avg_conceded", "pp_avg", "mid_avg", "death_avg")])
+    rows = _match_phases(t, season, league).withColumns(
+        {
+            "won": won(names),
+            "bat": F.col("batting_team").isin(*names),
+            "bowl": F.col("bowling_team").isin(*names),
+        }
     )
+    figures: dict[str, str] = {}
+    for role, whole in (("bat", "score"), ("bowl", "conceded")):
+        matches = f"count(DISTINCT CASE WHEN {role} THEN match_id END)"
+        for cell in ("all", *PHASES):
+            total = f"sum(CASE WHEN {role} THEN {cell}_runs ELSE 0 END)"
+            label = f"{role}_avg_{whole}" if cell == "all" else f"{role}_{cell}_avg"
+            figures[label] = ratio_sql(total, matches, 1)
+    result = F.expr("CASE WHEN won THEN 'Won' ELSE 'Lost' END AS result")
+    return rows.groupBy("won").agg(*named(**figures)).orderBy(down("won")).select(result, *figures)
 
 
 # one player ------------------------------------------------------------------
@@ -395,10 +364,9 @@ def _player_matches(t, innings, side, player, names, season, league) -> DataFram
 
 def season_player_batting_log(t, player: str, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
     rows = _player_matches(t, t.batting, "batting_team", player, names, season, league)
-    return rows.select(
-        "match_date", "vs", "result", "runs", "not_out", F.col("balls_faced").alias("balls"),
-        ratio("runs", "balls_faced", 1, times=100).alias("sr"),
-        F.col("fours").alias("4s"), F.col("sixes").alias("6s"),
+    return rows.selectExpr(
+        "match_date", "vs", "result", "runs", "not_out", "balls_faced AS balls",
+        f"{ratio_sql('runs', 'balls_faced', 1, times=100)} AS sr", "fours AS `4s`", "sixes AS `6s`",
     )
 
 
@@ -411,11 +379,10 @@ def season_player_batting(t, player: str, names: Names, season: str, league: str
 
 def season_player_bowling_log(t, player: str, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
     rows = _player_matches(t, t.bowling, "bowling_team", player, names, season, league)
-    return rows.select(
-        "match_date", "vs", "result", format_overs("legal_deliveries").alias("overs"),
-        F.col("legal_deliveries").alias("balls"), F.col("runs_conceded").alias("runs"),
-        F.col("wickets_credited").alias("wkts"),
-        ratio("runs_conceded", "legal_deliveries", 2, times=6).alias("econ"),
+    return rows.selectExpr(
+        "match_date", "vs", "result", f"{overs_sql('legal_deliveries')} AS overs",
+        "legal_deliveries AS balls", "runs_conceded AS runs", "wickets_credited AS wkts",
+        f"{ratio_sql('runs_conceded', 'legal_deliveries', 2, times=6)} AS econ",
     )
 
 
@@ -433,23 +400,16 @@ def powerplay_impact(t, player: str, names: Names, season: str, league: str = LE
         .agg(F.max(F.when(out, 1).otherwise(0)).alias("out"))
     )
     decided = league_matches(t, league, season=season).filter("has_result")
-    rows = per_match.join(decided.select("match_id", "outcome_winner", "has_result"), "match_id")
-
-    def cells(case: Column) -> list[Column]:
-        wins = F.sum(F.when(case, F.when(won(names), 1).otherwise(0)))
-        return [
-            F.count_if(case),
-            wins,
-            F.sum(F.when(case, F.when(lost(names), 1).otherwise(0))),
-            ratio(wins, F.sum(F.when(case, F.col("has_result").cast("int"))), 1, then_times=100),
-        ]
+    context = with_outcome(decided, names).select("match_id", "won", "lost", "has_result")
+
+    def scenario(name: str, out: int) -> str:
+        case = f"CASE WHEN out = {out} THEN"
+        wins = f"sum({case} if(won, 1, 0) END)"
+        pct = ratio_sql(wins, f"sum({case} cast(has_result AS int) END)", 1, then_times=100)
+        return (
+            f"named_struct('scenario', '{name}', 'matches', count_if(out = {out}), 'wins', {wins}, "
+            f"'losses', sum({case} if(lost, 1, 0) END), 'win_pct', {pct})"
+        )
 
-    labels = ["matches", "wins", "losses", "win_pct"]
-    cases = {"Out in PP": F.col("out") == 1, "Survived PP": F.col("out") == 0}
-    scenarios = F.array(
-        *[
-            F.struct(F.lit(name).alias("scenario"), *[c.alias(x) for c, x in zip(cells(case), labels)])
-            for name, case in cases.items()
-        ]
-    )
-    return rows.agg(scenarios.alias("s")).select(F.inline("s"))
+    both = F.expr(f"array({scenario('Out in PP', 1)}, {scenario('Survived PP', 0)}) AS s")
+    return per_match.join(context, "match_id").agg(both).selectExpr("inline(s)")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from overlake.functions import count_when, format_overs, ratio, round_half_up
+from overlake.functions import count_when, named, overs_sql, ratio_sql, round_half_up_sql
 from overlake.operators.ranking import top_n
 from overlake.plans.catalogue._shared import (
     LEAGUE,
@@ -14,69 +14,65 @@ from overlake.plans.catalogue._shared import (
     league_innings,
     league_matches,
     league_rows,
-    lost,
     opponent,
     record,
     up,
-    won,
+    with_outcome,
 )
 
 Names = Sequence[str]
 
 
+def _own_matches(t, league: str, names: Names) -> DataFrame:
+    return with_outcome(league_matches(t, league, names), names)
+
+
 def team_seasons(t, names: Names, league: str = LEAGUE) -> DataFrame:
+    """Record per season under the name used most, ties to the first by name."""
     name = F.when(F.col("team_1").isin(*names), F.col("team_1")).otherwise(F.col("team_2"))
     return (
-        league_matches(t, league, names)
+        _own_matches(t, league, names)
         .groupBy("season")
-        .agg(F.mode(name, deterministic=True).alias("team"), *record(names))
+        .agg(F.mode(name, deterministic=True).alias("team"), *record())
         .orderBy(up("season"))
     )
 
 
 def team_by_stage(t, names: Names, league: str = LEAGUE) -> DataFrame:
-    stage = F.coalesce("event_stage", F.lit("League")).alias("stage")
-    rows = league_matches(t, league, names).groupBy(stage).agg(*record(names))
+    stage = F.expr("coalesce(event_stage, 'League') AS stage")
+    rows = _own_matches(t, league, names).groupBy(stage).agg(*record())
     return rows.orderBy(down("played"), up("stage"))
 
 
 def team_vs_opponents(t, names: Names, league: str = LEAGUE) -> DataFrame:
-    rows = league_matches(t, league, names).groupBy(opponent(names).alias("opponent"))
-    return rows.agg(*record(names)).orderBy(down("played"), down("won"), up("opponent"))
+    rows = _own_matches(t, league, names).groupBy(opponent(names).alias("opponent"))
+    return rows.agg(*record()).orderBy(down("played"), down("won"), up("opponent"))
 
 
 def team_toss(t, names: Names, league: str = LEAGUE) -> DataFrame:
-    called = F.col("toss_winner").isin(*names)
-    chose = F.col("toss_decision")
-    tosses = count_when(called)
-    return (
-        league_matches(t, league, names)
-        .filter("has_result")
-        .agg(
-            F.count("*").alias("matches"),
-            tosses.alias("toss_won"),
-            ratio(tosses, F.count("*"), 1, times=100).alias("toss_win_pct"),
-            count_when(called & (chose == "bat")).alias("chose_bat"),
-            count_when(called & (chose == "field")).alias("chose_field"),
-            count_when(called & won(names)).alias("won_toss_won_match"),
-            count_when(~called & won(names)).alias("lost_toss_won_match"),
-        )
+    rows = _own_matches(t, league, names).filter("has_result")
+    called = "sum(CASE WHEN called THEN 1 ELSE 0 END)"
+    return rows.withColumn("called", F.col("toss_winner").isin(*names)).agg(
+        *named(
+            matches="count(*)",
+            toss_won=called,
+            toss_win_pct=ratio_sql(called, "count(*)", 1, times=100),
+        ),
+        count_when("called AND toss_decision = 'bat'").alias("chose_bat"),
+        count_when("called AND toss_decision = 'field'").alias("chose_field"),
+        count_when("called AND won").alias("won_toss_won_match"),
+        count_when("NOT called AND won").alias("lost_toss_won_match"),
     )
 
 
 def team_toss_decision(t, names: Names, league: str = LEAGUE) -> DataFrame:
-    wins = count_when(won(names))
-    return (
-        league_matches(t, league, names)
-        .filter(F.col("has_result") & F.col("toss_winner").isin(*names))
-        .groupBy(F.col("toss_decision").alias("decision"))
-        .agg(
-            F.count("*").alias("times_chosen"),
-            wins.alias("won"),
-            ratio(wins, F.count("*"), 1, times=100).alias("win_pct"),
-        )
-        .orderBy(up("decision"))
+    rows = _own_matches(t, league, names).filter("has_result")
+    wins = "sum(CASE WHEN won THEN 1 ELSE 0 END)"
+    figures = named(
+        times_chosen="count(*)", won=wins, win_pct=ratio_sql(wins, "count(*)", 1, times=100)
     )
+    called = rows.filter(F.col("toss_winner").isin(*names))
+    return called.groupBy(F.col("toss_decision").alias("decision")).agg(*figures).orderBy(up("decision"))
 
 
 # totals per innings ----------------------------------------------------------
@@ -88,7 +84,7 @@ def _innings_totals(t, side: str, names: Names, league: str, **measures: str) ->
         league_rows(t.overs, league)
         .filter(F.col(side).isin(*names))
         .groupBy("match_id", "innings_number", "match_date", "season")
-        .agg(*[F.sum(m).alias(n) for n, m in measures.items()])
+        .agg(*named(**{n: f"sum({m})" for n, m in measures.items()}))
     )
 
 
@@ -106,26 +102,22 @@ def _bowling_totals(t, names: Names, league: str) -> DataFrame:
     )
 
 
-def _mean(column: str) -> Column:
-    return round_half_up(F.avg(column), 1)
+def _mean(column: str) -> str:
+    return round_half_up_sql(f"avg({column})", 1)
 
 
 def team_batting_seasons(t, names: Names, league: str = LEAGUE) -> DataFrame:
-    return (
-        _batting_totals(t, names, league)
-        .groupBy("season")
-        .agg(
-            F.count("*").alias("innings"),
-            F.sum("team_total").alias("total_runs"),
-            _mean("team_total").alias("avg_score"),
-            F.max("team_total").alias("highest"),
-            F.min("team_total").alias("lowest"),
-            _mean("wickets_lost").alias("avg_wkts_lost"),
-            F.sum("fours").alias("fours"),
-            F.sum("sixes").alias("sixes"),
-        )
-        .orderBy(up("season"))
+    figures = named(
+        innings="count(*)",
+        total_runs="sum(team_total)",
+        avg_score=_mean("team_total"),
+        highest="max(team_total)",
+        lowest="min(team_total)",
+        avg_wkts_lost=_mean("wickets_lost"),
+        fours="sum(fours)",
+        sixes="sum(sixes)",
     )
+    return _batting_totals(t, names, league).groupBy("season").agg(*figures).orderBy(up("season"))
 
 
 def _scorecard(t, totals: DataFrame, names: Names, order, n: int, runs: str, wickets: str, score: str) -> DataFrame:
@@ -133,7 +125,7 @@ def _scorecard(t, totals: DataFrame, names: Names, order, n: int, runs: str, wic
     match is looked up for those rows only."""
     best = top_n(totals, [order, up("match_id"), up("innings_number")], n)
     context = t.match_results.select("match_id", opponent(names).alias("vs"), "event_stage")
-    text = F.concat(F.col(runs).cast("string"), F.lit("/"), F.col(wickets).cast("string"))
+    text = F.expr(f"concat({runs}, '/', {wickets})")
     return (
         best.join(context, "match_id")
         .orderBy(order, up("match_id"), up("innings_number"))
@@ -155,19 +147,15 @@ def team_lowest_totals(
 
 
 def team_bowling_seasons(t, names: Names, league: str = LEAGUE) -> DataFrame:
-    return (
-        _bowling_totals(t, names, league)
-        .groupBy("season")
-        .agg(
-            F.count("*").alias("innings"),
-            _mean("runs_conceded").alias("avg_conceded"),
-            F.min("runs_conceded").alias("best_defence"),
-            F.max("runs_conceded").alias("most_conceded"),
-            _mean("wkts_taken").alias("avg_wkts"),
-            ratio(F.sum("runs_conceded"), F.sum("legal"), 2, times=6).alias("economy"),
-        )
-        .orderBy(up("season"))
+    figures = named(
+        innings="count(*)",
+        avg_conceded=_mean("runs_conceded"),
+        best_defence="min(runs_conceded)",
+        most_conceded="max(runs_conceded)",
+        avg_wkts=_mean("wkts_taken"),
+        economy=ratio_sql("sum(runs_conceded)", "sum(legal)", 2, times=6),
     )
+    return _bowling_totals(t, names, league).groupBy("season").agg(*figures).orderBy(up("season"))
 
 
 def team_lowest_conceded(t, names: Names, n: int = 10, league: str = LEAGUE) -> DataFrame:
@@ -182,39 +170,40 @@ def team_lowest_conceded(t, names: Names, n: int = 10, league: str = LEAGUE) ->
 
 def batting_summary() -> list[Column]:
     """Aggregates over batting innings; balls include wides."""
-    runs = F.col("runs")
-    return [
-        F.count_distinct("match_id").alias("mat"),
-        F.count("*").alias("inns"),
-        F.sum(F.col("not_out").cast("int")).alias("no"),
-        F.sum("runs").alias("runs"),
-        F.max("runs").alias("hs"),
-        ratio(F.sum("runs"), F.sum("dismissals")).alias("avg"),
-        F.sum("balls_faced").alias("bf"),
-        ratio(F.sum("runs"), F.sum("balls_faced"), times=100).alias("sr"),
-        count_when((runs >= 50) & (runs < 100)).alias("50s"),
-        count_when(runs >= 100).alias("100s"),
-        F.sum("fours").alias("4s"),
-        F.sum("sixes").alias("6s"),
-    ]
-
-
-def bowling_summary(five: bool = True) -> list[Column]:
-    """Aggregates over bowling innings; runs include byes."""
-    wickets = F.col("wickets_credited")
-    out = [
-        F.count_distinct("match_id").alias("mat"),
-        F.count("*").alias("inns"),
-        format_overs(F.sum("legal_deliveries")).alias("overs"),
-        F.sum("legal_deliveries").alias("balls"),
-        F.sum("runs_conceded").alias("runs"),
-        F.sum("wickets_credited").alias("wkts"),
-        ratio(F.sum("runs_conceded"), F.sum("wickets_credited")).alias("avg"),
-        ratio(F.sum("runs_conceded"), F.sum("legal_deliveries"), times=6).alias("econ"),
-        ratio(F.sum("legal_deliveries"), F.sum("wickets_credited")).alias("sr"),
-        count_when(wickets >= 4).alias("4w+"),
-    ]
-    return [*out, count_when(wickets >= 5).alias("5w+")] if five else out
+    return named(
+        **{
+            "mat": "count(DISTINCT match_id)",
+            "inns": "count(*)",
+            "no": "sum(cast(not_out AS int))",
+            "runs": "sum(runs)",
+            "hs": "max(runs)",
+            "avg": ratio_sql("sum(runs)", "sum(dismissals)"),
+            "bf": "sum(balls_faced)",
+            "sr": ratio_sql("sum(runs)", "sum(balls_faced)", times=100),
+            "50s": "sum(CASE WHEN runs >= 50 AND runs < 100 THEN 1 ELSE 0 END)",
+            "100s": "sum(CASE WHEN runs >= 100 THEN 1 ELSE 0 END)",
+            "4s": "sum(fours)",
+            "6s": "sum(sixes)",
+        }
+    )
+
+
+def bowling_summary(*hauls: str) -> list[Column]:
+    """Aggregates over bowling innings; runs include byes.  ``hauls`` names counts of
+    innings by their least wickets, the first character."""
+    runs, balls, wkts = "sum(runs_conceded)", "sum(legal_deliveries)", "sum(wickets_credited)"
+    return named(
+        mat="count(DISTINCT match_id)",
+        inns="count(*)",
+        overs=overs_sql(balls),
+        balls=balls,
+        runs=runs,
+        wkts=wkts,
+        avg=ratio_sql(runs, wkts),
+        econ=ratio_sql(runs, balls, times=6),
+        sr=ratio_sql(balls, wkts),
+        **{h: f"sum(CASE WHEN wickets_credited >= {int(h[0])} THEN 1 ELSE 0 END)" for h in hauls},
+    )
 
 
 def team_top_batters(
@@ -227,10 +216,10 @@ def team_top_batters(
 
 def team_top_bowlers(
     t, names: Names, n: int | None = 20, league: str = LEAGUE, season: str | None = None,
-    five: bool = True,
+    hauls: Sequence[str] = ("4w+", "5w+"),
 ) -> DataFrame:
     rows = league_innings(t.bowling, league, season).filter(F.col("bowling_team").isin(*names))
-    per_player = rows.groupBy(F.col("player_name").alias("bowler")).agg(*bowling_summary(five))
+    per_player = rows.groupBy(F.col("player_name").alias("bowler")).agg(*bowling_summary(*hauls))
     return top_n(per_player, [down("wkts"), up("bowler")], n)
 
 
@@ -238,9 +227,9 @@ def team_margins(
     t, names: Names, side: str = "won", unit: str = "runs", n: int = 10, league: str = LEAGUE
 ) -> DataFrame:
     """Biggest wins or losses by runs or by wickets."""
-    decided = {"won": won, "lost": lost}[side](names)
     margin = {"runs": "outcome_by_runs", "wickets": "outcome_by_wickets"}[unit]
-    rows = league_matches(t, league, names).filter(decided & F.col(margin).isNotNull())
+    decided = {"won": "won", "lost": "lost"}[side]
+    rows = _own_matches(t, league, names).filter(decided).filter(f"{margin} IS NOT NULL")
     return top_n(rows, [down(margin), up("match_id")], n).select(
         "season", "match_date", opponent(names).alias("vs"), "event_stage",
         F.col(margin).alias(f"{side}_by_{unit}"),

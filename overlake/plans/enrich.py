@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from overlake.operators.names import canonicalize
 from overlake.schemas import BALL_BY_BALL, MATCH_RESULTS
@@ -47,10 +47,7 @@ def match_innings(
         sides, "batting_team", team_map, "raw_name", {"batting_team_c": "canonical_name"}
     )
     joined = named.join(context, ["match_id", "revision"])
-    bowling = F.when(
-        F.col("batting_team") == F.col("team_1"), F.col("team_2_c")
-    ).otherwise(F.col("team_1_c"))
-    return joined.select(
+    return joined.selectExpr(
         "match_id",
         "innings_number",
         "revision",
@@ -58,8 +55,8 @@ def match_innings(
         "season",
         "gender",
         "team_type",
-        F.col("batting_team_c").alias("batting_team"),
-        bowling.alias("bowling_team"),
+        "batting_team_c AS batting_team",
+        "CASE WHEN batting_team = team_1 THEN team_2_c ELSE team_1_c END AS bowling_team",
         "venue",
         "city",
         "outcome_winner",
@@ -88,21 +85,17 @@ def match_results(
     are included.  The flags on the result text are NULL where there is none."""
     m = _canonical_matches(matches, team_map, venue_map)
 
-    def as_team(column: str):
-        return (
-            F.when(F.col(column) == F.col("team_1"), F.col("team_1_c"))
-            .when(F.col(column) == F.col("team_2"), F.col("team_2_c"))
-            .otherwise(F.col(column))
-        )
-
-    result = F.col("outcome_result")
-    resolved = m.select(
-        *[c for c in m.columns if c not in ("team_1", "team_2", "toss_winner", "outcome_winner")],
-        as_team("toss_winner").alias("toss_winner"),
-        as_team("outcome_winner").alias("outcome_winner"),
-        F.col("outcome_winner").isNotNull().alias("has_result"),
-        (result == "tie").alias("is_tie"),
-        (result == "draw").alias("is_draw"),
-        (result == "no result").alias("is_no_result"),
+    def as_team(c: str) -> str:
+        return f"CASE WHEN {c} = team_1 THEN team_1_c WHEN {c} = team_2 THEN team_2_c ELSE {c} END AS {c}"
+
+    replaced = ("team_1", "team_2", "toss_winner", "outcome_winner")
+    resolved = m.selectExpr(
+        *[c for c in m.columns if c not in replaced],
+        as_team("toss_winner"),
+        as_team("outcome_winner"),
+        "outcome_winner IS NOT NULL AS has_result",
+        "outcome_result = 'tie' AS is_tie",
+        "outcome_result = 'draw' AS is_draw",
+        "outcome_result = 'no result' AS is_no_result",
     ).withColumnsRenamed({"team_1_c": "team_1", "team_2_c": "team_2"})
     return resolved.select(*MATCH_RESULTS)

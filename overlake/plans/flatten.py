@@ -6,139 +6,126 @@ projection with generators, so a scan reads only the leaves its output needs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from overlake.functions import to_int
-from overlake.functions._cols import ColumnLike
+from overlake.functions import to_int_sql
 from overlake.schemas import SILVER
 
+_REVISION = to_int_sql("coalesce(meta.revision, '1')")
 
-def _revision() -> Column:
-    return to_int(F.coalesce(F.col("meta.revision"), F.lit("1")))
 
-
-def _counter(path: str) -> Column:
+def _counter(path: str) -> str:
     """Missing counters are 0; present but unreadable ones stay NULL."""
-    return to_int(F.coalesce(F.col(path), F.lit("0")))
+    return to_int_sql(f"coalesce({path}, '0')")
 
 
-def _joined(names: ColumnLike) -> Column:
-    return F.nullif(F.array_join(names, ", "), F.lit(""))
+def _joined(names: str) -> str:
+    return f"nullif(array_join({names}, ', '), '')"
 
 
-def _select(df: DataFrame, table: str, **columns: Column) -> DataFrame:
+def _select(df: DataFrame, table: str, **columns: str) -> DataFrame:
     """Project to a silver table's columns, taking those not given by name."""
-    return df.select(
+    return df.selectExpr(
         *[
-            columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
+            f"cast({columns.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in SILVER[table]
         ]
     )
 
 
 def flatten_matches(docs: DataFrame) -> DataFrame:
-    info = lambda leaf: F.col(f"info.{leaf}")
     out = {
-        "match_date": F.get(info("dates"), F.lit(0)),
-        "team_1": F.get(info("teams"), F.lit(0)),
-        "team_2": F.get(info("teams"), F.lit(1)),
-        "player_of_match": _joined(info("player_of_match")),
-        "revision": _revision(),
+        "match_date": "get(info.dates, 0)",
+        "team_1": "get(info.teams, 0)",
+        "team_2": "get(info.teams, 1)",
+        "player_of_match": _joined("info.player_of_match"),
+        "revision": _REVISION,
     }
     for leaf in ("season", "venue", "city", "gender", "team_type"):
-        out[leaf] = info(leaf)
+        out[leaf] = f"info.{leaf}"
     for leaf in ("winner", "decision", "uncontested"):
-        out[f"toss_{leaf}"] = info(f"toss.{leaf}")
+        out[f"toss_{leaf}"] = f"info.toss.{leaf}"
     for leaf in ("winner", "result", "method", "eliminator", "bowl_out"):
-        out[f"outcome_{leaf}"] = info(f"outcome.{leaf}")
+        out[f"outcome_{leaf}"] = f"info.outcome.{leaf}"
     for leaf in ("runs", "wickets", "innings"):
-        out[f"outcome_by_{leaf}"] = to_int(info(f"outcome.by.{leaf}"))
+        out[f"outcome_by_{leaf}"] = to_int_sql(f"info.outcome.by.{leaf}")
     for leaf in ("name", "group", "stage"):
-        out[f"event_{leaf}"] = info(f"event.{leaf}")
-    out["event_match_number"] = to_int(info("event.match_number"))
+        out[f"event_{leaf}"] = f"info.event.{leaf}"
+    out["event_match_number"] = to_int_sql("info.event.match_number")
     for leaf in ("balls_per_over", "overs", "match_type_number"):
-        out[leaf] = to_int(info(leaf))
+        out[leaf] = to_int_sql(f"info.{leaf}")
     return _select(docs, "matches", **out)
 
 
 def _innings(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        "match_id",
-        "match_type",
-        "year",
-        _revision().alias("revision"),
-        F.posexplode("innings").alias("pos", "i"),
-    ).withColumn("innings_number", F.col("pos") + 1)
+    return docs.selectExpr(
+        "match_id", "match_type", "year", f"{_REVISION} AS revision", "posexplode(innings) AS (pos, i)"
+    ).withColumn("innings_number", F.expr("pos + 1"))
 
 
 def flatten_innings(docs: DataFrame) -> DataFrame:
     return _select(
         _innings(docs),
         "innings",
-        batting_team=F.col("i.team"),
-        declared=F.col("i.declared"),
-        forfeited=F.col("i.forfeited"),
-        super_over=F.col("i.super_over"),
-        target_runs=to_int("i.target.runs"),
-        target_overs=F.col("i.target.overs").try_cast("double"),
-        penalty_runs_pre=to_int("i.penalty_runs.pre"),
-        penalty_runs_post=to_int("i.penalty_runs.post"),
+        batting_team="i.team",
+        declared="i.declared",
+        forfeited="i.forfeited",
+        super_over="i.super_over",
+        target_runs=to_int_sql("i.target.runs"),
+        target_overs="try_cast(i.target.overs AS double)",
+        penalty_runs_pre=to_int_sql("i.penalty_runs.pre"),
+        penalty_runs_post=to_int_sql("i.penalty_runs.post"),
     )
 
 
 def flatten_deliveries(docs: DataFrame) -> DataFrame:
     """One row per ball.  Only the first of several wickets on a ball gives its kind,
     player and fielders; ``wicket_count`` counts all of them."""
-    overs = _innings(docs).withColumn("o", F.explode("i.overs"))
-    balls = overs.select(
+    overs = _innings(docs).withColumn("o", F.expr("explode(i.overs)"))
+    balls = overs.selectExpr(
         "match_id",
         "match_type",
         "year",
         "revision",
         "innings_number",
-        F.coalesce(to_int("o.over"), F.lit(0)).alias("over_number"),
-        F.posexplode("o.deliveries").alias("ball", "d"),
-    )
-    wickets = F.coalesce(F.col("d.wickets"), F.array())
-    first = F.get(F.col("d.wickets"), F.lit(0))
-    named = F.filter(
-        F.transform(first["fielders"], lambda f: f["name"]),
-        lambda n: n.isNotNull() & (n != ""),
+        f"coalesce({to_int_sql('o.over')}, 0) AS over_number",
+        "posexplode(o.deliveries) AS (ball, d)",
     )
+    count = "if(d.wickets IS NULL, 0, size(d.wickets))"
+    first = "get(d.wickets, 0)"
+    fielders = f"filter({first}.fielders.name, n -> n IS NOT NULL AND n <> '')"
     out = {
-        "ball_in_over": F.col("ball") + 1,
-        "runs_non_boundary": F.col("d.runs.non_boundary"),
-        "wicket_count": F.size(wickets),
-        "is_wicket": F.size(wickets) > 0,
-        "wicket_kind": first["kind"],
-        "wicket_player_out": first["player_out"],
-        "wicket_fielders": _joined(named),
-        "wicket_fielders_arr": named,
+        "ball_in_over": "ball + 1",
+        "runs_non_boundary": "d.runs.non_boundary",
+        "wicket_count": count,
+        "is_wicket": f"{count} > 0",
+        "wicket_kind": f"{first}.kind",
+        "wicket_player_out": f"{first}.player_out",
+        "wicket_fielders": _joined(fielders),
+        "wicket_fielders_arr": fielders,
     }
     for leaf in ("batter", "bowler", "non_striker"):
-        out[leaf] = F.col(f"d.{leaf}")
+        out[leaf] = f"d.{leaf}"
     for leaf in ("batter", "extras", "total"):
         out[f"runs_{leaf}"] = _counter(f"d.runs.{leaf}")
     for leaf in ("wides", "noballs", "byes", "legbyes", "penalty"):
         out[f"extras_{leaf}"] = _counter(f"d.extras.{leaf}")
     for leaf in ("by", "decision", "umpires_call"):
-        out[f"review_{leaf}"] = F.col(f"d.review.{leaf}")
+        out[f"review_{leaf}"] = f"d.review.{leaf}"
     return _select(balls, "deliveries", **out)
 
 
 def flatten_players(docs: DataFrame) -> DataFrame:
-    listed = docs.select(
+    listed = docs.selectExpr(
         "match_id",
         "match_type",
         "year",
-        _revision().alias("revision"),
-        F.col("info.registry.people").alias("people"),
-        F.explode("info.players").alias("team", "names"),
+        f"{_REVISION} AS revision",
+        "info.registry.people AS people",
+        "explode(info.players) AS (team, names)",
     )
     named = listed.withColumn("player_name", F.explode("names"))
-    return _select(
-        named, "players", cricsheet_id=F.try_element_at("people", F.col("player_name"))
-    )
+    return _select(named, "players", cricsheet_id="try_element_at(people, player_name)")
 
 
 FLATTEN = {

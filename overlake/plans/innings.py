@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from overlake.functions import (
-    bowler_runs,
+    BOWLER_RUNS,
+    CREDITED_WICKET,
+    DOT_BALL,
+    FOUR,
+    LEGAL_BALL,
+    SIX,
+    TEAM_WICKET,
+    WIDE_FREE,
     count_when,
-    credited_wicket,
-    dot_ball,
-    four,
-    legal_ball,
+    named,
     overs_decimal,
     ratio,
-    six,
-    team_wicket,
-    wide_free,
+    ratio_sql,
 )
 from overlake.schemas import BATTING_INNINGS, BOWLING_INNINGS
 
@@ -26,28 +28,27 @@ _CARRIED = ["super_over", "event_name"]
 
 NOT_A_DISMISSAL = "retired hurt"
 
-
-def _over_measures() -> list[Column]:
-    """Additive figures of an over.  Where a query sums balls over anything no finer
-    than over and bowler, it sums these instead and reads a sixth of the rows."""
-    return [
-        F.count("*").alias("deliveries"),
-        count_when(legal_ball()).alias("legal"),
-        count_when(wide_free()).alias("non_wides"),
-        F.sum("runs_batter").alias("bat_runs"),
-        F.sum("runs_total").alias("runs"),
-        F.sum(bowler_runs()).alias("charged_runs"),
-        F.sum("wicket_count").alias("wkts"),
-        count_when(credited_wicket()).alias("credited"),
-        count_when(team_wicket()).alias("team_wkts"),
-        count_when(dot_ball()).alias("dots"),
-        count_when(four()).alias("fours"),
-        count_when(six()).alias("sixes"),
-        count_when(F.col("extras_wides") > 0).alias("wides"),
-        count_when(F.col("extras_noballs") > 0).alias("no_balls"),
-        F.sum("extras_wides").alias("wide_runs"),
-        F.sum("extras_noballs").alias("no_ball_runs"),
-    ]
+# Additive figures of an over.  Where a query sums balls over anything no finer than
+# over and bowler, it sums these instead and reads a sixth of the rows.
+_COUNTED = {
+    "legal": LEGAL_BALL,
+    "non_wides": WIDE_FREE,
+    "credited": CREDITED_WICKET,
+    "team_wkts": TEAM_WICKET,
+    "dots": DOT_BALL,
+    "fours": FOUR,
+    "sixes": SIX,
+    "wides": "extras_wides > 0",
+    "no_balls": "extras_noballs > 0",
+}
+_SUMMED = {
+    "bat_runs": "runs_batter",
+    "runs": "runs_total",
+    "charged_runs": BOWLER_RUNS,
+    "wkts": "wicket_count",
+    "wide_runs": "extras_wides",
+    "no_ball_runs": "extras_noballs",
+}
 
 
 def over_figures(balls: DataFrame) -> DataFrame:
@@ -57,7 +58,11 @@ def over_figures(balls: DataFrame) -> DataFrame:
     balls of an over meet before the exchange.
     """
     keys = [*_MATCH, "over_number", *_SIDES, *_CARRIED, "balls_per_over"]
-    return balls.groupBy(*keys, F.col("bowler").alias("player_name")).agg(*_over_measures())
+    return balls.groupBy(*keys, F.col("bowler").alias("player_name")).agg(
+        *named(deliveries="count(*)"),
+        *[count_when(cond).alias(name) for name, cond in _COUNTED.items()],
+        *named(**{name: f"sum({value})" for name, value in _SUMMED.items()}),
+    )
 
 
 def bowling_innings(overs: DataFrame) -> DataFrame:
@@ -67,28 +72,47 @@ def bowling_innings(overs: DataFrame) -> DataFrame:
     over is a maiden when nothing was charged in at least six deliveries of it.
     """
     keys = [*_MATCH, *_SIDES, *_CARRIED, "balls_per_over", "player_name"]
-    maiden = (F.col("charged_runs") == 0) & (F.col("deliveries") >= 6)
     figures = overs.groupBy(*keys).agg(
-        F.sum("legal").alias("legal_deliveries"),
-        F.sum("deliveries").alias("total_deliveries"),
-        F.sum("runs").alias("runs_conceded"),
-        F.sum("wkts").alias("wickets"),
-        F.sum("credited").alias("wickets_credited"),
-        F.sum("no_balls").alias("no_balls"),
-        F.sum("wides").alias("wides"),
-        F.sum("charged_runs").alias("charged_runs"),
-        count_when(maiden).alias("maidens"),
+        *named(
+            legal_deliveries="sum(legal)",
+            total_deliveries="sum(deliveries)",
+            runs_conceded="sum(runs)",
+            wickets="sum(wkts)",
+            wickets_credited="sum(credited)",
+            no_balls="sum(no_balls)",
+            wides="sum(wides)",
+            charged_runs="sum(charged_runs)",
+        ),
+        count_when("charged_runs = 0 AND deliveries >= 6").alias("maidens"),
     )
-    per_over = F.col("balls_per_over").cast("double")
-    economy = F.col("runs_conceded").cast("double") * per_over
+    economy = ratio("cast(runs_conceded AS double) * cast(balls_per_over AS double)", "legal_deliveries")
     return figures.withColumns(
-        {
-            "overs_bowled": overs_decimal("legal_deliveries", "balls_per_over"),
-            "economy": ratio(economy, "legal_deliveries", 2),
-        }
+        {"overs_bowled": overs_decimal("legal_deliveries", "balls_per_over"), "economy": economy}
     ).select(*BOWLING_INNINGS, "event_name", "charged_runs", "maidens")
 
 
+def _role(name: str, player: str, kind: str = "NULL") -> str:
+    """One player's part in a ball; only the batter brings figures."""
+
+    def figure(value: str) -> str:
+        return value if name == "bat" else "0"
+
+    return f"""named_struct(
+        'player_name', {player}, 'role', '{name}', 'faced', {figure("1")},
+        'runs', {"runs_batter" if name == "bat" else "cast(NULL AS int)"},
+        'wide', {figure("CASE WHEN extras_wides > 0 THEN 1 ELSE 0 END")},
+        'non_wide', {figure(f"CASE WHEN {WIDE_FREE} THEN 1 ELSE 0 END")},
+        'four', {figure(f"CASE WHEN {FOUR} THEN 1 ELSE 0 END")},
+        'six', {figure(f"CASE WHEN {SIX} THEN 1 ELSE 0 END")},
+        'kind', cast({kind} AS string))"""
+
+
+def _roles() -> Column:
+    kind = f"CASE WHEN wicket_kind <> '{NOT_A_DISMISSAL}' THEN wicket_kind END"
+    out = f"CASE WHEN is_wicket AND wicket_player_out IS NOT NULL THEN {_role('out', 'wicket_player_out', kind)} END"
+    return F.expr(f"inline(array({_role('bat', 'batter')}, {_role('stood', 'non_striker')}, {out}))")
+
+
 def participation(balls: DataFrame) -> DataFrame:
     """One row per player and innings in which the player faced, stood at the other end
     or was out, with the batting figures.
@@ -102,84 +126,63 @@ def participation(balls: DataFrame) -> DataFrame:
     Every ball gives one row per role a player has in it; one partially aggregated
     exchange by innings and player replaces separate plans for the three cases.
     """
-    out = F.col("is_wicket") & F.col("wicket_player_out").isNotNull()
-    dismissal = F.col("wicket_kind") != NOT_A_DISMISSAL
-    none = F.lit(None)
-
-    def flag(cond: Column) -> Column:
-        return F.when(cond, 1).otherwise(0)
-
-    def role(name: str, player: str) -> Column:
-        faces = name == "bat"
-        return F.struct(
-            F.col(player).alias("player_name"),
-            F.lit(name).alias("role"),
-            F.lit(int(faces)).alias("faced"),
-            (F.col("runs_batter") if faces else none.cast("int")).alias("runs"),
-            (flag(F.col("extras_wides") > 0) if faces else F.lit(0)).alias("wide"),
-            (flag(wide_free()) if faces else F.lit(0)).alias("non_wide"),
-            (flag(four()) if faces else F.lit(0)).alias("four"),
-            (flag(six()) if faces else F.lit(0)).alias("six"),
-            (F.when(dismissal, F.col("wicket_kind")) if name == "out" else none.cast("string")).alias("kind"),
-        )
-
-    roles = F.array(
-        role("bat", "batter"),
-        role("stood", "non_striker"),
-        F.when(out, role("out", "wicket_player_out")),
-    )
     keys = [*_MATCH, *_SIDES, *_CARRIED]
     exploded = (
-        balls.select(*keys, F.inline(roles))
-        .filter(F.col("role").isNotNull())
+        balls.select(*keys, _roles())
+        .filter("role IS NOT NULL")
         # Rows without a name never match each other, so roles stay apart for them.
-        .withColumn("unnamed_role", F.when(F.col("player_name").isNull(), F.col("role")))
+        .withColumn("unnamed_role", F.expr("CASE WHEN player_name IS NULL THEN role END"))
     )
     # The kind is part of the first grouping instead of a string maximum: this keeps
     # the pass over all balls a hash aggregation.
     by_kind = exploded.groupBy(*keys, "player_name", "unnamed_role", "kind").agg(
-        F.sum("faced").alias("faced"),
-        F.sum("runs").alias("runs"),
-        F.sum("wide").alias("wides_faced"),
-        F.sum("non_wide").alias("non_wides"),
-        F.sum("four").alias("fours"),
-        F.sum("six").alias("sixes"),
-        F.max(flag(F.col("role") == "stood")).alias("stood"),
-        F.max(flag(F.col("role") == "out")).alias("out"),
-        F.max(flag(F.col("kind").isNotNull())).alias("dismissed"),
+        *named(
+            faced="sum(faced)",
+            runs="sum(runs)",
+            wides_faced="sum(wide)",
+            non_wides="sum(non_wide)",
+            fours="sum(four)",
+            sixes="sum(six)",
+            stood="max(if(role = 'stood', 1, 0))",
+            out="max(if(role = 'out', 1, 0))",
+            dismissed="max(if(kind IS NOT NULL, 1, 0))",
+        )
     )
     # Placed by match and player once, which serves the second grouping and the window.
     placed = by_kind.repartition("match_id", "player_name")
     per_player = placed.groupBy(*keys, "player_name", "unnamed_role").agg(
-        F.sum("faced").alias("balls_faced"),
-        F.sum("runs").alias("runs"),
-        F.sum("wides_faced").alias("wides_faced"),
-        F.sum("non_wides").alias("non_wides"),
-        F.sum("fours").alias("fours"),
-        F.sum("sixes").alias("sixes"),
-        F.max("stood").alias("stood"),
-        F.max("out").alias("out"),
-        F.max("dismissed").alias("dismissals"),
-        F.max("kind").alias("dismissal_kind"),
+        *named(
+            balls_faced="sum(faced)",
+            runs="sum(runs)",
+            wides_faced="sum(wides_faced)",
+            non_wides="sum(non_wides)",
+            fours="sum(fours)",
+            sixes="sum(sixes)",
+            stood="max(stood)",
+            out="max(out)",
+            dismissals="max(dismissed)",
+            dismissal_kind="max(kind)",
+        )
     )
-    in_match = Window.partitionBy("match_id", "player_name")
-    faced_any = F.col("balls_faced") > 0
-    named = F.col("player_name").isNotNull()
-    with_match = per_player.withColumn("batted", F.max(faced_any).over(in_match) & named)
-    return with_match.withColumns(
-        {
-            "strike_rate": F.when(
-                faced_any,
-                ratio("runs", F.col("balls_faced") - F.col("wides_faced"), 2, times=100),
+    batted = "max(balls_faced > 0) OVER (PARTITION BY match_id, player_name) AND player_name IS NOT NULL"
+    strike_rate = ratio_sql("runs", "(balls_faced - wides_faced)", 2, times=100)
+    return (
+        per_player.withColumn("batted", F.expr(batted))
+        .select(
+            *[c for c in BATTING_INNINGS if c not in ("runs", "strike_rate", "not_out")],
+            "event_name",
+            "non_wides",
+            "batted",
+            *named(
+                runs="coalesce(runs, CASE WHEN balls_faced = 0 THEN 0 END)",
+                strike_rate=f"CASE WHEN balls_faced > 0 THEN {strike_rate} END",
+                not_out="dismissals = 0",
+                out_any="out > 0",
+                counted="balls_faced > 0 OR dismissals > 0 OR (stood > 0 AND NOT batted)",
             ),
-            "runs": F.coalesce("runs", F.when(~faced_any, F.lit(0))),
-            "not_out": F.col("dismissals") == 0,
-            "out_any": F.col("out") > 0,
-            "counted": faced_any
-            | (F.col("dismissals") > 0)
-            | ((F.col("stood") > 0) & ~F.col("batted")),
-        }
-    ).select(*BATTING_INNINGS, "event_name", "non_wides", "out_any", "batted", "counted")
+        )
+        .select(*BATTING_INNINGS, "event_name", "non_wides", "out_any", "batted", "counted")
+    )
 
 
 def batting_innings(took_part: DataFrame) -> DataFrame:
@@ -188,22 +191,20 @@ def batting_innings(took_part: DataFrame) -> DataFrame:
 
 def dismissals(took_part: DataFrame) -> DataFrame:
     """Dismissed players per innings, whoever faced the ball, with the kind."""
-    out = took_part.filter((F.col("dismissals") > 0) & F.col("player_name").isNotNull())
+    out = took_part.filter("dismissals > 0 AND player_name IS NOT NULL")
     return out.select("match_id", "innings_number", "player_name", "dismissal_kind")
 
 
 def match_batters(took_part: DataFrame) -> DataFrame:
     """Distinct (match, player) of everybody who faced a ball in the match."""
-    return took_part.filter(F.col("balls_faced") > 0).select("match_id", "player_name").distinct()
+    return took_part.filter("balls_faced > 0").select("match_id", "player_name").distinct()
 
 
 def zero_ball_dismissals(took_part: DataFrame) -> DataFrame:
     """Batting innings that ended without a ball faced."""
-    return took_part.filter((F.col("balls_faced") == 0) & (F.col("dismissals") > 0))
+    return took_part.filter("balls_faced = 0 AND dismissals > 0")
 
 
 def non_striker_only(took_part: DataFrame) -> DataFrame:
     """Batting innings spent at the other end only."""
-    return took_part.filter(
-        F.col("counted") & (F.col("balls_faced") == 0) & (F.col("dismissals") == 0)
-    )
+    return took_part.filter("counted AND balls_faced = 0 AND dismissals = 0")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from overlake.functions import count_when, ratio
+from overlake.functions import count_when, named, ratio
 from overlake.operators.modes import mode_of
 
 
@@ -50,26 +50,23 @@ def dim_players(players: DataFrame) -> DataFrame:
 def batting_career(innings: DataFrame) -> DataFrame:
     """Career batting per player and format, super overs left out.  Balls include
     wides, unlike the strike rate per innings."""
-    runs = F.col("runs")
-    figures = (
-        innings.filter(~F.col("super_over"))
-        .groupBy("player_name", "match_type")
-        .agg(
-            F.count_distinct("match_id").alias("matches"),
-            F.count("*").alias("innings"),
-            F.sum(F.col("not_out").cast("int")).alias("not_outs"),
-            F.sum("runs").alias("total_runs"),
-            F.max("runs").alias("highest_score"),
-            F.sum("balls_faced").alias("total_balls"),
-            F.sum("fours").alias("total_fours"),
-            F.sum("sixes").alias("total_sixes"),
-            F.sum("dismissals").alias("total_dismissals"),
-            count_when(runs >= 100).alias("centuries"),
-            count_when((runs >= 50) & (runs < 100)).alias("fifties"),
-            count_when((runs == 0) & ~F.col("not_out")).alias("ducks"),
-            F.min("year").alias("first_year"),
-            F.max("year").alias("last_year"),
-        )
+    figures = innings.filter("NOT super_over").groupBy("player_name", "match_type").agg(
+        *named(
+            matches="count(DISTINCT match_id)",
+            innings="count(*)",
+            not_outs="sum(cast(not_out AS int))",
+            total_runs="sum(runs)",
+            highest_score="max(runs)",
+            total_balls="sum(balls_faced)",
+            total_fours="sum(fours)",
+            total_sixes="sum(sixes)",
+            total_dismissals="sum(dismissals)",
+            first_year="min(year)",
+            last_year="max(year)",
+        ),
+        count_when("runs >= 100").alias("centuries"),
+        count_when("runs >= 50 AND runs < 100").alias("fifties"),
+        count_when("runs = 0 AND NOT not_out").alias("ducks"),
     )
     return figures.select(
         "player_name", "match_type", "matches", "innings", "not_outs", "total_runs",
@@ -83,24 +80,21 @@ def batting_career(innings: DataFrame) -> DataFrame:
 def bowling_career(innings: DataFrame) -> DataFrame:
     """Career bowling per player and format, super overs left out.  The economy is per
     six balls whatever the format's over."""
-    wickets = F.col("wickets_credited")
-    figures = (
-        innings.filter(~F.col("super_over"))
-        .groupBy("player_name", "match_type")
-        .agg(
-            F.count_distinct("match_id").alias("matches"),
-            F.count("*").alias("innings_bowled"),
-            F.sum("legal_deliveries").alias("total_balls"),
-            F.sum("runs_conceded").alias("total_runs"),
-            F.sum("wickets_credited").alias("total_wickets"),
-            F.sum("no_balls").alias("total_no_balls"),
-            F.sum("wides").alias("total_wides"),
-            F.max("wickets_credited").alias("best_wickets"),
-            count_when(wickets >= 5).alias("five_wicket_hauls"),
-            count_when(wickets >= 4).alias("four_plus_wicket_hauls"),
-            F.min("year").alias("first_year"),
-            F.max("year").alias("last_year"),
-        )
+    figures = innings.filter("NOT super_over").groupBy("player_name", "match_type").agg(
+        *named(
+            matches="count(DISTINCT match_id)",
+            innings_bowled="count(*)",
+            total_balls="sum(legal_deliveries)",
+            total_runs="sum(runs_conceded)",
+            total_wickets="sum(wickets_credited)",
+            total_no_balls="sum(no_balls)",
+            total_wides="sum(wides)",
+            best_wickets="max(wickets_credited)",
+            first_year="min(year)",
+            last_year="max(year)",
+        ),
+        count_when("wickets_credited >= 5").alias("five_wicket_hauls"),
+        count_when("wickets_credited >= 4").alias("four_plus_wicket_hauls"),
     )
     return figures.select(
         "player_name", "match_type", "matches", "innings_bowled", "total_balls",

@@ -16,22 +16,22 @@ _DELIVERY_KEY = ["match_id", "innings_number", "over_number", "ball_in_over"]
 _PLAYER_KEY = ["match_id", "player_name", "team"]
 
 
-def _default(value, *names: str) -> dict[str, Column]:
-    return {n: F.coalesce(F.col(n), F.lit(value)) for n in names}
+def _default(value: str, *names: str) -> dict[str, Column]:
+    return {n: F.expr(f"coalesce({n}, {value})") for n in names}
 
 
 def _typed(df: DataFrame) -> DataFrame:
     return df.withColumns(
-        {"year": F.col("year").try_cast("int"), **_default(1, "revision")}
+        {"year": F.expr("try_cast(year AS int)"), **_default("1", "revision")}
     )
 
 
 def stage_matches(matches: DataFrame) -> DataFrame:
-    latest = dedupe(_typed(matches), ["match_id"], [F.desc("revision")])
+    latest = dedupe(_typed(matches), ["match_id"], ["revision DESC"])
     return latest.withColumns(
         {
-            "match_date": F.col("match_date").try_cast("date"),
-            **_default(False, "toss_uncontested"),
+            "match_date": F.expr("try_cast(match_date AS date)"),
+            **_default("false", "toss_uncontested"),
         }
     )
 
@@ -40,8 +40,8 @@ def stage_innings(innings: DataFrame) -> DataFrame:
     """One row per innings and revision; see :func:`current_only`."""
     return dedupe(_typed(innings), [*_INNINGS_KEY, "revision"]).withColumns(
         {
-            **_default(False, "declared", "forfeited", "super_over"),
-            **_default(0, "penalty_runs_pre", "penalty_runs_post"),
+            **_default("false", "declared", "forfeited", "super_over"),
+            **_default("0", "penalty_runs_pre", "penalty_runs_post"),
         }
     )
 
@@ -50,7 +50,7 @@ def stage_deliveries(deliveries: DataFrame) -> DataFrame:
     """One row per ball and revision.  The key reaches down to the ball, so even a
     match with very many rows spreads over all tasks."""
     return dedupe(_typed(deliveries), [*_DELIVERY_KEY, "revision"]).withColumns(
-        _default(False, "runs_non_boundary")
+        _default("false", "runs_non_boundary")
     )
 
 
@@ -61,9 +61,9 @@ def stage_players(players: DataFrame) -> DataFrame:
 def current_only(rows: DataFrame, stg_matches: DataFrame) -> DataFrame:
     """Rows of each match's winning revision.  Rows without a match are kept, so that
     the relationship check can find them."""
-    winning = stg_matches.select("match_id", F.col("revision").alias("__winning"))
+    winning = stg_matches.selectExpr("match_id", "revision AS __winning")
     return (
         rows.join(winning, "match_id", "left")
-        .filter(F.col("__winning").isNull() | (F.col("revision") == F.col("__winning")))
+        .filter("__winning IS NULL OR revision = __winning")
         .drop("__winning")
     )

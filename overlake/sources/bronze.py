@@ -84,7 +84,7 @@ class BronzeStore:
             .select("match_id", "revision")
         )
         taken = good.join(accepted, ["match_id", "revision"], "left_semi")
-        one_each = dedupe(taken, ["match_id"], [F.desc_nulls_last("revision")])
+        one_each = dedupe(taken, ["match_id"], ["revision DESC NULLS LAST"])
         one_each.write.mode("overwrite").parquet(f"{self.path}/documents/batch={batch_id}")
 
     def stats(self, batch_id: int) -> DataFrame:

@@ -55,9 +55,10 @@ def _placed(df: DataFrame, key: str) -> DataFrame:
 
 def _silver(df: DataFrame, table: str) -> DataFrame:
     """To the silver columns; those the source has nothing for are NULL."""
-    return df.select(
+    present = set(df.columns)
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"cast({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in SILVER[table]
         ]
     )

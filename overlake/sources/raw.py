@@ -7,22 +7,21 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from overlake.functions._cols import ColumnLike, as_col
 from overlake.schemas import CORRUPT, MATCH_DOCUMENT
 
 _READ_SCHEMA = T.StructType([*MATCH_DOCUMENT.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def match_id_from(name: ColumnLike) -> Column:
-    return F.regexp_extract(as_col(name), r"([^/]+)[.]json$", 1)
+def match_id_from(name: str) -> Column:
+    return F.regexp_extract(name, r"([^/]+)[.]json$", 1)
 
 
 def match_type_key() -> Column:
-    return F.lower(F.coalesce(F.col("info.match_type"), F.lit("unknown")))
+    return F.expr("lower(coalesce(info.match_type, 'unknown'))")
 
 
 def year_key() -> Column:
-    return F.coalesce(F.substring(F.get(F.col("info.dates"), F.lit(0)), 1, 4), F.lit("unknown"))
+    return F.expr("coalesce(substring(get(info.dates, 0), 1, 4), 'unknown')")
 
 
 def with_partition_keys(docs: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def read_raw(
 def parse_documents(
     df: DataFrame,
     content: str = "content",
-    match_id: ColumnLike = "match_id",
+    match_id: str | Column = "match_id",
     parts: Sequence[str] = ("meta", "info", "innings"),
     keep: Sequence[str] = (),
 ) -> DataFrame:
@@ -91,7 +90,8 @@ def parse_documents(
         T.StructType(fields),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    parsed = df.select(as_col(match_id).alias("match_id"), *keep, F.inline(F.array(doc)))
+    identity = F.col(match_id) if isinstance(match_id, str) else match_id
+    parsed = df.select(identity.alias("match_id"), *keep, F.inline(F.array(doc)))
     return with_partition_keys(parsed)
 
 

@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from overlake.functions import count_when, ratio
+from overlake.functions import named, ratio
 from overlake.operators import (
     accepted_values,
     canonicalize,
@@ -115,7 +115,7 @@ EXPECTED_BOWLING = [("NATION_2_P7", 40, "first"), ("NATION_5_P8", 60, "second")]
 
 def latest_lineitem(spark, sf_dir):
     items = _read(spark, sf_dir, "lineitem")
-    order = [F.desc("l_shipdate"), *map(F.asc, ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))]
+    order = ["l_shipdate DESC", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     latest = latest_by(items, ["l_orderkey", "l_linenumber"], order)
     return latest.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
@@ -138,20 +138,19 @@ def orders_without_items(spark, sf_dir):
 
 def ratios_by_flag(spark, sf_dir):
     items = _read(spark, sf_dir, "lineitem")
-    large = F.col("l_quantity") >= 25
+    large = "sum(CASE WHEN l_quantity >= 25 THEN 1 ELSE 0 END)"
     return items.groupBy("l_returnflag").agg(
-        count_when(large).alias("large"),
-        F.count("*").alias("items"),
-        ratio(count_when(large), F.count("*"), 2, times=100).alias("large_pct"),
-        ratio(F.sum("l_quantity"), F.count("*"), 3).alias("mean_quantity"),
+        *named(large=large, items="count(*)"),
+        ratio(large, "count(*)", 2, times=100).alias("large_pct"),
+        ratio("sum(l_quantity)", "count(*)", 3).alias("mean_quantity"),
     )
 
 
 def quantity_bands(spark, sf_dir):
     items = _read(spark, sf_dir, "lineitem")
     bands = {"low": (1, 2), "mid": (3, 5), "high": (6, 7)}
-    quantity = F.col("l_quantity").cast("bigint")
-    cells = phase_pivot("l_linenumber", bands, {"quantity": quantity, "items": F.lit(1)})
+    measures = {"quantity": "cast(l_quantity AS bigint)", "items": "1"}
+    cells = phase_pivot("l_linenumber", bands, measures)
     return items.groupBy("l_suppkey").agg(*cells)
 
 

@@ -22,7 +22,7 @@ from tests.conftest import rows
 
 def test_latest_by(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", None, "z")], "k string, v int, p string")
-    found = rows(latest_by(df, ["k"], [F.desc_nulls_last("v")]))
+    found = rows(latest_by(df, ["k"], ["v DESC NULLS LAST"]))
     assert [(r["k"], r["p"]) for r in found] == [("a", "y"), ("b", "z")]
 
 
