@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overlake.plans.flatten import FLATTEN
 from overlake.session import fresh_path
-from overlake.sources.raw import quarantine, read_raw, well_formed
+from overlake.sources.bronze import BronzeStore
+from overlake.sources.raw import parse_documents, quarantine, read_raw, well_formed
 from overlake.sources.silver import write_silver
 
 
@@ -20,6 +21,22 @@ class Ingested:
     """match_id and text of every unreadable document"""
 
 
+def write_documents(docs: DataFrame, silver: str, mode: str = "full") -> Ingested:
+    """Flatten parsed documents into the four silver tables.
+
+    The parsed form is written once, as a nested Parquet table in the scratch folder;
+    the four outputs each read only the leaves they need from it.
+    """
+    spark = docs.sparkSession
+    path = fresh_path(spark, "parsed")
+    docs.write.parquet(path)
+    parsed = spark.read.schema(docs.schema).parquet(path)
+    good = well_formed(parsed)
+    for name, flatten in FLATTEN.items():
+        write_silver(flatten(good), silver, name, mode)
+    return Ingested(good.select("match_id"), quarantine(parsed))
+
+
 def transform(
     spark: SparkSession,
     raw: str,
@@ -27,18 +44,21 @@ def transform(
     mode: str = "full",
     since_days: float = 2,
 ) -> Ingested:
-    """Flatten the documents below ``raw`` into the four silver tables.
+    """From a folder of document files.
 
     ``full`` reads all files and replaces silver; ``incremental`` reads the files
     changed within ``since_days`` and appends, staging keeping the newest revision.
-    JSON is parsed once, into a nested Parquet table in the scratch folder; the four
-    outputs each read only the leaves they need from it.
     """
     docs = read_raw(spark, raw, None if mode == "full" else since_days)
-    parsed_path = fresh_path(spark, "parsed")
-    docs.write.parquet(parsed_path)
-    parsed = spark.read.schema(docs.schema).parquet(parsed_path)
-    good = well_formed(parsed)
-    for name, flatten in FLATTEN.items():
-        write_silver(flatten(good), silver, name, mode)
-    return Ingested(good.select("match_id"), quarantine(parsed))
+    return write_documents(docs, silver, mode)
+
+
+def transform_bronze(
+    store: BronzeStore, silver: str, mode: str = "full", since_batch: int = 0
+) -> Ingested:
+    """From the bronze store: all current documents, replacing silver, or, with
+    ``incremental``, those of the batches from ``since_batch`` on, appending."""
+    docs = store.current()
+    if mode == "incremental":
+        docs = docs.filter(F.col("batch") >= since_batch)
+    return write_documents(parse_documents(docs), silver, mode)

@@ -70,6 +70,7 @@ MATCH_DOCUMENT = struct(
     innings=T.ArrayType(_INNINGS),
 )
 
+# Columns of the four flat tables, in their order.
 MATCHES = struct(
     match_id=_S, match_type=_S, year=_S, match_date=_S, season=_S, venue=_S, city=_S,
     gender=_S, team_type=_S, team_1=_S, team_2=_S, toss_winner=_S, toss_decision=_S,
@@ -112,7 +113,7 @@ TEAM_NAMES = struct(raw_name=_S, canonical_name=_S)
 VENUE_NAMES = struct(raw_venue=_S, canonical_venue=_S, canonical_city=_S)
 EXCLUDED_MATCHES = struct(match_id=_S, reason=_S)
 
-# Column contracts of the derived tables.
+# Columns of the derived tables, in their order.
 BALL_BY_BALL = (
     "match_id match_type year match_date season gender team_type innings_number "
     "over_number ball_in_over batter bowler non_striker batting_team bowling_team "
