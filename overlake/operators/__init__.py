@@ -10,6 +10,7 @@ from overlake.operators.quality import (
     relationships,
     rule,
     unique,
+    violation_counts,
 )
 from overlake.operators.ranking import top_k_share, top_n
 from overlake.operators.reconcile import reconcile

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,10 +15,17 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(bad)
 
 
+def violation_counts(df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
+    """One row (name, failures) per SQL condition, all counted in one pass over ``df``;
+    unknown is no violation."""
+    counts = df.agg(*[F.expr(f"count_if({cond}) AS `{name}`") for name, cond in conditions.items()])
+    return counts.unpivot([], list(conditions), "name", "failures")
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row (column_name, failures) per column, all counted in one pass."""
-    counts = df.agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in columns])
-    return counts.unpivot([], list(columns), "column_name", "failures")
+    counts = violation_counts(df, {c: f"`{c}` IS NULL" for c in columns})
+    return counts.withColumnRenamed("name", "column_name")
 
 
 def unique(df: DataFrame, key: str | Column | Sequence[str]) -> DataFrame:

@@ -102,10 +102,15 @@ UNIQUE = {
 CHILDREN = ("stg_innings", "stg_deliveries", "stg_players")
 
 
+# Row rules, as the condition that breaks them.
+RUNS_DO_NOT_ADD_UP = "runs_total <> runs_batter + runs_extras"
+WINNER_DID_NOT_PLAY = "outcome_winner <> team_1 AND outcome_winner <> team_2"
+BATTING_SIDE_DID_NOT_PLAY = "batting_team <> team_1 AND batting_team <> team_2"
+
+
 def runs_add_up(t) -> DataFrame:
     """Balls whose total is not runs off the bat plus extras."""
-    holds = F.expr("runs_total = runs_batter + runs_extras")
-    return quality.rule(t.balls, holds).select(
+    return t.balls.filter(RUNS_DO_NOT_ADD_UP).select(
         "match_id", "innings_number", "over_number", "ball_in_over",
         "runs_batter", "runs_extras", "runs_total",
     )
@@ -113,9 +118,7 @@ def runs_add_up(t) -> DataFrame:
 
 def winner_took_part(t) -> DataFrame:
     """Matches won by a team that did not play in them."""
-    winner = F.col("outcome_winner")
-    holds = winner.isNull() | (winner == F.col("team_1")) | (winner == F.col("team_2"))
-    return quality.rule(t.match_results, holds).select(
+    return t.match_results.filter(WINNER_DID_NOT_PLAY).select(
         "match_id", "team_1", "team_2", "outcome_winner"
     )
 
@@ -123,48 +126,47 @@ def winner_took_part(t) -> DataFrame:
 def batting_team_took_part(t) -> DataFrame:
     """Innings whose batting side is neither of the match's teams."""
     sides = t.stg_matches.select("match_id", "team_1", "team_2")
-    rows = t.stg_innings.join(sides, "match_id")
-    side = F.col("batting_team")
-    return quality.rule(rows, (side == F.col("team_1")) | (side == F.col("team_2"))).select(
+    return t.stg_innings.join(sides, "match_id").filter(BATTING_SIDE_DID_NOT_PLAY).select(
         "match_id", "innings_number", "batting_team", "team_1", "team_2"
     )
 
 
-def _composite(columns):
-    return F.concat_ws("|", *columns) if isinstance(columns, tuple) else F.col(columns)
-
-
 def check_report(t) -> DataFrame:
     """One row (check, table, column, failures) per standard check.
 
-    Required columns of a table are counted in one pass over it.
+    All conditions on a table's rows are counted in one pass over it; child tables are
+    joined to their matches for that pass.
     """
-    rows: list[DataFrame] = []
-
-    def counted(df: DataFrame, check: str, table: str, column: str) -> DataFrame:
-        return df.agg(F.count("*").alias("failures")).select(
-            F.lit(check).alias("check"), F.lit(table).alias("table"),
-            F.lit(column).alias("column"), "failures",
+    conditions = {
+        table: {f"not_null|{c}": f"{c} IS NULL" for c in columns}
+        for table, columns in REQUIRED.items()
+    }
+    listed = ", ".join(f"'{m}'" for m in MATCH_TYPES)
+    conditions["stg_matches"]["accepted_values|match_type"] = f"match_type NOT IN ({listed})"
+    for child in CHILDREN:
+        conditions[child]["relationships|match_id"] = "match_id IS NOT NULL AND parent IS NULL"
+    conditions["ball_by_ball"]["rule|runs_total"] = RUNS_DO_NOT_ADD_UP
+    conditions["match_results"]["rule|outcome_winner"] = WINNER_DID_NOT_PLAY
+    conditions["stg_innings"]["rule|batting_team"] = BATTING_SIDE_DID_NOT_PLAY
+    parents = t.stg_matches.selectExpr("match_id", "team_1", "team_2", "true AS parent")
+
+    def labelled(counts: DataFrame, table: str) -> DataFrame:
+        return counts.selectExpr(
+            "substring_index(name, '|', 1) AS check", f"'{table}' AS table",
+            "substring(name, instr(name, '|') + 1) AS column", "failures",
         )
 
-    for table, columns in REQUIRED.items():
-        rows.append(
-            quality.null_counts(getattr(t, table), columns).select(
-                F.lit("not_null").alias("check"), F.lit(table).alias("table"),
-                F.col("column_name").alias("column"), "failures",
-            )
-        )
+    rows: list[DataFrame] = []
+    for table, found in conditions.items():
+        df = getattr(t, table)
+        if table in CHILDREN:
+            df = df.join(parents, "match_id", "left")
+        rows.append(labelled(quality.violation_counts(df, found), table))
     for table, key in UNIQUE.items():
         name = key if isinstance(key, str) else "|".join(key)
-        rows.append(counted(quality.unique(getattr(t, table), _composite(key)), "unique", table, name))
-    formats = quality.accepted_values(t.stg_matches, "match_type", MATCH_TYPES)
-    rows.append(counted(formats, "accepted_values", "stg_matches", "match_type"))
-    for child in CHILDREN:
-        orphans = quality.relationships(getattr(t, child), t.stg_matches, "match_id")
-        rows.append(counted(orphans, "relationships", child, "match_id"))
-    rows.append(counted(runs_add_up(t), "rule", "ball_by_ball", "runs_total"))
-    rows.append(counted(winner_took_part(t), "rule", "match_results", "outcome_winner"))
-    rows.append(counted(batting_team_took_part(t), "rule", "stg_innings", "batting_team"))
+        value = F.col(key) if isinstance(key, str) else F.concat_ws("|", *key)
+        repeated = quality.unique(getattr(t, table), value).agg(F.count("*").alias("failures"))
+        rows.append(labelled(repeated.withColumn("name", F.lit(f"unique|{name}")), table))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
