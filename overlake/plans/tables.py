@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from overlake.plans import enrich, innings as inn, marts, staging
@@ -79,7 +81,7 @@ class MatchTables:
 
     def __init__(self, silver: Silver, seeds: Seeds, store: str | None = None):
         self.silver, self.seeds, self.store = silver, seeds, store
-        self._lock = threading.RLock()
+        self._locks = {name: threading.RLock() for name in _KEPT}
         self._stored: dict[str, DataFrame] = {}
 
     @classmethod
@@ -91,13 +93,26 @@ class MatchTables:
         return tables
 
     def build(self) -> "MatchTables":
-        """Write every shared table now."""
-        for name in _KEPT:
-            getattr(self, _KEPT[name])
+        """Write every shared table now; those that do not need each other at once, so
+        that one's last tasks leave no cores idle."""
+        chains = (
+            ("balls", "took_part", "batting_career"),
+            ("balls", "overs", "bowling", "bowling_career"),
+            ("match_results",),
+            ("dim_players",),
+        )
+
+        def write(chain: tuple[str, ...]) -> None:
+            for attribute in chain:
+                getattr(self, attribute)
+
+        with ThreadPoolExecutor(len(chains)) as pool:
+            for done in [pool.submit(inheritable_thread_target(write), c) for c in chains]:
+                done.result()
         return self
 
     def _kept(self, name: str, plan) -> DataFrame:
-        with self._lock:
+        with self._locks[name]:
             if name not in self._stored:
                 df = plan()
                 self._stored[name] = df if self.store is None else self._write(name, df)
