@@ -106,8 +106,9 @@ class MatchTables:
             for attribute in chain:
                 getattr(self, attribute)
 
+        in_session = inheritable_thread_target(self.silver.matches.sparkSession)
         with ThreadPoolExecutor(len(chains)) as pool:
-            for done in [pool.submit(inheritable_thread_target(write), c) for c in chains]:
+            for done in [pool.submit(in_session(write), chain) for chain in chains]:
                 done.result()
         return self
 
