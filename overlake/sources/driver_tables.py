@@ -218,8 +218,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The narrow rows are spread first: building a document costs far more than moving
     an order, and a small source may come in one piece."""
-    tasks = spark.sparkContext.defaultParallelism
-    orders = _table(spark, sf_dir, "orders").repartition(tasks, "o_orderkey")
+    orders = _table(spark, sf_dir, "orders").repartition("o_orderkey")
     # x numbers a ball by order, innings, over and ball, without any grouping.
     deliveries = f"transform(sequence(1, 2), b -> transform(array(o_orderkey + n * 7 + v * 3 + b), x -> {_DELIVERY})[0])"
     overs = f"transform(sequence(0L, o_orderkey % 2), v -> named_struct('over', v, 'deliveries', {deliveries}))"
@@ -284,5 +283,4 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zip archives of many small documents, one member per order, as (path, content);
     every tenth order stands for a file that is no archive."""
     keys = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
-    tasks = spark.sparkContext.defaultParallelism
-    return keys.repartition(tasks, "key").mapInPandas(_zipped, "path string, content binary")
+    return keys.repartition("key").mapInPandas(_zipped, "path string, content binary")
