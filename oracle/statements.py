@@ -581,7 +581,7 @@ def statements() -> dict[str, str]:
         NULL::INT AS outcome_by_innings, CASE o_custkey % 3 WHEN 0 THEN 'P1, P2' WHEN 1 THEN 'P3' END AS player_of_match,
         'Cup' AS event_name, nullif(o_custkey % 5, 0)::INT AS event_match_number, NULL::VARCHAR AS event_group,
         NULL::VARCHAR AS event_stage, 6 AS balls_per_over, CASE WHEN o_custkey % 2 = 0 THEN 20 ELSE 12 END AS overs,
-        NULL::INT AS match_type_number, revision FROM docs WHERE o_custkey % 10 <> 0""", "docs")
+        NULL::INT AS match_type_number, revision FROM docs""", "docs")
     add("flatten_innings", f"""SELECT {keys}, innings_number, 'NATION_' || (o_custkey + innings_number) % 8 AS batting_team,
         CASE WHEN innings_number = 2 THEN true END AS declared, NULL::BOOLEAN AS forfeited,
         CASE WHEN innings_number = 3 THEN true END AS super_over, CASE WHEN innings_number = 2 THEN o_custkey % 300 END::INT AS target_runs,
@@ -599,17 +599,17 @@ def statements() -> dict[str, str]:
         CASE WHEN x % 9 = 0 THEN x % 2 = 0 END AS review_umpires_call, revision FROM doc_balls""", "doc_balls")
     add("flatten_players", f"""SELECT {keys}, n.player_name, CASE n.player_name WHEN 'P1' THEN 'id-p1' WHEN 'Q1' THEN 'id-q1' END AS cricsheet_id,
         'NATION_' || (o_custkey + n.away) % 8 AS team, revision
-        FROM docs, (VALUES ('P1', 0), ('P2', 0), ('P3', 0), ('Q1', 1)) n(player_name, away) WHERE o_custkey % 10 <> 0""", "docs")
-    add("quarantine", "SELECT match_id FROM docs WHERE o_custkey % 10 = 0", "docs")
+        FROM docs, (VALUES ('P1', 0), ('P2', 0), ('P3', 0), ('Q1', 1)) n(player_name, away)""", "docs")
+    add("quarantine", "SELECT match_id FROM docs WHERE o_orderpriority = '5-LOW'", "docs")
     add("archive_members", """SELECT CASE WHEN broken THEN 'archive-' || o_orderkey END AS unreadable,
         CASE WHEN NOT broken THEN o_orderkey::VARCHAR END AS match_id,
         CASE WHEN NOT broken THEN '{"id": ' || o_orderkey || '}' END AS content
-        FROM (SELECT o_orderkey, o_orderkey % 10 = 0 AS broken FROM orders)""")
+        FROM (SELECT o_orderkey, o_orderpriority = '5-LOW' AS broken FROM orders)""")
     add("partition_inventory", """SELECT NULL::VARCHAR AS match_type, NULL::VARCHAR AS year, count(*) AS files FROM docs
-        UNION ALL SELECT match_type, year, count(*) FROM docs WHERE o_custkey % 10 <> 0 GROUP BY match_type, year""", "docs")
+        UNION ALL SELECT match_type, year, count(*) FROM docs WHERE o_orderpriority <> '5-LOW' GROUP BY match_type, year""", "docs")
     add("bronze_state", """SELECT match_id, match_type, year, revision,
         CASE WHEN o_orderstatus = 'P' OR revision > 1 THEN 1 ELSE 0 END::BIGINT AS batch
-        FROM docs WHERE o_custkey % 10 <> 0""", "docs")
+        FROM docs WHERE o_orderpriority <> '5-LOW'""", "docs")
     add("streamed_state", """SELECT user_id::VARCHAR AS match_id, max((props->>'$.k')::INT) AS revision FROM events GROUP BY user_id""")
     add("silver_round_trip", """SELECT match_type, year::VARCHAR AS year, 2 * count(*) AS balls,
         2 * sum(runs_batter + extras_wides + extras_noballs + extras_byes + extras_legbyes)::BIGINT AS runs

@@ -212,13 +212,20 @@ named_struct(
 """
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows over as many tasks as the session's shuffles have; naming the number keeps
+    them apart although they are small, for work that is heavy per row."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested match document per order as (match_id, name, content); every leaf
     follows from the order.  Optional parts are absent in some documents.
 
-    The narrow rows are spread first: building a document costs far more than moving
-    an order, and a small source may come in one piece."""
-    orders = _table(spark, sf_dir, "orders").repartition("o_orderkey")
+    Building a document costs far more than moving an order, so the narrow rows are
+    spread first."""
+    orders = _spread(_table(spark, sf_dir, "orders"), "o_orderkey")
     # x numbers a ball by order, innings, over and ball, without any grouping.
     deliveries = f"transform(sequence(1, 2), b -> transform(array(o_orderkey + n * 7 + v * 3 + b), x -> {_DELIVERY})[0])"
     overs = f"transform(sequence(0L, o_orderkey % 2), v -> named_struct('over', v, 'deliveries', {deliveries}))"
@@ -252,8 +259,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("match_id"),
         F.expr("concat('bronze/', o_orderkey, '.json')").alias("name"),
         F.to_json(F.struct("meta", "info", "innings")).alias("content"),
-        "o_custkey",
         "o_orderstatus",
+        "o_orderpriority",
     )
 
 
@@ -264,9 +271,9 @@ def _zipped(batches):
     import pandas as pd
 
     for batch in batches:
-        keys = batch["key"].tolist()
-        whole = [k for k in keys if k % 10]
-        rows = [(f"archive-{k}", b"not an archive") for k in keys if k % 10 == 0]
+        whole = batch.loc[~batch["broken"], "key"].tolist()
+        broken = batch.loc[batch["broken"], "key"].tolist()
+        rows = [(f"archive-{k}", b"not an archive") for k in broken]
         for start in range(0, len(whole), 500):
             chunk = whole[start : start + 500]
             buffer = io.BytesIO()
@@ -281,6 +288,8 @@ def _zipped(batches):
 
 def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zip archives of many small documents, one member per order, as (path, content);
-    every tenth order stands for a file that is no archive."""
-    keys = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
-    return keys.repartition("key").mapInPandas(_zipped, "path string, content binary")
+    an order of low priority stands for a file that is no archive."""
+    orders = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS key", "o_orderpriority = '5-LOW' AS broken"
+    )
+    return _spread(orders, "key").mapInPandas(_zipped, "path string, content binary")

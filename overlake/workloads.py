@@ -218,24 +218,22 @@ def missing_values(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    """The derived documents, every tenth customer's cut off before the last brace.
-
-    Stored once per session.  Rows are spread before they grow into documents, since
-    that takes far more work than reading them."""
+    """The derived documents, one per order, stored once per session."""
 
     def build():
-        cut = F.expr("substr(content, 1, length(content) - 1)")
-        broken = F.col("o_custkey") % 10 == 0
-        docs = dt.documents(spark, sf_dir).withColumn(
-            "content", F.when(broken, cut).otherwise(F.col("content"))
-        )
         path = fresh_path(spark, "documents")
-        docs.write.parquet(path)
+        dt.documents(spark, sf_dir).write.parquet(path)
         return spark.read.parquet(path)
 
     return _once(spark, sf_dir, "documents", build)
 
 
+def _delivered(spark, sf_dir):
+    """The documents as they might arrive: those of low priority lack their last brace."""
+    cut = "if(o_orderpriority = '5-LOW', substr(content, 1, length(content) - 1), content)"
+    return _documents(spark, sf_dir).withColumn("content", F.expr(cut))
+
+
 def flattened(table: str):
     def run(spark, sf_dir):
         docs = parse_documents(_documents(spark, sf_dir), parts=flatten.PARTS[table])
@@ -245,7 +243,7 @@ def flattened(table: str):
 
 
 def quarantined(spark, sf_dir):
-    return quarantine(parse_documents(_documents(spark, sf_dir))).select("match_id")
+    return quarantine(parse_documents(_delivered(spark, sf_dir))).select("match_id")
 
 
 def archive_members(spark, sf_dir):
@@ -259,7 +257,7 @@ def archive_members(spark, sf_dir):
 
 def inventory(spark, sf_dir):
     """Paths the documents would have; unreadable ones lie above the folders."""
-    rows = bronze_rows(_documents(spark, sf_dir))
+    rows = bronze_rows(_delivered(spark, sf_dir))
     folders = F.concat(F.lit("match_type="), "match_type", F.lit("/year="), "year", F.lit("/"))
     prefix = F.when(F.col("error").isNull(), folders).otherwise("")
     path = F.concat(prefix, "match_id", F.lit(".json"))
@@ -269,7 +267,7 @@ def inventory(spark, sf_dir):
 def bronze_state(spark, sf_dir):
     """Two batches into a fresh store: settled orders at revision 1, then all at theirs."""
     store = BronzeStore(spark, fresh_path(spark, "bronze"))
-    docs = _documents(spark, sf_dir)
+    docs = _delivered(spark, sf_dir)
     settled = bronze_rows(docs.filter("o_orderstatus <> 'P'"))
     store.apply(settled.withColumn("revision", F.lit(1)), 0)
     store.apply(bronze_rows(docs), 1)
