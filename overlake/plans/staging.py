@@ -48,9 +48,13 @@ def stage_innings(innings: DataFrame) -> DataFrame:
 
 def stage_deliveries(deliveries: DataFrame) -> DataFrame:
     """One row per ball and revision.  The key reaches down to the ball, so even a
-    match with very many rows spreads over all tasks."""
+    match with very many rows spreads over all tasks.  Files that only have the joined
+    fielders' names get the list from them."""
     return dedupe(_typed(deliveries), [*_DELIVERY_KEY, "revision"]).withColumns(
-        _default("false", "runs_non_boundary")
+        {
+            **_default("false", "runs_non_boundary"),
+            **_default("split(wicket_fielders, ', ')", "wicket_fielders_arr"),
+        }
     )
 
 

@@ -13,6 +13,6 @@ from overlake.sources.raw import (
     with_partition_keys,
 )
 from overlake.sources.seeds import read_seed, seed_frame
-from overlake.sources.silver import read_silver, write_silver
+from overlake.sources.silver import adopt_silver, read_silver, write_silver
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from overlake.schemas import SILVER
 
@@ -42,3 +43,46 @@ def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read one silver table under the fixed schema; columns that older files lack are
     NULL, and the partition columns come from the folder names as text."""
     return spark.read.schema(SILVER[name]).parquet(f"{root.rstrip('/')}/{name}")
+
+
+def adopt_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Read a silver table whose files were written batch by batch with inferred types.
+
+    In such files a column without values has no type, and the same column may be whole
+    numbers in one file and fractions in the next, which no single read schema covers.
+    Each file is opened by the task that holds it and its columns cast to the fixed
+    schema by name; columns it lacks are NULL.  Meant to be passed on to
+    :func:`write_silver` once.
+    """
+    schema = SILVER[name]
+    target = to_arrow_schema(schema)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(f"{root.rstrip('/')}/{name}")
+        .select("path", "content")
+    )
+
+    def cast(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        for held in batches:
+            for path, content in zip(held["path"].to_pylist(), held["content"]):
+                folders = dict(p.split("=", 1) for p in path.split("/") if "=" in p)
+                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                for rows in file.iter_batches(batch_size=50_000):
+                    present = set(rows.schema.names)
+                    columns = []
+                    for field in target:
+                        if field.name in folders:
+                            columns.append(pa.repeat(folders[field.name], rows.num_rows).cast(field.type))
+                        elif field.name in present:
+                            columns.append(pc.cast(rows.column(field.name), field.type, safe=False))
+                        else:
+                            columns.append(pa.nulls(rows.num_rows, field.type))
+                    yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    return files.mapInArrow(cast, schema)

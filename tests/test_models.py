@@ -136,3 +136,13 @@ def test_stored_tables_can_be_loaded(spark, tables):
     again = MatchTables.load(spark, tables.store)
     assert rows(again.match_results.select(*MATCH_RESULTS)) == rows(tables.match_results)
     assert again.batting.count() == tables.batting.count()
+
+
+def test_fielders_from_joined_names(spark):
+    from overlake.plans.staging import stage_deliveries
+    from overlake.schemas import DELIVERIES
+
+    row = {f.name: None for f in DELIVERIES} | {"match_id": "1", "innings_number": 1, "over_number": 0, "ball_in_over": 1}
+    old = spark.createDataFrame([tuple({**row, "wicket_fielders": "Al, Al Keeper"}.values())], DELIVERIES)
+    staged = stage_deliveries(old).first()
+    assert staged.wicket_fielders_arr == ["Al", "Al Keeper"] and staged.revision == 1

@@ -3,6 +3,7 @@ import os
 import time
 import zipfile
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -11,6 +12,7 @@ from overlake.plans.ingest import transform
 from overlake.schemas import SILVER
 from overlake.sources import (
     BronzeStore,
+    adopt_silver,
     bronze_rows,
     explode_archives,
     partition_inventory,
@@ -83,6 +85,25 @@ def test_silver_layout_and_types(spark, ingested):
         assert meta.metadata.row_group(0).column(0).compression == "ZSTD"
 
 
+def test_adopting_files_with_inferred_types(spark, tmp_path):
+    def put(**columns):
+        pq.write_to_dataset(pa.table(columns), tmp_path / "innings", partition_cols=["match_type", "year"])
+
+    put(match_id=["1", "1"], match_type=["t20", "t20"], year=["2012", "unknown"], innings_number=[1, 2],
+        batting_team=["A", "B"], declared=pa.nulls(2), super_over=pa.array([None, True]),
+        target_runs=pa.nulls(2), target_overs=pa.array([20.0, None]), penalty_runs_post=pa.nulls(2))
+    put(match_id=["2"], match_type=["odi"], year=["2013"], innings_number=[1], batting_team=["A"],
+        declared=[True], super_over=pa.nulls(1), target_runs=[7], target_overs=[50], penalty_runs_post=[5])
+    adopted = adopt_silver(spark, str(tmp_path), "innings")
+    assert adopted.schema == SILVER["innings"]
+    write_silver(adopted, str(tmp_path / "ours"), "innings")
+    found = {(r.match_id, r.innings_number): r for r in read_silver(spark, str(tmp_path / "ours"), "innings").collect()}
+    assert (found["1", 1].year, found["1", 2].year, found["2", 1].match_type) == ("2012", "unknown", "odi")
+    assert found["1", 2].super_over is True and found["1", 1].declared is None
+    assert (found["2", 1].target_overs, found["1", 1].target_overs, found["2", 1].penalty_runs_post) == (50.0, 20.0, 5)
+    assert found["1", 1].revision is None
+
+
 def test_full_load_replaces(spark, raw, tmp_path):
     root = str(tmp_path / "silver")
     transform(spark, raw, root, "full")
