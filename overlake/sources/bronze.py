@@ -21,7 +21,7 @@ _HEAD = (
 )
 
 BRONZE = (
-    "match_id string, match_type string, year string, revision int, content string, batch long"
+    "match_id string, match_type string, year string, revision int, content string, status string, batch long"
 )
 INDEX = "match_id string, revision int, status string, batch long"
 
@@ -60,32 +60,31 @@ class BronzeStore:
             return self.spark.createDataFrame([], schema)
 
     def index(self, before: int | None = None) -> DataFrame:
-        """(match_id, revision) of everything stored; empty when nothing is."""
-        rows = self._read("index", INDEX)
+        """(match_id, revision, batch) of what is stored; empty when nothing is."""
+        rows = self._read("index", INDEX).filter("status <> 'skipped'")
         if before is not None:
             rows = rows.filter(F.col("batch") != before)
-        return rows.filter(F.col("status") != "skipped").groupBy("match_id").agg(
-            F.max("revision").alias("revision")
+        return rows.groupBy("match_id").agg(
+            F.max("revision").alias("revision"), F.max_by("batch", "revision").alias("batch")
         )
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Store the documents that are new or carry a higher revision."""
-        good = batch.filter(F.col("error").isNull()).drop("error")
+        """Store the documents that are new or carry a higher revision.
+
+        Documents are written before the index rows that vouch for them, and only
+        indexed documents count, so a run lost half-way leaves nothing half-known.
+        """
+        good = batch.filter("error IS NULL").drop("error")
         keys = good.select("match_id", "revision")
-        classified = classify_revisions(self.index(before=batch_id), keys)
-        # The index rows are written first and read back, so the decision is taken once.
-        classified.select("match_id", "revision", "status").write.mode("overwrite").parquet(
-            f"{self.path}/index/batch={batch_id}"
-        )
-        accepted = (
-            self.spark.read.schema("match_id string, revision int, status string")
-            .parquet(f"{self.path}/index/batch={batch_id}")
-            .filter(F.col("status") != "skipped")
-            .select("match_id", "revision")
-        )
-        taken = good.join(accepted, ["match_id", "revision"], "left_semi")
-        one_each = dedupe(taken, ["match_id"], ["revision DESC NULLS LAST"])
-        one_each.write.mode("overwrite").parquet(f"{self.path}/documents/batch={batch_id}")
+        accepted = classify_revisions(self.index(before=batch_id), keys).filter("status <> 'skipped'")
+        taken = good.join(accepted, ["match_id", "revision"])
+        here = f"batch={batch_id}"
+        dedupe(taken, ["match_id"]).write.mode("overwrite").parquet(f"{self.path}/documents/{here}")
+        stored = self._read("documents", BRONZE).filter(F.col("batch") == batch_id)
+        known = stored.select("match_id", "revision", "status")
+        newest = keys.groupBy("match_id").agg(F.max("revision").alias("revision"))
+        skipped = newest.join(known, "match_id", "left_anti").withColumn("status", F.lit("skipped"))
+        known.unionByName(skipped).write.mode("overwrite").parquet(f"{self.path}/index/{here}")
 
     def stats(self, batch_id: int) -> DataFrame:
         return revision_stats(self._read("index", INDEX).filter(F.col("batch") == batch_id))
@@ -93,4 +92,5 @@ class BronzeStore:
     def current(self) -> DataFrame:
         """Latest stored document per match."""
         docs = self._read("documents", BRONZE)
-        return docs.join(self.index(), ["match_id", "revision"], "left_semi")
+        latest = docs.join(self.index(), ["match_id", "revision", "batch"], "left_semi")
+        return latest.drop("status")

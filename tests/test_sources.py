@@ -1,5 +1,6 @@
 import json
 import os
+import shutil
 import time
 import zipfile
 
@@ -155,6 +156,17 @@ def test_bronze_is_idempotent(spark, tmp_path):
     assert len(current) == n and current["1001"] == (2, "t20", "2012")
 
 
+def test_documents_without_index_do_not_count(spark, tmp_path):
+    store = BronzeStore(spark, str(tmp_path / "bronze"))
+    batch = bronze_rows(read_raw_texts(spark, docs.write(tmp_path / "raw", docs.ALL)))
+    store.apply(batch, 0)
+    shutil.rmtree(tmp_path / "bronze" / "index" / "batch=0")  # as if lost in between
+    assert store.current().count() == 0
+    store.apply(batch, 1)
+    assert {r["status"]: r["matches"] for r in rows(store.stats(1))} == {"new": len(docs.ALL)}
+    assert [r.batch for r in store.current().collect()] == [1] * len(docs.ALL)
+
+
 def test_stream_equals_batches(spark, tmp_path):
     landing, store = tmp_path / "landing", BronzeStore(spark, str(tmp_path / "bronze"))
     schema = "name string, content string"
