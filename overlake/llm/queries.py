@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overlake.llm import quality
+from overlake.llm import quality, secrets, toxicity
 from overlake.llm.tables import held_out, table
+from overlake.session import fresh_path
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, through a ledger that starts empty."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = secrets.BlobLedger(spark, fresh_path(spark, "blob-ledger"))
+    ledger.advance(docs)
+    return secrets.digest(ledger.on_paths(docs, "doc_id"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +29,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learnt from labels whose key remainder is not 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), toxicity.score(docs, model).alias("score")
+    ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

@@ -2,6 +2,51 @@
 
 from __future__ import annotations
 
+# The kinds in their order, with the group and least length that a match needs.
+KINDS = (
+    (
+        "assign",
+        r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd])|(?:[Pp][Aa][Ss][Ss][Ww][Dd])|(?:[Ss][Ee][Cc][Rr][Ee][Tt])"""
+        r"""|(?:[Tt][Oo][Kk][Ee][Nn])|(?:[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""",
+        2,
+        6,
+    ),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+)
+
+
+def _spans(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+    SELECT n, {rank} AS rank, '{kind}' AS kind, list_sum(gaps[:i]) + coalesce(list_sum(sizes[:i - 1]), 0) AS s, sizes[i] AS size
+    FROM (
+        SELECT n, list_transform(string_split_regex(body, {quoted}), lambda x: length(x)) AS gaps,
+            list_transform(regexp_extract_all(body, {quoted}, 0), lambda x: length(x)) AS sizes,
+            list_transform(regexp_extract_all(body, {quoted}, {group}), lambda x: length(x)) AS kept,
+            unnest(range(1, len(regexp_extract_all(body, {quoted}, 0)) + 1)) AS i
+        FROM d
+    )
+    WHERE kept[i] >= {least}"""
+
+
+def secrets() -> str:
+    found = " UNION ALL ".join(_spans(rank, *kind) for rank, kind in enumerate(KINDS))
+    text = "kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + size AS BIGINT)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS body FROM documents),
+found AS ({found}),
+per AS (
+    SELECT n, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k, count(*) FILTER (kind = 'hex') AS h,
+        string_agg({text}, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg({text}, ',' ORDER BY s, rank) AS spans
+    FROM found GROUP BY n
+)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (n)"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_secrets": secrets()}
