@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overlake.llm import quality, secrets, toxicity
+from overlake.llm import decontaminate, language, quality, secrets, toxicity
 from overlake.llm.tables import held_out, table
 from overlake.session import fresh_path
 
@@ -29,6 +29,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learnt from those whose key remainder is not 1 of 3."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.fit(docs)).alias("found")
+    return docs.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), found).select(
+        "doc_id", "held_out", "found.lang_pred", "found.score"
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; learnt from labels whose key remainder is not 2 of 4."""
     docs = table(spark, sf_dir, "documents")
@@ -38,5 +47,25 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document shares with the benchmark."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", decontaminate.matches(docs, table(spark, sf_dir, "benchmark")).alias("found"))
+    n_words, n_hit = F.col("n_words"), F.col("n_hit")
+    return (
+        found.select("doc_id", "found.*")
+        .withColumn("n_hit", decontaminate.covered(F.col("hits")))
+        .select(
+            "doc_id",
+            n_words,
+            n_hit,
+            F.size("items").cast("long").alias("n_items"),
+            F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+            decontaminate.contaminated(n_words, n_hit).alias("contaminated"),
+            F.col("longest").alias("longest_match"),
+        )
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
