@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overlake.llm import decontaminate, language, quality, secrets, toxicity
+from overlake.llm import decontaminate, language, packing, quality, secrets, toxicity
 from overlake.llm.tables import held_out, table
 from overlake.session import fresh_path
 
@@ -29,6 +29,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its bin."""
+    return packing.assign(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learnt from those whose key remainder is not 1 of 3."""
     docs = table(spark, sf_dir, "documents")
