@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overlake.llm import decontaminate, language, packing, quality, secrets, toxicity
+from overlake.llm import decontaminate, language, lines, packing, quality, secrets, toxicity
 from overlake.llm.tables import held_out, table
 from overlake.session import fresh_path
 
@@ -29,6 +29,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its lines that occur earlier."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedupe(docs).select("doc_id", "line_stats.*", "text")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its bin."""
     return packing.assign(table(spark, sf_dir, "documents"))

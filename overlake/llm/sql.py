@@ -48,5 +48,49 @@ SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(
 FROM d LEFT JOIN per USING (n)"""
 
 
+def lines(levels: int = 12, least: int = 2, chars: int = 30) -> str:
+    """Repeated runs of 1, 2, 4, ... lines by plain ranking; ``levels`` covers the longest text."""
+    ranks = ["""r0 AS (SELECT doc_id, i, n, place, size, dense_rank() OVER (ORDER BY line) AS r FROM l)"""]
+    for k in range(levels):
+        ranks.append(
+            f"""r{k + 1} AS (SELECT doc_id, i, n, dense_rank() OVER (ORDER BY r, after) AS r FROM
+            (SELECT doc_id, i, n, r, lead(r, {2**k}) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM r{k}) WHERE after IS NOT NULL)"""
+        )
+    later = " UNION ALL ".join(
+        f"SELECT doc_id, i, {2**k} AS run FROM r{k} QUALIFY row_number() OVER (PARTITION BY r ORDER BY n) > 1" for k in range(levels + 1)
+    )
+    return f"""
+WITH body AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+each AS (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS place, unnest(parts) AS line FROM body),
+l AS (
+    SELECT doc_id, place, trim(line, ' ') AS line, length(trim(line, ' ')) AS size,
+        row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i, row_number() OVER (ORDER BY doc_id, place) AS n
+    FROM each WHERE trim(line, ' ') <> ''
+),
+{", ".join(ranks)},
+later AS ({later}),
+gone AS (
+    SELECT DISTINCT doc_id, i FROM (
+        SELECT doc_id, i FROM later JOIN l USING (doc_id, i) WHERE run = 1 AND size >= {chars}
+        UNION ALL SELECT doc_id, i + unnest(range({least})) FROM later WHERE run = {least}
+    )
+),
+runs AS (
+    SELECT doc_id, count(*) AS n_deleted, list(place ORDER BY place) AS places,
+        count(*) FILTER (before IS NULL OR before <> place - 1) AS n_runs
+    FROM (SELECT doc_id, place, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM gone JOIN l USING (doc_id, i))
+    GROUP BY doc_id
+),
+long AS (
+    SELECT doc_id, max(run) AS longest FROM later JOIN l USING (doc_id, i) WHERE run >= {least} OR size >= {chars} GROUP BY doc_id
+),
+size AS (SELECT doc_id, count(*) AS n_lines FROM l GROUP BY doc_id)
+SELECT b.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_deleted, 0) AS INTEGER) AS n_deleted,
+    CAST(coalesce(n_runs, 0) AS INTEGER) AS n_runs, CAST(coalesce(longest, 0) AS BIGINT) AS longest_copy,
+    CASE WHEN n_deleted IS NULL THEN text WHEN n_deleted = n_lines THEN ''
+        ELSE array_to_string([parts[j] FOR j IN range(1, len(parts) + 1) IF NOT list_contains(places, j)], chr(10)) END AS text
+FROM body b LEFT JOIN runs USING (doc_id) LEFT JOIN size USING (doc_id) LEFT JOIN long USING (doc_id)"""
+
+
 def statements() -> dict[str, str]:
-    return {"op2_secrets": secrets()}
+    return {"op2_secrets": secrets(), "op4_lines": lines()}
