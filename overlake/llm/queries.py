@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overlake.llm import decontaminate, language, lines, packing, quality, secrets, toxicity
-from overlake.llm.tables import held_out, table
+from overlake.llm import decontaminate, language, lines, neighbours, packing, quality, secrets, toxicity
+from overlake.llm.tables import held_out, stored, table
 from overlake.session import fresh_path
 
 
@@ -29,6 +29,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    vectors = stored(neighbours.valid(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "vectors")
+    index, share = neighbours.build(vectors), neighbours.fit_share(vectors, 5)
+    found = neighbours.search(index, vectors.where("id % 50 = 0"), 5, share)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its lines that occur earlier."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
