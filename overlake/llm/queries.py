@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overlake.llm import decontaminate, language, lines, neighbours, packing, quality, secrets, toxicity
+from overlake.llm import decontaminate, language, lines, neighbours, ngram_join, packing, quality, secrets, toxicity
 from overlake.llm.tables import held_out, stored, table
 from overlake.session import fresh_path
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document, by five-word shingles and a similarity of 0.8."""
+    found = ngram_join.join(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "class_id", "n_links", "n_shingles")
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, through a ledger that starts empty."""
     docs = table(spark, sf_dir, "documents")
