@@ -6,7 +6,7 @@ which the join recurses: a node samples coordinates by its path, and a set goes
 each token it has there, so similar sets stay together.  Buckets of at most ``BUCKET`` sets are
 compared by brute force on packed tokens.  Larger ones split further; what ``DEEP`` levels don't
 split is dense and joined whole.  ``RUNS`` independent runs reach the target recall: a pair at the
-threshold is missed with a chance of about 3 in 100,000, a closer one with less.
+threshold is missed with a chance of about 1 in 100,000, a closer one with less.
 
 What meets is only a candidate.  Candidates form loose clusters, and inside each every pair is
 checked once on the exact sets: small clusters many to a task, larger ones as a grid of blocks.
@@ -34,9 +34,10 @@ from overlake.llm.words import Words, chunks, mix, seeds, shingles
 SHINGLE = 5
 THRESHOLD = 0.8
 COORDINATES = 64
-RUNS = 8
+RUNS = 10
 #: Levels of the recursion before buckets are counted, and for buckets that are still large.
-LEVELS, DEEP = 2, 4
+#: These split several times anew, as two more levels part more similar pairs.
+LEVELS, DEEP, REPEATS = 2, 4, 3
 BUCKET = 1_024
 #: Equal tokens, of ``COORDINATES``, from which a pair is a candidate: below the threshold by 3.7 deviations.
 AGREE = 39
@@ -155,7 +156,9 @@ def _paths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         tokens, own = _tokens(frame["tokens"]), np.arange(len(frame))
         if "path" in frame:
-            paths, rows = _split(frame["path"].to_numpy(np.int64).view(np.uint64), own, tokens, DEEP - LEVELS)
+            path = frame["path"].to_numpy(np.int64).view(np.uint64)
+            again = np.concatenate([mix(path + np.uint64(1000 + k)) for k in range(REPEATS)])
+            paths, rows = _split(again, np.tile(own, REPEATS), tokens, DEEP - LEVELS)
         else:
             start = mix(np.arange(1, RUNS + 1, dtype=np.uint64))
             paths, rows = _split(np.repeat(start, len(own)), np.tile(own, RUNS), tokens, LEVELS)
