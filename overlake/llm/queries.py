@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overlake.llm import decontaminate, language, lines, neighbours, ngram_join, packing, quality, secrets, toxicity
+from overlake.llm import decontaminate, language, lines, neighbours, ngram_join, packing, passages, quality, secrets, toxicity
 from overlake.llm.tables import held_out, stored, table
 from overlake.session import fresh_path
 
@@ -63,6 +63,15 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of 50 words or more of every document, and the classes that they tie together."""
+    found = passages.repeats(table(spark, sf_dir, "documents"))
+    written = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select(
+        F.col("key").alias("doc_id"), "class_id", "n_words", "n_repeated", F.array_join(written, ",").alias("spans")
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; learnt from labels whose key remainder is not 2 of 4."""
     docs = table(spark, sf_dir, "documents")
