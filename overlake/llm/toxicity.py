@@ -2,9 +2,12 @@
 
 Features are densities of a lexicon, second-person words near lexicon words, capitals,
 punctuation and obfuscation rates.  The lexicon holds a few fixed words and what labelled
-documents show: words, and word beginnings, that are toxic far more often than not.  One part
-of the sample teaches the lexicon, another the trees, a third the calibration, so that a
-chance word of a training document does not count as evidence.
+documents show: words, and word beginnings, that are toxic far more often than not.
+
+Two halves of the sample teach each other: the lexicon of one gives the features of the other,
+and the trees of one give the scores on which the other is calibrated.  So a chance word of a
+training document does not count as evidence.  The lexicon and the trees that are kept are
+learnt from both.
 
 Learning uses at most ``SAMPLE`` labelled documents; scoring reads every text in full.  Null
 and empty texts have all rates zero and are scored like any other row.  Without labelled rows,
@@ -21,13 +24,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from overlake.llm.tables import labelled_sample
+from overlake.llm.tables import labelled_sample, stored
 from overlake.llm.words import WORD_BYTES, Words, chunks
 
 #: Labelled documents that learning sees, at most.
 SAMPLE = 24_000
 #: Learned lexicon entries, at most.
 ENTRIES = 20_000
+#: Documents that an entry must be in.
+LEAST = 5
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
 #: Word beginnings of these many bytes are entries besides whole words (0).
@@ -235,15 +240,16 @@ class Model:
         return self.boosted.score(features(texts, self.lexicon))
 
 
-def learn_lexicon(rows: DataFrame) -> Lexicon:
-    """Entries in at least eight documents whose toxic share is at least a half with 99 % confidence.
+def learn_lexicons(rows: DataFrame) -> list[Lexicon]:
+    """Lexicons of half 0, of half 1, and of all rows (text, label, half).
 
-    Rows are (text, label).  Counts are made by Spark; at most ``ENTRIES`` entries return.
+    An entry is in several documents and toxic in at least half of all, with 99 % confidence.
+    Spark counts; at most ``ENTRIES`` entries of each lexicon return.
     """
 
     def entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            labels = frame["label"].to_numpy()
+            labels, halves = frame["label"].to_numpy(), frame["half"].to_numpy()
             for first, encoded in chunks(list(frame["text"])):
                 words = Words(encoded)
                 owner = words.owner()
@@ -254,60 +260,73 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
                     h, o = hashed[order], owner[long][order]
                     new = np.ones(len(h), bool)
                     new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-                    found, back = np.unique(h[new], return_inverse=True)
-                    toxic = np.bincount(back, labels[first + o[new]], minlength=len(found))
-                    yield pd.DataFrame(
-                        {"size": size, "entry": found.view(np.int64), "toxic": toxic, "n": np.bincount(back, minlength=len(found))}
-                    )
-
-    share, z = F.col("toxic") / F.col("n"), 2.326
-    margin = z * F.sqrt(share * (1 - share) / F.col("n") + z**2 / (4 * F.col("n") ** 2))
-    low = (share + z**2 / (2 * F.col("n")) - margin) / (1 + z**2 / F.col("n"))
-    got = (
-        rows.mapInPandas(entries, "size int, entry long, toxic double, n long")
+                    h, of = h[new], first + o[new]
+                    for half in (0, 1):
+                        own = halves[of] == half
+                        found, back = np.unique(h[own], return_inverse=True)
+                        n = np.bincount(back, minlength=len(found))
+                        toxic = np.bincount(back, labels[of[own]], minlength=len(found))
+                        yield pd.DataFrame({"half": half, "size": size, "entry": found.view(np.int64), "toxic": toxic, "n": n})
+
+    counts = (
+        rows.mapInPandas(entries, "half int, size int, entry long, toxic double, n long")
         .groupBy("size", "entry")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-        .where("n >= 8")
-        .withColumn("low", low)
-        .where("low >= 0.5")
-        .orderBy(F.desc("low"), "size", "entry")
-        .limit(ENTRIES)
-        .toPandas()
+        .agg(*[F.sum(F.when(F.col("half") == h, F.col(c)).otherwise(0)).alias(f"{c}{h}") for c in ("toxic", "n") for h in (0, 1)])
     )
-    return Lexicon({s: np.sort(g["entry"].to_numpy(np.int64).view(np.uint64)) for s, g in got.groupby("size")})
+    counts = stored(counts, "lexicon-counts")
+    lexicons = []
+    for toxic, n in (("toxic0", "n0"), ("toxic1", "n1"), ("toxic0 + toxic1", "n0 + n1")):
+        n_, share, z = F.expr(n), F.expr(f"({toxic}) / ({n})"), 2.326
+        margin = z * F.sqrt(share * (1 - share) / n_ + z**2 / (4 * n_**2))
+        low = (share + z**2 / (2 * n_) - margin) / (1 + z**2 / n_)
+        got = (
+            counts.where(f"{n} >= {LEAST}")
+            .withColumn("low", low)
+            .where("low >= 0.5")
+            .orderBy(F.desc("low"), "size", "entry")
+            .limit(ENTRIES)
+            .select("size", "entry")
+            .toPandas()
+        )
+        lexicons.append(Lexicon({s: np.sort(g["entry"].to_numpy(np.int64).view(np.uint64)) for s, g in got.groupby("size")}))
+    return lexicons
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model learnt from at most ``sample`` labelled documents of ``docs`` (doc_id, text)."""
-    rows = labelled_sample(docs, labels, label, sample).withColumn("part", F.pmod(F.xxhash64(F.lit(9), "key"), F.lit(4)))
-    lexicon = learn_lexicon(rows.where("part < 2").select("text", "label"))
-    held = docs.sparkSession.sparkContext.broadcast(lexicon)
+    rows = labelled_sample(docs, labels, label, sample).withColumn("half", F.pmod(F.xxhash64(F.lit(9), "key"), F.lit(2)).cast("int"))
+    rows = stored(rows, "toxicity-sample")
+    lexicons = learn_lexicons(rows)
+    held = docs.sparkSession.sparkContext.broadcast(lexicons)
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            dense = features(list(frame["text"]), held.value)
+            halves, texts = frame["half"].to_numpy(), frame["text"].to_numpy()
+            dense = np.zeros((len(frame), FEATURES))
+            for half in (0, 1):
+                own = halves == half
+                dense[own] = features(list(texts[own]), held.value[1 - half])
             yield pd.DataFrame(
                 {
                     "key": frame["key"].astype(str),
                     "label": frame["label"],
-                    "part": frame["part"],
+                    "half": halves,
                     "dense": [r.astype("<f8").tobytes() for r in dense],
                 }
             )
 
     # At most ``sample`` rows of a few numbers.
-    got = (
-        rows.mapInPandas(extract, "key string, label int, part long, dense binary").toPandas().sort_values("key")
-    )
-    y = got["label"].to_numpy(float)
-    part = got["part"].to_numpy()
-    trees, rest = part == 2, part == 3
-    if len(set(y[trees])) < 2 or len(set(y[rest])) < 2:
-        return Model(lexicon, None, float((y.sum() + 0.5) / (len(y) + 1)) if len(y) else 0.0)
+    got = rows.mapInPandas(extract, "key string, label int, half int, dense binary").toPandas().sort_values("key")
+    y, half = got["label"].to_numpy(float), got["half"].to_numpy()
+    if min((len(set(y[half == h])) for h in (0, 1)), default=0) < 2:
+        return Model(lexicons[2], None, float((y.sum() + 0.5) / (len(y) + 1)) if len(y) else 0.0)
     dense = np.frombuffer(b"".join(got["dense"]), "<f8").reshape(len(got), -1)
-    boosted = grow(dense[trees], y[trees])
-    boosted.steps = isotonic(boosted.raw(dense[rest]), y[rest])
-    return Model(lexicon, boosted)
+    raw = np.zeros(len(y))
+    for h in (0, 1):
+        raw[half == h] = grow(dense[half != h], y[half != h]).raw(dense[half == h])
+    boosted = grow(dense, y)
+    boosted.steps = isotonic(raw, y)
+    return Model(lexicons[2], boosted)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
