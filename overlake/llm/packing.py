@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from overlake.llm.tables import stored
+
 #: Permitted sequence lengths, in tokens.
 LENGTHS = (256, 512, 1024, 2048, 4096)
 #: Pieces packed together in one task.
@@ -122,7 +124,7 @@ def assign(
 ) -> DataFrame:
     """The bin of every piece, as ``PACKED``; a bin is named by (shard, bin)."""
     longest = max(lengths)
-    cut = pieces(docs, words() if n_tokens is None else n_tokens, longest)
+    cut = stored(pieces(docs, words() if n_tokens is None else n_tokens, longest), "pieces")
     name = ["doc_id", "total", "piece", "occurrence"]
     full = cut.where(F.col("n_tokens") == longest).select(
         "doc_id",
@@ -136,8 +138,7 @@ def assign(
         F.lit(longest).alias("bin_length"),
         F.lit(0).alias("bin_offset"),
     )
-    rows = max(1, docs.count())
-    n_shards = -(-rows // shard)
+    n_shards = max(1, -(-cut.count() // shard))
 
     def in_shard(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(
