@@ -35,7 +35,7 @@ STATS = "struct<n_lines:int,n_deleted:int,n_runs:int,longest_copy:long>"
 
 def _lines(text: Column) -> Column:
     """Place, two hashes and length of each non-blank line."""
-    whole = F.transform(F.split(text, "\n", -1), F.trim)
+    whole = F.transform(F.split(text, "\n", -1), lambda l: F.trim(l))
     line = F.transform(
         whole,
         lambda l, i: F.struct(
@@ -167,9 +167,11 @@ def dedupe(
         "c1",
         "c2",
         F.col("owner.key").alias("owner"),
-        F.transform("lines", lambda l: l["place"]).alias("all"),
-        # Whether another copy of the whole text goes: it is a run of its own.
-        ((F.size("lines") >= min_lines) | F.exists("lines", lambda l: l["size"] >= min_chars)).alias("counts"),
+        F.size("lines").alias("n_lines"),
+        # What another copy of the whole text loses: it is a run of its own, if long enough.
+        F.transform(
+            F.filter("lines", lambda l: (F.size("lines") >= min_lines) | (l["size"] >= min_chars)), lambda l: l["place"]
+        ).alias("all"),
         F.coalesce("places", F.array().cast("array<int>")).alias("places"),
         F.coalesce("longest", F.lit(0).cast("long")).alias("longest"),
     )
@@ -179,9 +181,10 @@ def dedupe(
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
     body, own_key = F.col("_row")[text], F.col("_row")[key]
     joined = rows.join(about, (F.xxhash64(body) == a["c1"]) & (F.xxhash64(F.lit(7), body) == a["c2"]) & body.isNotNull(), "left")
-    copy = ~own_key.eqNullSafe(a["owner"]) & a["counts"]
-    size = F.size(a["all"])
-    power = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double")))).cast("long")
+    copy = ~own_key.eqNullSafe(a["owner"]) & (F.size(a["all"]) > 0)
+    size = a["n_lines"]
+    run = F.when(size >= min_lines, size).otherwise(F.lit(1))
+    power = F.pow(F.lit(2.0), F.floor(F.log2(run.cast("double")))).cast("long")
     places = F.when(copy, a["all"]).otherwise(a["places"])
     split = F.split(body, "\n", -1)
     kept = (
