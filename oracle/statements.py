@@ -580,7 +580,7 @@ def statements() -> dict[str, str]:
         CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 90 END::INT AS outcome_by_runs, NULL::INT AS outcome_by_wickets,
         NULL::INT AS outcome_by_innings, CASE o_custkey % 3 WHEN 0 THEN 'P1, P2' WHEN 1 THEN 'P3' END AS player_of_match,
         'Cup' AS event_name, nullif(o_custkey % 5, 0)::INT AS event_match_number, NULL::VARCHAR AS event_group,
-        NULL::VARCHAR AS event_stage, 6 AS balls_per_over, CASE WHEN o_custkey % 2 = 0 THEN 20 ELSE 12 END AS overs,
+        NULL::VARCHAR AS event_stage, 6 AS balls_per_over, CASE WHEN o_custkey % 2 = 0 THEN 20 END AS overs,
         NULL::INT AS match_type_number, revision FROM docs""", "docs")
     add("flatten_innings", f"""SELECT {keys}, innings_number, 'NATION_' || (o_custkey + innings_number) % 8 AS batting_team,
         CASE WHEN innings_number = 2 THEN true END AS declared, NULL::BOOLEAN AS forfeited,
@@ -601,17 +601,42 @@ def statements() -> dict[str, str]:
         'NATION_' || (o_custkey + n.away) % 8 AS team, revision
         FROM docs, (VALUES ('P1', 0), ('P2', 0), ('P3', 0), ('Q1', 1)) n(player_name, away)""", "docs")
     add("quarantine", "SELECT match_id FROM docs WHERE o_orderpriority = '5-LOW'", "docs")
-    add("archive_members", """SELECT CASE WHEN broken THEN 'archive-' || o_orderkey END AS unreadable,
-        CASE WHEN NOT broken THEN o_orderkey::VARCHAR END AS match_id,
-        CASE WHEN NOT broken THEN '{"id": ' || o_orderkey || '}' END AS content
-        FROM (SELECT o_orderkey, o_orderpriority = '5-LOW' AS broken FROM orders)""")
+    add("archive_members", """SELECT NULL AS unreadable, match_id, o_orderpriority <> '5-LOW' OR o_orderkey % 100 = 7 AS whole,
+        CASE WHEN whole THEN 'Venue_' || o_custkey % 9 END AS venue FROM docs
+        UNION ALL SELECT 'archive-' || match_id, NULL, false, NULL FROM docs WHERE o_orderkey % 100 = 7""", "docs")
+    add("flatten_odd_leaves", """SELECT match_id, CASE o_custkey % 3 WHEN 0 THEN 'P1, P2' WHEN 1 THEN 'P3' END AS player_of_match,
+        CASE WHEN o_custkey % 2 = 0 THEN 20 END AS overs, year(o_orderdate)::VARCHAR AS season, innings, 0::BIGINT AS declared,
+        balls, calls, reviews, 4::BIGINT AS players
+        FROM docs JOIN (SELECT match_id, count(*) AS innings FROM doc_innings GROUP BY match_id) USING (match_id)
+        JOIN (SELECT match_id, count(*) AS balls, count(*) FILTER (x % 9 = 0 AND x % 2 <> 0) AS calls,
+            count(*) FILTER (x % 9 = 0) AS reviews FROM doc_balls GROUP BY match_id) USING (match_id)""", "docs", "doc_innings", "doc_balls")
+    files = "SELECT o_orderkey // 500 AS g, count(*) AS n, count(*) FILTER (o_custkey % 5 = 0) AS d FROM orders GROUP BY g"
+    folder = "['t20', 'odi', 'test'][g % 3 + 1] AS match_type, (2008 + g % 7)::VARCHAR AS year"
+    add("raw_files", f"""SELECT {folder}, (1 + g % 3)::INT AS revision, count(*) AS matches, sum(n)::BIGINT AS innings,
+        sum(d)::BIGINT AS declared FROM ({files}) GROUP BY ALL""")
+    add("raw_since", f"SELECT 'today' AS changed, count(*) AS files FROM ({files}) UNION ALL SELECT 'not yet', 0")
+    add("file_inventory", f"""SELECT NULL::VARCHAR AS match_type, NULL::VARCHAR AS year, count(*) AS files FROM ({files})
+        UNION ALL SELECT {folder}, count(*) FROM ({files}) GROUP BY ALL""")
+    add("csv_seeds", """SELECT CASE WHEN n_regionkey = 4 THEN n_name ELSE 'Region ' || n_regionkey END AS name, count(*) AS customers
+        FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""")
+    add("published_table", """SELECT match_type, year, count(*) AS balls, sum(runs_total)::BIGINT AS runs
+        FROM ball GROUP BY match_type, year""", "ball")
+    good = "o_orderpriority <> '5-LOW'"
+    add("bronze_two_feeds", f"""SELECT match_id, revision, CASE WHEN o_orderstatus = 'P' THEN 'first' ELSE 'second' END AS feed,
+        0::BIGINT AS batch FROM docs WHERE {good}""", "docs")
+    add("bronze_replay", f"""SELECT 0 AS of, count(*) FILTER ({good}) AS new, 0::BIGINT AS updated, 0::BIGINT AS skipped,
+        count(*) FILTER (NOT {good}) AS unreadable, count(*) FILTER ({good}) AS matches, sum(revision) FILTER ({good})::BIGINT AS revisions
+        FROM docs UNION ALL SELECT 1, 0, 0, count(*) FILTER ({good}), count(*) FILTER (NOT {good}), NULL, NULL FROM docs""", "docs")
+    add("bronze_errors", f"""SELECT match_id, 'not a JSON document' AS reason, 3::BIGINT AS batch FROM docs WHERE NOT ({good})""", "docs")
+    add("silver_rerun", """SELECT 1 AS revision, count(*) AS balls FROM recorded_balls
+        UNION ALL SELECT 9, count(*) FROM recorded_balls WHERE over_number = 0""", "recorded_balls")
     add("partition_inventory", """SELECT NULL::VARCHAR AS match_type, NULL::VARCHAR AS year, count(*) AS files FROM docs
         UNION ALL SELECT match_type, year, count(*) FROM docs WHERE o_orderpriority <> '5-LOW' GROUP BY match_type, year""", "docs")
     add("bronze_state", """SELECT match_id, match_type, year, revision,
         CASE WHEN o_orderstatus = 'P' OR revision > 1 THEN 1 ELSE 0 END::BIGINT AS batch
         FROM docs WHERE o_orderpriority <> '5-LOW'""", "docs")
     add("streamed_state", """SELECT user_id::VARCHAR AS match_id, max((props->>'$.k')::INT) AS revision FROM events GROUP BY user_id""")
-    add("silver_round_trip", """SELECT match_type, year::VARCHAR AS year, 2 * count(*) AS balls,
-        2 * sum(runs_batter + extras_wides + extras_noballs + extras_byes + extras_legbyes)::BIGINT AS runs
+    add("silver_round_trip", """SELECT match_type, year::VARCHAR AS year, count(*) AS balls,
+        sum(runs_batter + extras_wides + extras_noballs + extras_byes + extras_legbyes)::BIGINT AS runs
         FROM recorded_balls GROUP BY match_type, year""", "recorded_balls")
     return q

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from overlake import MatchTables, Seeds, Silver, configure
 from overlake.plans.catalogue import audit
 from overlake.plans.ingest import transform, transform_bronze
+from overlake.session import clean_scratch
 from overlake.sources import (
     BronzeStore,
     bronze_rows,
@@ -18,49 +19,55 @@ from overlake.sources import (
     read_raw_texts,
 )
 
-LONG = 1000
+
+def _print(report: DataFrame) -> None:
+    """All rows, a partition at a time."""
+    print("|".join(report.columns))
+    for row in report.toLocalIterator():
+        print("|".join("" if v is None else str(v) for v in row))
 
 
 def _bronze(spark: SparkSession, args) -> None:
     store = BronzeStore(spark, args.bronze)
     if args.archives:
-        members = explode_archives(spark, args.archives).filter("error IS NULL")
+        members = explode_archives(spark, args.archives)
     else:
         members = read_raw_texts(spark, args.raw)
-    store.apply(bronze_rows(members), args.batch)
-    store.stats(args.batch).show()
+    store.apply(bronze_rows(members), args.batch, args.feed)
+    _print(store.stats(args.batch, args.feed).orderBy("match_type", "year", "status"))
 
 
 def _silver(spark: SparkSession, args) -> None:
     if args.bronze:
-        done = transform_bronze(BronzeStore(spark, args.bronze), args.silver, args.mode, args.since_batch)
+        done = transform_bronze(BronzeStore(spark, args.bronze), args.silver, args.mode, args.since_batch, args.feed)
     else:
         done = transform(spark, args.raw, args.silver, args.mode, args.since_days)
     print(f"processed {done.processed.count()}, errors {done.errors.count()}")
 
 
-def _tables(spark: SparkSession, args) -> MatchTables:
-    return MatchTables(Silver.read(spark, args.silver), Seeds.standard(spark), args.store)
-
-
 def _build(spark: SparkSession, args) -> None:
-    tables = _tables(spark, args).build()
+    tables = MatchTables(Silver.read(spark, args.silver), Seeds.standard(spark), args.store).build()
     if args.publish:
         print("\n".join(publish_models(tables, args.prefix)))
 
 
 def _check(spark: SparkSession, args) -> None:
-    audit.check_report(_tables(spark, args)).filter("failures > 0").show(LONG, False)
+    """Reads only: the tables of a store, or plans over silver."""
+    if args.store:
+        tables = MatchTables.load(spark, args.store)
+    else:
+        tables = MatchTables(Silver.read(spark, args.silver), Seeds.standard(spark))
+    _print(audit.check_report(tables).filter("failures > 0"))
 
 
 def _reconcile(spark: SparkSession, args) -> None:
     tables = MatchTables.load(spark, args.store)
     for report in (audit.career_batting, audit.reconcile_batting, audit.career_bowling, audit.reconcile_bowling):
-        report(tables).show(LONG, False)
+        _print(report(tables))
 
 
 def _inventory(spark: SparkSession, args) -> None:
-    partition_inventory(spark, args.raw).show(LONG, False)
+    _print(partition_inventory(spark, args.raw))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -75,11 +82,12 @@ def parser() -> argparse.ArgumentParser:
 
     need, may = {"required": True}, {}
     mode = {"choices": ["full", "incremental"], "default": "full"}
-    step("bronze", _bronze, bronze=need, archives=may, raw=may, batch={"type": int, "required": True})
+    step("bronze", _bronze, bronze=need, archives=may, raw=may, batch={"type": int, "required": True},
+         feed={"default": "main"})
     step("silver", _silver, silver=need, raw=may, bronze=may, mode=mode,
-         since_days={"type": float, "default": 2}, since_batch={"type": int, "default": 0})
+         since_days={"type": float, "default": 2}, since_batch={"type": int, "default": 0}, feed={"default": "main"})
     step("build", _build, silver=need, store=need, publish={"action": "store_true"}, prefix={"default": "main_"})
-    step("check", _check, silver=need, store=may)
+    step("check", _check, silver=may, store=may)
     step("reconcile", _reconcile, store=need)
     step("inventory", _inventory, raw=need)
     return p
@@ -88,7 +96,10 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName("overlake").getOrCreate())
-    args.run(spark, args)
+    try:
+        args.run(spark, args)
+    finally:
+        clean_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -11,8 +11,10 @@ from overlake.functions.numeric import (
     ratio_sql,
     round_half_up,
     round_half_up_sql,
+    to_flag_sql,
     to_int,
     to_int_sql,
+    to_list_sql,
 )
 from overlake.functions.scoring import (
     BOWLER_RUNS,

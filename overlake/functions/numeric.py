@@ -9,20 +9,30 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def to_int_sql(text: str) -> str:
-    return (
-        f"coalesce(try_cast({text} AS int), CASE WHEN {text} RLIKE '^\\\\s*-?[0-9]+[.][0-9]+\\\\s*$' "
-        f"THEN try_cast(try_cast({text} AS double) AS int) END)"
-    )
+def to_int_sql(leaf: str) -> str:
+    return f"try_variant_get({leaf}, '$', 'int')"
 
 
-def to_int(text: str) -> Column:
-    """Integer or NULL.
+def to_int(leaf: str) -> Column:
+    """Integer or NULL from a raw leaf, a variant.
 
-    Raw leaves arrive as text: an integer literal converts, a JSON float is cut to
-    its whole part, anything else is NULL.
+    A JSON number is cut to its whole part and a text must be a whole number: ``12.7``
+    gives 12, ``"12"`` gives 12, and ``"12.7"`` gives NULL.
     """
-    return F.expr(to_int_sql(text))
+    return F.expr(to_int_sql(leaf))
+
+
+def to_flag_sql(leaf: str) -> str:
+    """Boolean from the text of a raw leaf: NULL unless it is true or false."""
+    return f"CASE {leaf} WHEN 'true' THEN true WHEN 'false' THEN false END"
+
+
+def to_list_sql(leaf: str) -> str:
+    """List of texts from the text of a raw leaf; a lone text is a list of one."""
+    return (
+        f"CASE WHEN startswith({leaf}, '[') THEN from_json({leaf}, 'array<string>') "
+        f"WHEN {leaf} IS NOT NULL THEN array({leaf}) END"
+    )
 
 
 def round_half_up_sql(x: str, scale: int) -> str:

@@ -27,10 +27,31 @@ def regular() -> Column:
     return F.expr(f"innings_number IN {REGULAR}")
 
 
-def league_rows(rows: DataFrame, league: str, season: str | None = None) -> DataFrame:
-    """Balls or overs of the league's regular innings."""
+def league_rows(t, rows: DataFrame, league: str, season: str | None = None) -> DataFrame:
+    """Balls, overs or innings of the league, super overs left out.
+
+    Neither the league's name nor the season is a folder, so the folders that hold such
+    matches are looked up and named: the scan opens no others.
+    """
     out = rows.filter(in_league(league) & regular())
-    return out if season is None else out.filter(F.col("season") == season)
+    if season is not None:
+        out = out.filter(F.col("season") == season)
+    folders = t.folders(league, season)
+    return out if folders is None else out.filter(_in_folders(folders))
+
+
+def _in_folders(folders: Sequence[tuple[str, int | None]]) -> Column:
+    """A condition on the partition columns alone."""
+    years: dict[str, list[int | None]] = {}
+    for match_type, year in folders:
+        years.setdefault(match_type, []).append(year)
+    out = F.lit(False)
+    for match_type, found in sorted(years.items(), key=lambda f: str(f[0])):
+        own = F.col("year").isin(*sorted(y for y in found if y is not None))
+        if None in found:
+            own = own | F.col("year").isNull()
+        out = out | (F.col("match_type").eqNullSafe(F.lit(match_type)) & own)
+    return out
 
 
 def league_matches(
@@ -44,9 +65,9 @@ def league_matches(
     return m
 
 
-def league_innings(innings: DataFrame, league: str, season: str | None = None) -> DataFrame:
+def league_innings(t, innings: DataFrame, league: str, season: str | None = None) -> DataFrame:
     """Batting or bowling innings of the league, super overs left out."""
-    return league_rows(innings, league, season).filter("NOT super_over")
+    return league_rows(t, innings, league, season).filter("NOT super_over")
 
 
 def opponent(names: Sequence[str]) -> Column:

@@ -42,7 +42,7 @@ BOWLING_EXPECTED = struct(player=_S, wkts=_L, note=_S)
 
 
 def career_batting(t, players: Sequence[str] = PLAYERS, league: str = LEAGUE) -> DataFrame:
-    rows = league_innings(t.batting, league).filter(F.col("player_name").isin(*players))
+    rows = league_innings(t, t.batting, league).filter(F.col("player_name").isin(*players))
     ducks = count_when("runs = 0 AND NOT not_out").alias("ducks")
     figures = rows.groupBy(F.col("player_name").alias("player")).agg(*batting_summary(), ducks)
     return figures.selectExpr(
@@ -52,7 +52,7 @@ def career_batting(t, players: Sequence[str] = PLAYERS, league: str = LEAGUE) ->
 
 
 def career_bowling(t, players: Sequence[str] = PLAYERS, league: str = LEAGUE) -> DataFrame:
-    rows = league_innings(t.bowling, league).filter(F.col("player_name").isin(*players))
+    rows = league_innings(t, t.bowling, league).filter(F.col("player_name").isin(*players))
     per_player = rows.groupBy(F.col("player_name").alias("player"))
     return per_player.agg(*bowling_summary("4w", "5w")).orderBy(down("wkts"), up("player"))
 

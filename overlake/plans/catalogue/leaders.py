@@ -119,7 +119,7 @@ def best_bowling_innings(t, n: int = 20) -> DataFrame:
 
 def wicket_kinds(t) -> DataFrame:
     counted = (
-        t.balls.filter("is_wicket").groupBy("wicket_kind").agg(F.count("*").alias("wickets"))
+        t.wickets.groupBy("wicket_kind").agg(F.count("*").alias("wickets"))
     )
     return counted.orderBy(down("wickets"), up("wicket_kind"))
 

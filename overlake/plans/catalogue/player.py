@@ -245,13 +245,13 @@ def player_fielding(
 ) -> DataFrame:
     """Fielding totals.  Names are compared whole; ``legacy_like`` looks for the name
     inside the joined text, which also counts longer names that contain it."""
-    wickets = league_rows(t.balls, league).filter("is_wicket")
+    wickets = league_rows(t, t.wickets, league)
     return _fielding(wickets, player, legacy_like).agg(*_fielding_sums())
 
 
 def player_fielding_by_season(
     t, player: str, league: str = LEAGUE, legacy_like: bool = False
 ) -> DataFrame:
-    wickets = league_rows(t.balls, league).filter("is_wicket")
+    wickets = league_rows(t, t.wickets, league)
     seasons = _fielding(wickets, player, legacy_like).groupBy("season")
     return seasons.agg(*_fielding_sums()).orderBy(up("season"))

@@ -76,14 +76,14 @@ def season_summary(t, names: Names, season: str, league: str = LEAGUE) -> DataFr
 
 
 def _batter_runs(t, season: str, league: str) -> DataFrame:
-    rows = league_innings(t.batting, league, season)
+    rows = league_innings(t, t.batting, league, season)
     return rows.groupBy(
         F.col("batting_team").alias("team"), F.col("player_name").alias("batter")
     ).agg(F.sum("runs").alias("runs"))
 
 
 def _bowler_wickets(t, season: str, league: str) -> DataFrame:
-    rows = league_innings(t.bowling, league, season)
+    rows = league_innings(t, t.bowling, league, season)
     return rows.groupBy(
         F.col("bowling_team").alias("team"), F.col("player_name").alias("bowler")
     ).agg(F.sum("wickets_credited").alias("wkts"))
@@ -150,7 +150,7 @@ def _bowling_profile(economy: str) -> dict[str, str]:
 
 
 def _team_overs(t, side: str, season: str, league: str) -> DataFrame:
-    return league_rows(t.overs, league, season).withColumn("team", F.col(side))
+    return league_rows(t, t.overs, league, season).withColumn("team", F.col(side))
 
 
 def batting_profile(t, season: str, league: str = LEAGUE) -> DataFrame:
@@ -193,7 +193,7 @@ def _match_phases(t, season: str, league: str) -> DataFrame:
     """Runs per match and pair of sides, in total and per phase, for matches with a
     winner, with ``outcome_winner``.  Overs are summed before the match is joined."""
     per_match = (
-        league_rows(t.overs, league, season)
+        league_rows(t, t.overs, league, season)
         .filter(_PHASE_OVERS)
         .groupBy("match_id", "batting_team", "bowling_team")
         .agg(F.sum("runs").alias("all_runs"), *phase_pivot("over_number", PHASES, {"runs": "runs"}))
@@ -264,7 +264,7 @@ def _top_share(rows: DataFrame, person: str, measure: str, share: str, k: int) -
 
 def season_batter_share(t, names: Names, season: str, k: int = 3, league: str = LEAGUE) -> DataFrame:
     rows = (
-        league_innings(t.batting, league, season)
+        league_innings(t, t.batting, league, season)
         .filter(F.col("batting_team").isin(*names))
         .groupBy(F.col("player_name").alias("batter"))
         .agg(F.sum("runs").alias("runs"))
@@ -274,7 +274,7 @@ def season_batter_share(t, names: Names, season: str, k: int = 3, league: str =
 
 def season_bowler_share(t, names: Names, season: str, k: int = 3, league: str = LEAGUE) -> DataFrame:
     rows = (
-        league_innings(t.bowling, league, season)
+        league_innings(t, t.bowling, league, season)
         .filter(F.col("bowling_team").isin(*names))
         .groupBy(F.col("player_name").alias("bowler"))
         .agg(F.sum("wickets_credited").alias("wkts"))
@@ -283,7 +283,7 @@ def season_bowler_share(t, names: Names, season: str, k: int = 3, league: str =
 
 
 def _side_overs(t, side: str, names: Names, season: str, league: str) -> DataFrame:
-    return league_rows(t.overs, league, season).filter(F.col(side).isin(*names))
+    return league_rows(t, t.overs, league, season).filter(F.col(side).isin(*names))
 
 
 def season_batting_profile(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
@@ -351,7 +351,7 @@ def season_win_loss(t, names: Names, season: str, league: str = LEAGUE) -> DataF
 
 
 def _player_matches(t, innings, side, player, names, season, league) -> DataFrame:
-    rows = league_innings(innings, league, season).filter(
+    rows = league_innings(t, innings, league, season).filter(
         (F.col("player_name") == player) & F.col(side).isin(*names)
     )
     context = league_matches(t, league, season=season).select(
@@ -371,7 +371,7 @@ def season_player_batting_log(t, player: str, names: Names, season: str, league:
 
 
 def season_player_batting(t, player: str, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
-    rows = league_innings(t.batting, league, season).filter(
+    rows = league_innings(t, t.batting, league, season).filter(
         (F.col("player_name") == player) & F.col("batting_team").isin(*names)
     )
     return rows.agg(*batting_summary())
@@ -390,14 +390,16 @@ def powerplay_impact(t, player: str, names: Names, season: str, league: str = LE
     """Team record in matches where the player was out in the powerplay, and in those
     where the player faced a ball in it and was not; always two rows."""
     first, last, _ = PHASES["pp"]
-    out = F.col("is_wicket") & (F.col("wicket_player_out") == player)
-    facing = F.col("batter") == player
+    dismissed = league_rows(t, t.wickets, league, season).filter(
+        F.col("over_number").between(first, last) & (F.col("wicket_player_out") == player)
+    )
+    facing = league_rows(t, t.powerplay_batters, league, season).filter(F.col("player_name") == player)
     per_match = (
-        league_rows(t.balls, league, season)
-        .filter(F.col("over_number").between(first, last))
-        .filter(F.col("batting_team").isin(*names) & (out | facing))
+        dismissed.select("match_id", "batting_team", F.lit(1).alias("out"))
+        .unionByName(facing.select("match_id", "batting_team", F.lit(0).alias("out")))
+        .filter(F.col("batting_team").isin(*names))
         .groupBy("match_id")
-        .agg(F.max(F.when(out, 1).otherwise(0)).alias("out"))
+        .agg(F.max("out").alias("out"))
     )
     decided = league_matches(t, league, season=season).filter("has_result")
     context = with_outcome(decided, names).select("match_id", "won", "lost", "has_result")

@@ -81,7 +81,7 @@ def team_toss_decision(t, names: Names, league: str = LEAGUE) -> DataFrame:
 def _innings_totals(t, side: str, names: Names, league: str, **measures: str) -> DataFrame:
     """Sums of over figures per innings in which one of ``names`` is the given side."""
     return (
-        league_rows(t.overs, league)
+        league_rows(t, t.overs, league)
         .filter(F.col(side).isin(*names))
         .groupBy("match_id", "innings_number", "match_date", "season")
         .agg(*named(**{n: f"sum({m})" for n, m in measures.items()}))
@@ -209,7 +209,7 @@ def bowling_summary(*hauls: str) -> list[Column]:
 def team_top_batters(
     t, names: Names, n: int | None = 20, league: str = LEAGUE, season: str | None = None
 ) -> DataFrame:
-    rows = league_innings(t.batting, league, season).filter(F.col("batting_team").isin(*names))
+    rows = league_innings(t, t.batting, league, season).filter(F.col("batting_team").isin(*names))
     per_player = rows.groupBy(F.col("player_name").alias("batter")).agg(*batting_summary())
     return top_n(per_player, [down("runs"), up("batter")], n)
 
@@ -218,7 +218,7 @@ def team_top_bowlers(
     t, names: Names, n: int | None = 20, league: str = LEAGUE, season: str | None = None,
     hauls: Sequence[str] = ("4w+", "5w+"),
 ) -> DataFrame:
-    rows = league_innings(t.bowling, league, season).filter(F.col("bowling_team").isin(*names))
+    rows = league_innings(t, t.bowling, league, season).filter(F.col("bowling_team").isin(*names))
     per_player = rows.groupBy(F.col("player_name").alias("bowler")).agg(*bowling_summary(*hauls))
     return top_n(per_player, [down("wkts"), up("bowler")], n)
 

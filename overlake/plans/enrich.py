@@ -71,8 +71,8 @@ def match_innings(
 def ball_by_ball(deliveries: DataFrame, context: DataFrame) -> DataFrame:
     """Balls with match context, by a single join of the fact table.
 
-    ``deliveries`` is staged per revision; joining on the revision as well keeps only
-    rows of the winning one, without a pass of its own.
+    ``deliveries`` is staged, so only rows of a match's winning revision are left; those
+    without a match have no context and go here.
     """
     joined = deliveries.join(context, ["match_id", "innings_number", "revision"])
     return joined.select(*BALL_BY_BALL, *BALL_EXTRAS)

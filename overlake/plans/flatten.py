@@ -8,15 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from overlake.functions import to_int_sql
+from overlake.functions import to_flag_sql, to_int_sql, to_list_sql
 from overlake.schemas import SILVER
 
-_REVISION = to_int_sql("coalesce(meta.revision, '1')")
+_REVISION = f"coalesce({to_int_sql('meta.revision')}, if(meta.revision IS NULL, 1, NULL))"
 
 
 def _counter(path: str) -> str:
     """Missing counters are 0; present but unreadable ones stay NULL."""
-    return to_int_sql(f"coalesce({path}, '0')")
+    return f"if({path} IS NULL, 0, {to_int_sql(path)})"
 
 
 def _joined(names: str) -> str:
@@ -35,16 +35,17 @@ def _select(df: DataFrame, table: str, **columns: str) -> DataFrame:
 
 def flatten_matches(docs: DataFrame) -> DataFrame:
     out = {
-        "match_date": "get(info.dates, 0)",
-        "team_1": "get(info.teams, 0)",
-        "team_2": "get(info.teams, 1)",
-        "player_of_match": _joined("info.player_of_match"),
+        "match_date": f"get({to_list_sql('info.dates')}, 0)",
+        "team_1": f"get({to_list_sql('info.teams')}, 0)",
+        "team_2": f"get({to_list_sql('info.teams')}, 1)",
+        "player_of_match": _joined(to_list_sql("info.player_of_match")),
         "revision": _REVISION,
     }
     for leaf in ("season", "venue", "city", "gender", "team_type"):
         out[leaf] = f"info.{leaf}"
-    for leaf in ("winner", "decision", "uncontested"):
+    for leaf in ("winner", "decision"):
         out[f"toss_{leaf}"] = f"info.toss.{leaf}"
+    out["toss_uncontested"] = to_flag_sql("info.toss.uncontested")
     for leaf in ("winner", "result", "method", "eliminator", "bowl_out"):
         out[f"outcome_{leaf}"] = f"info.outcome.{leaf}"
     for leaf in ("runs", "wickets", "innings"):
@@ -68,11 +69,11 @@ def flatten_innings(docs: DataFrame) -> DataFrame:
         _innings(docs),
         "innings",
         batting_team="i.team",
-        declared="i.declared",
-        forfeited="i.forfeited",
-        super_over="i.super_over",
+        declared=to_flag_sql("i.declared"),
+        forfeited=to_flag_sql("i.forfeited"),
+        super_over=to_flag_sql("i.super_over"),
         target_runs=to_int_sql("i.target.runs"),
-        target_overs="try_cast(i.target.overs AS double)",
+        target_overs="try_variant_get(i.target.overs, '$', 'double')",
         penalty_runs_pre=to_int_sql("i.penalty_runs.pre"),
         penalty_runs_post=to_int_sql("i.penalty_runs.post"),
     )
@@ -96,7 +97,7 @@ def flatten_deliveries(docs: DataFrame) -> DataFrame:
     fielders = f"filter({first}.fielders.name, n -> n IS NOT NULL AND n <> '')"
     out = {
         "ball_in_over": "ball + 1",
-        "runs_non_boundary": "d.runs.non_boundary",
+        "runs_non_boundary": to_flag_sql("d.runs.non_boundary"),
         "wicket_count": count,
         "is_wicket": f"{count} > 0",
         "wicket_kind": f"{first}.kind",
@@ -110,8 +111,9 @@ def flatten_deliveries(docs: DataFrame) -> DataFrame:
         out[f"runs_{leaf}"] = _counter(f"d.runs.{leaf}")
     for leaf in ("wides", "noballs", "byes", "legbyes", "penalty"):
         out[f"extras_{leaf}"] = _counter(f"d.extras.{leaf}")
-    for leaf in ("by", "decision", "umpires_call"):
+    for leaf in ("by", "decision"):
         out[f"review_{leaf}"] = f"d.review.{leaf}"
+    out["review_umpires_call"] = to_flag_sql("d.review.umpires_call")
     return _select(balls, "deliveries", **out)
 
 
@@ -124,7 +126,7 @@ def flatten_players(docs: DataFrame) -> DataFrame:
         "info.registry.people AS people",
         "explode(info.players) AS (team, names)",
     )
-    named = listed.withColumn("player_name", F.explode("names"))
+    named = listed.withColumn("player_name", F.explode(F.expr(to_list_sql("names"))))
     return _select(named, "players", cricsheet_id="try_element_at(people, player_name)")
 
 

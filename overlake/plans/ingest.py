@@ -54,11 +54,11 @@ def transform(
 
 
 def transform_bronze(
-    store: BronzeStore, silver: str, mode: str = "full", since_batch: int = 0
+    store: BronzeStore, silver: str, mode: str = "full", since_batch: int = 0, feed: str = "main"
 ) -> Ingested:
     """From the bronze store: all current documents, replacing silver, or, with
-    ``incremental``, those of the batches from ``since_batch`` on, appending."""
+    ``incremental``, those of a feed's batches from ``since_batch`` on."""
     docs = store.current()
     if mode == "incremental":
-        docs = docs.filter(F.col("batch") >= since_batch)
+        docs = docs.filter((F.col("feed") == feed) & (F.col("batch") >= since_batch))
     return write_documents(parse_documents(docs), silver, mode)

@@ -10,6 +10,7 @@ from overlake.functions import (
     DOT_BALL,
     FOUR,
     LEGAL_BALL,
+    PHASES,
     SIX,
     TEAM_WICKET,
     WIDE_FREE,
@@ -65,6 +66,21 @@ def over_figures(balls: DataFrame) -> DataFrame:
     )
 
 
+def wickets(balls: DataFrame) -> DataFrame:
+    """Balls with a wicket: about one in twenty, for queries on how players get out."""
+    return balls.filter("is_wicket").select(
+        *_MATCH, "over_number", "ball_in_over", *_SIDES, *_CARRIED, "bowler", "wicket_kind",
+        "wicket_player_out", "wicket_fielders", "wicket_fielders_arr",
+    )
+
+
+def powerplay_batters(balls: DataFrame) -> DataFrame:
+    """One row per innings and batter who faced a ball in the powerplay."""
+    first, last, _ = PHASES["pp"]
+    facing = balls.filter(F.col("over_number").between(first, last))
+    return facing.select(*_MATCH, *_SIDES, *_CARRIED, F.col("batter").alias("player_name")).distinct()
+
+
 def bowling_innings(overs: DataFrame) -> DataFrame:
     """One row per bowler and innings.
 

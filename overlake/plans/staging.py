@@ -2,7 +2,8 @@
 
 Every silver table carries the document revision.  The newest revision of a match
 wins as a whole: child rows of an older one never survive, also where a correction
-removed them.
+removed them.  They go first, by a join with one narrow row per match, so only rows of
+winning revisions are compared with each other.
 """
 
 from __future__ import annotations
@@ -36,9 +37,8 @@ def stage_matches(matches: DataFrame) -> DataFrame:
     )
 
 
-def stage_innings(innings: DataFrame) -> DataFrame:
-    """One row per innings and revision; see :func:`current_only`."""
-    return dedupe(_typed(innings), [*_INNINGS_KEY, "revision"]).withColumns(
+def stage_innings(innings: DataFrame, stg_matches: DataFrame) -> DataFrame:
+    return dedupe(current_only(_typed(innings), stg_matches), [*_INNINGS_KEY, "revision"]).withColumns(
         {
             **_default("false", "declared", "forfeited", "super_over"),
             **_default("0", "penalty_runs_pre", "penalty_runs_post"),
@@ -46,11 +46,11 @@ def stage_innings(innings: DataFrame) -> DataFrame:
     )
 
 
-def stage_deliveries(deliveries: DataFrame) -> DataFrame:
-    """One row per ball and revision.  The key reaches down to the ball, so even a
-    match with very many rows spreads over all tasks.  Files that only have the joined
-    fielders' names get the list from them."""
-    return dedupe(_typed(deliveries), [*_DELIVERY_KEY, "revision"]).withColumns(
+def stage_deliveries(deliveries: DataFrame, stg_matches: DataFrame) -> DataFrame:
+    """One row per ball.  The key reaches down to the ball, so even a match with very many
+    rows spreads over all tasks.  Files that only have the joined fielders' names get the
+    list from them."""
+    return dedupe(current_only(_typed(deliveries), stg_matches), [*_DELIVERY_KEY, "revision"]).withColumns(
         {
             **_default("false", "runs_non_boundary"),
             **_default("split(wicket_fielders, ', ')", "wicket_fielders_arr"),
@@ -58,8 +58,8 @@ def stage_deliveries(deliveries: DataFrame) -> DataFrame:
     )
 
 
-def stage_players(players: DataFrame) -> DataFrame:
-    return dedupe(_typed(players), [*_PLAYER_KEY, "revision"])
+def stage_players(players: DataFrame, stg_matches: DataFrame) -> DataFrame:
+    return dedupe(current_only(_typed(players), stg_matches), [*_PLAYER_KEY, "revision"])
 
 
 def current_only(rows: DataFrame, stg_matches: DataFrame) -> DataFrame:

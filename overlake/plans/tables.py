@@ -3,34 +3,47 @@
 from __future__ import annotations
 
 import threading
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overlake.plans import enrich, innings as inn, marts, staging
 from overlake.plans.flatten import FLATTEN
 from overlake.schemas import BALL_BY_BALL, BATTING_INNINGS, BOWLING_INNINGS
+from overlake.sources.files import Folder
 from overlake.sources.seeds import read_seed
 from overlake.sources.silver import read_silver
 
 # Tables written in folders by these columns, and sorted within files by those.
-_PARTITIONED = {"ball_by_ball", "overs", "participation", "bowling_innings"}
+_PARTITIONED = {
+    "stg_deliveries", "ball_by_ball", "overs", "wickets", "powerplay_batters", "participation", "bowling_innings",
+}
 _LAYOUT = ("match_type", "year")
 _SORT = {
     "ball_by_ball": ["match_id", "innings_number", "over_number", "ball_in_over"],
     "overs": ["match_id", "innings_number", "over_number"],
+    "wickets": ["match_id", "innings_number", "over_number", "ball_in_over"],
     # A player's rows lie together, so a query on one reads few row groups.
+    "powerplay_batters": ["player_name", "match_id"],
     "participation": ["player_name", "match_id"],
     "bowling_innings": ["player_name", "match_id"],
 }
 
 # Stored tables and the attribute each is reached by.
 _KEPT = {
+    "stg_matches": "stg_matches",
+    "stg_innings": "stg_innings",
+    "stg_deliveries": "stg_deliveries",
+    "stg_players": "stg_players",
     "ball_by_ball": "balls",
     "overs": "overs",
+    "wickets": "wickets",
+    "powerplay_batters": "powerplay_batters",
     "participation": "took_part",
     "bowling_innings": "bowling",
     "match_results": "match_results",
@@ -38,6 +51,8 @@ _KEPT = {
     "batting_career": "batting_career",
     "bowling_career": "bowling_career",
 }
+_SEEDS = ("team_map", "venue_map", "excluded")
+_POINTER = "_current"
 
 
 @dataclass
@@ -77,39 +92,65 @@ class MatchTables:
     Without ``store`` all tables are plans over silver.  With it, the tables that many
     queries share are written as Parquet below that folder when first asked for, and
     read back, so a query scans a pruned table in place of repeating the chain.
+
+    Each object writes a version folder of its own.  ``build`` writes all tables and then
+    moves the store's pointer to its version, so readers see all of one build or all of
+    another, and a build that fails leaves the store as it was.
     """
 
-    def __init__(self, silver: Silver, seeds: Seeds, store: str | None = None):
-        self.silver, self.seeds, self.store = silver, seeds, store
+    def __init__(self, silver: Silver | None, seeds: Seeds, store: str | None = None, version: str | None = None):
+        self.silver, self.seeds, self.store = silver, seeds, store and store.rstrip("/")
+        self._version = version or f"v-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
         self._locks = {name: threading.RLock() for name in _KEPT}
         self._stored: dict[str, DataFrame] = {}
+        self._folders: dict[tuple[str, str | None], list[tuple[str, int | None]]] = {}
 
     @classmethod
     def load(cls, spark: SparkSession, store: str) -> "MatchTables":
-        """Tables written earlier by :meth:`build`."""
-        tables = cls(silver=None, seeds=None)
+        """All tables and seeds of the newest finished :meth:`build`; nothing is written."""
+        folder = Folder(spark, store)
+        version = folder.read(_POINTER)
+        at = f"{folder.path}/{version}"
+        seeds = Seeds(**{name: spark.read.parquet(f"{at}/seeds/{name}") for name in _SEEDS})
+        tables = cls(None, seeds, store, version)
         for name in _KEPT:
-            tables._stored[name] = spark.read.parquet(f"{store.rstrip('/')}/{name}")
+            tables._stored[name] = spark.read.parquet(f"{at}/{name}")
         return tables
 
     def build(self) -> "MatchTables":
-        """Write every shared table now; those that do not need each other at once, so
-        that one's last tasks leave no cores idle."""
+        """Write every shared table now, those that do not need each other at once, so
+        that one's last tasks leave no cores idle; then point the store to them."""
+        if self.silver is None:
+            raise ValueError("loaded tables are built already")
+        spark = self.silver.matches.sparkSession
+        first = ("stg_matches",)
         chains = (
-            ("balls", "took_part", "batting_career"),
-            ("balls", "overs", "bowling", "bowling_career"),
-            ("match_results",),
-            ("dim_players",),
+            ("stg_deliveries", "balls", "took_part", "batting_career"),
+            ("stg_deliveries", "balls", "overs", "bowling", "bowling_career"),
+            ("stg_deliveries", "balls", "wickets", "powerplay_batters"),
+            ("stg_innings", "match_results"),
+            ("stg_players", "dim_players"),
         )
 
         def write(chain: tuple[str, ...]) -> None:
             for attribute in chain:
                 getattr(self, attribute)
 
-        in_session = inheritable_thread_target(self.silver.matches.sparkSession)
+        write(first)
         with ThreadPoolExecutor(len(chains)) as pool:
+            in_session = inheritable_thread_target(spark)
             for done in [pool.submit(in_session(write), chain) for chain in chains]:
                 done.result()
+        if self.store is not None:
+            for name in _SEEDS:
+                getattr(self.seeds, name).write.mode("overwrite").parquet(f"{self.store}/{self._version}/seeds/{name}")
+            folder = Folder(spark, self.store)
+            before = folder.read(_POINTER) if folder.exists(_POINTER) else None
+            folder.write(_POINTER, self._version)
+            # Readers may still be on the version before; older ones go.
+            for old in folder.names():
+                if old.startswith("v-") and old < self._version and old != before:
+                    folder.delete(old)
         return self
 
     def _kept(self, name: str, plan) -> DataFrame:
@@ -120,7 +161,7 @@ class MatchTables:
             return self._stored[name]
 
     def _write(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.store.rstrip('/')}/{name}"
+        path = f"{self.store}/{self._version}/{name}"
         layout = _LAYOUT if name in _PARTITIONED else ()
         schema = df.schema
         if layout:
@@ -133,36 +174,46 @@ class MatchTables:
         writer.parquet(path)
         return df.sparkSession.read.schema(schema).parquet(path)
 
+    def folders(self, league: str, season: str | None) -> list[tuple[str, int | None]] | None:
+        """The (match_type, year) folders that hold matches of a league and season.
+
+        Looked up once in the match table, of which one row per folder returns; None where
+        tables are not stored, so there is nothing to prune.
+        """
+        if self.store is None:
+            return None
+        key = (league, season)
+        if key not in self._folders:
+            rows = self.match_results.filter(F.col("event_name").ilike(league))
+            if season is not None:
+                rows = rows.filter(F.col("season") == season)
+            self._folders[key] = [tuple(r) for r in rows.select(*_LAYOUT).distinct().collect()]
+        return self._folders[key]
+
     # staging -----------------------------------------------------------------
 
-    @cached_property
+    @property
     def stg_matches(self) -> DataFrame:
-        return staging.stage_matches(self.silver.matches)
+        return self._kept("stg_matches", lambda: staging.stage_matches(self.silver.matches))
 
-    @cached_property
+    @property
     def stg_innings(self) -> DataFrame:
-        return staging.current_only(
-            staging.stage_innings(self.silver.innings), self.stg_matches
-        )
+        return self._kept("stg_innings", lambda: staging.stage_innings(self.silver.innings, self.stg_matches))
 
-    @cached_property
+    @property
     def stg_deliveries(self) -> DataFrame:
-        return staging.current_only(
-            staging.stage_deliveries(self.silver.deliveries), self.stg_matches
-        )
+        return self._kept("stg_deliveries", lambda: staging.stage_deliveries(self.silver.deliveries, self.stg_matches))
 
-    @cached_property
+    @property
     def stg_players(self) -> DataFrame:
-        return staging.current_only(
-            staging.stage_players(self.silver.players), self.stg_matches
-        )
+        return self._kept("stg_players", lambda: staging.stage_players(self.silver.players, self.stg_matches))
 
     # intermediate ------------------------------------------------------------
 
     @cached_property
     def match_innings(self) -> DataFrame:
         return enrich.match_innings(
-            staging.stage_innings(self.silver.innings),
+            self.stg_innings,
             self.stg_matches,
             self.seeds.team_map,
             self.seeds.venue_map,
@@ -174,9 +225,7 @@ class MatchTables:
         """Ball table with the extra columns the queries use."""
         return self._kept(
             "ball_by_ball",
-            lambda: enrich.ball_by_ball(
-                staging.stage_deliveries(self.silver.deliveries), self.match_innings
-            ),
+            lambda: enrich.ball_by_ball(self.stg_deliveries, self.match_innings),
         )
 
     @property
@@ -192,6 +241,16 @@ class MatchTables:
         """Additive figures per over and bowler."""
         return self._kept("overs", lambda: inn.over_figures(self.balls))
 
+    @property
+    def wickets(self) -> DataFrame:
+        """Balls with a wicket."""
+        return self._kept("wickets", lambda: inn.wickets(self.balls))
+
+    @property
+    def powerplay_batters(self) -> DataFrame:
+        """Who faced a ball in the powerplay of an innings."""
+        return self._kept("powerplay_batters", lambda: inn.powerplay_batters(self.balls))
+
     @property
     def took_part(self) -> DataFrame:
         """Every player and innings, batting innings or not."""

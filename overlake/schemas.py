@@ -5,34 +5,37 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _S, _I, _B, _D = T.StringType(), T.IntegerType(), T.BooleanType(), T.DoubleType()
+# A leaf that should be a number, kept as it came: a number, a text or anything else.
+_N = T.VariantType()
 
 
 def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
 
-# Leaves that are numbers in most files and text in some are declared as text and
-# coerced later, so one odd leaf cannot spoil a whole document.
+# Numbers, flags and lists of names are declared loosely and coerced leaf by leaf later:
+# flags and lists as their text.  What still has another shape than declared becomes NULL
+# alone; see ``sources.raw.well_formed``.
 _DELIVERY = struct(
     batter=_S,
     bowler=_S,
     non_striker=_S,
-    runs=struct(batter=_S, extras=_S, total=_S, non_boundary=_B),
-    extras=struct(wides=_S, noballs=_S, byes=_S, legbyes=_S, penalty=_S),
+    runs=struct(batter=_N, extras=_N, total=_N, non_boundary=_S),
+    extras=struct(wides=_N, noballs=_N, byes=_N, legbyes=_N, penalty=_N),
     wickets=T.ArrayType(
         struct(kind=_S, player_out=_S, fielders=T.ArrayType(struct(name=_S)))
     ),
-    review=struct(by=_S, decision=_S, umpires_call=_B),
+    review=struct(by=_S, decision=_S, umpires_call=_S),
 )
 
 _INNINGS = struct(
     team=_S,
-    declared=_B,
-    forfeited=_B,
-    super_over=_B,
-    target=struct(runs=_S, overs=_S),
-    penalty_runs=struct(pre=_S, post=_S),
-    overs=T.ArrayType(struct(over=_S, deliveries=T.ArrayType(_DELIVERY))),
+    declared=_S,
+    forfeited=_S,
+    super_over=_S,
+    target=struct(runs=_N, overs=_N),
+    penalty_runs=struct(pre=_N, post=_N),
+    overs=T.ArrayType(struct(over=_N, deliveries=T.ArrayType(_DELIVERY))),
 )
 
 _INFO = struct(
@@ -42,30 +45,30 @@ _INFO = struct(
     city=_S,
     gender=_S,
     team_type=_S,
-    dates=T.ArrayType(_S),
-    teams=T.ArrayType(_S),
-    toss=struct(winner=_S, decision=_S, uncontested=_B),
+    dates=_S,
+    teams=_S,
+    toss=struct(winner=_S, decision=_S, uncontested=_S),
     outcome=struct(
         winner=_S,
         result=_S,
         method=_S,
         eliminator=_S,
         bowl_out=_S,
-        by=struct(runs=_S, wickets=_S, innings=_S),
+        by=struct(runs=_N, wickets=_N, innings=_N),
     ),
-    player_of_match=T.ArrayType(_S),
-    event=struct(name=_S, match_number=_S, group=_S, stage=_S),
-    balls_per_over=_S,
-    overs=_S,
-    match_type_number=_S,
-    players=T.MapType(_S, T.ArrayType(_S)),
+    player_of_match=_S,
+    event=struct(name=_S, match_number=_N, group=_S, stage=_S),
+    balls_per_over=_N,
+    overs=_N,
+    match_type_number=_N,
+    players=T.MapType(_S, _S),
     registry=struct(people=T.MapType(_S, _S)),
 )
 
 CORRUPT = "_corrupt_record"
 
 MATCH_DOCUMENT = struct(
-    meta=struct(revision=_S),
+    meta=struct(revision=_N),
     info=_INFO,
     innings=T.ArrayType(_INNINGS),
 )

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import atexit
 import shutil
-import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -26,7 +26,8 @@ RUNTIME_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
-_local_scratch: dict[str, str] = {}
+#: Names the scratch folder where it should not follow ``spark.checkpoint.dir``.
+SCRATCH = "overlake.scratch.dir"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -40,20 +41,34 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for tables that cut lineage, unique to this application.
 
-    Taken from ``spark.checkpoint.dir`` so that it is shared by all executors and
-    outlives any of them.  A temporary folder is used only where nothing is set,
-    which is the case in local tests.
+    Below the folder that ``overlake.scratch.dir`` names, else ``spark.checkpoint.dir``, else
+    the context's checkpoint folder, else the warehouse: all of them shared by all executors,
+    so what is written outlives any of these.
     """
-    app = spark.sparkContext.applicationId
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/overlake-{app}"
-    if app not in _local_scratch:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        _local_scratch[app] = tempfile.mkdtemp(prefix="overlake-")
-        atexit.register(shutil.rmtree, _local_scratch[app], ignore_errors=True)
-    return _local_scratch[app]
+    context = spark.sparkContext
+    root = (
+        spark.conf.get(SCRATCH, None)
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    )
+    path = f"{root.rstrip('/')}/overlake-{context.applicationId}"
+    if path not in _used:
+        _used.add(path)
+        local = urlparse(path)
+        if context.master.startswith("local") and local.scheme in ("", "file"):
+            atexit.register(shutil.rmtree, local.path, ignore_errors=True)
+    return path
+
+
+_used: set[str] = set()
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Deletes this application's scratch folder: for the end of a load on a cluster."""
+    from overlake.sources.files import Folder
+
+    Folder(spark, scratch_dir(spark)).delete()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,58 +1,122 @@
-"""Members of zip archives as rows, one task per archive."""
+"""Members of zip archives as rows.
+
+Two steps, so that one archive occupies many tasks: the task that holds an archive only cuts it
+along its central directory, without unpacking, and sends the packed members on; they are spread
+over all tasks and unpacked there.  Spark hands an archive over in one piece, which
+limits it to 2 GiB.
+"""
 
 from __future__ import annotations
 
 import io
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MEMBERS = "archive string, name string, content string, error string"
+_PACKED = "archive string, name string, method int, flags int, crc long, data binary, error string"
 _FLUSH_BYTES = 16 << 20
+_FLUSH_ROWS = 2_000
+
+# Fixed values of the format: length of a member's own header, and its place of two lengths.
+_HEADER, _LENGTHS = 30, struct.Struct("<26xHH")
+_ENCRYPTED = 1
 
 
 def _wanted(name: str) -> bool:
     return name.endswith(".json") and not name.startswith("__")
 
 
-def _members(archive: str, blob: bytes) -> Iterator[tuple]:
+def _reason(err: Exception) -> str:
+    return f"{type(err).__name__}: {err}"
+
+
+def _cut(archive: str, blob: bytes) -> Iterator[tuple]:
+    """Packed members of an archive; whatever is wrong becomes a row with the reason."""
     try:
-        with zipfile.ZipFile(io.BytesIO(blob)) as zf:
-            for name in filter(_wanted, zf.namelist()):
-                try:
-                    yield archive, name, zf.read(name).decode("utf-8"), None
-                except (zipfile.BadZipFile, UnicodeDecodeError, ValueError, OSError) as err:
-                    yield archive, name, None, str(err)
-    except zipfile.BadZipFile as err:
-        yield archive, None, None, str(err)
-
-
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "name", "content", "error"]
+        entries = zipfile.ZipFile(io.BytesIO(blob)).infolist()
+    except Exception as err:  # whatever a damaged file provokes, the others must go on
+        yield archive, None, None, None, None, None, _reason(err)
+        return
+    for e in entries:
+        if not _wanted(e.filename):
+            continue
+        try:
+            if blob[e.header_offset : e.header_offset + 4] != b"PK\x03\x04":
+                raise zipfile.BadZipFile("no member where the directory has one")
+            start = e.header_offset + _HEADER + sum(_LENGTHS.unpack_from(blob, e.header_offset))
+            data = blob[start : start + e.compress_size]
+            yield archive, e.filename, e.compress_type, e.flag_bits, e.CRC, data, None
+        except Exception as err:
+            yield archive, e.filename, None, None, None, None, _reason(err)
+
+
+def _unpacked(method: int, flags: int, crc: int, data: bytes) -> str:
+    if int(flags) & _ENCRYPTED:
+        raise RuntimeError("the member is encrypted")
+    if method == zipfile.ZIP_DEFLATED:
+        stream = zlib.decompressobj(-zlib.MAX_WBITS)
+        whole = stream.decompress(data) + stream.flush()
+        if not stream.eof:
+            raise zipfile.BadZipFile("the member is cut short")
+    elif method == zipfile.ZIP_STORED:
+        whole = data
+    else:
+        raise NotImplementedError(f"compression method {int(method)}")
+    if zlib.crc32(whole) != int(crc):
+        raise zipfile.BadZipFile("the checksum does not match")
+    return whole.decode("utf-8")
+
+
+def _frames(rows: Iterator[tuple], columns: list[str], size_of: int) -> Iterator[pd.DataFrame]:
+    """Frames of bounded size."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[size_of] or "")
+        if size >= _FLUSH_BYTES or len(held) >= _FLUSH_ROWS:
+            yield pd.DataFrame(held, columns=columns)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=columns)
+
+
+def _cut_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["archive", "name", "method", "flags", "crc", "data", "error"]
+    for batch in batches:
+        rows = (row for path, blob in zip(batch["path"], batch["content"]) for row in _cut(path, bytes(blob)))
+        yield from _frames(rows, columns, 5)
+
+
+def _unpack_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batch: pd.DataFrame) -> Iterator[tuple]:
+        for m in batch.itertuples(index=False):
+            if m.error is not None:
+                yield m.archive, m.name, None, m.error
+                continue
+            try:
+                yield m.archive, m.name, _unpacked(m.method, m.flags, m.crc, bytes(m.data)), None
+            except Exception as err:  # as above: one member never takes the others with it
+                yield m.archive, m.name, None, _reason(err)
+
     for batch in batches:
-        for archive, blob in zip(batch["path"], batch["content"]):
-            rows, size = [], 0
-            # Members leave in bounded frames, so a large archive is never unpacked
-            # as a whole.
-            for row in _members(archive, bytes(blob)):
-                rows.append(row)
-                size += len(row[2] or "")
-                if size >= _FLUSH_BYTES:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=columns)
+        yield from _frames(rows(batch), ["archive", "name", "content", "error"], 2)
 
 
 def explode_members(archives: DataFrame) -> DataFrame:
     """(path, content) of archives -> one row per JSON member.
 
-    Members named ``__*`` are left out.  A member that cannot be read becomes a row
-    with ``error`` set, and the rest of the archive is still read.
+    Members named ``__*`` are left out.  A member that cannot be read (damaged, cut short,
+    encrypted, packed in an unknown way, not UTF-8) becomes a row with ``error`` set, and the
+    rest of the archive is still read.  A file that is no archive is one such row.
     """
-    return archives.select("path", "content").mapInPandas(_unzip, MEMBERS)
+    packed = archives.select("path", "content").mapInPandas(_cut_all, _PACKED)
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packed.repartition(tasks, "archive", "name").mapInPandas(_unpack_all, MEMBERS)
 
 
 def explode_archives(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,55 +1,82 @@
 """Bronze layer: raw documents kept per revision.
 
-Each applied batch is one folder of accepted documents and one folder of index rows.
-Work per batch grows with the batch and the narrow index, never with the documents
-already stored.  Both folders are written with overwrite under the batch number, so
-a batch that is replayed after a failure gives the same state.
+A batch is named by its feed and number.  Applying it writes, in this order: the accepted
+documents and the unreadable ones, each in the batch's own folder; a part of the index; and a
+new state file, which alone makes the part count.  A run lost anywhere before that leaves
+nothing half-known, and running it again replaces what it wrote.  A batch that is applied again
+with the same content changes nothing; the same name with other content is refused, so a
+second feed or a restarted stream cannot overwrite what is stored.
+
+The index has one narrow row per accepted document.  Its parts are folded into one row per
+match once there are ``FOLD`` of them, so reading it costs about one row per match.  One
+writer at a time is assumed.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overlake.functions import to_int
-from overlake.operators.versions import classify_revisions, dedupe, revision_stats
+from overlake.operators.versions import classify_revisions, latest_by
+from overlake.schemas import CORRUPT
+from overlake.session import fresh_path
+from overlake.sources.files import Folder, newest
 from overlake.sources.raw import match_id_from, match_type_key, year_key
 
-_HEAD = (
-    "meta struct<revision string>, "
-    "info struct<match_type string, dates array<string>>, _corrupt_record string"
-)
+_HEAD = f"meta struct<revision variant>, info struct<match_type string, dates string>, {CORRUPT} string"
 
 BRONZE = (
-    "match_id string, match_type string, year string, revision int, content string, status string, batch long"
+    "match_id string, revision int, content string, status string, feed string, batch long, match_type string, year string"
 )
-INDEX = "match_id string, revision int, status string, batch long"
+INDEX = "match_id string, revision int, feed string, batch long"
+ERRORS = "match_id string, reason string, content string, feed string, batch long"
+REPORT = "match_type string, year string, status string, matches long"
+FOLD = 16
+UNREADABLE = "not a JSON document"
 
 
 def bronze_rows(texts: DataFrame, name: str = "name", content: str = "content") -> DataFrame:
     """(name, content) -> match_id, match_type, year, revision, content, error.
 
-    Only the few leaves that route a document are parsed.
+    Only the few leaves that route a document are parsed.  A column ``error`` of the input,
+    as archive members have, is carried on; a document of which nothing can be read gets one.
     """
-    head = F.from_json(F.col(content), _HEAD, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    head = F.from_json(F.col(content), _HEAD, {"columnNameOfCorruptRecord": CORRUPT})
+    known = F.col("error") if "error" in texts.columns else F.lit(None).cast("string")
     opened = texts.select(
         match_id_from(name).alias("match_id"),
         F.col(content).alias("content"),
+        known.alias("known"),
         F.inline(F.array(head)),
     )
+    broken = f"meta IS NULL AND info IS NULL AND ({CORRUPT} IS NOT NULL OR trim(coalesce(content, '')) = '')"
     return opened.select(
         "match_id",
         match_type_key().alias("match_type"),
         year_key().alias("year"),
         F.coalesce(to_int("meta.revision"), F.lit(1)).alias("revision"),
         "content",
-        F.col("_corrupt_record").alias("error"),
+        F.coalesce("known", F.when(F.expr(broken), F.lit(UNREADABLE))).alias("error"),
     )
 
 
 class BronzeStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._folder = Folder(spark, self.path)
+
+    # state -----------------------------------------------------------------------
+
+    def _state(self) -> dict:
+        """{"parts": index folders that count, "next": number of the next state}."""
+        last = newest(self._folder.names("state"))
+        return {"parts": [], "next": 0} if last is None else json.loads(self._folder.read(f"state/{last}"))
+
+    def _commit(self, parts: list[str], number: int) -> None:
+        self._folder.write(f"state/{number:012d}", json.dumps({"parts": parts, "next": number + 1}))
 
     def _read(self, part: str, schema: str) -> DataFrame:
         try:
@@ -59,38 +86,95 @@ class BronzeStore:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def index(self, before: int | None = None) -> DataFrame:
-        """(match_id, revision, batch) of what is stored; empty when nothing is."""
-        rows = self._read("index", INDEX).filter("status <> 'skipped'")
-        if before is not None:
-            rows = rows.filter(F.col("batch") != before)
-        return rows.groupBy("match_id").agg(
-            F.max("revision").alias("revision"), F.max_by("batch", "revision").alias("batch")
-        )
+    def index(self) -> DataFrame:
+        """(match_id, revision, feed, batch) of the newest stored document of each match."""
+        parts = [f"{self.path}/{p}" for p in self._state()["parts"]]
+        if not parts:
+            return self.spark.createDataFrame([], INDEX)
+        rows = self.spark.read.schema(INDEX).parquet(*parts)
+        newest_ = F.max(F.struct("revision", "batch", "feed")).alias("n")
+        return rows.groupBy("match_id").agg(newest_).select("match_id", "n.revision", "n.feed", "n.batch")
+
+    # writing ---------------------------------------------------------------------
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Store the documents that are new or carry a higher revision.
+    def apply(self, batch: DataFrame, batch_id: int, feed: str = "main") -> None:
+        """Store the documents that are new or carry a higher revision; keep unreadable ones apart.
 
-        Documents are written before the index rows that vouch for them, and only
-        indexed documents count, so a run lost half-way leaves nothing half-known.
+        ``batch`` is computed once: its rows are written to the scratch folder, and what
+        follows reads the narrow columns of that, and the text of accepted documents alone.
         """
-        good = batch.filter("error IS NULL").drop("error")
-        keys = good.select("match_id", "revision")
-        accepted = classify_revisions(self.index(before=batch_id), keys).filter("status <> 'skipped'")
-        taken = good.join(accepted, ["match_id", "revision"])
-        here = f"batch={batch_id}"
-        dedupe(taken, ["match_id"]).write.mode("overwrite").parquet(f"{self.path}/documents/{here}")
-        stored = self._read("documents", BRONZE).filter(F.col("batch") == batch_id)
-        known = stored.select("match_id", "revision", "status")
-        newest = keys.groupBy("match_id").agg(F.max("revision").alias("revision"))
-        skipped = newest.join(known, "match_id", "left_anti").withColumn("status", F.lit("skipped"))
-        known.unionByName(skipped).write.mode("overwrite").parquet(f"{self.path}/index/{here}")
-
-    def stats(self, batch_id: int) -> DataFrame:
-        return revision_stats(self._read("index", INDEX).filter(F.col("batch") == batch_id))
+        here = f"feed={feed}/batch={batch_id}"
+        scratch = fresh_path(self.spark, "bronze-batch")
+        columns = ("match_id", "match_type", "year", "revision", "content", "error")
+        text = F.coalesce(F.col("content"), F.lit(""))
+        # Two hashes of the text order equal revisions; the text itself is never sorted.
+        batch.select(*columns, F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2")).write.parquet(scratch)
+        rows = self.spark.read.parquet(scratch)
+        digest = rows.agg(
+            F.count("*").alias("n"),
+            F.coalesce(F.sum(F.xxhash64("match_id", "revision", "h1", "error").cast("decimal(38,0)")), F.lit(0)).alias("h"),
+        ).first()
+        digest = f"{digest.n} {digest.h}"
+        if self._folder.exists(f"applied/{here}"):
+            if self._folder.read(f"applied/{here}") != digest:
+                raise ValueError(f"batch {batch_id} of feed {feed!r} is already stored with other content")
+            Folder(self.spark, scratch).delete()
+            return
+        state = self._state()
+        narrow = rows.filter("error IS NULL").select("match_id", "match_type", "year", "revision", "h1", "h2")
+        newest_ = latest_by(narrow, ["match_id"], ["revision DESC NULLS LAST", "h1", "h2"])
+        classified = classify_revisions(self.index(), newest_)
+        accepted = classified.filter("status <> 'skipped'").select("match_id", "revision", "h1", "h2", "status")
+        # Copies of an accepted document agree in all columns: any one of them will do.
+        taken = latest_by(
+            rows.filter("error IS NULL").join(accepted, ["match_id", "revision", "h1", "h2"]), ["match_id"], ["h1"]
+        )
+        (
+            taken.select("match_id", "revision", "content", "status", "match_type", "year")
+            .hint("rebalance", "match_type", "year")
+            .write.mode("overwrite")
+            .partitionBy("match_type", "year")
+            .parquet(f"{self.path}/documents/{here}")
+        )
+        errors = rows.filter("error IS NOT NULL").select("match_id", F.col("error").alias("reason"), "content")
+        errors.write.mode("overwrite").parquet(f"{self.path}/errors/{here}")
+        report = classified.groupBy("match_type", "year", "status").agg(F.count("*").alias("matches"))
+        unreadable = errors.groupBy().agg(F.count("*").alias("matches")).filter("matches > 0")
+        none = F.lit(None).cast("string")
+        unreadable = unreadable.select(none.alias("match_type"), none.alias("year"), F.lit("unreadable").alias("status"), "matches")
+        report.unionByName(unreadable).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/report/{here}")
+        part = f"index/{here}"
+        stored = self._read("documents", BRONZE).filter((F.col("feed") == feed) & (F.col("batch") == batch_id))
+        (
+            stored.select("match_id", "revision", F.lit(feed).alias("feed"), F.lit(batch_id).cast("long").alias("batch"))
+            .write.mode("overwrite")
+            .parquet(f"{self.path}/{part}")
+        )
+        self._commit([*state["parts"], part], state["next"])
+        self._folder.write(f"applied/{here}", digest)
+        if len(state["parts"]) + 1 >= FOLD:
+            self._fold()
+        Folder(self.spark, scratch).delete()
+
+    def _fold(self) -> None:
+        """One row per match in a new part that stands for all the others."""
+        number = self._state()["next"]
+        part = f"index/folded-{number:012d}"
+        self.index().write.mode("overwrite").parquet(f"{self.path}/{part}")
+        self._commit([part], number)
+
+    # reading ---------------------------------------------------------------------
+
+    def stats(self, batch_id: int, feed: str = "main") -> DataFrame:
+        """(match_type, year, status, matches) of one batch; unreadable documents have no folder."""
+        return self._read(f"report/feed={feed}/batch={batch_id}", REPORT)
+
+    def errors(self) -> DataFrame:
+        """Every unreadable document with its reason and batch."""
+        return self._read("errors", ERRORS)
 
     def current(self) -> DataFrame:
         """Latest stored document per match."""
         docs = self._read("documents", BRONZE)
-        latest = docs.join(self.index(), ["match_id", "revision", "batch"], "left_semi")
+        latest = docs.join(self.index(), ["match_id", "revision", "feed", "batch"], "left_semi")
         return latest.drop("status")

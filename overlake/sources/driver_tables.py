@@ -264,6 +264,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORDERS_PER_FILE = 500
+
+
+def raw_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Documents as a tree of files ``match_type=.../year=.../*.json``, one document each:
+    five hundred consecutive orders are a match, an order an innings of it."""
+    orders = _table(spark, sf_dir, "orders").withColumn("g", F.expr(f"o_orderkey div {ORDERS_PER_FILE}"))
+    grouped = orders.groupBy("g").agg(F.expr("array_sort(collect_list(struct(o_orderkey, o_custkey)))").alias("own"))
+    docs = _exprs(
+        grouped,
+        match_type="element_at(array('T20', 'ODI', 'Test'), cast(g % 3 + 1 as int))",
+        year="cast(2008 + g % 7 as string)",
+        meta="named_struct('revision', 1 + g % 3)",
+        info="named_struct('match_type', match_type, 'dates', array(concat(year, '-01-01')), 'teams', array('A', 'B'))",
+        innings="transform(own, x -> named_struct('team', concat('NATION_', x.o_custkey % 8), 'declared', x.o_custkey % 5 = 0))",
+    )
+    (
+        docs.select(F.lower("match_type").alias("match_type"), "year", "meta", "info", "innings")
+        .write.partitionBy("match_type", "year")
+        .option("maxRecordsPerFile", 1)
+        .json(path)
+    )
+
+
 def _zipped(batches):
     import io
     import zipfile
@@ -271,25 +295,39 @@ def _zipped(batches):
     import pandas as pd
 
     for batch in batches:
-        whole = batch.loc[~batch["broken"], "key"].tolist()
-        broken = batch.loc[batch["broken"], "key"].tolist()
-        rows = [(f"archive-{k}", b"not an archive") for k in broken]
-        for start in range(0, len(whole), 500):
-            chunk = whole[start : start + 500]
+        docs = list(batch.itertuples(index=False))
+        for start in range(0, len(docs), 500):
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as zf:
                 zf.writestr("__index.json", "{}")
                 zf.writestr("README.txt", "not a document")
-                for k in chunk:
-                    zf.writestr(f"matches/{k}.json", f'{{"id": {k}}}')
-            rows.append((f"archive-from-{chunk[0]}", buffer.getvalue()))
-        yield pd.DataFrame(rows, columns=["path", "content"])
-
-
-def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zip archives of many small documents, one member per order, as (path, content);
-    an order of low priority stands for a file that is no archive."""
-    orders = _table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS key", "o_orderpriority = '5-LOW' AS broken"
-    )
-    return _spread(orders, "key").mapInPandas(_zipped, "path string, content binary")
+                for d in docs[start : start + 500]:
+                    zf.writestr(f"matches/{d.key}.json", d.content)
+                entries = zf.infolist()
+            blob = bytearray(buffer.getvalue())
+            by_name = {e.filename: e for e in entries}
+            for d in docs[start : start + 500]:
+                entry = by_name[f"matches/{d.key}.json"]
+                first = entry.header_offset + 30 + len(entry.filename)
+                if d.harm == "damaged":
+                    # The first block of the packed text gets a type that does not exist.
+                    blob[first] |= 6
+                elif d.harm == "encrypted":
+                    # The flag in the directory at the end of the archive.
+                    at = blob.rindex(entry.filename.encode()) - 46
+                    blob[at + 8] |= 1
+            yield pd.DataFrame([(f"archive-of-{docs[start].key}", bytes(blob))], columns=["path", "content"])
+        broken = batch.loc[batch["harm"] == "no archive", "key"].tolist()
+        yield pd.DataFrame([(f"archive-{k}", b"not an archive") for k in broken], columns=["path", "content"])
+
+
+def archives(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """Zip archives of the derived documents, as (path, content).
+
+    Members of low priority are damaged or encrypted, by their order; one order in a hundred
+    also brings a file that is no archive.
+    """
+    harm = """CASE WHEN cast(match_id AS bigint) % 100 = 7 THEN 'no archive' WHEN o_orderpriority <> '5-LOW' THEN 'none'
+        WHEN cast(match_id AS bigint) % 2 = 0 THEN 'damaged' ELSE 'encrypted' END"""
+    rows = docs.select(F.col("match_id").alias("key"), "content", F.expr(harm).alias("harm"))
+    return _spread(rows, "key").mapInPandas(_zipped, "path string, content binary")

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from overlake.functions import to_list_sql
 from overlake.schemas import CORRUPT, MATCH_DOCUMENT
 
 _READ_SCHEMA = T.StructType([*MATCH_DOCUMENT.fields, T.StructField(CORRUPT, T.StringType())])
@@ -21,7 +22,7 @@ def match_type_key() -> Column:
 
 
 def year_key() -> Column:
-    return F.expr("coalesce(substring(get(info.dates, 0), 1, 4), 'unknown')")
+    return F.expr(f"coalesce(substring(get({to_list_sql('info.dates')}, 0), 1, 4), 'unknown')")
 
 
 def with_partition_keys(docs: DataFrame) -> DataFrame:
@@ -81,8 +82,9 @@ def parse_documents(
     """Parse a text column holding one document per row, e.g. archive members.
 
     Parts left out of ``parts`` are skipped over and not built, but a document broken
-    anywhere is still found.  The document is unfolded by a generator, which keeps a
-    later filter from being pushed into a second parse.
+    anywhere is still found.  A leaf of another shape than declared becomes NULL alone.
+    The document is unfolded by a generator, which keeps a later filter from being pushed
+    into a second parse.
     """
     fields = [f for f in _READ_SCHEMA if f.name in (*parts, CORRUPT)]
     doc = F.from_json(
@@ -91,11 +93,15 @@ def parse_documents(
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     identity = F.col(match_id) if isinstance(match_id, str) else match_id
-    parsed = df.select(identity.alias("match_id"), *keep, F.inline(F.array(doc)))
-    return with_partition_keys(parsed)
+    parsed = df.select(identity.alias("match_id"), *keep, F.col(content).alias("__text"), F.inline(F.array(doc)))
+    # The parser notes the text also where only some leaf was odd; such a document has parts.
+    nothing = " AND ".join(f"{p} IS NULL" for p in parts)
+    unreadable = f"CASE WHEN {nothing} THEN coalesce({CORRUPT}, if(trim(coalesce(__text, '')) = '', '', NULL)) END"
+    return with_partition_keys(parsed.withColumn(CORRUPT, F.expr(unreadable)).drop("__text"))
 
 
 def well_formed(docs: DataFrame) -> DataFrame:
+    """Documents of which something could be read."""
     return docs.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 

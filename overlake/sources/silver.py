@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from overlake.schemas import SILVER
+from overlake.sources.files import Folder
 
 PARTITIONS = ("match_type", "year")
 
@@ -18,7 +19,8 @@ def write_silver(
     max_records_per_file: int = 5_000_000,
     row_group_rows: int = 100_000,
 ) -> None:
-    """Write one silver table; ``full`` replaces it, ``incremental`` appends to it.
+    """Write one silver table; ``full`` replaces it, ``incremental`` appends the revisions
+    of matches that it does not hold yet, so a load that is repeated adds nothing.
 
     Rows are always cast to the fixed schema, so a column that happens to be empty in
     one load keeps its type.  Rebalancing by the partition columns gives few files per
@@ -28,6 +30,11 @@ def write_silver(
         raise ValueError(f"unknown mode {mode!r}")
     schema = SILVER[name]
     typed = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    if mode == "incremental" and Folder(df.sparkSession, root).exists(name):
+        # The folder columns are part of the key, so only folders of the load are looked at.
+        held = read_silver(df.sparkSession, root, name).select(*PARTITIONS, "match_id", "revision").distinct()
+        same = [typed[c].eqNullSafe(held[c]) if c == "revision" else typed[c] == held[c] for c in held.columns]
+        typed = typed.join(held, same, "left_anti")
     (
         typed.hint("rebalance", *PARTITIONS)
         .write.mode("overwrite" if mode == "full" else "append")

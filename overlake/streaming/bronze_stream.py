@@ -15,17 +15,19 @@ def ingest_available(
     store: BronzeStore,
     checkpoint: str,
     to_bronze: Callable[[DataFrame], DataFrame],
+    feed: str = "stream",
 ) -> StreamingQuery:
     """Apply everything ``source`` has by now, then stop.
 
     ``source`` is a streaming frame and ``to_bronze`` turns a batch of it into bronze
     rows.  Progress is kept in ``checkpoint``; a batch run again after a failure keeps
-    its number and replaces its own output.  Lower or equal revisions that arrive
-    late are skipped.
+    its number and changes nothing.  Lower or equal revisions that arrive late are
+    skipped.  Every checkpoint needs a ``feed`` of its own: with a fresh one the numbers
+    begin again, and the store refuses a number that holds something else.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.apply(to_bronze(batch), batch_id)
+        store.apply(to_bronze(batch), batch_id, feed)
 
     query = (
         source.writeStream.foreachBatch(apply)

@@ -7,6 +7,7 @@ stored in the session's scratch folder, and shared by the catalogue queries.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -34,10 +35,10 @@ from overlake.session import configure, fresh_path
 from overlake.sources import driver_tables as dt
 from overlake.sources.archives import explode_members, member_stem
 from overlake.sources.bronze import BronzeStore, bronze_rows
-from overlake.sources.inventory import inventory_of
+from overlake.sources.inventory import inventory_of, partition_inventory
 from overlake.sources.publish import publish
-from overlake.sources.raw import parse_documents, quarantine, well_formed
-from overlake.sources.seeds import seed_frame
+from overlake.sources.raw import parse_documents, quarantine, read_raw, read_raw_texts, well_formed
+from overlake.sources.seeds import read_seed, seed_frame
 from overlake.sources.silver import read_silver, write_silver
 from overlake.streaming import ingest_available
 
@@ -247,14 +248,88 @@ def quarantined(spark, sf_dir):
 
 
 def archive_members(spark, sf_dir):
-    members = explode_members(dt.archives(spark, sf_dir))
+    members = explode_members(dt.archives(spark, sf_dir, _documents(spark, sf_dir)))
     return members.select(
-        F.when(F.col("error").isNotNull(), F.col("archive")).alias("unreadable"),
+        F.when(F.col("name").isNull(), F.col("archive")).alias("unreadable"),
         member_stem().alias("match_id"),
-        "content",
+        F.col("error").isNull().alias("whole"),
+        F.get_json_object("content", "$.info.venue").alias("venue"),
     )
 
 
+def odd_leaves(spark, sf_dir):
+    """Documents in which some leaves have another type than usual: every match is in all
+    four tables, and only the odd leaves are missing or read as what they say."""
+    odd = F.col("content")
+    for usual, other in (
+        ('"player_of_match":["P3"]', '"player_of_match":"P3"'),
+        ('"declared":true', '"declared":"yes"'),
+        ('"umpires_call":true', '"umpires_call":1'),
+        ('"season":', '"gender":{"odd":1},"season":'),
+    ):
+        odd = F.replace(odd, F.lit(usual), F.lit(other))
+    docs = well_formed(parse_documents(_documents(spark, sf_dir).withColumn("content", odd)))
+    m = flatten.flatten_matches(docs).select("match_id", "player_of_match", "overs", "season")
+    i = flatten.flatten_innings(docs).groupBy("match_id").agg(F.count("*").alias("innings"), F.count("declared").alias("declared"))
+    d = flatten.flatten_deliveries(docs).groupBy("match_id").agg(
+        F.count("*").alias("balls"), F.count("review_umpires_call").alias("calls"), F.count("review_by").alias("reviews")
+    )
+    p = flatten.flatten_players(docs).groupBy("match_id").agg(F.count("*").alias("players"))
+    return m.join(i, "match_id").join(d, "match_id").join(p, "match_id")
+
+
+def _raw_tree(spark, sf_dir):
+    """A folder of document files, written once per session."""
+
+    def build():
+        path = fresh_path(spark, "raw-tree")
+        dt.raw_files(spark, sf_dir, path)
+        return path
+
+    return _once(spark, sf_dir, "raw tree", build)
+
+
+def raw_files(spark, sf_dir):
+    innings = flatten.flatten_innings(well_formed(read_raw(spark, _raw_tree(spark, sf_dir))))
+    return innings.groupBy("match_type", "year", "revision").agg(
+        F.count_distinct("match_id").alias("matches"), F.count("*").alias("innings"), F.count_if("declared").alias("declared")
+    )
+
+
+def raw_since(spark, sf_dir):
+    """Files changed within a day, and files that will change after tomorrow."""
+    tree = _raw_tree(spark, sf_dir)
+    counts = [
+        read_raw_texts(spark, tree, days).agg(F.lit(label).alias("changed"), F.count("*").alias("files"))
+        for label, days in (("today", 1), ("not yet", -2))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+def file_inventory(spark, sf_dir):
+    return partition_inventory(spark, _raw_tree(spark, sf_dir))
+
+
+def csv_seeds(spark, sf_dir):
+    """Team names through a map that lies in a CSV file."""
+    path = fresh_path(spark, "seed")
+    nations = _read(spark, sf_dir, "nation")
+    names = nations.selectExpr("n_name AS raw_name", "concat('Region ', n_regionkey) AS canonical_name")
+    names.filter("canonical_name <> 'Region 4'").write.option("header", "true").csv(path)
+    mapping = read_seed(spark, "team_name_map", path)
+    named = canonicalize(nations, "n_name", mapping, "raw_name", {"name": "canonical_name"})
+    joined = _read(spark, sf_dir, "customer").join(named, F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.groupBy("name").agg(F.count("*").alias("customers"))
+
+
+def published_table(spark, sf_dir):
+    """A model as a catalogue table, in folders by format and year, and read by its name."""
+    layer = "overlake_" + spark.sparkContext.applicationId.replace("-", "_")
+    overs = match_tables(spark, sf_dir).overs
+    stored = publish(overs, layer, f"overs_{uuid.uuid4().hex[:8]}", False, ("match_type", "year"), ("match_id",))
+    return stored.groupBy("match_type", "year").agg(F.sum("deliveries").alias("balls"), F.sum("runs").alias("runs"))
+
+
 def inventory(spark, sf_dir):
     """Paths the documents would have; unreadable ones lie above the folders."""
     rows = bronze_rows(_delivered(spark, sf_dir))
@@ -274,6 +349,38 @@ def bronze_state(spark, sf_dir):
     return store.current().select("match_id", "match_type", "year", "revision", "batch")
 
 
+def bronze_two_feeds(spark, sf_dir):
+    """Two feeds that number their batches alike: nothing is lost."""
+    store = BronzeStore(spark, fresh_path(spark, "bronze"))
+    docs = _delivered(spark, sf_dir)
+    store.apply(bronze_rows(docs.filter("o_orderstatus = 'P'")), 0, "first")
+    store.apply(bronze_rows(docs.filter("o_orderstatus <> 'P'")), 0, "second")
+    return store.current().select("match_id", "revision", "feed", "batch")
+
+
+def bronze_replay(spark, sf_dir):
+    """A batch that is applied again changes nothing; a lower revision is skipped."""
+    store = BronzeStore(spark, fresh_path(spark, "bronze"))
+    rows = bronze_rows(_delivered(spark, sf_dir))
+    store.apply(rows, 0)
+    store.apply(rows, 0)
+    store.apply(rows.withColumn("revision", F.lit(0)), 1)
+    found = store.current().groupBy("batch").agg(F.count("*").alias("matches"), F.sum("revision").alias("revisions"))
+    reports = store.stats(0).withColumn("of", F.lit(0)).unionByName(store.stats(1).withColumn("of", F.lit(1)))
+    counts = reports.groupBy("of").agg(
+        *[F.sum(F.when(F.col("status") == s, F.col("matches")).otherwise(0)).alias(s) for s in ("new", "updated", "skipped", "unreadable")]
+    )
+    return counts.join(found, counts["of"] == found["batch"], "left").drop("batch")
+
+
+def bronze_errors(spark, sf_dir):
+    """One row per unreadable document, with its text, which lacks the last brace."""
+    store = BronzeStore(spark, fresh_path(spark, "bronze"))
+    store.apply(bronze_rows(_delivered(spark, sf_dir)), 3)
+    kept = store.errors().filter("startswith(content, '{') AND NOT endswith(content, '}}')")
+    return kept.select("match_id", "reason", "batch")
+
+
 def streamed_state(spark, sf_dir):
     """Events as versioned records of their user, streamed from where they lie."""
     schema = _read(spark, sf_dir, "events").schema
@@ -295,6 +402,17 @@ def streamed_state(spark, sf_dir):
     return store.current().select("match_id", "revision")
 
 
+def silver_rerun(spark, sf_dir):
+    """An incremental load that is repeated adds nothing; new revisions are added."""
+    root = fresh_path(spark, "silver")
+    balls = dt.deliveries(spark, sf_dir)
+    write_silver(balls, root, "deliveries", "full")
+    for _ in range(2):
+        write_silver(balls, root, "deliveries", "incremental")
+        write_silver(balls.filter("over_number = 0").withColumn("revision", F.lit(9)), root, "deliveries", "incremental")
+    return read_silver(spark, root, "deliveries").groupBy("revision").agg(F.count("*").alias("balls"))
+
+
 def silver_round_trip(spark, sf_dir):
     root = fresh_path(spark, "silver")
     write_silver(dt.deliveries(spark, sf_dir), root, "deliveries", "full")
@@ -450,10 +568,20 @@ def queries() -> dict[str, Query]:
         "flatten_innings": on_source(flattened("innings")),
         "flatten_deliveries": on_source(flattened("deliveries")),
         "flatten_players": on_source(flattened("players")),
+        "flatten_odd_leaves": on_source(odd_leaves),
+        "raw_files": on_source(raw_files),
+        "raw_since": on_source(raw_since),
+        "file_inventory": on_source(file_inventory),
+        "csv_seeds": on_source(csv_seeds),
+        "published_table": on_source(published_table),
         "quarantine": on_source(quarantined),
         "archive_members": on_source(archive_members),
         "partition_inventory": on_source(inventory),
         "bronze_state": on_source(bronze_state),
+        "bronze_two_feeds": on_source(bronze_two_feeds),
+        "bronze_replay": on_source(bronze_replay),
+        "bronze_errors": on_source(bronze_errors),
+        "silver_rerun": on_source(silver_rerun),
         "streamed_state": on_source(streamed_state),
         "silver_round_trip": on_source(silver_round_trip),
     }

@@ -12,10 +12,11 @@ def value(spark, col):
 
 @pytest.mark.parametrize(
     "text, expected",
-    [("12", 12), ("12.7", 12), ("-3.9", -3), ("x", None), (None, None), ("99999999999", None), ("", None)],
+    [("12", 12), ("12.7", 12), ("-3.9", -3), ('"12"', 12), ('"12.7"', None), ('"x"', None), (None, None),
+     ("99999999999", None), ('""', None), ("null", None), ("[1]", None), ("true", 1)],
 )
 def test_to_int(spark, text, expected):
-    assert value(spark, to_int("cast(NULL AS string)" if text is None else f"'{text}'")) == expected
+    assert value(spark, to_int("cast(NULL AS variant)" if text is None else f"parse_json('{text}')")) == expected
 
 
 def test_rounding_equals_floating_point_round(spark):
