@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from overlake import MatchTables, Seeds, Silver, configure
 from overlake.plans.catalogue import audit
 from overlake.plans.ingest import transform, transform_bronze
-from overlake.session import clean_scratch
+from overlake.session import scratch
 from overlake.sources import (
     BronzeStore,
     bronze_rows,
@@ -96,10 +96,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName("overlake").getOrCreate())
-    try:
+    with scratch(spark):
         args.run(spark, args)
-    finally:
-        clean_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import shutil
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
@@ -64,11 +66,19 @@ def scratch_dir(spark: SparkSession) -> str:
 _used: set[str] = set()
 
 
-def clean_scratch(spark: SparkSession) -> None:
-    """Deletes this application's scratch folder: for the end of a load on a cluster."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder for what is done inside, deleted at its end: for the steps of a load."""
     from overlake.sources.files import Folder
 
-    Folder(spark, scratch_dir(spark)).delete()
+    before = spark.conf.get(SCRATCH, None)
+    own = fresh_path(spark, "step")
+    spark.conf.set(SCRATCH, own)
+    try:
+        yield own
+    finally:
+        spark.conf.unset(SCRATCH) if before is None else spark.conf.set(SCRATCH, before)
+        Folder(spark, own).delete()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from overlake.schemas import SILVER
 from overlake.sources.files import Folder
@@ -57,39 +56,28 @@ def adopt_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
 
     In such files a column without values has no type, and the same column may be whole
     numbers in one file and fractions in the next, which no single read schema covers.
-    Each file is opened by the task that holds it and its columns cast to the fixed
-    schema by name; columns it lacks are NULL.  Meant to be passed on to
-    :func:`write_silver` once.
+    Files are grouped by the schema in their footers; Spark reads each group under its own
+    schema and casts it to the fixed one.  Columns that files lack are NULL.  Meant to be
+    passed on to :func:`write_silver` once.
     """
-    schema = SILVER[name]
-    target = to_arrow_schema(schema)
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(f"{root.rstrip('/')}/{name}")
-        .select("path", "content")
-    )
-
-    def cast(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        import pyarrow.parquet as pq
-
-        for held in batches:
-            for path, content in zip(held["path"].to_pylist(), held["content"]):
-                folders = dict(p.split("=", 1) for p in path.split("/") if "=" in p)
-                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
-                for rows in file.iter_batches(batch_size=50_000):
-                    present = set(rows.schema.names)
-                    columns = []
-                    for field in target:
-                        if field.name in folders:
-                            columns.append(pa.repeat(folders[field.name], rows.num_rows).cast(field.type))
-                        elif field.name in present:
-                            columns.append(pc.cast(rows.column(field.name), field.type, safe=False))
-                        else:
-                            columns.append(pa.nulls(rows.num_rows, field.type))
-                    yield pa.RecordBatch.from_arrays(columns, schema=target)
-
-    return files.mapInArrow(cast, schema)
+    base = f"{root.rstrip('/')}/{name}"
+    reader = spark.read.option("basePath", base).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    groups: dict[str, list[str]] = {}
+    for row in listed.load(base).select("path").toLocalIterator():
+        groups.setdefault(spark.read.parquet(row.path).schema.json(), []).append(row.path)
+    out = spark.createDataFrame([], SILVER[name])
+    for paths in groups.values():
+        rows = reader.parquet(*paths).withColumn("__path", F.col("_metadata.file_path"))
+        held = {f.name: f.dataType for f in rows.schema}
+        columns = []
+        for f in SILVER[name]:
+            if f.name in PARTITIONS:
+                value = F.regexp_extract("__path", f"/{f.name}=([^/]*)/", 1)
+            elif f.name not in held or isinstance(f.dataType, T.ArrayType) and not isinstance(held[f.name], T.ArrayType):
+                value = F.lit(None)
+            else:
+                value = F.col(f.name)
+            columns.append(value.cast(f.dataType).alias(f.name))
+        out = out.unionByName(rows.select(*columns))
+    return out

@@ -37,6 +37,10 @@ def test_archives_to_reports(spark, tmp_path, capsys):
     tables = MatchTables.load(spark, store)
     opener = tables.took_part.filter("match_id = '1001' AND player_name = 'A Opener' AND innings_number = 1").first()
     assert opener.runs == 7
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*") if p.is_file()}
+    main(["check", "--store", store])
+    assert files == {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*") if p.is_file()}
+    assert tables.stg_matches.count() == len(docs.ALL) and tables.seeds.team_map.count() > 0
     main(["check", "--silver", silver])
     main(["reconcile", "--store", store])
     assert "accepted_values" in capsys.readouterr().out
@@ -47,3 +51,27 @@ def test_files_to_silver_and_inventory(spark, raw, tmp_path, capsys):
     main(["inventory", "--raw", raw])
     shown = capsys.readouterr().out
     assert f"processed {len(docs.ALL)}, errors 1" in shown and "unknown" in shown
+
+
+def test_a_failed_build_keeps_the_tables(spark, ingested, tmp_path):
+    import pytest
+
+    from overlake import Seeds, Silver
+
+    store = str(tmp_path / "store")
+    silver = Silver.read(spark, ingested[0])
+    good = MatchTables(silver, Seeds.standard(spark), store).build()
+    n = good.balls.count()
+    broken = Silver(silver.matches, silver.innings, silver.deliveries, silver.players.selectExpr("*", "raise_error('x') AS e").drop("team"))
+    with pytest.raises(Exception):
+        MatchTables(broken, Seeds.standard(spark), store).build()
+    assert MatchTables.load(spark, store).balls.count() == n
+    again = MatchTables(silver, Seeds.standard(spark), store).build()
+    assert MatchTables.load(spark, store).balls.count() == n and again._version != good._version
+
+
+def test_reports_are_whole(spark, tmp_path, capsys):
+    from overlake.__main__ import _print
+
+    _print(spark.range(1500).selectExpr("id"))
+    assert len(capsys.readouterr().out.splitlines()) == 1501

@@ -144,5 +144,6 @@ def test_fielders_from_joined_names(spark):
 
     row = {f.name: None for f in DELIVERIES} | {"match_id": "1", "innings_number": 1, "over_number": 0, "ball_in_over": 1}
     old = spark.createDataFrame([tuple({**row, "wicket_fielders": "Al, Al Keeper"}.values())], DELIVERIES)
-    staged = stage_deliveries(old).first()
+    matches = spark.createDataFrame([("1", 1)], "match_id string, revision int")
+    staged = stage_deliveries(old, matches).first()
     assert staged.wicket_fielders_arr == ["Al", "Al Keeper"] and staged.revision == 1

@@ -36,9 +36,18 @@ def test_dedupe_does_not_depend_on_arrival(spark):
 
 
 def test_hot_key_is_cut_before_the_exchange(spark):
-    plan = dedupe(spark.range(10).select((F.col("id") % 3).alias("k"), "id"), ["k"])._jdf.queryExecution().executedPlan().toString()
-    below_exchange = plan[plan.index("Exchange"):]
-    assert "WindowGroupLimit" in below_exchange
+    df = spark.range(10).select((F.col("id") % 3).alias("k"), "id")
+    for one, cut in ((dedupe(df, ["k"], ["id DESC"]), "WindowGroupLimit"), (dedupe(df, ["k"]), "partial_min")):
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert cut in plan[plan.index("Exchange"):]
+
+
+def test_dedupe_takes_the_least_row_nulls_last(spark):
+    data = [("a", None, 1), ("a", 2, 9), ("a", 2, None), ("b", None, None), (None, 1, 1), (None, 1, 1)]
+    df = spark.createDataFrame(data, "k string, x int, y int")
+    expected = {("a", 2, 9), ("b", None, None), (None, 1, 1)}
+    assert {tuple(r) for r in dedupe(df, ["k"]).collect()} == expected
+    assert dedupe(df, ["k"]).columns == df.columns
 
 
 def test_upsert_counts_and_result(spark):

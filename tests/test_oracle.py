@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import oracle
+from overlake import workloads
 from tests.conftest import SF
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(workloads.queries())
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,8 @@ def con():
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(oracle.statements()) == set(NAMES)
+    assert set(NAMES) <= set(entry.queries()) and set(NAMES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -20,7 +20,7 @@ def t(spark):
 
 def test_no_cross_joins_and_no_python(spark):
     for name, query in queries().items():
-        if name in ("archive_members", "streamed_state", "bronze_state", "silver_round_trip"):
+        if name == "archive_members":
             continue
         text = plan(query(spark, SF))
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
@@ -36,9 +36,32 @@ def test_player_query_prunes_and_pushes(t):
     assert text.count("FileScan") == 1 and "participation" in scan
 
 
-def test_fielding_reads_wicket_balls_only(t):
-    text = plan(player.player_fielding(t, "NATION_2_P1"))
-    assert "EqualTo(is_wicket,true)" in text[text.index("FileScan"):]
+def test_fielding_reads_wickets_only(t):
+    for query in (player.player_fielding, player.player_fielding_by_season):
+        text = plan(query(t, "NATION_2_P1"))
+        assert "/wickets" in text and "/ball_by_ball" not in text
+    assert "/ball_by_ball" not in plan(leaders.wicket_kinds(t))
+    assert "/ball_by_ball" not in plan(season.powerplay_impact(t, "NATION_2_P7", ("NATION_2",), "2010"))
+
+
+def test_league_and_season_prune_folders(t):
+    for df in (
+        season.batting_concentration(t, "2010"),
+        season.batting_phases(t, "2010"),
+        team.team_batting_seasons(t, ("NATION_1",)),
+        team.team_top_bowlers(t, ("NATION_1",)),
+        player.player_fielding(t, "NATION_2_P1"),
+    ):
+        filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(df)).group(1)
+        assert "match_type" in filters and "year" in filters
+
+
+def test_staged_deliveries_sort_by_key_only(spark, ingested):
+    from overlake import MatchTables, Seeds, Silver
+
+    text = plan(MatchTables(Silver.read(spark, ingested[0]), Seeds.standard(spark)).stg_deliveries)
+    sorts = [s for s in re.findall(r"Sort \[(.*?)\], false", text) if "ball_in_over" in s]
+    assert sorts and all(s.count(" ASC ") <= 5 for s in sorts)
 
 
 def test_format_filter_prunes_partitions(t):
