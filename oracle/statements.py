@@ -300,11 +300,11 @@ def statements() -> dict[str, str]:
     none = {k: f"NULL::{t} AS {k}" for k, t in {
         "outcome_method": "VARCHAR", "outcome_bowl_out": "VARCHAR", "outcome_by_innings": "INT",
         "event_match_number": "INT", "event_group": "VARCHAR", "match_type_number": "INT"}.items()}
-    fixed = "'male' AS gender, 'international' AS team_type, false AS toss_uncontested, 6 AS balls_per_over, 24 AS overs, 1 AS revision"
+    fixed = "'male' AS gender, 'international' AS team_type, false AS toss_uncontested, 6 AS balls_per_over, 24 AS overs, (match_id::INT % 3 + 1)::INT AS revision"
     add("stg_matches", f"SELECT * REPLACE (match_date::VARCHAR AS match_date), {fixed}, {', '.join(none.values())} FROM matches", "matches")
-    add("stg_innings", "SELECT *, false AS forfeited, 0 AS penalty_runs_pre, 0 AS penalty_runs_post, 1 AS revision FROM innings", "innings")
-    add("stg_deliveries", "SELECT *, 0 AS extras_penalty, NULL::BOOLEAN AS review_umpires_call, 1 AS revision FROM deliveries", "deliveries")
-    add("stg_players", "SELECT *, 1 AS revision FROM listed_players", "listed_players")
+    add("stg_innings", "SELECT *, false AS forfeited, 0 AS penalty_runs_pre, 0 AS penalty_runs_post, (match_id::INT % 3 + 1)::INT AS revision FROM innings", "innings")
+    add("stg_deliveries", "SELECT *, 0 AS extras_penalty, NULL::BOOLEAN AS review_umpires_call, (match_id::INT % 3 + 1)::INT AS revision FROM deliveries", "deliveries")
+    add("stg_players", "SELECT *, (match_id::INT % 3 + 1)::INT AS revision FROM listed_players", "listed_players")
     add("ball_by_ball", """SELECT * EXCLUDE (super_over, event_name) REPLACE (match_date::VARCHAR AS match_date),
         'male' AS gender, 'international' AS team_type, 0 AS extras_penalty, NULL::BOOLEAN AS review_umpires_call,
         NULL::VARCHAR AS outcome_method, 6 AS balls_per_over FROM ball""", "ball")
@@ -628,7 +628,7 @@ def statements() -> dict[str, str]:
         count(*) FILTER (NOT {good}) AS unreadable, count(*) FILTER ({good}) AS matches, sum(revision) FILTER ({good})::BIGINT AS revisions
         FROM docs UNION ALL SELECT 1, 0, 0, count(*) FILTER ({good}), count(*) FILTER (NOT {good}), NULL, NULL FROM docs""", "docs")
     add("bronze_errors", f"""SELECT match_id, 'not a JSON document' AS reason, 3::BIGINT AS batch FROM docs WHERE NOT ({good})""", "docs")
-    add("silver_rerun", """SELECT 1 AS revision, count(*) AS balls FROM recorded_balls
+    add("silver_rerun", f"""SELECT (match_id::INT % 3 + 1)::INT AS revision, count(*) AS balls FROM recorded_balls GROUP BY 1
         UNION ALL SELECT 9, count(*) FROM recorded_balls WHERE over_number = 0""", "recorded_balls")
     add("partition_inventory", """SELECT NULL::VARCHAR AS match_type, NULL::VARCHAR AS year, count(*) AS files FROM docs
         UNION ALL SELECT match_type, year, count(*) FROM docs WHERE o_orderpriority <> '5-LOW' GROUP BY match_type, year""", "docs")

@@ -49,7 +49,8 @@ def _placed(df: DataFrame, key: str) -> DataFrame:
         # Two innings of 24 overs, then two of one over.
         innings_number="cast(case when blk < 24 then 1 when blk < 48 then 2 else blk - 45 end as int)",
         over_number="cast(case when blk < 48 then blk % 24 else 0 end as int)",
-        revision="1",
+        # Matches come in one to three revisions; this is the newest.
+        revision="cast(mn % 3 + 1 as int)",
     )
 
 
@@ -181,13 +182,31 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What an older revision said, as SQL by column: all of it is wrong.
+_STALE = {
+    "matches": {"venue": "'Stale'", "season": "'1900'", "outcome_winner": "'Stale'", "event_name": "'Stale'"},
+    "innings": {"batting_team": "'Stale'", "super_over": "true"},
+    # Other figures for the same balls, and as many balls that the correction removed.
+    "deliveries": {"runs_batter": "runs_batter + 100", "runs_total": "runs_total + 100", "batter": "'Stale'"},
+    "players": {"player_name": "concat('Stale ', player_name)"},
+}
+
+
+def _with_history(rows: DataFrame, table: str) -> DataFrame:
+    """The rows, and those of an older revision of every match that has one."""
+    stale = _exprs(rows.filter("revision > 1"), revision="revision - 1", **_STALE[table])
+    out = rows.unionByName(stale)
+    if table == "deliveries":
+        out = out.unionByName(_exprs(stale, ball_in_over="ball_in_over + 50"))
+    if table == "innings":
+        # The same innings recorded twice; the other record sorts behind.
+        out = out.unionByName(_exprs(rows.filter("innings_number = 1"), batting_team="concat('~', batting_team)"))
+    return out
+
+
 def silver(spark: SparkSession, sf_dir: str) -> Silver:
-    return Silver(
-        matches(spark, sf_dir),
-        innings(spark, sf_dir),
-        deliveries(spark, sf_dir),
-        players(spark, sf_dir),
-    )
+    tables = {"matches": matches, "innings": innings, "deliveries": deliveries, "players": players}
+    return Silver(**{name: _with_history(make(spark, sf_dir), name) for name, make in tables.items()})
 
 
 # documents and archives --------------------------------------------------------
