@@ -384,10 +384,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(row, *_content(F.col(text)), F.col(key).alias("key"))
     same = (F.col("key").eqNullSafe(F.col("class_id"))) & (F.col("c1") == F.col("class_c1")) & (F.col("c2") == F.col("class_c2"))
-    kept = found.where("n_shingles > 0").where(same).select("c1", "c2", F.col("key").alias("kept")).distinct()
-    bare = found.where("n_shingles = 0").select("c1", "c2").distinct().withColumn("bare", F.lit(True))
-    standing = (
-        rows.join(kept, ["c1", "c2"]).where(F.col("key").eqNullSafe(F.col("kept"))).groupBy("c1", "c2").agg(F.first("_row").alias("_row"))
-    )
-    rest = rows.join(bare, ["c1", "c2"]).select("_row")
-    return standing.select("_row").unionByName(rest).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    kept = found.where("n_shingles > 0").where(same).select("c1", "c2", F.col("key").alias("kept"), F.lit(False).alias("bare"))
+    bare = found.where("n_shingles = 0").select("c1", "c2", F.lit(None).cast(kept.schema["kept"].dataType), F.lit(True))
+    # Texts are exchanged once, by their hashes.  Rows that repeat a document which stands for its
+    # class are one group; rows without words stay apart, by a number that only this task sees.
+    chosen = rows.join(kept.union(bare).distinct(), ["c1", "c2"]).where(F.col("bare") | F.col("key").eqNullSafe(F.col("kept")))
+    apart = F.when(F.col("bare"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    standing = chosen.withColumn("apart", apart).groupBy("c1", "c2", "apart").agg(F.first("_row").alias("_row"))
+    return standing.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
