@@ -17,6 +17,7 @@ repeated items count once per id.  Rows of training texts may repeat: each gives
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ SHARE = 20
 #: Words of the benchmark that are searched for in one pass over the texts.
 BLOCK_WORDS = 2_000_000
 #: Training words whose suffixes are sorted together.
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 1_000_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -60,6 +61,12 @@ class Benchmark:
         self.shortest = min(map(len, self.keys), default=1)
 
 
+    def numbered(self, text: str | None) -> np.ndarray:
+        """Word numbers of a text, and a zero."""
+        own = words(text)
+        return np.fromiter((*map(self.number.get, own, repeat(0)), 0), np.int32, len(own) + 1)
+
+
 class SuffixArray:
     """Sorted suffixes of a sequence of numbers, compared over ``depth`` words at most.
 
@@ -114,13 +121,14 @@ def _extended(sequence: np.ndarray, at: int, item: np.ndarray, start: int, known
     return known + (int(differ[0]) if len(differ) else len(b))
 
 
-def search_shard(benchmark: Benchmark, texts: list[list[bytes]]) -> list[tuple]:
-    """Of each text: words, hit mask, item numbers, and (length, item number, first word) of the longest match."""
-    get = benchmark.number.get
-    counts = np.array([len(t) for t in texts])
-    # A zero after each text keeps matches inside it.
+def search_shard(benchmark: Benchmark, texts: list[np.ndarray]) -> list[tuple]:
+    """Of each text: words, hit mask, item numbers, and (length, item number, first word) of the longest match.
+
+    Texts are given as word numbers, with a zero after each, which keeps matches inside it.
+    """
+    counts = np.array([len(t) - 1 for t in texts])
     begin = np.cumsum(counts + 1) - (counts + 1)
-    sequence = np.fromiter((x for t in texts for x in (*map(get, t, _zeros(len(t))), 0)), np.int64, int((counts + 1).sum()))
+    sequence = np.concatenate(texts)
     depth = max(map(len, benchmark.keys), default=1)
     array = SuffixArray(sequence, benchmark.shortest, depth)
     low, high = array.ranges(benchmark.keys)
@@ -152,10 +160,6 @@ def search_shard(benchmark: Benchmark, texts: list[list[bytes]]) -> list[tuple]:
     ]
 
 
-def _zeros(n: int) -> Iterator[int]:
-    return iter([0] * n)
-
-
 def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Benchmark]:
     """The test items in blocks of bounded size; the driver holds one row batch and the blocks."""
     held, size = {}, 0
@@ -179,11 +183,10 @@ def _pass(docs: DataFrame, benchmark: Benchmark, text: str) -> Column:
         own = held.value
         for batch in batches:
             out, shard, size = [], [], 0
-            texts = [words(t) for t in batch]
-            for i, t in enumerate(texts):
-                shard.append(t)
-                size += len(t)
-                if size >= SHARD_WORDS or i == len(texts) - 1:
+            for i, t in enumerate(batch):
+                shard.append(own.numbered(t))
+                size += len(shard[-1])
+                if size >= SHARD_WORDS or i == len(batch) - 1:
                     out += search_shard(own, shard)
                     shard, size = [], 0
             edges = [np.flatnonzero(np.diff(hit, prepend=False, append=False)) for _, hit, _, _ in out]

@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 from overlake.session import fresh_path
 
 
+#: Rows that travel to Python together, unless the session says otherwise: texts can be long.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder; bounds the session's batches for Python where it has not."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -15,7 +15,7 @@ WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 #: Texts are taken together until they hold so many bytes, which bounds the arrays.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _powers = np.zeros(0, np.uint64)
 
