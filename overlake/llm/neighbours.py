@@ -33,7 +33,7 @@ SHARD = 4_096
 #: Queries that visit the shards together; a block is what the driver holds and broadcasts.
 BLOCK = 4_096
 #: Vectors of the sample on which the candidate share is fitted, queries taken from it, and recall sought.
-SAMPLE, SAMPLE_QUERIES, TARGET = 4_096, 200, 0.92
+SAMPLE, SAMPLE_QUERIES, TARGET = 4_096, 200, 0.95
 SHARES = (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.6, 0.7, 0.8, 1.0)
 
 
