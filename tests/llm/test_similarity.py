@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from overlake.llm import neighbours, ngram_join, passages
@@ -112,6 +113,13 @@ def test_passages_of_odd_rows(frame, odd_rows):
     assert passages.repeats(frame([])).count() == 0
 
 
+def test_no_window_of_a_task_is_left_out():
+    shared = prose(11, 70)
+    texts = pd.DataFrame({"tid": range(9), "text": [" ".join(shared + prose(30 + i, 40 * i)) for i in range(9)]})
+    together, alone = pd.concat(passages._windows(iter([texts]))), [pd.concat(passages._windows(iter([texts[i : i + 1]]))) for i in range(9)]
+    assert set(zip(together["v"], together["tid"])) == {x for f in alone for x in zip(f["v"], f["tid"])}
+
+
 def brute_nearest(vectors, k):
     out = {}
     for q, v in vectors:
