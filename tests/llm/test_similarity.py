@@ -113,6 +113,14 @@ def test_passages_of_odd_rows(frame, odd_rows):
     assert passages.repeats(frame([])).count() == 0
 
 
+def test_a_passage_twice_in_the_smaller_text(frame):
+    shared = prose(11, 60)
+    docs = [(0, " ".join(shared + prose(40, 30) + shared)), (1, " ".join(prose(41, 300) + shared + prose(42, 100)))]
+    verbatim = brute.repeats(docs)
+    for r in passages.repeats(frame(docs)).collect():
+        assert {i for s in r["spans"] for i in range(s["start"], s["end"])} >= verbatim[r["key"]]
+
+
 def test_no_window_of_a_task_is_left_out():
     shared = prose(11, 70)
     texts = pd.DataFrame({"tid": range(9), "text": [" ".join(shared + prose(30 + i, 40 * i)) for i in range(9)]})
