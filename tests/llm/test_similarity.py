@@ -1,5 +1,6 @@
 """The joins: n-gram Jaccard, repeated passages, nearest neighbours, components."""
 
+import math
 import random
 
 import numpy as np
@@ -121,6 +122,11 @@ def test_a_passage_twice_in_the_smaller_text(frame):
         assert {i for s in r["spans"] for i in range(s["start"], s["end"])} >= verbatim[r["key"]]
 
 
+def test_near_copies_share_enough_hashes():
+    n, p = passages.HASHES, passages.SIMILARITY
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.ENOUGH, n + 1)) >= 0.99
+
+
 def test_no_window_of_a_task_is_left_out():
     shared = prose(11, 70)
     texts = pd.DataFrame({"tid": range(9), "text": [" ".join(shared + prose(30 + i, 40 * i)) for i in range(9)]})
