@@ -122,6 +122,21 @@ def test_a_passage_twice_in_the_smaller_text(frame):
         assert {i for s in r["spans"] for i in range(s["start"], s["end"])} >= verbatim[r["key"]]
 
 
+def tied(frame, docs, a, b):
+    """Whether two texts are in one class and their verbatim repeats in spans."""
+    rows = {r["key"]: r for r in passages.repeats(frame(docs)).collect()}
+    verbatim = brute.repeats(docs)
+    inside = all(verbatim[k] and verbatim[k] <= {i for s in rows[k]["spans"] for i in range(s["start"], s["end"])} for k in (a, b))
+    return inside and rows[a]["class_id"] == rows[b]["class_id"]
+
+
+def test_a_passage_among_many_texts_with_parts_of_it(frame):
+    shared = prose(11, 50)
+    docs = [(0, " ".join(shared + prose(60, 20))), (1, " ".join(prose(61, 900) + shared))]
+    docs += [(2 + i, " ".join(prose(70 + i, 20 + 12 * i) + shared[(i % 2) * 10 :][:40] + prose(170 + i, 20))) for i in range(60)]
+    assert tied(frame, docs, 0, 1)
+
+
 def test_near_copies_share_enough_hashes():
     n, p = passages.HASHES, passages.SIMILARITY
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.ENOUGH, n + 1)) >= 0.99
