@@ -137,6 +137,13 @@ def test_a_passage_among_many_texts_with_parts_of_it(frame):
     assert tied(frame, docs, 0, 1)
 
 
+def test_a_passage_after_parts_of_it_in_a_long_text(frame):
+    shared = prose(11, 50)
+    parts = [" ".join(prose(300 + i, 60) + shared[i : i + 5]) for i in range(46)]
+    docs = [(0, " ".join([*parts, *prose(60, 60), *shared])), (1, " ".join(prose(61, 100) + shared)), (2, " ".join(parts)), (3, " ".join(parts[::-1]))]
+    assert tied(frame, docs, 0, 1)
+
+
 def test_near_copies_share_enough_hashes():
     n, p = passages.HASHES, passages.SIMILARITY
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.ENOUGH, n + 1)) >= 0.99
