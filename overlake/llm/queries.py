@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overlake.llm import decontaminate, language, lines, neighbours, ngram_join, packing, passages, quality, secrets, toxicity
+from overlake.llm import alignment, decontaminate, language, lines, neighbours, ngram_join, packing, passages, quality, resampling, secrets, toxicity, urls
 from overlake.llm.tables import held_out, stored, table
 from overlake.session import fresh_path
 
@@ -101,5 +101,30 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies correspond in every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = alignment.align(docs, alignment.fit(docs)).alias("found")
+    groups = F.col("found.groups")
+    return docs.select("doc_id", found).select(
+        "doc_id",
+        *[f"found.{c}" for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")],
+        F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"),
+    )
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance for the benchmark's words, and the rank of the tenth that is drawn."""
+    docs = table(spark, sf_dir, "documents")
+    found = resampling.resample(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages).select("page_id", *[f"filtered.{c}" for c in ("host", "path", "rule", "verdict", "pattern")])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

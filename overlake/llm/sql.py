@@ -92,5 +92,105 @@ SELECT b.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce
 FROM body b LEFT JOIN runs USING (doc_id) LEFT JOIN size USING (doc_id) LEFT JOIN long USING (doc_id)"""
 
 
+# Host rules with their action, and tokens and beginnings that block or allow.
+HOST_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+BLOCKED = ("pills", "viagra", "casino", "poker", "porn", "xxx", "warez", "torrent", "adult", "spam-farm")
+
+
+def urls() -> str:
+    """Every rule against every URL, by comparing texts."""
+    rules = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in HOST_RULES)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    found = [
+        (rf"(^|[^0-9a-z]){w}([^0-9a-z]|$)", f"^{w}^") for w in BLOCKED
+    ] + [("/adserver/", "/adserver/")]
+    patterns = ", ".join(f"('{r}', '{t}', 'block')" for r, t in found)
+    patterns += r", ('^([^/?#]*\.)?doubleclick\.net/', '||doubleclick.net/', 'block'), ('^([^/?#]*\.)?wikipedia\.org/', '@@||wikipedia.org/', 'allow')"
+    return rf"""
+WITH p AS (
+    SELECT row_number() OVER () AS n, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+),
+q AS (SELECT n, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM p),
+u AS (
+    SELECT n, page_id, translate(raw, '{upper}', '{lower}') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path,
+        translate(rest, '{upper}', '{lower}') AS low
+    FROM q
+),
+by_host AS (
+    SELECT n, first(h || p ORDER BY length(h || p) DESC, length(h) DESC, a) AS rule, first(a ORDER BY length(h || p) DESC, length(h) DESC, a) AS action
+    FROM u JOIN (VALUES {rules}) AS r(h, p, a) ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    GROUP BY n
+),
+by_pattern AS (
+    SELECT n, first(t ORDER BY a, t DESC) AS pattern, first(a ORDER BY a, t DESC) AS action
+    FROM u JOIN (VALUES {patterns}) AS r(x, t, a) ON regexp_matches(low, x)
+    GROUP BY n
+)
+SELECT page_id, host, path, rule, coalesce(b.action, t.action, 'allow') AS verdict,
+    CASE WHEN rule IS NULL THEN pattern END AS pattern
+FROM u LEFT JOIN by_host b USING (n) LEFT JOIN by_pattern t USING (n)"""
+
+
+def resampling(buckets: int = 10_000, percent: int = 10, least: int = 20, seed: int = 2024) -> str:
+    """crc32 of every distinct word from its table; the rest by plain joins and one ranking."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return rf"""
+WITH RECURSIVE steps AS (
+    SELECT CAST(i AS BIGINT) AS i, 0 AS k, CAST(i AS BIGINT) AS c FROM range(256) AS r(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM steps WHERE k < 8
+),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+d AS (
+    SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{word}') AS words
+    FROM documents
+),
+w AS (SELECT n, unnest(words) AS word FROM d),
+b AS (
+    SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{word}')) AS word FROM benchmark
+),
+names AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM w UNION SELECT word FROM b)),
+hashed AS (
+    SELECT word, xor(4294967295, list_reduce(
+        list_concat([4294967295], list_transform(range(0, length(h) // 2), lambda j: CAST('0x' || substr(h, CAST(2 * j + 1 AS BIGINT), 2) AS BIGINT))),
+        lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1]))) % {buckets} AS bucket
+    FROM names, crc
+),
+counted AS (
+    SELECT bucket, sum(s) AS s, sum(t) AS t FROM (
+        SELECT bucket, count(*) AS s, 0 AS t FROM w JOIN hashed USING (word) GROUP BY bucket
+        UNION ALL SELECT bucket, 0, count(*) FROM b JOIN hashed USING (word) GROUP BY bucket
+    ) GROUP BY bucket
+),
+gain AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * (sum(s) OVER () + {buckets})
+        / (CAST(s + 1 AS DOUBLE) * (sum(t) OVER () + {buckets})))) AS BIGINT) AS g
+    FROM counted
+),
+weighed AS (
+    SELECT n, count(*) AS n_features, CAST(floor(CAST(sum(g) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+    FROM w JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY n
+),
+scored AS (
+    SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+            + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM d LEFT JOIN weighed USING (n)
+),
+ranked AS (
+    SELECT *, row_number() OVER (ORDER BY n_features < {least}, score DESC, doc_id NULLS LAST, n_features, weight) AS place,
+        floor({percent} * count(*) FILTER (n_features >= {least}) OVER () / 100) AS quota
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {least} AND place <= quota THEN place END AS rank FROM ranked"""
+
+
 def statements() -> dict[str, str]:
-    return {"op2_secrets": secrets(), "op4_lines": lines()}
+    return {"op2_secrets": secrets(), "op4_lines": lines(), "op12_resampling": resampling(), "op13_urls": urls()}
