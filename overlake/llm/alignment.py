@@ -58,6 +58,7 @@ _MARKS = ".,;:!?"
 _RARE_SPACE = re.compile(rf"[^\S{_SPACE}]")
 #: Letters, digits and their marks: words end before a mark or white space, all else before white space.
 _SEGMENT = re.compile(rf"[{_SPACE}]*+(?:[{_LETTERS}]++(?=[{_SPACE}{_MARKS}]|\Z)|[^{_SPACE}]++)|[{_SPACE}]++")
+_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
 _CUT = re.compile(rf"(?<=[{_LETTERS}])(?=[{_SPACE}])")
 #: What no piece may hold, for cuts to be safe: white space after something else, or a mark after a letter.
 _ACROSS = re.compile(rf"[^▁\s][▁{_SPACE}]|[{_LETTERS}][{_MARKS}]")
@@ -98,6 +99,15 @@ class Vocabularies:
         found.encode_special_tokens = True
         return found
 
+    @cached_property
+    def byte_model(self):
+        return self.byte_tokenizer.model
+
+    @cached_property
+    def byte_names(self) -> dict[int, str]:
+        """The character that the vocabulary has for each byte."""
+        return {byte: name for name, byte in _byte_level().items()}
+
     @cached_property
     def piece_tokenizer(self):
         from sentencepiece import SentencePieceProcessor
@@ -232,7 +242,7 @@ class PairIndex:
         return np.concatenate([np.zeros(0, np.uint64), *[self.parts[b].keys for b in sorted(self.parts)]]).astype(np.int64)
 
     def numbers(self, pairs: np.ndarray) -> np.ndarray:
-        """The number of each pair; every pair must be known."""
+        """The number of each pair; -1 of what is none of the pairs."""
         out = np.full(len(pairs), -1, np.int64)
         bucket = pairs % BUCKETS
         order = np.argsort(bucket, kind="stable")
@@ -242,6 +252,11 @@ class PairIndex:
             if b in self.parts:
                 own = self.parts[b].numbers(pairs[mine])
                 out[mine] = np.where(own >= 0, own + self.first[b], -1)
+        return out
+
+    def known(self, pairs: np.ndarray) -> np.ndarray:
+        """As ``numbers``; every pair must be there."""
+        out = self.numbers(pairs)
         if (out < 0).any():
             raise ValueError("a pair is not in the index; the documents have changed since it was built")
         return out
@@ -258,6 +273,9 @@ class Counts:
         self.is_best = counts == best[to]
 
 
+FIGURES = 7
+
+
 class Segments:
     """Encoded and aligned pieces of text that a worker has met, by number."""
 
@@ -267,8 +285,8 @@ class Segments:
         self.groups: list[str] = []
         #: Linked pairs, as the bytes of 64-bit numbers.
         self.links: list[bytes] = []
-        #: n_a, n_b, links, spelt; then best and sum, as of ``model``.
-        self.figures = np.zeros((6, 1024), np.int64)
+        #: n_a, n_b, links, spelt; then, as of ``model``, best, sum and links that have no count.
+        self.figures = np.zeros((FIGURES, 1024), np.int64)
         self.seen = np.zeros(1024, np.int64)
         self.model, self.scored = None, 0
         self.a_length = np.array(list(map(len, vocabularies.byte_tokens)))
@@ -277,13 +295,41 @@ class Segments:
         #: Every id before a comma, a bar, a semicolon, and at the end of a segment.
         self.written = [f"{i}{end}" for end in ",|;\n" for i in range(self.ids)]
 
+    def _by_bytes(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text by the byte-level vocabulary.
+
+        A word of common letters, perhaps after a space, is one unit of that vocabulary's own
+        cutting, so its model is asked at once.
+        """
+        of = self.of
+        out: list[list[int] | None] = [
+            [t.id for t in of.byte_model.tokenize(x.encode().decode("latin-1").translate(of.byte_names))] if _WORD.match(x) else None
+            for x in texts
+        ]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(rest, of.byte_tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return out
+
     def _spelt(self, texts: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
         """Whether the tokens of each text spell it."""
-        of = self.of
+        data, (a_tokens, b_tokens) = [t.encode() for t in texts], (self.of.byte_tokens, self.of.piece_tokens)
+        size = np.fromiter(map(len, data), np.int64, len(data))
+
+        def sizes(ids: list[list[int]], length: np.ndarray) -> np.ndarray:
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
+            return np.bincount(np.repeat(np.arange(len(ids)), n), length[flat], len(ids)).astype(np.int64)
+
+        # Where every size is right, one comparison of everything joined tells all.
+        if (sizes(a, self.a_length) == size).all() and (sizes(b, self.b_length) == size).all():
+            joined = b"".join(data)
+            if all(b"".join(map(t.__getitem__, chain.from_iterable(x))) == joined for t, x in ((a_tokens, a), (b_tokens, b))):
+                return np.ones(len(data), bool)
         return np.array(
             [
-                b"".join([of.byte_tokens[x] for x in own_a]) == t.encode() == b"".join([of.piece_tokens[x] for x in own_b])
-                for t, own_a, own_b in zip(texts, a, b, strict=True)
+                b"".join([a_tokens[x] for x in own_a]) == own == b"".join([b_tokens[x] for x in own_b])
+                for own, own_a, own_b in zip(data, a, b, strict=True)
             ],
             bool,
         )
@@ -296,9 +342,12 @@ class Segments:
         n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
         flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
         end_a, end_b = np.cumsum(self.a_length[flat_a]), np.cumsum(self.b_length[flat_b])
-        _, last_a, last_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-        text_end = np.cumsum(n_a) - 1
-        n_links = np.diff(np.searchsorted(last_a, text_end, "right"), prepend=0)
+        last_a = np.flatnonzero(np.isin(end_a, end_b, assume_unique=True))
+        last_b = np.flatnonzero(np.isin(end_b, end_a, assume_unique=True))
+        text_end = np.zeros(len(flat_a), bool)
+        text_end[np.cumsum(n_a) - 1] = True
+        closing = np.flatnonzero(text_end[last_a])
+        n_links = np.diff(closing, prepend=-1)
         # A group's A tokens are written before its B tokens: each id is moved by those of the other kind.
         groups = len(last_a)
         group_a = np.repeat(np.arange(groups), np.diff(last_a, prepend=-1))
@@ -307,7 +356,8 @@ class Segments:
         place_b = np.arange(len(flat_b)) + (last_a + 1)[group_b]
         ending_a, ending_b = np.zeros(len(flat_a), np.int64), np.zeros(len(flat_b), np.int64)
         ending_a[last_a] = 1
-        ending_b[last_b] = np.where(np.isin(last_a, text_end), 3, 2)
+        ending_b[last_b] = 2
+        ending_b[last_b[closing]] = 3
         codes = np.zeros(len(flat_a) + len(flat_b), np.int64)
         codes[place_a] = flat_a + ending_a * self.ids
         codes[place_b] = flat_b + ending_b * self.ids
@@ -319,20 +369,19 @@ class Segments:
         while n > len(self.seen):
             self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)], axis=1)
             self.seen = np.concatenate([self.seen, np.zeros_like(self.seen)])
-        a = [e.ids for e in self.of.byte_tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        a = self._by_bytes(new)
         # The letter before is a token of its own, which keeps a space from being put there.
         b = [x[1:] for x in self.of.piece_tokenizer.encode([f"a{s}" for s in new], num_threads=1)]
         spelt = self._spelt(new, a, b)
-        if not spelt.all():
-            a = [x if ok else [] for x, ok in zip(a, spelt, strict=True)]
-            b = [x if ok else [] for x, ok in zip(b, spelt, strict=True)]
-        groups, links, n_links = [""] * len(new), np.zeros(0, np.int64), np.zeros(len(new), np.int64)
-        if spelt.any():
-            own = np.flatnonzero(spelt)
-            written, links, n_links[own] = self._aligned([a[i] for i in own.tolist()], [b[i] for i in own.tolist()])
-            for i, w in zip(own.tolist(), written, strict=True):
-                groups[i] = w
-        raw, edge = links.astype(np.int64).tobytes(), (8 * np.concatenate([[0], np.cumsum(n_links)])).tolist()
+        groups, n_links = [""] * len(new), np.zeros(len(new), np.int64)
+        if spelt.all():
+            groups, links, n_links = self._aligned(a, b)
+        else:
+            own = np.flatnonzero(spelt).tolist()
+            written, links, sizes = self._aligned([a[i] for i in own], [b[i] for i in own])
+            for i, w, size in zip(own, written, sizes.tolist(), strict=True):
+                groups[i], n_links[i] = w, size
+        raw, edge = links.tobytes(), (8 * np.concatenate([[0], np.cumsum(n_links)])).tolist()
         self.links += [raw[s:e] for s, e in zip(edge[:-1], edge[1:], strict=True)]
         self.groups += groups
         self.number.update(zip(new, range(first, n), strict=True))
@@ -350,7 +399,7 @@ class Segments:
         self.links = [self.links[i] for i in kept.tolist()]
         figures, seen = self.figures[:, kept], self.seen[kept]
         size = 1 << max(10, len(kept).bit_length())
-        self.figures, self.seen = np.zeros((6, size), np.int64), np.zeros(size, np.int64)
+        self.figures, self.seen = np.zeros((FIGURES, size), np.int64), np.zeros(size, np.int64)
         self.figures[:, : len(kept)] = figures
         # What was frequent long ago gives way.
         self.seen[: len(kept)] = seen // 2
@@ -425,10 +474,13 @@ class Segments:
         sizes = self.figures[2, first:n]
         flat = np.frombuffer(b"".join(self.links[first:n]), np.int64)
         numbers = counts.index.numbers(flat)
+        # A worker may have met segments in other documents; a text that uses them is refused.
+        there = numbers >= 0
         owner = np.repeat(np.arange(first, n), sizes)
         self.figures[4:, first:n] = 0
-        np.add.at(self.figures[4], owner, counts.is_best[numbers])
-        np.add.at(self.figures[5], owner, counts.counts[numbers])
+        np.add.at(self.figures[4], owner[there], counts.is_best[numbers[there]])
+        np.add.at(self.figures[5], owner[there], counts.counts[numbers[there]])
+        np.add.at(self.figures[6], owner[~there], 1)
         self.scored = n
 
 
@@ -508,15 +560,15 @@ def _totals(sums: DataFrame, index: PairIndex) -> np.ndarray:
         own = held.value
         vector = np.zeros(own.n, np.int64)
         for batch in batches:
-            np.add.at(vector, own.numbers(batch["pair"].to_numpy()), batch["n"].to_numpy())
-        starts = range(0, own.n, CHUNK)
-        yield pd.DataFrame(
-            {
-                "part": TaskContext.get().partitionId(),
-                "chunk": range(len(starts)),
-                "vector": [vector[s : s + CHUNK] for s in starts],
-            }
-        )
+            np.add.at(vector, own.known(batch["pair"].to_numpy()), batch["n"].to_numpy())
+        if starts := range(0, own.n, CHUNK):
+            yield pd.DataFrame(
+                {
+                    "part": TaskContext.get().partitionId(),
+                    "chunk": range(len(starts)),
+                    "vector": [vector[s : s + CHUNK] for s in starts],
+                }
+            )
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"part": [key[0]], "chunk": [key[1]], "vector": [np.sum(np.stack(rows["vector"].tolist()), axis=0)]})
@@ -563,7 +615,9 @@ def align(docs: DataFrame, alignment: Alignment, text: str = "text", unit: int =
                 if not own.figures[3, numbers].all():
                     continue
                 own.score(counts)
-                n_a, n_b, links, _, best, total = own.figures[:, numbers].sum(axis=1)
+                n_a, n_b, links, _, best, total, unknown = own.figures[:, numbers].sum(axis=1)
+                if unknown:
+                    raise ValueError("a linked pair has no count; the documents are not those that were counted")
                 out[:, at] = n_a, n_b, links, links, best, total
                 groups[at] = ";".join([own.groups[i] for i in numbers.tolist()])
             names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
