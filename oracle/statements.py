@@ -628,6 +628,18 @@ def statements() -> dict[str, str]:
         count(*) FILTER (NOT {good}) AS unreadable, count(*) FILTER ({good}) AS matches, sum(revision) FILTER ({good})::BIGINT AS revisions
         FROM docs UNION ALL SELECT 1, 0, 0, count(*) FILTER ({good}), count(*) FILTER (NOT {good}), NULL, NULL FROM docs""", "docs")
     add("bronze_errors", f"""SELECT match_id, 'not a JSON document' AS reason, 3::BIGINT AS batch FROM docs WHERE NOT ({good})""", "docs")
+    add("bronze_interrupted", f"""SELECT match_id, match_type, year, revision, 'main' AS feed, (o_orderkey % 4)::BIGINT AS batch
+        FROM docs WHERE {good}""", "docs")
+    add("incremental_build", """SELECT b.*, w.total_wickets, w.matches AS bowled_in, p.cricsheet_id, p.total_matches, p.teams
+        FROM bat_career b LEFT JOIN bowl_career w USING (player_name, match_type) LEFT JOIN people p USING (player_name)""",
+        "bat_career", "bowl_career", "people")
+    add("incremental_folders", f"""SELECT * FROM
+        (SELECT match_type, year, count(*) AS results, count(outcome_winner) AS won FROM results GROUP BY ALL)
+        LEFT JOIN (SELECT match_type, year, count(*) AS balls, {big('runs_total')} AS runs, count(DISTINCT match_id) AS matches,
+            {big('is_wicket')} AS wickets FROM ball GROUP BY ALL) USING (match_type, year)
+        LEFT JOIN (SELECT match_type, year, count(*) AS innings, {big('runs')} AS bat_runs FROM bat GROUP BY ALL) USING (match_type, year)
+        LEFT JOIN (SELECT match_type, year, count(*) AS spells, {big('wickets_credited')} AS credited FROM bowl GROUP BY ALL)
+            USING (match_type, year)""", "results", "ball", "bat", "bowl")
     add("silver_rerun", f"""SELECT (match_id::INT % 3 + 1)::INT AS revision, count(*) AS balls FROM recorded_balls GROUP BY 1
         UNION ALL SELECT 9, count(*) FROM recorded_balls WHERE over_number = 0""", "recorded_balls")
     add("partition_inventory", """SELECT NULL::VARCHAR AS match_type, NULL::VARCHAR AS year, count(*) AS files FROM docs

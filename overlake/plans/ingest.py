@@ -32,7 +32,8 @@ def write_documents(docs: DataFrame, silver: str, mode: str = "full") -> Ingeste
     docs.write.parquet(path)
     parsed = spark.read.schema(docs.schema).parquet(path)
     good = well_formed(parsed)
-    for name, flatten in FLATTEN.items():
+    # The match row comes last: once it is there, so is everything else of its revision.
+    for name, flatten in sorted(FLATTEN.items(), key=lambda item: item[0] == "matches"):
         write_silver(flatten(good), silver, name, mode)
     return Ingested(good.select("match_id"), quarantine(parsed))
 

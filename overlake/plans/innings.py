@@ -103,8 +103,18 @@ def bowling_innings(overs: DataFrame) -> DataFrame:
     )
     economy = ratio("cast(runs_conceded AS double) * cast(balls_per_over AS double)", "legal_deliveries")
     return figures.withColumns(
-        {"overs_bowled": overs_decimal("legal_deliveries", "balls_per_over"), "economy": economy}
-    ).select(*BOWLING_INNINGS, "event_name", "charged_runs", "maidens")
+        {
+            "overs_bowled": overs_decimal("legal_deliveries", "balls_per_over"),
+            "economy": economy,
+            "first_of_match": F.expr(_first_of_match("NOT super_over")),
+        }
+    ).select(*BOWLING_INNINGS, "event_name", "charged_runs", "maidens", "first_of_match")
+
+
+def _first_of_match(counts: str) -> str:
+    """Whether an innings is the first that counts of its player in the match."""
+    earlier = f"PARTITION BY match_id, player_name ORDER BY if({counts}, 0, 1), innings_number, batting_team, bowling_team"
+    return f"({counts}) AND row_number() OVER ({earlier}) = 1"
 
 
 def _role(name: str, player: str, kind: str = "NULL") -> str:
@@ -197,7 +207,9 @@ def participation(balls: DataFrame) -> DataFrame:
                 counted="balls_faced > 0 OR dismissals > 0 OR (stood > 0 AND NOT batted)",
             ),
         )
-        .select(*BATTING_INNINGS, "event_name", "non_wides", "out_any", "batted", "counted")
+        # The rows are placed by match and player already, so this window moves nothing.
+        .withColumn("first_of_match", F.expr(_first_of_match("counted AND NOT super_over")))
+        .select(*BATTING_INNINGS, "event_name", "non_wides", "out_any", "batted", "counted", "first_of_match")
     )
 
 

@@ -29,7 +29,7 @@ from overlake.operators import (
 )
 from overlake.plans import flatten, innings as inn
 from overlake.plans.catalogue import audit, coverage, leaders, matches, player, season, team
-from overlake.plans.tables import MatchTables
+from overlake.plans.tables import MatchTables, Silver
 from overlake.schemas import BATTING_INNINGS
 from overlake.session import configure, fresh_path
 from overlake.sources import driver_tables as dt
@@ -381,6 +381,88 @@ def bronze_errors(spark, sf_dir):
     return kept.select("match_id", "reason", "batch")
 
 
+class _Ended(Exception):
+    """Stands for a run that is lost."""
+
+
+class _EndingStore(BronzeStore):
+    """A store whose run ends before one of its writes."""
+
+    ends_at: str | None = None
+
+    def _about_to(self, write: str) -> None:
+        if write == self.ends_at:
+            raise _Ended(write)
+
+
+def bronze_interrupted(spark, sf_dir):
+    """Batches that end before or after their commit and are repeated: none is lost, none counts twice."""
+    path = fresh_path(spark, "bronze")
+    docs = _delivered(spark, sf_dir)
+    rows = bronze_rows(docs)
+    for number, end in enumerate(("documents", "index", "state", "end")):
+        batch = rows.filter(F.expr(f"cast(match_id AS bigint) % 4 = {number}"))
+        lost = _EndingStore(spark, path)
+        lost.ends_at = end
+        try:
+            lost.apply(batch, number)
+        except _Ended:
+            pass
+        BronzeStore(spark, path).apply(batch, number)
+    return BronzeStore(spark, path).current().select("match_id", "match_type", "year", "revision", "feed", "batch")
+
+
+#: Remainders, by 35, of the numbers of matches that are new, corrected and removed below; 35 folders.
+_NEW, _CORRECTED, _REMOVED = 3, 10, 24
+
+
+def _silver_before(spark, sf_dir):
+    """Silver as it was: some matches missing, some in older revisions only, some that are gone now."""
+    now = dt.silver(spark, sf_dir)
+    number = "cast(match_id AS bigint)"
+
+    def older(rows: DataFrame) -> DataFrame:
+        known = rows.filter(f"{number} % 35 <> {_NEW} OR {number} % 2 = 1")
+        known = known.filter(f"{number} % 35 <> {_CORRECTED} OR {number} % 3 = 0 OR coalesce(revision, 1) < {number} % 3 + 1")
+        gone = rows.filter(f"{number} % 35 = {_REMOVED}").withColumn("match_id", F.concat(F.lit("gone-"), "match_id"))
+        return known.unionByName(gone)
+
+    return Silver(older(now.matches), older(now.innings), older(now.deliveries), older(now.players))
+
+
+def _refreshed(spark, sf_dir):
+    """A store built from silver as it was, brought up to date, once per session."""
+
+    def build():
+        store, seeds = fresh_path(spark, "incremental"), dt.seeds(spark)
+        MatchTables(_silver_before(spark, sf_dir), seeds, store).build()
+        return MatchTables.refresh(dt.silver(spark, sf_dir), seeds, store)
+
+    return _once(spark, sf_dir, "refreshed", build)
+
+
+def incremental_build(spark, sf_dir):
+    """Every career after new, corrected and removed matches."""
+    t = _refreshed(spark, sf_dir)
+    bowled = t.bowling_career.select("player_name", "match_type", "total_wickets", F.col("matches").alias("bowled_in"))
+    known = t.dim_players.select("player_name", "cricsheet_id", "total_matches", "teams")
+    return t.batting_career.join(bowled, ["player_name", "match_type"], "left").join(known, "player_name", "left")
+
+
+def incremental_folders(spark, sf_dir):
+    """Every folder's balls, innings, wickets and results after the same changes."""
+    t, keys = _refreshed(spark, sf_dir), ["match_type", "year"]
+    balls = t.balls.groupBy(*keys).agg(*named(balls="count(*)", runs="sum(runs_total)", matches="count(DISTINCT match_id)"))
+    bat = t.batting.groupBy(*keys).agg(*named(innings="count(*)", bat_runs="sum(runs)"))
+    bowl = t.bowling.groupBy(*keys).agg(*named(spells="count(*)", credited="sum(wickets_credited)"))
+    fell = t.wickets.groupBy(*keys).agg(*named(wickets="count(*)"))
+    results = t.match_results.groupBy(*keys).agg(*named(results="count(*)", won="count(outcome_winner)"))
+    out = results
+    for part in (balls, bat, bowl, fell):
+        out = out.join(part, keys, "left")
+    return out
+
+
 def streamed_state(spark, sf_dir):
     """Events as versioned records of their user, streamed from where they lie."""
     schema = _read(spark, sf_dir, "events").schema
@@ -581,6 +663,9 @@ def queries() -> dict[str, Query]:
         "bronze_two_feeds": on_source(bronze_two_feeds),
         "bronze_replay": on_source(bronze_replay),
         "bronze_errors": on_source(bronze_errors),
+        "bronze_interrupted": on_source(bronze_interrupted),
+        "incremental_build": on_source(incremental_build),
+        "incremental_folders": on_source(incremental_folders),
         "silver_rerun": on_source(silver_rerun),
         "streamed_state": on_source(streamed_state),
         "silver_round_trip": on_source(silver_round_trip),

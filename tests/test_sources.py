@@ -162,8 +162,8 @@ def test_bronze_is_idempotent(spark, tmp_path):
     assert counted(store.stats(2)) == {"updated": 1}
     current = {r.match_id: (r.revision, r.match_type, r.year) for r in store.current().collect()}
     assert len(current) == n and current["1001"] == (2, "t20", "2012")
-    folders = {p.name for p in (tmp_path / "bronze/documents/feed=main/batch=0").iterdir() if p.is_dir()}
-    assert "match_type=t20" in folders
+    first = next(p for p in (tmp_path / "bronze/documents").iterdir() if p.name.startswith(f"part={0:012d}-"))
+    assert "match_type=t20" in {p.name for p in first.iterdir() if p.is_dir()}
 
 
 def test_bronze_refuses_a_number_with_other_content(spark, tmp_path):
@@ -177,31 +177,159 @@ def test_bronze_refuses_a_number_with_other_content(spark, tmp_path):
     assert {r.match_id for r in store.current().collect()} == {"a", "b"}
 
 
-def test_bronze_index_is_folded(spark, tmp_path, monkeypatch):
+def _versions(spark, *pairs):
+    texts = [(f"{name}.json", f'{{"meta":{{"revision":{revision}}}}}') for name, revision in pairs]
+    return bronze_rows(spark.createDataFrame(texts, "name string, content string"))
+
+
+def _held(store):
+    return {r.match_id: (r.revision, r.feed, r.batch) for r in store.current().collect()}
+
+
+def test_bronze_index_is_folded_by_range(spark, tmp_path, monkeypatch):
     from overlake.sources import bronze
 
-    monkeypatch.setattr(bronze, "FOLD", 2)
-    store = BronzeStore(spark, str(tmp_path / "bronze"))
-    for n in range(3):
-        text = f'{{"meta":{{"revision":{n + 1}}}}}'
-        store.apply(bronze_rows(spark.createDataFrame([("a.json", text), (f"{n}.json", text)], "name string, content string")), n)
-    assert len(store._state()["parts"]) == 1
-    assert {r.match_id: (r.revision, r.batch) for r in store.current().collect()} == {
-        "a": (3, 2), "0": (1, 0), "1": (2, 1), "2": (3, 2)}
+    monkeypatch.setattr(bronze, "FOLD", 3)
+    store = BronzeStore(spark, str(tmp_path / "bronze"), ranges=4)
+    for n in range(8):
+        store.apply(_versions(spark, ("a", n + 1), (str(n), n + 1)), n)
+    expected = {"a": (8, "main", 7)} | {str(n): (n + 1, "main", n) for n in range(8)}
+    assert _held(store) == expected
+    number, state = store._state()
+    assert number == 7 and max(len(parts) for parts in state["index"].values()) <= 3
+    # What was folded is gone from the disk, but for what the last record left for its readers.
+    on_disk = {f"index/{p.parent.name}/{p.name}" for p in (tmp_path / "bronze/index").glob("part=*/range=*")}
+    live = {f"index/part={p}/range={r}" for r, parts in state["index"].items() for p in parts}
+    waiting = {g for g in state["gone"]}
+    assert live <= on_disk and all(any(d == w or d.startswith(f"{w}/") for w in waiting) for d in on_disk - live)
+    # Batches whose digest has left the record are still known.
+    assert len(state["recent"]) < 3 and state["applied"]
+    store.apply(_versions(spark, ("a", 1), ("0", 1)), 0)
+    assert _held(store) == expected and store._state()[0] == 7
+    with pytest.raises(ValueError):
+        store.apply(_versions(spark, ("a", 9)), 1)
 
 
-def test_a_batch_lost_half_way_does_not_count(spark, tmp_path):
-    store = BronzeStore(spark, str(tmp_path / "bronze"))
-    batch = bronze_rows(read_raw_texts(spark, docs.write(tmp_path / "raw", docs.ALL)))
-    store.apply(batch, 0)
-    (tmp_path / "bronze" / "state" / f"{0:012d}").unlink()  # as if lost in between
-    (tmp_path / "bronze" / "applied" / "feed=main" / "batch=0").unlink()
-    assert store.current().count() == 0
-    store.apply(batch, 1)
-    assert counted(store.stats(1)) == {"new": len(docs.ALL)}
-    assert [r.batch for r in store.current().collect()] == [1] * len(docs.ALL)
-    store.apply(batch, 0)  # run again after all
-    assert store.current().count() == len(docs.ALL) and counted(store.stats(0)) == {"skipped": len(docs.ALL)}
+def test_a_batch_opens_only_its_ranges(spark, tmp_path, monkeypatch):
+    store = BronzeStore(spark, str(tmp_path / "bronze"), ranges=16)
+    store.apply(_versions(spark, *[(str(n), 1) for n in range(60)]), 0)
+    state = store._state()[1]
+    assert len(state["index"]) > 10
+    one = store._index(state, ["3"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "range" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    files = {f for f in one.inputFiles()}
+    assert 0 < one.count() < 20 and files
+    read = store._read("match_id string, range int, part string", "index").filter("range = 3").select("match_id").count()
+    assert read == one.count()
+    # The batch asks for the ranges of its own matches.
+    asked = []
+    own = BronzeStore._index
+    monkeypatch.setattr(BronzeStore, "_index", lambda self, s, ranges=None: asked.append(ranges) or own(self, s, ranges))
+    store.apply(_versions(spark, ("7", 2)), 1)
+    assert [len(r) for r in asked] == [1]
+
+
+class _Ended(Exception):
+    pass
+
+
+class _EndingStore(BronzeStore):
+    """Ends the run before its ``at``-th write."""
+
+    at = -1
+
+    def _about_to(self, write):
+        self.seen = [*getattr(self, "seen", []), write]
+        if len(self.seen) == self.at + 1:
+            raise _Ended(write)
+
+
+def test_a_batch_that_ends_anywhere_is_repeated_without_loss(spark, tmp_path, monkeypatch):
+    from overlake.sources import bronze
+
+    # The batch that ends folds the index and the table of batches as well.
+    monkeypatch.setattr(bronze, "FOLD", 2)
+    base, batch = _versions(spark, ("a", 1), ("b", 1)), _versions(spark, ("b", 2), ("c", 1), ("a", 1))
+    expected = {"a": (1, "main", 0), "b": (2, "main", 1), "c": (1, "main", 1)}
+    ended, at = [], 0
+    while True:
+        path = str(tmp_path / f"bronze-{at}")
+        BronzeStore(spark, path, ranges=2).apply(base, 0)
+        store = _EndingStore(spark, path)
+        store.at = at
+        try:
+            store.apply(batch, 1)
+            break
+        except _Ended as err:
+            ended.append(str(err))
+        # Nothing or everything, then the rest.
+        before = {"a": (1, "main", 0), "b": (1, "main", 0)}
+        again = BronzeStore(spark, path)
+        assert _held(again) == (expected if ended[-1] == "end" else before)
+        again.apply(batch, 1)
+        assert _held(again) == expected and counted(again.stats(1)) == {"new": 1, "updated": 1, "skipped": 1}
+        again.apply(batch, 1)
+        again.apply(_versions(spark, ("d", 1)), 2)
+        assert _held(again) == expected | {"d": (1, "main", 2)}
+        assert again.errors().count() == 0
+        at += 1
+    assert ended == ["documents", "errors", "report", "index", "applied", "cleaning", "state", "end"]
+
+
+def test_a_second_writer_is_told_and_starts_again(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    BronzeStore(spark, path).apply(_versions(spark, ("a", 1)), 0)
+
+    class Overtaken(BronzeStore):
+        def _about_to(self, write):
+            if write == "state" and not hasattr(self, "done"):
+                self.done = True
+                BronzeStore(spark, path).apply(_versions(spark, ("a", 3), ("b", 1)), 0, "other")
+
+    Overtaken(spark, path).apply(_versions(spark, ("a", 2), ("c", 1)), 1)
+    store = BronzeStore(spark, path)
+    # The overtaken batch was classified again: its revision of a match is no news any more.
+    assert _held(store) == {"a": (3, "other", 0), "b": (1, "other", 0), "c": (1, "main", 1)}
+    assert counted(store.stats(1)) == {"new": 1, "skipped": 1}
+    # The first attempt's folders are gone.
+    assert len(list((tmp_path / "bronze/documents").glob("part=*"))) == 3
+
+
+def test_vacuum(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    store = _EndingStore(spark, path)
+    store.apply(_versions(spark, ("a", 1), ("x", 1)), 0)
+    store.seen, store.at = [], 3
+    with pytest.raises(_Ended):
+        store.apply(_versions(spark, ("a", 2)), 1)
+    store.at = -1
+    for n in range(2, 7):
+        store.apply(_versions(spark, ("a", n)), n)
+    held = _held(store)
+    deleted = store.vacuum()
+    # The attempt that ended, and documents of which nothing is current.
+    assert sum(d.startswith("documents/") for d in deleted) >= 2 and any(d.startswith("report/") for d in deleted)
+    assert _held(store) == held == {"a": (6, "main", 6), "x": (1, "main", 0)}
+    assert store.vacuum() == [] and counted(store.stats(3)) == {"updated": 1}
+
+
+def test_a_stream_that_ends_anywhere_goes_on_without_loss(spark, tmp_path):
+    schema, landing = "name string, content string", tmp_path / "landing"
+    spark.createDataFrame([("a.json", '{"meta":{"revision":1}}'), ("b.json", "{")], schema).write.parquet(str(landing))
+    for at in (0, 5, 6):
+        store = _EndingStore(spark, str(tmp_path / f"bronze-{at}"))
+        store.at = at
+
+        def run():
+            source = spark.readStream.schema(schema).parquet(str(landing))
+            return ingest_available(source, store, str(tmp_path / f"progress-{at}"), bronze_rows)
+
+        with pytest.raises(Exception, match="_Ended"):
+            run()
+        store.at = -1
+        run()  # from its checkpoint, with the number it had
+        assert _held(store) == {"a": (1, "stream", 0)} and store.errors().count() == 1
 
 
 def test_one_scan_of_a_batch(spark, tmp_path):
@@ -246,6 +374,21 @@ def test_stream_equals_batches(spark, tmp_path):
     assert [(r.match_id, r.revision) for r in store.current().collect()] == [("1001", 2)]
 
 
+def test_records(spark, tmp_path):
+    from overlake.sources.files import Conflict, Folder, Records
+
+    records = Records(Folder(spark, str(tmp_path / "f")), "state")
+    assert records.latest({"n": 0}) == (-1, {"n": 0})
+    for n in range(5):
+        assert records.commit(n - 1, {"n": n}) == n
+    assert records.latest({}) == (4, {"n": 4})
+    with pytest.raises(Conflict):
+        records.commit(3, {"n": 9})
+    assert records.latest({}) == (4, {"n": 4})
+    # Older records go; nothing half-written stays.
+    assert sorted(p.name for p in (tmp_path / "f/state").iterdir() if not p.name.startswith(".")) == [f"{n:012d}" for n in (2, 3, 4)]
+
+
 def test_publish(spark, tables, tmp_path):
     view = publish(tables.fct_deliveries, "marts", "fct_deliveries", as_view=True)
     assert view.count() == spark.table("marts_fct_deliveries").count() == tables.ball_by_ball.count()
@@ -330,7 +473,6 @@ def test_a_file_marker_is_whole_or_absent(spark, tmp_path):
 
     folder = Folder(spark, str(tmp_path / "f"))
     assert folder.names() == [] and not folder.exists("a")
-    folder.write("a", "one")
-    folder.write("a", "two")
-    assert folder.read("a") == "two" and folder.names() == ["a"]
+    assert folder.create("a", "one") and not folder.create("a", "two")
+    assert folder.read("a") == "one" and folder.names() == ["a"]
     assert newest(["000002", "10", "x", "000010.part"]) == "10" and newest([]) is None
