@@ -286,7 +286,7 @@ class Segments:
         #: Linked pairs, as the bytes of 64-bit numbers.
         self.links: list[bytes] = []
         #: n_a, n_b, links, spelt; then, as of ``model``, best, sum and links that have no count.
-        self.figures = np.zeros((FIGURES, 1024), np.int64)
+        self.figures = np.zeros((1024, FIGURES), np.int64)
         self.seen = np.zeros(1024, np.int64)
         self.model, self.scored = None, 0
         self.a_length = np.array(list(map(len, vocabularies.byte_tokens)))
@@ -367,7 +367,7 @@ class Segments:
     def _add(self, new: list[str]) -> None:
         first, n = len(self.groups), len(self.groups) + len(new)
         while n > len(self.seen):
-            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)], axis=1)
+            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
             self.seen = np.concatenate([self.seen, np.zeros_like(self.seen)])
         a = self._by_bytes(new)
         # The letter before is a token of its own, which keeps a space from being put there.
@@ -385,7 +385,7 @@ class Segments:
         self.links += [raw[s:e] for s, e in zip(edge[:-1], edge[1:], strict=True)]
         self.groups += groups
         self.number.update(zip(new, range(first, n), strict=True))
-        self.figures[:4, first:n] = list(map(len, a)), list(map(len, b)), n_links, spelt
+        self.figures[first:n, :4] = np.stack([list(map(len, a)), list(map(len, b)), n_links, spelt], axis=1)
         self.seen[first:n] = 0
         self.scored = min(self.scored, first)
 
@@ -397,10 +397,10 @@ class Segments:
         self.number = {texts[i]: at for at, i in enumerate(kept.tolist())}
         self.groups = [self.groups[i] for i in kept.tolist()]
         self.links = [self.links[i] for i in kept.tolist()]
-        figures, seen = self.figures[:, kept], self.seen[kept]
+        figures, seen = self.figures[kept], self.seen[kept]
         size = 1 << max(10, len(kept).bit_length())
-        self.figures, self.seen = np.zeros((FIGURES, size), np.int64), np.zeros(size, np.int64)
-        self.figures[:, : len(kept)] = figures
+        self.figures, self.seen = np.zeros((size, FIGURES), np.int64), np.zeros(size, np.int64)
+        self.figures[: len(kept)] = figures
         # What was frequent long ago gives way.
         self.seen[: len(kept)] = seen // 2
         self.scored = 0
@@ -457,7 +457,7 @@ class Segments:
     def pairs(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Linked pairs and their sums, where segment i occurs ``times[i]`` times."""
         used = np.flatnonzero(times[: len(self.groups)])
-        n = self.figures[2, used]
+        n = self.figures[used, 2]
         flat = np.frombuffer(b"".join([self.links[i] for i in used.tolist()]), np.int64)
         pairs, at = np.unique(flat, return_inverse=True)
         sums = np.zeros(len(pairs), np.int64)
@@ -471,16 +471,16 @@ class Segments:
         first, n = self.scored, len(self.groups)
         if first == n:
             return
-        sizes = self.figures[2, first:n]
+        sizes = self.figures[first:n, 2]
         flat = np.frombuffer(b"".join(self.links[first:n]), np.int64)
         numbers = counts.index.numbers(flat)
         # A worker may have met segments in other documents; a text that uses them is refused.
         there = numbers >= 0
         owner = np.repeat(np.arange(first, n), sizes)
-        self.figures[4:, first:n] = 0
-        np.add.at(self.figures[4], owner[there], counts.is_best[numbers[there]])
-        np.add.at(self.figures[5], owner[there], counts.counts[numbers[there]])
-        np.add.at(self.figures[6], owner[~there], 1)
+        self.figures[first:n, 4:] = 0
+        np.add.at(self.figures[:, 4], owner[there], counts.is_best[numbers[there]])
+        np.add.at(self.figures[:, 5], owner[there], counts.counts[numbers[there]])
+        np.add.at(self.figures[:, 6], owner[~there], 1)
         self.scored = n
 
 
@@ -527,7 +527,7 @@ def _pair_sums(docs: DataFrame, vocabularies: Vocabularies, text: str, unit: int
             for _, numbers in own.encoded(batch["text"].tolist(), unit, flush):
                 if len(times) < len(own.seen):
                     times = np.concatenate([times, np.zeros(len(own.seen) - len(times), np.int64)])
-                if own.figures[3, numbers].all():
+                if own.figures[numbers, 3].all():
                     np.add.at(times, numbers, 1)
         flush()
         yield pd.DataFrame({"pair": list(total.keys()), "n": list(total.values())}, dtype="int64")
@@ -612,10 +612,10 @@ def align(docs: DataFrame, alignment: Alignment, text: str = "text", unit: int =
             out = np.zeros((6, len(batch)), np.int64)
             groups = [""] * len(batch)
             for at, numbers in own.encoded(batch.tolist(), unit):
-                if not own.figures[3, numbers].all():
+                if not own.figures[numbers, 3].all():
                     continue
                 own.score(counts)
-                n_a, n_b, links, _, best, total, unknown = own.figures[:, numbers].sum(axis=1)
+                n_a, n_b, links, _, best, total, unknown = own.figures[numbers].sum(axis=0)
                 if unknown:
                     raise ValueError("a linked pair has no count; the documents are not those that were counted")
                 out[:, at] = n_a, n_b, links, links, best, total

@@ -91,7 +91,7 @@ def test_counts_survive_forgetting(frame, monkeypatch):
     links = []
     for _, numbers in own.encoded(texts, 300, flush):
         np.add.at(times, numbers, 1)
-        links.append(int(own.figures[2, numbers].sum()))
+        links.append(int(own.figures[numbers, 2].sum()))
     flush()
     assert len(own.groups) < 400 and links == [e[3] for e in expected]
     assert sum(pairs.values()) == sum(links)
