@@ -57,7 +57,8 @@ table("matches", "match_sums")("""
     'NATION_' || t1 AS team_1, 'NATION_' || t2 AS team_2,
     'NATION_' || CASE WHEN d % 2 = 0 THEN t1 ELSE t2 END AS toss_winner,
     CASE WHEN f % 2 = 0 THEN 'bat' ELSE 'field' END AS toss_decision,
-    CASE WHEN w < 3 THEN 'NATION_' || t1 WHEN w < 6 THEN 'NATION_' || t2 END AS outcome_winner,
+    CASE WHEN w < 3 OR (w = 6 AND s % 3 = 0) THEN 'NATION_' || t1 WHEN w < 6 THEN 'NATION_' || t2 END AS outcome_winner,
+    CASE WHEN w < 6 AND s % 5 = 0 THEN 'D/L' END AS outcome_method,
     CASE WHEN w = 6 THEN 'tie' WHEN w = 7 AND s % 2 = 0 THEN 'no result' WHEN w = 7 THEN 'draw' END AS outcome_result,
     CASE WHEN w = 6 THEN 'NATION_' || t1 END AS outcome_eliminator,
     CASE WHEN w < 3 THEN s % 90 + 1 END::INT AS outcome_by_runs,
@@ -81,14 +82,15 @@ table("recorded_balls", "placed_items")("""
     SELECT *, l_linenumber AS ball_in_over, l_suppkey % 8 AS kind,
       CASE WHEN innings_number % 2 = 1 THEN t1 ELSE t2 END AS bat,
       CASE WHEN innings_number % 2 = 1 THEN t2 ELSE t1 END AS bowl,
-      (l_partkey % 3 + mn) % 11 AS i,
+      (CASE WHEN mn % 6 = 1 AND over_number % 8 <> 7 THEN 0 ELSE l_partkey % 3 END + mn) % 11 AS i,
       (mn + over_number) % 7 <> 0 AS lively,
-      l_returnflag = 'R' AND l_partkey % 4 = 1 AS is_wicket
+      l_returnflag = 'R' AND (l_partkey % 4 = 1 OR (mn % 6 = 2 AND l_partkey % 4 = 3))
+        AND NOT (mn % 12 = 1 AND over_number % 8 <> 7) AS is_wicket
     FROM placed_items),
   extras AS (
     SELECT *, 'NATION_' || bat || '_P' || i AS batter,
       'NATION_' || bat || '_P' || (i + 1 + l_linenumber % 3) % 11 AS non_striker,
-      'NATION_' || bowl || '_P' || (over_number * 3 + mn) % 5 + 6 AS bowler,
+      'NATION_' || bowl || '_P' || (CASE WHEN mn % 6 = 2 AND over_number % 8 <> 7 THEN 0 ELSE over_number * 3 END + mn) % 5 + 6 AS bowler,
       CASE WHEN lively AND l_tax >= 0.075 THEN CASE WHEN l_suppkey % 10 = 0 THEN 5 ELSE 1 END ELSE 0 END AS extras_wides,
       (lively AND l_tax < 0.005 AND l_discount < 0.015)::INT AS extras_noballs,
       (lively AND l_discount > 0.085 AND l_discount < 0.095 AND l_suppkey % 5 = 0)::INT AS extras_byes,
@@ -105,7 +107,7 @@ table("recorded_balls", "placed_items")("""
     CASE WHEN NOT is_wicket THEN NULL
       WHEN kind = 0 THEN 'NATION_' || bowl || '_P' || l_quantity::INT % 11 || ', NATION_' || bowl || '_P' || l_partkey % 11
       WHEN kind = 1 THEN 'NATION_' || bowl || '_P' || l_partkey % 11
-      WHEN kind = 3 THEN 'NATION_' || bowl || '_P5' END AS wicket_fielders,
+      WHEN kind = 3 THEN 'NATION_' || bowl || '_P' || l_partkey % 3 + 8 END AS wicket_fielders,
     l_suppkey % 13 = 0 AS thirteenth,
     CASE WHEN l_suppkey % 29 = 0 THEN 'NATION_' || bat END AS review_by,
     CASE WHEN l_suppkey % 29 = 0 AND l_partkey % 2 = 0 THEN 'upheld' WHEN l_suppkey % 29 = 0 THEN 'struck down' END AS review_decision
@@ -154,7 +156,7 @@ table("results", "matches", "renamed")("""
 table("ball", "deliveries", "innings", "matches", "results", "renamed")("""
   SELECT d.*, r.match_date, r.season, coalesce(n.name, i.batting_team) AS batting_team,
     CASE WHEN i.batting_team = m.team_1 THEN r.team_2 ELSE r.team_1 END AS bowling_team,
-    r.venue, r.city, m.outcome_winner, m.outcome_result, i.super_over, r.event_name
+    r.venue, r.city, m.outcome_winner, m.outcome_result, m.outcome_method, i.super_over, r.event_name
   FROM deliveries d JOIN innings i USING (match_id, innings_number)
     JOIN matches m USING (match_id) JOIN results r USING (match_id)
     LEFT JOIN renamed n ON n.old = i.batting_team

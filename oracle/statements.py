@@ -8,6 +8,7 @@ IPL = "event_name ILIKE '%indian premier league%'"
 MAIN = "innings_number < 3"
 P = "'NATION_2_P7'"
 P1 = "'NATION_2_P1'"
+KEEPER = "'NATION_2_P10'"
 TS = "('NATION_1', 'NATION_16')"
 T1 = "('NATION_2')"
 YEAR = "season = '2010'"
@@ -99,20 +100,20 @@ def spells(season: str = "true") -> str:
 
 
 FIGURES = f"""count(DISTINCT match_id) AS mat, count(*) AS inns, {overs(big('balls'))} AS overs, {big('balls')} AS balls,
-  {big('runs')} AS runs, {big('wkts')} AS wkts, arg_max(wkts || '/' || runs, wkts * 1000 - runs) AS bbi,
+  {big('runs')} AS runs, {big('wkts')} AS wkts, first(wkts || '/' || runs ORDER BY wkts DESC, runs) AS bbi,
   {per('sum(runs)', 'sum(wkts)')} AS ave, {per('sum(runs)', 'sum(balls)', 2, '6.0')} AS econ,
   {per('sum(balls)', 'sum(wkts)')} AS sr, count(*) FILTER (WHERE wkts > 3) AS "4w", count(*) FILTER (WHERE wkts > 4) AS "5w" """
 RIVAL = "CASE WHEN r.team_1 = bowling_team THEN r.team_2 ELSE r.team_1 END AS vs"
 
 
-def catches(test: str) -> str:
+def catches(test: str, player: str) -> str:
     return f"""count(*) FILTER (WHERE wicket_kind = 'caught' AND {test}) AS catches,
-      count(*) FILTER (WHERE wicket_kind = 'caught and bowled' AND bowler = {P1}) AS caught_and_bowled,
+      count(*) FILTER (WHERE wicket_kind = 'caught and bowled' AND bowler = {player}) AS caught_and_bowled,
       count(*) FILTER (WHERE wicket_kind = 'stumped' AND {test}) AS stumpings,
       count(*) FILTER (WHERE wicket_kind = 'run out' AND {test}) AS run_outs"""
 
 
-WHOLE = f"list_contains(string_split(wicket_fielders, ', '), {P1})"
+WHOLE = f"list_contains(string_split(wicket_fielders, ', '), {KEEPER})"
 INSIDE = f"contains(wicket_fielders, {P1})"
 
 
@@ -227,8 +228,8 @@ def win_loss() -> str:
 
 
 IMPACT = f"""WITH early AS (
-    SELECT match_id, coalesce(bool_or(is_wicket AND wicket_player_out = {P}), false) AS gone, bool_or(batter = {P}) AS faced
-    {SEASON_BALLS} AND over_number < 6 AND batting_team IN {T1} GROUP BY match_id),
+    SELECT match_id, coalesce(bool_or(is_wicket AND wicket_player_out = {KEEPER}), false) AS gone, bool_or(batter = {KEEPER}) AS faced
+    FROM ball WHERE {IPL} AND season = '2009' AND {MAIN} AND over_number < 6 AND batting_team IN {T1} GROUP BY match_id),
   cases AS (
     SELECT CASE WHEN gone THEN 'Out in PP' ELSE 'Survived PP' END AS scenario, match_id FROM early WHERE gone OR faced),
   decided AS (SELECT scenario, outcome_winner IN {T1} AS win FROM cases JOIN results USING (match_id) WHERE has_result)
@@ -262,6 +263,56 @@ NOT_NULL = {
 }
 
 
+def broken(table: str) -> str:
+    """A table's rows with its required columns emptied, and its other rules broken, here and there."""
+    source, required = NOT_NULL[table]
+    by_match = "match_id" in required
+    n = "match_id::INT" if by_match else "length(player_name)"
+    out = {c: f"CASE WHEN n % {2 * j + 7} = 1 THEN NULL ELSE {c} END" for j, c in enumerate(required.split())}
+    if table in ("stg_innings", "stg_deliveries", "stg_players"):
+        out["match_id"] = f"CASE WHEN n % 29 = 1 THEN 'none' ELSE {out['match_id']} END"
+    if table == "stg_matches":
+        out["match_type"] = f"CASE WHEN n % 13 = 5 THEN 'club' ELSE {out['match_type']} END"
+    if table == "stg_innings":
+        out["batting_team"] = "CASE WHEN n % 31 = 3 THEN 'Nobody' WHEN n % 11 = 1 THEN NULL ELSE batting_team END"
+    if table == "ball_by_ball":
+        out["runs_total"] = "CASE WHEN n % 13 = 1 THEN NULL WHEN n % 17 = 2 THEN runs_total + 1 ELSE runs_total END"
+    if table == "match_results":
+        out["outcome_winner"] = "CASE WHEN n % 19 = 3 THEN 'Nobody' ELSE outcome_winner END"
+    twice = table in ("stg_matches", "match_results", "dim_players", "batting_career", "bowling_career")
+    rows = f"SELECT *, {n} AS n FROM {source}"
+    if twice:
+        rows += f" UNION ALL SELECT *, {n} FROM {source} WHERE {n} % 5 = 2"
+    return f"(SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in out.items())}) FROM ({rows}))"
+
+
+def check_report_broken() -> str:
+    def row(check: str, table: str, column: str, query: str) -> str:
+        return f"""SELECT '{check}' AS "check", '{table}' AS "table", '{column}' AS "column", ({query}) AS failures"""
+
+    rows = [
+        row("not_null", t, c, f"SELECT count(*) FILTER ({c} IS NULL) FROM {broken(t)}")
+        for t, (_, cols) in NOT_NULL.items()
+        for c in cols.split()
+    ]
+    for t, key in (("stg_matches", "match_id"), ("match_results", "match_id"), ("dim_players", "player_name"),
+                   ("batting_career", "player_name|match_type"), ("bowling_career", "player_name|match_type")):
+        value = f"concat_ws('|', {key.replace('|', ', ')})" if "|" in key else key
+        repeated = f"SELECT {value} AS v FROM {broken(t)} WHERE {value} IS NOT NULL GROUP BY v HAVING count(*) > 1"
+        rows.append(row("unique", t, key, f"SELECT count(*) FROM ({repeated})"))
+    rows.append(row("accepted_values", "stg_matches", "match_type", f"SELECT count(*) FROM {broken('stg_matches')} WHERE match_type = 'club'"))
+    parents = broken("stg_matches")
+    for t in ("stg_innings", "stg_deliveries", "stg_players"):
+        rows.append(row("relationships", t, "match_id", f"""SELECT count(*) FROM {broken(t)} x
+            WHERE match_id IS NOT NULL AND match_id NOT IN (SELECT match_id FROM {parents} WHERE match_id IS NOT NULL)"""))
+    rows.append(row("rule", "ball_by_ball", "runs_total", f"SELECT count(*) FROM {broken('ball_by_ball')} WHERE runs_total <> runs_batter + runs_extras"))
+    rows.append(row("rule", "match_results", "outcome_winner",
+                    f"SELECT count(*) FROM {broken('match_results')} WHERE outcome_winner <> team_1 AND outcome_winner <> team_2"))
+    rows.append(row("rule", "stg_innings", "batting_team", f"""SELECT count(*) FROM {broken('stg_innings')} x
+        JOIN (SELECT DISTINCT match_id, team_1, team_2 FROM {parents}) y ON x.match_id = y.match_id WHERE batting_team <> team_1 AND batting_team <> team_2"""))
+    return "\nUNION ALL\n".join(rows)
+
+
 def check_report() -> str:
     def row(check: str, table: str, column: str, query: str) -> str:
         return f"""SELECT '{check}' AS "check", '{table}' AS "table", '{column}' AS "column", ({query}) AS failures"""
@@ -298,7 +349,7 @@ def statements() -> dict[str, str]:
 
     # models
     none = {k: f"NULL::{t} AS {k}" for k, t in {
-        "outcome_method": "VARCHAR", "outcome_bowl_out": "VARCHAR", "outcome_by_innings": "INT",
+        "outcome_bowl_out": "VARCHAR", "outcome_by_innings": "INT",
         "event_match_number": "INT", "event_group": "VARCHAR", "match_type_number": "INT"}.items()}
     fixed = "'male' AS gender, 'international' AS team_type, false AS toss_uncontested, 6 AS balls_per_over, 24 AS overs, (match_id::INT % 3 + 1)::INT AS revision"
     add("stg_matches", f"SELECT * REPLACE (match_date::VARCHAR AS match_date), {fixed}, {', '.join(none.values())} FROM matches", "matches")
@@ -307,7 +358,7 @@ def statements() -> dict[str, str]:
     add("stg_players", "SELECT *, (match_id::INT % 3 + 1)::INT AS revision FROM listed_players", "listed_players")
     add("ball_by_ball", """SELECT * EXCLUDE (super_over, event_name) REPLACE (match_date::VARCHAR AS match_date),
         'male' AS gender, 'international' AS team_type, 0 AS extras_penalty, NULL::BOOLEAN AS review_umpires_call,
-        NULL::VARCHAR AS outcome_method, 6 AS balls_per_over FROM ball""", "ball")
+        6 AS balls_per_over FROM ball""", "ball")
     add("fct_deliveries", f"SELECT batting_team, bowling_team, count(*) AS balls, {big('runs_total')} AS runs FROM ball GROUP BY ALL", "ball")
     del none["match_type_number"]
     add("match_results", f"SELECT * REPLACE (match_date::VARCHAR AS match_date), {fixed}, {', '.join(none.values())} FROM results", "results")
@@ -382,13 +433,13 @@ def statements() -> dict[str, str]:
           sum((outcome_winner = {b})::INT)::BIGINT AS lost, sum(is_tie::INT)::BIGINT AS tied,
           count(*) FILTER (WHERE NOT has_result) AS no_result,
           {per(f"sum((outcome_winner = {a})::INT)", "count(*) FILTER (WHERE has_result)", 1, "100.0")} AS win_pct
-          FROM results WHERE match_type = 'odi' AND {a} = 'NATION_1' GROUP BY {a}"""
+          FROM results WHERE match_type = 'odi' AND {a} = 'NATION_0' GROUP BY {a}"""
 
     add("m1_team_record", side("team_1", "team_2") + " UNION ALL " + side("team_2", "team_1"), "results")
     add("m2_head_to_head", """SELECT match_type, count(*) AS played,
-        count(*) FILTER (WHERE outcome_winner = 'NATION_1') AS team_a_wins,
-        count(*) FILTER (WHERE outcome_winner = 'NATION_2') AS team_b_wins, sum(is_tie::INT)::BIGINT AS ties
-        FROM results WHERE has_result AND team_1 IN ('NATION_1', 'NATION_2') AND team_2 IN ('NATION_1', 'NATION_2')
+        count(*) FILTER (WHERE outcome_winner = 'NATION_2') AS team_a_wins,
+        count(*) FILTER (WHERE outcome_winner = 'NATION_3') AS team_b_wins, sum(is_tie::INT)::BIGINT AS ties
+        FROM results WHERE has_result AND team_1 IN ('NATION_2', 'NATION_3') AND team_2 IN ('NATION_2', 'NATION_3')
         GROUP BY match_type""", "results")
     add("m3_toss_advantage", f"""SELECT match_type, toss_decision, count(*) AS matches,
         count(*) FILTER (WHERE toss_winner = outcome_winner) AS toss_winner_won,
@@ -436,9 +487,9 @@ def statements() -> dict[str, str]:
         team_1, team_2, deliveries, balls AS legal_del, runs, wkts
         FROM {spells(YEAR)} s JOIN results r USING (match_id)""", "ball", "results")
     fielded = f"FROM ball WHERE {IPL} AND {MAIN} AND is_wicket"
-    add("p12_player_fielding", f"SELECT {catches(WHOLE)} {fielded}", "ball")
-    add("p12_player_fielding_like", f"SELECT {catches(INSIDE)} {fielded}", "ball")
-    add("p13_player_fielding_by_season", f"SELECT season, {catches(WHOLE)} {fielded} GROUP BY season", "ball")
+    add("p12_player_fielding", f"SELECT {catches(WHOLE, KEEPER)} {fielded}", "ball")
+    add("p12_player_fielding_like", f"SELECT {catches(INSIDE, P1)} {fielded}", "ball")
+    add("p13_player_fielding_by_season", f"SELECT season, {catches(WHOLE, KEEPER)} {fielded} GROUP BY season", "ball")
 
     # one team, all time
     add("t01_team_seasons", f"""SELECT season, any_value(team) AS team, {record(TS)} FROM results JOIN (
@@ -481,7 +532,7 @@ def statements() -> dict[str, str]:
 
     # one season
     add("s01_season_results", f"""SELECT {DAY}, {VS.format(n=T1)}, ifnull(event_stage, 'League') AS stage, {code(T1)},
-        outcome_by_runs AS by_runs, outcome_by_wickets AS by_wkts, NULL::VARCHAR AS outcome_method
+        outcome_by_runs AS by_runs, outcome_by_wickets AS by_wkts, outcome_method
         FROM results WHERE {played(T1)} AND {YEAR}""", "results")
     add("s02_season_summary", f"SELECT {record(T1)} FROM results WHERE {played(T1)} AND {YEAR}", "results")
     add("s03_batting_concentration", concentration("bat", "batting_team", "runs", "runs", "players").replace("WITH sums", "SELECT * FROM (WITH sums", 1) + ")", "bat")
@@ -531,6 +582,8 @@ def statements() -> dict[str, str]:
         f"SELECT player_name AS player, {big('wickets_credited')} AS wkts FROM bowl WHERE {IN_LEAGUE} GROUP BY player_name"), "bowl")
     add("check_report", check_report(), "matches", "innings", "deliveries", "listed_players", "results", "ball",
         "bat", "bowl", "people", "bat_career", "bowl_career")
+    add("check_report_broken", check_report_broken(), "matches", "innings", "deliveries", "listed_players", "results", "ball",
+        "bat", "bowl", "people", "bat_career", "bowl_career")
     add("check_unique", "SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY ALL HAVING count(*) > 1")
     add("check_accepted_values", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')")
     add("check_relationships", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")

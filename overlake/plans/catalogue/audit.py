@@ -148,7 +148,9 @@ def check_report(t) -> DataFrame:
     conditions["ball_by_ball"]["rule|runs_total"] = RUNS_DO_NOT_ADD_UP
     conditions["match_results"]["rule|outcome_winner"] = WINNER_DID_NOT_PLAY
     conditions["stg_innings"]["rule|batting_team"] = BATTING_SIDE_DID_NOT_PLAY
-    parents = t.stg_matches.selectExpr("match_id", "team_1", "team_2", "true AS parent")
+    # One row per match, also where matches repeat, so that no child is counted twice.
+    teams = F.min(F.struct("team_1", "team_2")).alias("teams")
+    parents = t.stg_matches.groupBy("match_id").agg(teams).selectExpr("match_id", "teams.*", "true AS parent")
 
     def labelled(counts: DataFrame, table: str) -> DataFrame:
         return counts.selectExpr(

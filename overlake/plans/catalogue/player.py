@@ -155,7 +155,7 @@ def _figures() -> list[Column]:
             "balls": "sum(balls)",
             "runs": "sum(runs)",
             "wkts": "sum(wkts)",
-            "bbi": "max_by(concat(wkts, '/', runs), wkts * 1000 - runs)",
+            "bbi": "max_by(concat(wkts, '/', runs), struct(wkts, -runs))",
             "ave": ratio_sql("sum(runs)", "sum(wkts)"),
             "econ": ratio_sql("sum(runs)", "sum(balls)", times=6),
             "sr": ratio_sql("sum(balls)", "sum(wkts)"),

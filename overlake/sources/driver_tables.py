@@ -87,7 +87,9 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
             team_2="concat('NATION_', t2)",
             toss_winner="concat('NATION_', if(d % 2 = 0, t1, t2))",
             toss_decision="if(f % 2 = 0, 'bat', 'field')",
-            outcome_winner="case when w < 3 then concat('NATION_', t1) when w < 6 then concat('NATION_', t2) end",
+            # Some ties have a winner all the same.
+            outcome_winner="case when w < 3 or w = 6 and s % 3 = 0 then concat('NATION_', t1) when w < 6 then concat('NATION_', t2) end",
+            outcome_method="case when w < 6 and s % 5 = 0 then 'D/L' end",
             outcome_result="case when w = 6 then 'tie' when w = 7 then if(s % 2 = 0, 'no result', 'draw') end",
             outcome_eliminator="case when w = 6 then concat('NATION_', t1) end",
             outcome_by_runs="case when w < 3 then s % 90 + 1 end",
@@ -126,8 +128,9 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         ball_in_over="l_linenumber",
         bat="if(innings_number % 2 = 1, t1, t2)",
         bowl="if(innings_number % 2 = 1, t2, t1)",
-        # Three players face, up to three more only stand at the other end.
-        i="(l_partkey % 3 + mn) % 11",
+        # Three players face, up to three more only stand at the other end; in some matches one
+        # faces nearly all balls, and one bowls most of them.
+        i="(if(mn % 6 = 1 and over_number % 8 <> 7, 0, l_partkey % 3) + mn) % 11",
         quiet="(mn + over_number) % 7 = 0",
         kind="l_suppkey % 8",
     )
@@ -135,13 +138,13 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         at_crease,
         batter="concat('NATION_', bat, '_P', i)",
         non_striker="concat('NATION_', bat, '_P', (i + 1 + l_linenumber % 3) % 11)",
-        bowler="concat('NATION_', bowl, '_P', (over_number * 3 + mn) % 5 + 6)",
+        bowler="concat('NATION_', bowl, '_P', (if(mn % 6 = 2 and over_number % 8 <> 7, 0, over_number * 3) + mn) % 5 + 6)",
         extras_wides="case when quiet or l_tax < 0.075 then 0 when l_suppkey % 10 = 0 then 5 else 1 end",
         extras_noballs="if(not quiet and l_tax < 0.005 and l_discount < 0.015, 1, 0)",
         extras_byes="if(not quiet and l_discount > 0.085 and l_discount < 0.095 and l_suppkey % 5 = 0, 1, 0)",
         extras_legbyes="if(not quiet and l_discount > 0.095, 1, 0)",
         extras_penalty="0",
-        is_wicket="l_returnflag = 'R' and l_partkey % 4 = 1",
+        is_wicket="l_returnflag = 'R' and (l_partkey % 4 = 1 or mn % 6 = 2 and l_partkey % 4 = 3) and not (mn % 12 = 1 and over_number % 8 <> 7)",
     )
     scored = _exprs(
         extras,
@@ -154,7 +157,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         wicket_fielders_arr="case when not is_wicket then null "
         "when kind = 0 then array(concat('NATION_', bowl, '_P', cast(l_quantity as int) % 11), concat('NATION_', bowl, '_P', l_partkey % 11)) "
         "when kind = 1 then array(concat('NATION_', bowl, '_P', l_partkey % 11)) "
-        "when kind = 3 then array(concat('NATION_', bowl, '_P5')) end",
+        "when kind = 3 then array(concat('NATION_', bowl, '_P', l_partkey % 3 + 8)) end",
         review_by="if(l_suppkey % 29 = 0, concat('NATION_', bat), null)",
         review_decision="if(l_suppkey % 29 = 0, if(l_partkey % 2 = 0, 'upheld', 'struck down'), null)",
     )
