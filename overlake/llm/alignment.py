@@ -24,10 +24,12 @@ results.  A very long text is encoded in pieces; only one that nowhere can be cu
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 from hashlib import sha256
@@ -47,7 +49,7 @@ from overlake.llm.words import mix, seeds
 DIRECTORY = "/opt/tokenizers"
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Encoded pieces that a Python worker keeps, and characters that it encodes at once.
-KEPT, UNIT = 300_000, 1_000_000
+KEPT, UNIT = 500_000, 1_000_000
 #: Hash buckets of the pairs, entries in a row of a count vector, vectors summed at once.
 BUCKETS, CHUNK, FAN = 61, 4_096, 32
 
@@ -414,6 +416,7 @@ class Segments:
         done: dict[int, list[np.ndarray]] = {}
         size = 0
 
+        @_without_collection()
         def encode() -> None:
             lists = [segments(p) if self.of.can_be_cut else [p] for _, p in held]
             flat = list(chain.from_iterable(lists))
@@ -484,6 +487,18 @@ class Segments:
         self.scored = n
 
 
+@contextmanager
+def _without_collection():
+    """No search for reference cycles while many small lists are made, none of which is in one."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 _segments: dict[str, Segments] = {}
 
 
