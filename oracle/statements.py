@@ -654,6 +654,9 @@ def statements() -> dict[str, str]:
         'NATION_' || (o_custkey + n.away) % 8 AS team, revision
         FROM docs, (VALUES ('P1', 0), ('P2', 0), ('P3', 0), ('Q1', 1)) n(player_name, away)""", "docs")
     add("quarantine", "SELECT match_id FROM docs WHERE o_orderpriority = '5-LOW'", "docs")
+    add("archive_ranges", """SELECT NULL AS unreadable, match_id, o_orderpriority <> '5-LOW' OR o_orderkey % 100 = 7 AS whole,
+        CASE WHEN whole THEN 'Venue_' || o_custkey % 9 END AS venue FROM docs
+        UNION ALL SELECT 'archive-' || match_id, NULL, false, NULL FROM docs WHERE o_orderkey % 100 = 7""", "docs")
     add("archive_members", """SELECT NULL AS unreadable, match_id, o_orderpriority <> '5-LOW' OR o_orderkey % 100 = 7 AS whole,
         CASE WHEN whole THEN 'Venue_' || o_custkey % 9 END AS venue FROM docs
         UNION ALL SELECT 'archive-' || match_id, NULL, false, NULL FROM docs WHERE o_orderkey % 100 = 7""", "docs")

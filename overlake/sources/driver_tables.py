@@ -353,3 +353,20 @@ def archives(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
         WHEN cast(match_id AS bigint) % 2 = 0 THEN 'damaged' ELSE 'encrypted' END"""
     rows = docs.select(F.col("match_id").alias("key"), "content", F.expr(harm).alias("harm"))
     return _spread(rows, "key").mapInPandas(_zipped, "path string, content binary")
+
+
+def archive_files(spark: SparkSession, sf_dir: str, docs: DataFrame, folder: str) -> None:
+    """The same archives as files ``<name>.zip``, each written by the task that made it."""
+    spark.createDataFrame([], "x int").write.parquet(folder)
+
+    def write(batches):
+        from pyarrow import fs
+
+        files = fs.LocalFileSystem()
+        for batch in batches:
+            for name, blob in zip(batch["path"], batch["content"], strict=True):
+                with files.open_output_stream(f"{folder.removeprefix('file:')}/{name}.zip") as out:
+                    out.write(bytes(blob))
+            yield batch[["path"]]
+
+    archives(spark, sf_dir, docs).mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()

@@ -34,7 +34,7 @@ from overlake.plans.tables import MatchTables, Silver
 from overlake.schemas import BATTING_INNINGS
 from overlake.session import configure, fresh_path
 from overlake.sources import driver_tables as dt
-from overlake.sources.archives import explode_members, member_stem
+from overlake.sources.archives import explode_archives, explode_members, member_stem
 from overlake.sources.bronze import BronzeStore, bronze_rows
 from overlake.sources.inventory import inventory_of, partition_inventory
 from overlake.sources.publish import publish
@@ -259,6 +259,20 @@ def archive_members(spark, sf_dir):
     )
 
 
+def archives_by_ranges(spark, sf_dir):
+    """As :func:`archive_members`, from files of which every task reads a few kilobytes at a time."""
+    folder = fresh_path(spark, "archives")
+    dt.archive_files(spark, sf_dir, _documents(spark, sf_dir), folder)
+    members = explode_archives(spark, folder, range_bytes=64 << 10)
+    stem = F.regexp_extract("archive", "([^/]+)[.]zip$", 1)
+    return members.select(
+        F.when(F.col("name").isNull(), stem).alias("unreadable"),
+        member_stem().alias("match_id"),
+        F.col("error").isNull().alias("whole"),
+        F.get_json_object("content", "$.info.venue").alias("venue"),
+    )
+
+
 def odd_leaves(spark, sf_dir):
     """Documents in which some leaves have another type than usual: every match is in all
     four tables, and only the odd leaves are missing or read as what they say."""
@@ -689,6 +703,7 @@ def queries() -> dict[str, Query]:
         "published_table": on_source(published_table),
         "quarantine": on_source(quarantined),
         "archive_members": on_source(archive_members),
+        "archive_ranges": on_source(archives_by_ranges),
         "partition_inventory": on_source(inventory),
         "bronze_state": on_source(bronze_state),
         "bronze_two_feeds": on_source(bronze_two_feeds),

@@ -46,6 +46,61 @@ def test_archives(spark, tmp_path):
     assert len(found) == 3 and any(r["name"] == "12.json" for r in found)
 
 
+def test_an_archive_beyond_two_gibibytes(spark, tmp_path):
+    """The archive's members lie behind a hole of 2.5 GiB; no task could hold it."""
+    from pyspark.sql import functions as F
+
+    path = tmp_path / "large archive.zip"
+    with open(path, "wb") as f:
+        f.truncate(5 << 29)
+    with zipfile.ZipFile(path, "a", zipfile.ZIP_DEFLATED) as z:
+        for i in range(80):
+            z.writestr(f"{i}.json", json.dumps({"id": i, "text": "x" * 500}))
+    found = explode_archives(spark, str(tmp_path), range_bytes=1 << 11).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(int(member.split(".")[0]) for member in (r["name"] for r in found)) == list(range(80))
+    assert all(r["error"] is None and json.loads(r["content"])["text"] == "x" * 500 for r in found)
+    assert len({r["task"] for r in found}) > 1
+
+
+def test_ranges_are_read_a_little_at_a_time(tmp_path, monkeypatch):
+    """Reading members never asks for more than a range's bytes, nor for bytes twice."""
+    from types import SimpleNamespace
+
+    from overlake.sources import archives
+
+    path = tmp_path / "one.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for i in range(50):
+            z.writestr(f"{i}.json" if i != 20 else "__big.json", "y" * (1000 if i != 20 else 100_000))
+    monkeypatch.setattr(archives, "READ_BYTES", 5_000)
+    asked = []
+
+    class Counting:
+        def __init__(self, name):
+            self.file = open(name, "rb")
+
+        def seek(self, *at):
+            return self.file.seek(*at)
+
+        def read(self, n=-1):
+            asked.append(n)
+            return self.file.read(n)
+
+        def close(self):
+            self.file.close()
+
+    columns = [c.split()[0] for c in archives._PLACED.split(", ")]
+    rows = [SimpleNamespace(**dict(zip(columns, r, strict=True))) for r in archives.placed_members(str(path), lambda p: open(p, "rb"))]
+    assert len(rows) == 49 and [r.start for r in rows] == sorted(r.start for r in rows)
+    found = list(archives.read_members(iter(rows), Counting))
+    assert [(r[1], r[3]) for r in found] == [(m.name, None) for m in rows] and all(r[2] == "y" * 1000 for r in found)
+    assert max(asked) <= 5_000 and len(asked) >= 10 and sum(asked) < 60_000
+    # An archive that has gone meanwhile is one error per member.
+    path.unlink()
+    gone = list(archives.read_members(iter(rows), Counting))
+    assert len(gone) == 49 and all("FileNotFoundError" in r[3] for r in gone)
+
+
 def test_archive_to_silver(spark, tmp_path):
     from overlake.sources import parse_documents
 
@@ -452,7 +507,7 @@ def test_damaged_members_and_many_tasks(spark, tmp_path):
     blob[blob.rindex(b"m/5.json") - 46 + 8] |= 1  # encrypted
     path.write_bytes(bytes(blob))
     (tmp_path / "cut.zip").write_bytes(bytes(blob[: len(blob) // 2]))
-    found = explode_archives(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    found = explode_archives(spark, str(tmp_path), 1 << 10).withColumn("task", F.spark_partition_id()).collect()
     bad = {r["name"]: r["error"] for r in found if r["error"] is not None}
     assert set(bad) == {"m/3.json", "m/4.json", "m/5.json", "m/other.json", None}
     assert "encrypted" in bad["m/5.json"] and "method" in bad["m/other.json"]
