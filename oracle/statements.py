@@ -673,6 +673,12 @@ def statements() -> dict[str, str]:
     add("raw_since", f"SELECT 'today' AS changed, count(*) AS files FROM ({files}) UNION ALL SELECT 'not yet', 0")
     add("file_inventory", f"""SELECT NULL::VARCHAR AS match_type, NULL::VARCHAR AS year, count(*) AS files FROM ({files})
         UNION ALL SELECT {folder}, count(*) FROM ({files}) GROUP BY ALL""")
+    add("file_ledger", f"""SELECT CASE WHEN g % 3 = 0 THEN 1 ELSE 2 END AS load, ['t20', 'odi', 'test'][g % 3 + 1] AS match_type,
+        count(*) AS files, sum(n)::BIGINT AS innings FROM ({files}) GROUP BY ALL""")
+    add("adopted_silver", f"""SELECT match_type, year::VARCHAR AS year, count(*) AS innings,
+        count(*) FILTER (declared AND match_id::INT % 3 <> 0) AS declared, count(*) FILTER (super_over) AS super_overs,
+        {big('target_runs')} AS target, sum(target_overs) FILTER (match_id::INT % 3 = 1) AS overs, 0::BIGINT AS revisions
+        FROM innings GROUP BY ALL""", "innings")
     add("csv_seeds", """SELECT CASE WHEN n_regionkey = 4 THEN n_name ELSE 'Region ' || n_regionkey END AS name, count(*) AS customers
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""")
     add("published_table", """SELECT match_type, year, count(*) AS balls, sum(runs_total)::BIGINT AS runs
@@ -704,6 +710,8 @@ def statements() -> dict[str, str]:
         CASE WHEN o_orderstatus = 'P' OR revision > 1 THEN 1 ELSE 0 END::BIGINT AS batch
         FROM docs WHERE o_orderpriority <> '5-LOW'""", "docs")
     add("streamed_state", """SELECT user_id::VARCHAR AS match_id, max((props->>'$.k')::INT) AS revision FROM events GROUP BY user_id""")
+    add("streamed_changes", f"""SELECT match_id, (match_id::INT % 3 + 1)::INT AS revision, count(*) AS balls, {big('runs_total')} AS runs,
+        {big('is_wicket')} AS wickets, match_id::INT % 2 = 1 AND match_id::INT % 3 > 0 AS corrected FROM deliveries GROUP BY match_id""", "deliveries")
     add("silver_round_trip", """SELECT match_type, year::VARCHAR AS year, count(*) AS balls,
         sum(runs_batter + extras_wides + extras_noballs + extras_byes + extras_legbyes)::BIGINT AS runs
         FROM recorded_balls GROUP BY match_type, year""", "recorded_balls")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from overlake.plans.flatten import FLATTEN
 from overlake.session import fresh_path
 from overlake.sources.bronze import BronzeStore
+from overlake.sources.ledger import FileLedger
 from overlake.sources.raw import parse_documents, quarantine, read_raw, well_formed
 from overlake.sources.silver import write_silver
 
@@ -54,6 +55,12 @@ def transform(
     return write_documents(docs, silver, mode)
 
 
+def transform_unseen(spark: SparkSession, raw: str, silver: str, ledger: FileLedger) -> int:
+    """From a folder of document files those that the ledger does not hold, whatever their time;
+    adds to silver and returns the number of files."""
+    return ledger.take(raw, lambda paths: write_documents(read_raw(spark, paths), silver, "incremental"))
+
+
 def transform_bronze(
     store: BronzeStore, silver: str, mode: str = "full", since_batch: int = 0, feed: str = "main"
 ) -> Ingested:

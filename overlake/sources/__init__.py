@@ -1,8 +1,9 @@
 """Sources and sinks: archives, raw documents, bronze, silver, seeds, tables."""
 
-from overlake.sources.archives import explode_archives, explode_members
+from overlake.sources.archives import archive_ranges, explode_archives, explode_members
 from overlake.sources.bronze import BronzeStore, bronze_rows
 from overlake.sources.inventory import inventory_of, partition_inventory
+from overlake.sources.ledger import FileLedger
 from overlake.sources.publish import publish, publish_models, register_views
 from overlake.sources.raw import (
     parse_documents,

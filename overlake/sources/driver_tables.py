@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overlake.plans.tables import Seeds, Silver
 from overlake.schemas import EXCLUDED_MATCHES, SILVER, TEAM_NAMES, VENUE_NAMES
+from overlake.sources.files import Folder
 from overlake.sources.seeds import seed_frame
 
 ORDERS_PER_MATCH = 50
@@ -310,6 +311,13 @@ def raw_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
 
 
+def date_back(spark: SparkSession, folder: str, to: int = 946_684_800_000) -> None:
+    """Gives the files two folders below an old time, as copies of old files have."""
+    files = Folder(spark, folder)
+    for path in files.matching("*/*.json"):
+        files.date(path, to)
+
+
 def _zipped(batches):
     import io
     import zipfile

@@ -69,6 +69,10 @@ class Folder:
             raise
         return True
 
+    def date(self, name: str, milliseconds: int) -> None:
+        """Sets a file's modification time."""
+        self._fs.setTimes(self._at(name), milliseconds, -1)
+
     def delete(self, name: str = "") -> None:
         self._fs.delete(self._at(name), True)
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from overlake.schemas import SILVER
+from overlake.sources.archives import open_file
 from overlake.sources.files import Folder
 
 PARTITIONS = ("match_type", "year")
@@ -51,24 +56,47 @@ def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(SILVER[name]).parquet(f"{root.rstrip('/')}/{name}")
 
 
+def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The schema in each file's footer, as Spark writes schemas; a column without type is one of text."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    def typed(kind: pa.DataType) -> pa.DataType:
+        return pa.string() if pa.types.is_null(kind) else pa.list_(typed(kind.value_type)) if pa.types.is_list(kind) else kind
+
+    for batch in batches:
+        out = []
+        for path in batch["path"]:
+            with open_file(path) as file:
+                held = pq.read_schema(file)
+            fields = [pa.field(f.name, typed(f.type)) for f in held if f.name not in PARTITIONS]
+            out.append(from_arrow_schema(pa.schema(fields)).json())
+        yield pd.DataFrame({"path": batch["path"], "schema": out})
+
+
 def adopt_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read a silver table whose files were written batch by batch with inferred types.
 
     In such files a column without values has no type, and the same column may be whole
     numbers in one file and fractions in the next, which no single read schema covers.
-    Files are grouped by the schema in their footers; Spark reads each group under its own
+    Tasks read the footers and group files by their schema; Spark reads each group under its own
     schema and casts it to the fixed one.  Columns that files lack are NULL.  Meant to be
     passed on to :func:`write_silver` once.
     """
     base = f"{root.rstrip('/')}/{name}"
     reader = spark.read.option("basePath", base).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    footers = listed.load(base).select("path").repartition(tasks, "path").mapInPandas(_footers, "path string, schema string")
+    # A path and its schema's text per file: less than the listing that Spark's driver holds.
     groups: dict[str, list[str]] = {}
-    for row in listed.load(base).select("path").toLocalIterator():
-        groups.setdefault(spark.read.parquet(row.path).schema.json(), []).append(row.path)
+    for row in footers.toLocalIterator():
+        groups.setdefault(row.schema, []).append(row.path)
     out = spark.createDataFrame([], SILVER[name])
-    for paths in groups.values():
-        rows = reader.parquet(*paths).withColumn("__path", F.col("_metadata.file_path"))
+    for text, paths in sorted(groups.items()):
+        schema = T.StructType.fromJson(json.loads(text))
+        rows = reader.schema(schema).parquet(*paths).withColumn("__path", F.col("_metadata.file_path"))
         held = {f.name: f.dataType for f in rows.schema}
         columns = []
         for f in SILVER[name]:

@@ -1,5 +1,4 @@
-"""Incremental ingestion as a stream."""
-
 from overlake.streaming.bronze_stream import ingest_available
+from overlake.streaming.changes import changes_of, follow_changes
 
-__all__ = ["ingest_available"]
+__all__ = ["changes_of", "follow_changes", "ingest_available"]

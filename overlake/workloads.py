@@ -18,6 +18,7 @@ from overlake.functions import named, ratio
 from overlake.operators import (
     accepted_values,
     canonicalize,
+    dedupe,
     latest_by,
     mode_of,
     null_counts,
@@ -40,8 +41,9 @@ from overlake.sources.inventory import inventory_of, partition_inventory
 from overlake.sources.publish import publish
 from overlake.sources.raw import parse_documents, quarantine, read_raw, read_raw_texts, well_formed
 from overlake.sources.seeds import read_seed, seed_frame
-from overlake.sources.silver import read_silver, write_silver
-from overlake.streaming import ingest_available
+from overlake.sources.ledger import FileLedger
+from overlake.sources.silver import adopt_silver, read_silver, write_silver
+from overlake.streaming import follow_changes, ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -322,6 +324,49 @@ def raw_since(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+def file_ledger(spark, sf_dir):
+    """Files per load: a folder first, then everything, with files among it that are dated before the first
+    load, then nothing new."""
+    tree = fresh_path(spark, "ledger-tree")
+    dt.raw_files(spark, sf_dir, tree)
+    dt.date_back(spark, f"{tree}/match_type=odi")
+    ledger = FileLedger(spark, fresh_path(spark, "ledger"))
+    out = []
+    for number, folder in enumerate((f"{tree}/match_type=t20", tree, tree), 1):
+
+        def load(paths, number=number):
+            docs = well_formed(read_raw(spark, paths))
+            out.append(docs.select(F.lit(number).alias("load"), "match_type", F.size("innings").alias("n")))
+
+        ledger.take(folder, load)
+    read = out[0]
+    for more in out[1:]:
+        read = read.unionByName(more)
+    return read.groupBy("load", "match_type").agg(F.count("*").alias("files"), F.sum("n").alias("innings"))
+
+
+def adopted_silver(spark, sf_dir):
+    """Silver whose files were written with the types that their values suggested, read under the fixed schema."""
+    root = fresh_path(spark, "foreign-silver")
+    rows = dt.innings(spark, sf_dir)
+    shapes = (
+        ("match_id % 3 = 0", ["CAST(NULL AS string) AS declared", "CAST(target_runs AS double) AS target_runs"]),
+        ("match_id % 3 = 1", ["declared", "CAST(target_runs AS bigint) AS target_runs", "target_overs"]),
+        ("match_id % 3 = 2", ["CAST(declared AS string) AS declared", "CAST(target_runs AS string) AS target_runs"]),
+    )
+    key = ["match_id", "match_type", "year", "innings_number", "batting_team", "super_over"]
+    for where, columns in shapes:
+        part = rows.filter(where).selectExpr(*key, *columns)
+        part.write.mode("append").partitionBy("match_type", "year").parquet(f"{root}/innings")
+    adopted = adopt_silver(spark, root, "innings")
+    return adopted.groupBy("match_type", "year").agg(
+        *named(
+            innings="count(*)", declared="count_if(declared)", super_overs="count_if(super_over)",
+            target="sum(target_runs)", overs="sum(target_overs)", revisions="count(revision)",
+        )
+    )
+
+
 def file_inventory(spark, sf_dir):
     return partition_inventory(spark, _raw_tree(spark, sf_dir))
 
@@ -500,6 +545,41 @@ def streamed_state(spark, sf_dir):
     return store.current().select("match_id", "revision")
 
 
+# As text, the way the items bring them.
+_BALL = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("innings_number", "over_number", "ball_in_over", "runs_total", "is_wicket")]
+)
+
+
+def streamed_changes(spark, sf_dir):
+    """Documents in several revisions, late, repeated and corrected, as a stream of changed balls; summed per match.
+
+    First come the newest revisions of even matches and the older ones of odd matches, then all
+    revisions of all matches.
+    """
+    configure(spark)
+    key = ["match_id", "revision", "innings_number", "over_number", "ball_in_over"]
+    balls = dedupe(dt.silver(spark, sf_dir).deliveries.drop("match_type", "year", "wicket_fielders_arr"), key)
+    items = F.to_json(F.array_sort(F.collect_list(F.array(*[F.col(c).cast("string") for c in _BALL.names]))))
+    docs = balls.groupBy("match_id", "revision").agg(items.alias("items"))
+    newest = "revision = cast(match_id AS bigint) % 3 + 1"
+    older = f"cast(match_id AS bigint) % 2 = 1 AND cast(match_id AS bigint) % 3 > 0 AND NOT {newest}"
+    first = docs.filter(f"cast(match_id AS bigint) % 2 = 0 AND {newest} OR {older}")
+    landing, table, progress = (fresh_path(spark, f"changes-{n}") for n in ("landing", "table", "progress"))
+    for arriving in (first, docs):
+        arriving.write.mode("append").parquet(landing)
+        source = spark.readStream.schema(docs.schema).parquet(landing)
+        follow_changes(source, _BALL, table, progress)
+    changed = spark.read.parquet(table)
+    return changed.groupBy("match_id").agg(
+        F.max("revision").alias("revision"),
+        F.sum("change").alias("balls"),
+        F.sum(F.col("change") * F.col("runs_total").cast("int")).alias("runs"),
+        F.sum(F.when(F.col("is_wicket") == "true", F.col("change")).otherwise(0)).alias("wickets"),
+        (F.min("change") < 0).alias("corrected"),
+    )
+
+
 def silver_rerun(spark, sf_dir):
     """An incremental load that is repeated adds nothing; new revisions are added."""
     root = fresh_path(spark, "silver")
@@ -699,6 +779,8 @@ def queries() -> dict[str, Query]:
         "raw_files": on_source(raw_files),
         "raw_since": on_source(raw_since),
         "file_inventory": on_source(file_inventory),
+        "file_ledger": on_source(file_ledger),
+        "adopted_silver": on_source(adopted_silver),
         "csv_seeds": on_source(csv_seeds),
         "published_table": on_source(published_table),
         "quarantine": on_source(quarantined),
@@ -714,5 +796,6 @@ def queries() -> dict[str, Query]:
         "incremental_folders": on_source(incremental_folders),
         "silver_rerun": on_source(silver_rerun),
         "streamed_state": on_source(streamed_state),
+        "streamed_changes": on_source(streamed_changes),
         "silver_round_trip": on_source(silver_round_trip),
     }
