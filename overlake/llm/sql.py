@@ -12,36 +12,41 @@ KINDS = (
         6,
     ),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
-    ("hex", r"[0-9a-f]+", 0, 24),
+    # Matches are whole runs, so those of fewer characters need not be found first.
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
     ("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
 )
 
 
-def _spans(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+def _parts(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """The matches of a kind, each with the text before it and the group that counts."""
     quoted = "'" + pattern.replace("'", "''") + "'"
     return f"""
-    SELECT n, {rank} AS rank, '{kind}' AS kind, list_sum(gaps[:i]) + coalesce(list_sum(sizes[:i - 1]), 0) AS s, sizes[i] AS size
+    SELECT n, {rank} AS rank, '{kind}' AS kind, {least} AS least, unnest(range(1, len(whole) + 1)) AS i,
+        unnest(whole) AS found, unnest(kept) AS kept, unnest(gaps[:len(whole)]) AS gap
     FROM (
-        SELECT n, list_transform(string_split_regex(body, {quoted}), lambda x: length(x)) AS gaps,
-            list_transform(regexp_extract_all(body, {quoted}, 0), lambda x: length(x)) AS sizes,
-            list_transform(regexp_extract_all(body, {quoted}, {group}), lambda x: length(x)) AS kept,
-            unnest(range(1, len(regexp_extract_all(body, {quoted}, 0)) + 1)) AS i
-        FROM d
-    )
-    WHERE kept[i] >= {least}"""
+        SELECT n, regexp_extract_all(body, {quoted}, 0) AS whole, regexp_extract_all(body, {quoted}, {group}) AS kept,
+            string_split_regex(body, {quoted}) AS gaps
+        FROM d WHERE regexp_matches(body, {quoted})
+    )"""
 
 
 def secrets() -> str:
-    found = " UNION ALL ".join(_spans(rank, *kind) for rank, kind in enumerate(KINDS))
-    text = "kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + size AS BIGINT)"
+    parts = " UNION ALL ".join(_parts(rank, *kind) for rank, kind in enumerate(KINDS))
+    text = "kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + length(found) AS BIGINT)"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS body FROM documents),
-found AS ({found}),
+parts AS ({parts}),
+placed AS (
+    SELECT n, rank, kind, least, found, kept,
+        sum(length(gap) + length(found)) OVER (PARTITION BY n, rank ORDER BY i) - length(found) AS s
+    FROM parts
+),
 per AS (
     SELECT n, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k, count(*) FILTER (kind = 'hex') AS h,
         string_agg({text}, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg({text}, ',' ORDER BY s, rank) AS spans
-    FROM found GROUP BY n
+    FROM placed WHERE length(kept) >= least GROUP BY n
 )
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
