@@ -12,7 +12,8 @@ fitted on a sample of ``SAMPLE`` vectors, as the share that reaches ``TARGET`` r
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part.
 Rows that agree in id and vector count once; rows with a query's id are no candidates of it.
-Vectors of different lengths are never compared.
+Vectors of different lengths are never compared.  Components may be as large or as small as a
+double can be: squares of such would not fit, so these vectors are scaled first.
 """
 
 from __future__ import annotations
@@ -114,7 +115,13 @@ def valid(rows: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64)
+    """Vectors as rows; very large and very small ones are moved by a power of two, which changes no cosine."""
+    rows = np.array(column.tolist(), dtype=np.float64)
+    largest = np.abs(rows).max(axis=1)
+    far = (largest < 1e-100) | (largest > 1e100)
+    if far.any():
+        rows[far] = np.ldexp(rows[far], -np.frexp(largest[far])[1][:, None])
+    return rows
 
 
 def build(vectors: DataFrame, shard: int = SHARD) -> DataFrame:

@@ -11,7 +11,8 @@ holds more, and at most the last bins of a shard stay poorly filled.  Full piece
 longest length are bins of their own and travel nowhere.
 
 Null and empty texts have no words, so no piece.  Rows that repeat a document are counted
-before they are dealt and each is packed.  An empty table gives no bin.
+before they are dealt and each is packed; pieces of one length are ties, which go by key, piece and
+occurrence, null keys last.  An empty table gives no bin.
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ SHARD = 8_192
 PER_SEQUENCE = 16
 ATTENTION = 0.25
 
+#: The columns of a packed piece after the document's key, which keeps its type.
 PACKED = (
-    "doc_id long, piece int, occurrence long, first_token long, n_tokens int, shard long, bin long, "
-    "bin_length int, bin_offset int"
+    "piece int, occurrence long, first_token long, n_tokens int, shard long, bin long, bin_length int, bin_offset int"
 )
 
 
@@ -99,7 +100,7 @@ def pieces(docs: DataFrame, n_tokens: Column, longest: int) -> DataFrame:
     repeats of one document don't meet in one task.
     """
     counted = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), n_tokens.alias("total"))
+        docs.select("doc_id", n_tokens.alias("total"))
         .where("total > 0")
         .groupBy("doc_id", "total")
         .agg(F.count(F.lit(1)).alias("copies"))
@@ -122,7 +123,10 @@ def pieces(docs: DataFrame, n_tokens: Column, longest: int) -> DataFrame:
 def assign(
     docs: DataFrame, n_tokens: Column | None = None, lengths: Sequence[int] = LENGTHS, shard: int = SHARD
 ) -> DataFrame:
-    """The bin of every piece, as ``PACKED``; a bin is named by (shard, bin)."""
+    """The bin of every piece: its document's ``doc_id``, of any type that groups and sorts, and ``PACKED``.
+
+    A bin is named by (shard, bin).
+    """
     longest = max(lengths)
     cut = stored(pieces(docs, words() if n_tokens is None else n_tokens, longest), "pieces")
     name = ["doc_id", "total", "piece", "occurrence"]
@@ -152,7 +156,7 @@ def assign(
         .withColumn("shard", F.pmod(F.xxhash64(*name), F.lit(n_shards)))
         .drop("total")
         .groupBy("shard")
-        .applyInPandas(in_shard, PACKED)
+        .applyInPandas(in_shard, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {PACKED}")
     )
     return full.unionByName(rest)
 

@@ -61,6 +61,20 @@ def test_odd_rows(frame, odd_rows):
     assert packing.assign(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["string", "int", "date"])
+def test_keys_of_other_types(spark, kind):
+    rows = spark.range(40).selectExpr(
+        f"CASE WHEN id > 0 THEN {'date_add(DATE 2020-01-01, CAST(id AS int))' if kind == 'date' else f'CAST(id AS {kind})'} END AS doc_id".replace(
+            "DATE 2020-01-01", "DATE '2020-01-01'"
+        ),
+        "repeat('w ', CAST(id % 7 + 1 AS int)) AS text",
+    )
+    out = packing.assign(rows, lengths=(4, 8), shard=10)
+    assert out.schema["doc_id"].dataType == rows.schema["doc_id"].dataType
+    assert out.agg(F.sum("n_tokens")).first()[0] == sum(i % 7 + 1 for i in range(40))
+    assert {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in rows.collect()}
+
+
 def test_a_token_count_of_ones_own(frame):
     docs = frame([(1, "abc"), (2, "abcdef")])
     out = packing.assign(docs, F.length("text").cast("long"), (4,))

@@ -179,6 +179,20 @@ def test_neighbours_recall(spark):
     assert all(r["rank"] in range(1, 6) for r in found)
 
 
+def test_neighbours_of_very_large_and_small_components(spark):
+    rows = [
+        (0, [1e-200, 0.0]), (1, [1e200, 1e200]), (2, [3.0, 4.0]), (3, [5e-324, 0.0]), (4, [1e308, -1e308]), (5, [-1e-300, 1e-300]),
+        (50, [1e200, 1e-200]),
+    ]
+    own = neighbours.valid(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    found = neighbours.search(neighbours.build(own), own.where("id % 50 = 0"), 6, 1.0).collect()
+    half = 0.5**0.5
+    expected = [(3, 1.0), (1, half), (4, half), (2, 0.6), (5, -half)]
+    got = {q: [(r["vec_id"], round(r["score"], 9)) for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 50)}
+    assert got[0] == [(v, round(s, 9)) for v, s in [(3, 1.0), (50, 1.0), *expected[1:]]]
+    assert got[50] == [(v, round(s, 9)) for v, s in [(0, 1.0), *expected]]
+
+
 def test_neighbours_of_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
