@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from overlake import MatchTables, Seeds, Silver, configure
 from overlake.plans.catalogue import audit
-from overlake.plans.ingest import transform, transform_bronze
+from overlake.plans.ingest import transform, transform_bronze, transform_unseen
 from overlake.session import scratch
 from overlake.sources import (
     BronzeStore,
+    FileLedger,
     bronze_rows,
     explode_archives,
     partition_inventory,
@@ -40,13 +41,20 @@ def _bronze(spark: SparkSession, args) -> None:
 def _silver(spark: SparkSession, args) -> None:
     if args.bronze:
         done = transform_bronze(BronzeStore(spark, args.bronze), args.silver, args.mode, args.since_batch, args.feed)
+    elif args.ledger:
+        print(f"files {transform_unseen(spark, args.raw, args.silver, FileLedger(spark, args.ledger))}")
+        return
     else:
         done = transform(spark, args.raw, args.silver, args.mode, args.since_days)
     print(f"processed {done.processed.count()}, errors {done.errors.count()}")
 
 
 def _build(spark: SparkSession, args) -> None:
-    tables = MatchTables(Silver.read(spark, args.silver), Seeds.standard(spark), args.store).build()
+    silver, seeds = Silver.read(spark, args.silver), Seeds.standard(spark)
+    if args.mode == "incremental":
+        tables = MatchTables.refresh(silver, seeds, args.store)
+    else:
+        tables = MatchTables(silver, seeds, args.store).build()
     if args.publish:
         print("\n".join(publish_models(tables, args.prefix)))
 
@@ -85,8 +93,9 @@ def parser() -> argparse.ArgumentParser:
     step("bronze", _bronze, bronze=need, archives=may, raw=may, batch={"type": int, "required": True},
          feed={"default": "main"})
     step("silver", _silver, silver=need, raw=may, bronze=may, mode=mode,
-         since_days={"type": float, "default": 2}, since_batch={"type": int, "default": 0}, feed={"default": "main"})
-    step("build", _build, silver=need, store=need, publish={"action": "store_true"}, prefix={"default": "main_"})
+         since_days={"type": float, "default": 2}, since_batch={"type": int, "default": 0}, feed={"default": "main"},
+         ledger=may)
+    step("build", _build, silver=need, store=need, mode=mode, publish={"action": "store_true"}, prefix={"default": "main_"})
     step("check", _check, silver=may, store=may)
     step("reconcile", _reconcile, store=need)
     step("inventory", _inventory, raw=need)

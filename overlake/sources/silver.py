@@ -57,13 +57,13 @@ def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The schema in each file's footer, as Spark writes schemas; a column without type is one of text."""
+    """The schema in each file's footer, as Spark writes schemas; a column without type is stored as whole numbers."""
     import pyarrow as pa
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_schema
 
     def typed(kind: pa.DataType) -> pa.DataType:
-        return pa.string() if pa.types.is_null(kind) else pa.list_(typed(kind.value_type)) if pa.types.is_list(kind) else kind
+        return pa.int32() if pa.types.is_null(kind) else pa.list_(typed(kind.value_type)) if pa.types.is_list(kind) else kind
 
     for batch in batches:
         out = []

@@ -37,6 +37,7 @@ def test_archives_to_reports(spark, tmp_path, capsys):
     tables = MatchTables.load(spark, store)
     opener = tables.took_part.filter("match_id = '1001' AND player_name = 'A Opener' AND innings_number = 1").first()
     assert opener.runs == 7
+    main(["build", "--silver", silver, "--store", store, "--mode", "incremental"])
     files = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*") if p.is_file()}
     main(["check", "--store", store])
     assert files == {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*") if p.is_file()}
@@ -51,6 +52,10 @@ def test_files_to_silver_and_inventory(spark, raw, tmp_path, capsys):
     main(["inventory", "--raw", raw])
     shown = capsys.readouterr().out
     assert f"processed {len(docs.ALL)}, errors 1" in shown and "unknown" in shown
+    ledger = ["silver", "--raw", raw, "--silver", str(tmp_path / "other"), "--ledger", str(tmp_path / "ledger")]
+    main(ledger)
+    main(ledger)
+    assert [line for line in capsys.readouterr().out.splitlines() if line.startswith("files")] == [f"files {len(docs.ALL) + 1}", "files 0"]
 
 
 def test_a_failed_build_keeps_the_tables(spark, ingested, tmp_path):
