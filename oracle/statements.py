@@ -341,6 +341,17 @@ def check_report() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
+# Queries that are registered in a second form, called by SQL.
+SQL_FORMS = (
+    "c1_matches_by_type c2_matches_by_year c3_recent_matches c5_freshness l01_top_run_scorers "
+    "l05_highest_scores l07_average_trend l09_best_economy l13_economy_by_over_strict m1_team_record "
+    "m2_head_to_head m6_venue_counts p02_player_batting_by_season p07_player_bowling "
+    "p09_player_best_bowling p12_player_fielding t01_team_seasons t07_team_highest_totals "
+    "t09_team_bowling_seasons t11_team_top_batters s01_season_results s04_batting_dominance "
+    "s07_batting_phases s08_bowling_profile "
+).split()
+
+
 def statements() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -715,4 +726,7 @@ def statements() -> dict[str, str]:
     add("silver_round_trip", """SELECT match_type, year::VARCHAR AS year, count(*) AS balls,
         sum(runs_batter + extras_wides + extras_noballs + extras_byes + extras_legbyes)::BIGINT AS runs
         FROM recorded_balls GROUP BY match_type, year""", "recorded_balls")
+    # The same questions asked through table functions.
+    for name in SQL_FORMS:
+        q[f"sql_{name}"] = q[name]
     return q

@@ -90,16 +90,19 @@ def with_outcome(rows: DataFrame, names: Sequence[str]) -> DataFrame:
 _WINS = "sum(CASE WHEN won THEN 1 ELSE 0 END)"
 
 
+RECORD = {
+    "played": "count(*)",
+    "won": _WINS,
+    "lost": "sum(CASE WHEN lost THEN 1 ELSE 0 END)",
+    "tied": "sum(cast(is_tie AS int))",
+    "nr": "sum(cast(is_no_result AS int))",
+    "win_pct": ratio_sql(_WINS, "sum(cast(has_result AS int))", 1, times=100),
+}
+
+
 def record() -> list[Column]:
     """played, won, lost, tied, nr, win_pct over rows of :func:`with_outcome`."""
-    return named(
-        played="count(*)",
-        won=_WINS,
-        lost="sum(CASE WHEN lost THEN 1 ELSE 0 END)",
-        tied="sum(cast(is_tie AS int))",
-        nr="sum(cast(is_no_result AS int))",
-        win_pct=ratio_sql(_WINS, "sum(cast(has_result AS int))", 1, times=100),
-    )
+    return named(**RECORD)
 
 
 def result_code(names: Sequence[str]) -> Column:

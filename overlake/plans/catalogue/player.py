@@ -37,24 +37,42 @@ def batting_log(t, player: str, league: str = LEAGUE) -> DataFrame:
     )
 
 
+# Figures over rows of the logs, as SQL by name.
+SUMMARY = {
+    "mat": "count(DISTINCT match_id)",
+    "inns": "count(*)",
+    "no": "sum(1 - dismissed)",
+    "runs": "sum(runs)",
+    "hs": "max(runs)",
+    "ave": ratio_sql("sum(runs)", "sum(dismissed)"),
+    "bf": "sum(balls)",
+    "sr": ratio_sql("sum(runs)", "sum(balls)", times=100),
+    "100": "sum(CASE WHEN runs >= 100 THEN 1 ELSE 0 END)",
+    "50": "sum(CASE WHEN runs >= 50 AND runs < 100 THEN 1 ELSE 0 END)",
+    "0": "sum(CASE WHEN runs = 0 AND dismissed = 1 THEN 1 ELSE 0 END)",
+    "4s": "sum(fours)",
+    "6s": "sum(sixes)",
+}
+TREND = {
+    "matches": "count(DISTINCT match_id)",
+    "innings": "count(*)",
+    "runs": "sum(runs)",
+    "highest": "max(runs)",
+    "avg": ratio_sql("sum(runs)", "sum(dismissed)"),
+    "sr": ratio_sql("sum(runs)", "sum(balls)", times=100),
+    "fifties_plus": "sum(CASE WHEN runs >= 50 THEN 1 ELSE 0 END)",
+}
+DISMISSALS = {
+    "innings": "count(*)",
+    "dismissed": "sum(dismissed)",
+    "not_out": "sum(1 - dismissed)",
+    "runs": "sum(runs)",
+    "avg": ratio_sql("sum(runs)", "sum(dismissed)"),
+}
+
+
 def _summary() -> list[Column]:
-    return named(
-        **{
-            "mat": "count(DISTINCT match_id)",
-            "inns": "count(*)",
-            "no": "sum(1 - dismissed)",
-            "runs": "sum(runs)",
-            "hs": "max(runs)",
-            "ave": ratio_sql("sum(runs)", "sum(dismissed)"),
-            "bf": "sum(balls)",
-            "sr": ratio_sql("sum(runs)", "sum(balls)", times=100),
-            "100": "sum(CASE WHEN runs >= 100 THEN 1 ELSE 0 END)",
-            "50": "sum(CASE WHEN runs >= 50 AND runs < 100 THEN 1 ELSE 0 END)",
-            "0": "sum(CASE WHEN runs = 0 AND dismissed = 1 THEN 1 ELSE 0 END)",
-            "4s": "sum(fours)",
-            "6s": "sum(sixes)",
-        }
-    )
+    return named(**SUMMARY)
 
 
 def player_batting(t, player: str, league: str = LEAGUE) -> DataFrame:
@@ -80,19 +98,10 @@ def player_batting_by_season(t, player: str, league: str = LEAGUE) -> DataFrame:
 
 def player_batting_trend(t, player: str, league: str = LEAGUE) -> DataFrame:
     """Seasons in short, with all scores of fifty or more in one count."""
-    figures = named(
-        matches="count(DISTINCT match_id)",
-        innings="count(*)",
-        runs="sum(runs)",
-        highest="max(runs)",
-        avg=ratio_sql("sum(runs)", "sum(dismissed)"),
-        sr=ratio_sql("sum(runs)", "sum(balls)", times=100),
-        fifties_plus="sum(CASE WHEN runs >= 50 THEN 1 ELSE 0 END)",
-    )
-    return batting_log(t, player, league).groupBy("season").agg(*figures).orderBy(up("season"))
+    return batting_log(t, player, league).groupBy("season").agg(*named(**TREND)).orderBy(up("season"))
 
 
-_RATE = ratio_sql("runs", "balls", 1, times=100)
+RATE = ratio_sql("runs", "balls", 1, times=100)
 
 
 def player_top_innings(t, player: str, n: int = 20, league: str = LEAGUE) -> DataFrame:
@@ -100,7 +109,7 @@ def player_top_innings(t, player: str, n: int = 20, league: str = LEAGUE) -> Dat
     best = top_n(faced, [down("runs"), up("match_id"), up("innings_number")], n)
     return best.selectExpr(
         "season", "match_date", "batting_team", "bowling_team AS vs", "runs",
-        "dismissed = 0 AS not_out", "balls", f"{_RATE} AS sr", "fours", "sixes",
+        "dismissed = 0 AS not_out", "balls", f"{RATE} AS sr", "fours", "sixes",
     )
 
 
@@ -108,20 +117,13 @@ def player_innings_log(t, player: str, league: str = LEAGUE) -> DataFrame:
     log = batting_log(t, player, league)
     return log.orderBy(down("match_date"), up("match_id"), up("innings_number")).selectExpr(
         "season", "match_date", "batting_team", "bowling_team AS vs", "runs",
-        "balls AS balls_faced", f"{_RATE} AS strike_rate", "fours", "sixes",
+        "balls AS balls_faced", f"{RATE} AS strike_rate", "fours", "sixes",
         "dismissed = 0 AS not_out",
     )
 
 
 def player_dismissals_by_season(t, player: str, league: str = LEAGUE) -> DataFrame:
-    figures = named(
-        innings="count(*)",
-        dismissed="sum(dismissed)",
-        not_out="sum(1 - dismissed)",
-        runs="sum(runs)",
-        avg=ratio_sql("sum(runs)", "sum(dismissed)"),
-    )
-    return batting_log(t, player, league).groupBy("season").agg(*figures).orderBy(up("season"))
+    return batting_log(t, player, league).groupBy("season").agg(*named(**DISMISSALS)).orderBy(up("season"))
 
 
 def player_innings_diagnostic(t, player: str, league: str = LEAGUE) -> DataFrame:
@@ -146,23 +148,24 @@ def bowling_log(t, player: str, league: str = LEAGUE, season: str | None = None)
     )
 
 
+FIGURES = {
+    "mat": "count(DISTINCT match_id)",
+    "inns": "count(*)",
+    "overs": overs_sql("sum(balls)"),
+    "balls": "sum(balls)",
+    "runs": "sum(runs)",
+    "wkts": "sum(wkts)",
+    "bbi": "max_by(concat(wkts, '/', runs), struct(wkts, -runs))",
+    "ave": ratio_sql("sum(runs)", "sum(wkts)"),
+    "econ": ratio_sql("sum(runs)", "sum(balls)", times=6),
+    "sr": ratio_sql("sum(balls)", "sum(wkts)"),
+    "4w": "sum(CASE WHEN wkts >= 4 THEN 1 ELSE 0 END)",
+    "5w": "sum(CASE WHEN wkts >= 5 THEN 1 ELSE 0 END)",
+}
+
+
 def _figures() -> list[Column]:
-    return named(
-        **{
-            "mat": "count(DISTINCT match_id)",
-            "inns": "count(*)",
-            "overs": overs_sql("sum(balls)"),
-            "balls": "sum(balls)",
-            "runs": "sum(runs)",
-            "wkts": "sum(wkts)",
-            "bbi": "max_by(concat(wkts, '/', runs), struct(wkts, -runs))",
-            "ave": ratio_sql("sum(runs)", "sum(wkts)"),
-            "econ": ratio_sql("sum(runs)", "sum(balls)", times=6),
-            "sr": ratio_sql("sum(balls)", "sum(wkts)"),
-            "4w": "sum(CASE WHEN wkts >= 4 THEN 1 ELSE 0 END)",
-            "5w": "sum(CASE WHEN wkts >= 5 THEN 1 ELSE 0 END)",
-        }
-    )
+    return named(**FIGURES)
 
 
 def player_bowling(t, player: str, league: str = LEAGUE) -> DataFrame:
@@ -228,7 +231,7 @@ def _fielding(wickets: DataFrame, player: str, legacy_like: bool) -> DataFrame:
     return wickets.withColumns({"fielded": fielded, "bowled": F.col("bowler") == player})
 
 
-_CATCHES = {
+CATCHES = {
     "catches": "wicket_kind = 'caught' AND fielded",
     "caught_and_bowled": "wicket_kind = 'caught and bowled' AND bowled",
     "stumpings": "wicket_kind = 'stumped' AND fielded",
@@ -237,7 +240,7 @@ _CATCHES = {
 
 
 def _fielding_sums() -> list[Column]:
-    return [count_when(cond).alias(name) for name, cond in _CATCHES.items()]
+    return [count_when(cond).alias(name) for name, cond in CATCHES.items()]
 
 
 def player_fielding(

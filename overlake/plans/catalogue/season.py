@@ -31,7 +31,7 @@ from overlake.plans.catalogue.team import (
 Names = Sequence[str]
 
 # Overs of any phase.
-_PHASE_OVERS = f"over_number BETWEEN {min(p[0] for p in PHASES.values())} AND {max(p[1] for p in PHASES.values())}"
+PHASE_OVERS = f"over_number BETWEEN {min(p[0] for p in PHASES.values())} AND {max(p[1] for p in PHASES.values())}"
 
 
 def _sums(*names: str) -> list[Column]:
@@ -125,7 +125,7 @@ def bowling_concentration(t, season: str, k: int = 3, league: str = LEAGUE) -> D
     return _concentration(shares, k, "wkts", "bowlers")
 
 
-def _batting_profile(four_name: str, six_name: str) -> dict[str, str]:
+def batting_profile_sql(four_name: str, six_name: str) -> dict[str, str]:
     return {
         "avg_score": ratio_sql("bat_runs", "mat", 1),
         "avg_sr": ratio_sql("bat_runs", "non_wides", 1, times=100),
@@ -140,7 +140,7 @@ _BATTING = ("bat_runs", "non_wides", "fours", "sixes", "dots")
 _BOWLING = ("legal", "wkts", "runs", "dots", "non_wides", "wide_runs", "no_ball_runs")
 
 
-def _bowling_profile(economy: str) -> dict[str, str]:
+def bowling_profile_sql(economy: str) -> dict[str, str]:
     return {
         "balls_per_wkt": ratio_sql("legal", "wkts", 1),
         economy: ratio_sql("runs", "legal", 2, times=6),
@@ -156,7 +156,7 @@ def _team_overs(t, side: str, season: str, league: str) -> DataFrame:
 def batting_profile(t, season: str, league: str = LEAGUE) -> DataFrame:
     """All teams; the score counts runs off the bat only."""
     sums = _per_match(_team_overs(t, "batting_team", season, league), ["team"], *_BATTING)
-    profile = named(**_batting_profile("balls_per_4", "balls_per_6"))
+    profile = named(**batting_profile_sql("balls_per_4", "balls_per_6"))
     return sums.select("team", "mat", *profile).orderBy(down("avg_score"), up("team"))
 
 
@@ -164,7 +164,7 @@ def _phases_wide(
     t, side: str, season: str, league: str, runs: str, rate: str
 ) -> DataFrame:
     """All teams, four figures per phase side by side; ``runs`` and ``rate`` name two."""
-    overs = _team_overs(t, side, season, league).filter(_PHASE_OVERS)
+    overs = _team_overs(t, side, season, league).filter(PHASE_OVERS)
     measures = {n: n for n in ("runs", "wkts", "legal", "non_wides", "fours", "sixes")}
     by_match = overs.groupBy("team", "match_id").agg(*phase_pivot("over_number", PHASES, measures))
     cells = [f"{p}_{m}" for p in PHASES for m in measures]
@@ -186,7 +186,7 @@ def batting_phases(t, season: str, league: str = LEAGUE) -> DataFrame:
 
 def bowling_profile(t, season: str, league: str = LEAGUE) -> DataFrame:
     sums = _per_match(_team_overs(t, "bowling_team", season, league), ["team"], *_BOWLING)
-    return sums.select("team", *named(**_bowling_profile("economy"))).orderBy(up("economy"), up("team"))
+    return sums.select("team", *named(**bowling_profile_sql("economy"))).orderBy(up("economy"), up("team"))
 
 
 def _match_phases(t, season: str, league: str) -> DataFrame:
@@ -194,7 +194,7 @@ def _match_phases(t, season: str, league: str) -> DataFrame:
     winner, with ``outcome_winner``.  Overs are summed before the match is joined."""
     per_match = (
         league_rows(t, t.overs, league, season)
-        .filter(_PHASE_OVERS)
+        .filter(PHASE_OVERS)
         .groupBy("match_id", "batting_team", "bowling_team")
         .agg(F.sum("runs").alias("all_runs"), *phase_pivot("over_number", PHASES, {"runs": "runs"}))
     )
@@ -289,18 +289,18 @@ def _side_overs(t, side: str, names: Names, season: str, league: str) -> DataFra
 def season_batting_profile(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
     overs = _side_overs(t, "batting_team", names, season, league)
     sums = _per_match(overs, [], *_BATTING)
-    profile = _batting_profile("balls_per_four", "balls_per_six")
+    profile = batting_profile_sql("balls_per_four", "balls_per_six")
     return sums.select(*named(matches="mat", total_runs="bat_runs", **profile))
 
 
 def season_bowling_profile(t, names: Names, season: str, league: str = LEAGUE) -> DataFrame:
     overs = _side_overs(t, "bowling_team", names, season, league)
     sums = _per_match(overs, [], *_BOWLING)
-    return sums.select(*named(matches="mat", total_wkts="wkts", **_bowling_profile("avg_economy")))
+    return sums.select(*named(matches="mat", total_wkts="wkts", **bowling_profile_sql("avg_economy")))
 
 
 def _phases_long(overs: DataFrame, runs: str, wkts: str, rate: str, bound: str) -> DataFrame:
-    labelled = overs.filter(_PHASE_OVERS).withColumn("phase", phase_label())
+    labelled = overs.filter(PHASE_OVERS).withColumn("phase", phase_label())
     measures = ("runs", "wkts", "legal", "non_wides", "dots", "fours", "sixes")
     sums = _per_match(labelled, ["phase"], *measures)
     figures = {

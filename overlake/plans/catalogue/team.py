@@ -106,18 +106,20 @@ def _mean(column: str) -> str:
     return round_half_up_sql(f"avg({column})", 1)
 
 
+BATTING_SEASON = {
+    "innings": "count(*)",
+    "total_runs": "sum(team_total)",
+    "avg_score": _mean("team_total"),
+    "highest": "max(team_total)",
+    "lowest": "min(team_total)",
+    "avg_wkts_lost": _mean("wickets_lost"),
+    "fours": "sum(fours)",
+    "sixes": "sum(sixes)",
+}
+
+
 def team_batting_seasons(t, names: Names, league: str = LEAGUE) -> DataFrame:
-    figures = named(
-        innings="count(*)",
-        total_runs="sum(team_total)",
-        avg_score=_mean("team_total"),
-        highest="max(team_total)",
-        lowest="min(team_total)",
-        avg_wkts_lost=_mean("wickets_lost"),
-        fours="sum(fours)",
-        sixes="sum(sixes)",
-    )
-    return _batting_totals(t, names, league).groupBy("season").agg(*figures).orderBy(up("season"))
+    return _batting_totals(t, names, league).groupBy("season").agg(*named(**BATTING_SEASON)).orderBy(up("season"))
 
 
 def _scorecard(t, totals: DataFrame, names: Names, order, n: int, runs: str, wickets: str, score: str) -> DataFrame:
@@ -146,16 +148,18 @@ def team_lowest_totals(
     return _scorecard(t, totals, names, up("team_total"), n, "team_total", "wickets_lost", "score")
 
 
+BOWLING_SEASON = {
+    "innings": "count(*)",
+    "avg_conceded": _mean("runs_conceded"),
+    "best_defence": "min(runs_conceded)",
+    "most_conceded": "max(runs_conceded)",
+    "avg_wkts": _mean("wkts_taken"),
+    "economy": ratio_sql("sum(runs_conceded)", "sum(legal)", 2, times=6),
+}
+
+
 def team_bowling_seasons(t, names: Names, league: str = LEAGUE) -> DataFrame:
-    figures = named(
-        innings="count(*)",
-        avg_conceded=_mean("runs_conceded"),
-        best_defence="min(runs_conceded)",
-        most_conceded="max(runs_conceded)",
-        avg_wkts=_mean("wkts_taken"),
-        economy=ratio_sql("sum(runs_conceded)", "sum(legal)", 2, times=6),
-    )
-    return _bowling_totals(t, names, league).groupBy("season").agg(*figures).orderBy(up("season"))
+    return _bowling_totals(t, names, league).groupBy("season").agg(*named(**BOWLING_SEASON)).orderBy(up("season"))
 
 
 def team_lowest_conceded(t, names: Names, n: int = 10, league: str = LEAGUE) -> DataFrame:
@@ -168,31 +172,33 @@ def team_lowest_conceded(t, names: Names, n: int = 10, league: str = LEAGUE) ->
 # performers ------------------------------------------------------------------
 
 
+# Aggregates over batting innings, as SQL by name; balls include wides.
+BATTING = {
+    "mat": "count(DISTINCT match_id)",
+    "inns": "count(*)",
+    "no": "sum(cast(not_out AS int))",
+    "runs": "sum(runs)",
+    "hs": "max(runs)",
+    "avg": ratio_sql("sum(runs)", "sum(dismissals)"),
+    "bf": "sum(balls_faced)",
+    "sr": ratio_sql("sum(runs)", "sum(balls_faced)", times=100),
+    "50s": "sum(CASE WHEN runs >= 50 AND runs < 100 THEN 1 ELSE 0 END)",
+    "100s": "sum(CASE WHEN runs >= 100 THEN 1 ELSE 0 END)",
+    "4s": "sum(fours)",
+    "6s": "sum(sixes)",
+}
+
+
 def batting_summary() -> list[Column]:
-    """Aggregates over batting innings; balls include wides."""
-    return named(
-        **{
-            "mat": "count(DISTINCT match_id)",
-            "inns": "count(*)",
-            "no": "sum(cast(not_out AS int))",
-            "runs": "sum(runs)",
-            "hs": "max(runs)",
-            "avg": ratio_sql("sum(runs)", "sum(dismissals)"),
-            "bf": "sum(balls_faced)",
-            "sr": ratio_sql("sum(runs)", "sum(balls_faced)", times=100),
-            "50s": "sum(CASE WHEN runs >= 50 AND runs < 100 THEN 1 ELSE 0 END)",
-            "100s": "sum(CASE WHEN runs >= 100 THEN 1 ELSE 0 END)",
-            "4s": "sum(fours)",
-            "6s": "sum(sixes)",
-        }
-    )
+    """Aggregates over batting innings."""
+    return named(**BATTING)
 
 
-def bowling_summary(*hauls: str) -> list[Column]:
-    """Aggregates over bowling innings; runs include byes.  ``hauls`` names counts of
-    innings by their least wickets, the first character."""
+def bowling_figures(*hauls: str) -> dict[str, str]:
+    """Aggregates over bowling innings, as SQL by name; runs include byes.  ``hauls`` names
+    counts of innings by their least wickets, the first character."""
     runs, balls, wkts = "sum(runs_conceded)", "sum(legal_deliveries)", "sum(wickets_credited)"
-    return named(
+    return dict(
         mat="count(DISTINCT match_id)",
         inns="count(*)",
         overs=overs_sql(balls),
@@ -206,6 +212,11 @@ def bowling_summary(*hauls: str) -> list[Column]:
     )
 
 
+def bowling_summary(*hauls: str) -> list[Column]:
+    """Aggregates over bowling innings."""
+    return named(**bowling_figures(*hauls))
+
+
 def team_top_batters(
     t, names: Names, n: int | None = 20, league: str = LEAGUE, season: str | None = None
 ) -> DataFrame:

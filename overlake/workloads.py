@@ -30,7 +30,7 @@ from overlake.operators import (
     upsert_by_revision,
 )
 from overlake.plans import flatten, innings as inn
-from overlake.plans.catalogue import audit, coverage, leaders, matches, player, season, team
+from overlake.plans.catalogue import audit, coverage, leaders, matches, player, season, sql_functions, team
 from overlake.plans.tables import MatchTables, Silver
 from overlake.schemas import BATTING_INNINGS
 from overlake.session import configure, fresh_path
@@ -88,6 +88,17 @@ def on_tables(plan: Callable[..., DataFrame], **params) -> Query:
     return run
 
 
+def in_sql(call: str, **params) -> Query:
+    """A call of a table function of the catalogue by ``spark.sql``."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with _lock:  # The functions' views are the session's.
+            sql_functions.register_functions(match_tables(spark, sf_dir), call.partition("(")[0])
+            return portable(spark.sql(f"SELECT * FROM {call}", args=params))
+
+    return run
+
+
 def on_source(plan: Callable[[SparkSession, str], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -115,6 +126,37 @@ EXPECTED_BATTING = [
 EXPECTED_BOWLING = [("NATION_2_P7", 40, "first"), ("NATION_5_P8", 60, "second")]
 
 
+# Calls of table functions, by the query of which they are the SQL form.
+_OF_PLAYER, _OF_TEAMS = {"player": PLAYER}, {"names": list(TEAMS)}
+_OF_SEASON, _OF_TEAM = {"season": SEASON}, {"names": list(TEAM), "season": SEASON}
+SQL_CALLS: dict[str, tuple[str, dict]] = {
+    "c1_matches_by_type": ("matches_by_type()", {}),
+    "c2_matches_by_year": ("matches_by_year(last_n => 4, as_of => DATE'2014-06-01')", {}),
+    "c3_recent_matches": ("recent_matches()", {}),
+    "c5_freshness": ("freshness()", {}),
+    "l01_top_run_scorers": ("top_run_scorers(min_inns => 10)", {}),
+    "l05_highest_scores": ("highest_scores()", {}),
+    "l07_average_trend": ("average_trend(:player)", _OF_PLAYER),
+    "l09_best_economy": ("best_economy(min_inns => 10)", {}),
+    "l13_economy_by_over_strict": ("economy_by_over(strict => true)", {}),
+    "m1_team_record": ("team_record('NATION_0')", {}),
+    "m2_head_to_head": ("head_to_head('NATION_2', 'NATION_3')", {}),
+    "m6_venue_counts": ("venue_counts()", {}),
+    "p02_player_batting_by_season": ("player_batting_by_season(:player)", _OF_PLAYER),
+    "p07_player_bowling": ("player_bowling(:player)", _OF_PLAYER),
+    "p09_player_best_bowling": ("player_best_bowling(:player)", _OF_PLAYER),
+    "p12_player_fielding": ("player_fielding(:player)", {"player": KEEPER}),
+    "t01_team_seasons": ("team_seasons(:names)", _OF_TEAMS),
+    "t07_team_highest_totals": ("team_highest_totals(:names)", _OF_TEAMS),
+    "t09_team_bowling_seasons": ("team_bowling_seasons(:names)", _OF_TEAMS),
+    "t11_team_top_batters": ("team_top_batters(:names)", _OF_TEAMS),
+    "s01_season_results": ("season_results(:names, :season)", _OF_TEAM),
+    "s04_batting_dominance": ("batting_dominance(:season, 12.0D)", _OF_SEASON),
+    "s07_batting_phases": ("batting_phases(:season)", _OF_SEASON),
+    "s08_bowling_profile": ("bowling_profile(:season)", _OF_SEASON),
+}
+
+
 # generic operators on the source tables ------------------------------------------
 
 
@@ -750,6 +792,8 @@ def queries() -> dict[str, Query]:
         "s21_season_player_batting": on_tables(season.season_player_batting, **p1),
         "s22_season_player_bowling_log": on_tables(season.season_player_bowling_log, **p1),
         "s23_powerplay_impact": on_tables(season.powerplay_impact, player=KEEPER, names=TEAM, season="2009"),
+        # the catalogue's table functions, called in SQL
+        **{f"sql_{name}": in_sql(call, **params) for name, (call, params) in SQL_CALLS.items()},
         # reconciliation and checks
         "v1_reconcile_batting": on_tables(audit.reconcile_batting, expected=EXPECTED_BATTING),
         "v2_reconcile_bowling": on_tables(audit.reconcile_bowling, expected=EXPECTED_BOWLING),
