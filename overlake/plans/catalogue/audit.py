@@ -11,6 +11,7 @@ from overlake.operators import quality
 from overlake.operators.reconcile import reconcile
 from overlake.plans.catalogue._shared import LEAGUE, down, league_innings, up
 from overlake.plans.catalogue.team import batting_summary, bowling_summary
+from overlake.plans.rules import REQUIRED, RUNS_DO_NOT_ADD_UP, WINNER_DID_NOT_PLAY, row_conditions
 from overlake.schemas import struct
 from overlake.sources.seeds import seed_frame
 
@@ -73,25 +74,6 @@ def reconcile_bowling(t, expected: Sequence[tuple] = PUBLISHED_BOWLING, league:
 
 # data checks -----------------------------------------------------------------
 
-# Formats a match may have.
-MATCH_TYPES = ("t20", "odi", "test", "it20", "odm", "mdm")
-
-# Columns that must be filled, per table.
-REQUIRED = {
-    "stg_matches": ["match_id", "match_type", "match_date", "team_1", "team_2"],
-    "stg_innings": ["match_id", "innings_number", "batting_team"],
-    "stg_deliveries": [
-        "match_id", "innings_number", "over_number", "ball_in_over", "batter", "bowler",
-    ],
-    "stg_players": ["match_id", "player_name", "team"],
-    "ball_by_ball": ["match_id", "batting_team", "bowling_team", "runs_total"],
-    "batting_innings": ["match_id", "player_name", "innings_number", "runs"],
-    "bowling_innings": ["match_id", "player_name", "innings_number", "wickets_credited"],
-    "match_results": ["match_id", "match_type", "team_1", "team_2"],
-    "dim_players": ["player_name", "total_matches"],
-    "batting_career": ["player_name", "match_type", "total_runs"],
-    "bowling_career": ["player_name", "match_type", "total_wickets"],
-}
 UNIQUE = {
     "stg_matches": "match_id",
     "match_results": "match_id",
@@ -102,9 +84,7 @@ UNIQUE = {
 CHILDREN = ("stg_innings", "stg_deliveries", "stg_players")
 
 
-# Row rules, as the condition that breaks them.
-RUNS_DO_NOT_ADD_UP = "runs_total <> runs_batter + runs_extras"
-WINNER_DID_NOT_PLAY = "outcome_winner <> team_1 AND outcome_winner <> team_2"
+# As the condition that breaks it; it needs the innings' match.
 BATTING_SIDE_DID_NOT_PLAY = "batting_team <> team_1 AND batting_team <> team_2"
 
 
@@ -134,19 +114,18 @@ def batting_team_took_part(t) -> DataFrame:
 def check_report(t) -> DataFrame:
     """One row (check, table, column, failures) per standard check.
 
-    All conditions on a table's rows are counted in one pass over it; child tables are
-    joined to their matches for that pass.
+    Rows of stored tables were counted as they were written, so rules on one row alone cost no
+    scan; where that is not known all conditions on a table are counted in one pass over it.
+    Child tables are joined to their matches, and keys grouped, in either case.
     """
-    conditions = {
-        table: {f"not_null|{c}": f"{c} IS NULL" for c in columns}
-        for table, columns in REQUIRED.items()
+    conditions = {table: row_conditions(table) for table in REQUIRED}
+    known = {
+        table: {name: n for name, n in t.broken_rows(table).items() if name in found}
+        for table, found in conditions.items()
+        if hasattr(t, "broken_rows")
     }
-    listed = ", ".join(f"'{m}'" for m in MATCH_TYPES)
-    conditions["stg_matches"]["accepted_values|match_type"] = f"match_type NOT IN ({listed})"
     for child in CHILDREN:
         conditions[child]["relationships|match_id"] = "match_id IS NOT NULL AND parent IS NULL"
-    conditions["ball_by_ball"]["rule|runs_total"] = RUNS_DO_NOT_ADD_UP
-    conditions["match_results"]["rule|outcome_winner"] = WINNER_DID_NOT_PLAY
     conditions["stg_innings"]["rule|batting_team"] = BATTING_SIDE_DID_NOT_PLAY
     # One row per match, also where matches repeat, so that no child is counted twice.
     teams = F.min(F.struct("team_1", "team_2")).alias("teams")
@@ -160,10 +139,13 @@ def check_report(t) -> DataFrame:
 
     rows: list[DataFrame] = []
     for table, found in conditions.items():
+        left = {name: cond for name, cond in found.items() if name not in known.get(table, {})}
+        if not left:
+            continue
         df = getattr(t, table)
         if table in CHILDREN:
             df = df.join(parents, "match_id", "left")
-        rows.append(labelled(quality.violation_counts(df, found), table))
+        rows.append(labelled(quality.violation_counts(df, left), table))
     for table, key in UNIQUE.items():
         name = key if isinstance(key, str) else "|".join(key)
         value = F.col(key) if isinstance(key, str) else F.concat_ws("|", *key)
@@ -172,4 +154,10 @@ def check_report(t) -> DataFrame:
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
+    counted = [(*name.split("|", 1), table, n) for table, found in known.items() for name, n in found.items()]
+    if counted:
+        spark = t.stg_matches.sparkSession
+        # One row per rule.
+        metrics = spark.createDataFrame(counted, "check string, column string, table string, failures long")
+        out = out.unionByName(metrics)
     return out

@@ -10,10 +10,11 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from overlake.plans import enrich, innings as inn, marts, staging
 from overlake.plans.flatten import FLATTEN
+from overlake.plans.rules import row_conditions
 from overlake.schemas import BALL_BY_BALL, BATTING_INNINGS, BOWLING_INNINGS
 from overlake.sources.files import Folder, Records, folder_name
 from overlake.sources.seeds import read_seed
@@ -122,6 +123,9 @@ class MatchTables:
     one folder, so ``refresh`` writes only the folders of matches that have changed; the
     record goes on naming the older versions of the others.  Careers are merged from sums per
     folder, which do not read other folders' innings again.
+
+    Rows that break a rule of their table are counted while they are written, by the tasks that write
+    them, and the record keeps the counts.
     """
 
     def __init__(self, silver: Silver | None, seeds: Seeds, store: str | None = None, version: str | None = None):
@@ -136,6 +140,8 @@ class MatchTables:
         #: Of each table its versions: by folder, or under "" for a table without folders.
         self._placed: dict[str, dict[str, str]] = {}
         self._schemas: dict[str, T.StructType] = {}
+        #: Of each table its rows that break each rule: None, if older folders would have to be read to tell.
+        self._broken: dict[str, dict[str, int | None]] = {}
 
     @classmethod
     def load(cls, spark: SparkSession, store: str) -> "MatchTables":
@@ -150,6 +156,7 @@ class MatchTables:
             tables._schemas[name] = T.StructType.fromJson(record["schemas"][name])
             tables._placed[name] = placed
             tables._stored[name] = tables._read(spark, name)
+        tables._broken = record.get("broken", {})
         return tables
 
     @classmethod
@@ -212,6 +219,7 @@ class MatchTables:
                 "tables": self._placed,
                 "schemas": {name: schema.jsonValue() for name, schema in self._schemas.items()},
                 "seeds": self._version,
+                "broken": self._broken,
             }
             number, before = self._before
             records.commit(number, record)
@@ -252,11 +260,19 @@ class MatchTables:
     def _write(self, name: str, df: DataFrame) -> DataFrame:
         spark, root = df.sparkSession, f"{self.store}/{name}"
         self._schemas[name] = df.schema
+        conditions = row_conditions(name)
+        counts = Observation()
+
+        def counted(rows: DataFrame) -> DataFrame:
+            """In the stage that writes, whose tasks report once, also if executors are lost."""
+            return rows.observe(counts, *[F.expr(f"count_if({c})").alias(n) for n, c in conditions.items()]) if conditions else rows
+
         if name not in _FOLDERED:
-            df.write.option("compression", "zstd").parquet(f"{root}/{_VERSION}={self._version}")
+            counted(df).write.option("compression", "zstd").parquet(f"{root}/{_VERSION}={self._version}")
             self._placed[name] = {"": self._version}
+            self._broken[name] = counts.get if conditions else {}
             return self._read(spark, name)
-        rows = df.hint("rebalance", *_LAYOUT).withColumn(_VERSION, F.lit(self._version))
+        rows = counted(df.hint("rebalance", *_LAYOUT).withColumn(_VERSION, F.lit(self._version)))
         if name in _SORT:
             rows = rows.sortWithinPartitions(*_LAYOUT, *_SORT[name])
         rows.write.mode("append").option("compression", "zstd").partitionBy(*_LAYOUT, _VERSION).parquet(root)
@@ -264,8 +280,21 @@ class MatchTables:
         older = {} if self._touched is None else self._before[1]["tables"][name]
         mine = {folder_name(*f) for f in self._touched or ()}
         self._placed[name] = {p: v for p, v in older.items() if p not in mine} | written
+        found = counts.get if conditions else {}
+        if self._touched is not None:
+            # Where no row was broken before, none is in the folders that stay.
+            before = self._before[1].get("broken", {}).get(name, {})
+            found = {n: count if before.get(n) == 0 else None for n, count in found.items()}
+        self._broken[name] = found
         return self._read(spark, name)
 
+    def broken_rows(self, name: str) -> dict[str, int]:
+        """How many rows of a stored table break each of its rules, where that is known without reading it."""
+        if self.store is None or name not in _KEPT:
+            return {}
+        getattr(self, _KEPT[name])
+        return {rule: n for rule, n in self._broken.get(name, {}).items() if n is not None}
+
     def _read(self, spark: SparkSession, name: str) -> DataFrame:
         """A stored table, from the version of each folder that counts."""
         schema, root = self._schemas[name], f"{self.store}/{name}"
