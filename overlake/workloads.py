@@ -328,14 +328,19 @@ def odd_leaves(spark, sf_dir):
         ('"season":', '"gender":{"odd":1},"season":'),
     ):
         odd = F.replace(odd, F.lit(usual), F.lit(other))
-    docs = well_formed(parse_documents(_documents(spark, sf_dir).withColumn("content", odd)))
+    parsed = parse_documents(_documents(spark, sf_dir).withColumn("content", odd))
+    # Parsed once, as a load does; each table reads its own leaves of that.
+    path = fresh_path(spark, "odd-leaves")
+    parsed.write.parquet(path)
+    docs = well_formed(spark.read.schema(parsed.schema).parquet(path))
     m = flatten.flatten_matches(docs).select("match_id", "player_of_match", "overs", "season")
     i = flatten.flatten_innings(docs).groupBy("match_id").agg(F.count("*").alias("innings"), F.count("declared").alias("declared"))
     d = flatten.flatten_deliveries(docs).groupBy("match_id").agg(
         F.count("*").alias("balls"), F.count("review_umpires_call").alias("calls"), F.count("review_by").alias("reviews")
     )
     p = flatten.flatten_players(docs).groupBy("match_id").agg(F.count("*").alias("players"))
-    return m.join(i, "match_id").join(d, "match_id").join(p, "match_id")
+    # Every side has a row per match, which sizes guessed from packed text do not tell: none may be broadcast.
+    return m.join(i.hint("merge"), "match_id").join(d.hint("merge"), "match_id").join(p.hint("merge"), "match_id")
 
 
 def _raw_tree(spark, sf_dir):

@@ -83,3 +83,9 @@ def test_top_lists_do_not_sort_everything(t):
 
 def test_one_scan_of_the_balls_for_all_phases(t):
     assert plan(season.batting_phases(t, "2010")).count("FileScan") == 1
+
+
+def test_odd_leaves_are_parsed_once_and_nothing_is_broadcast(spark):
+    text = plan(queries()["flatten_odd_leaves"](spark, SF))
+    assert "BroadcastExchange" not in text and "SortMergeJoin" in text
+    assert "inline(array(from_json" not in text
