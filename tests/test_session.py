@@ -1,5 +1,7 @@
 """Settings that keep a task's share small, whatever the size of the input."""
 
+import pandas as pd
+
 from overlake.session import RUNTIME_CONF, configure
 
 
@@ -12,6 +14,15 @@ def test_a_task_reads_a_small_share(spark):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
 
 
+def test_python_gets_bounded_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    found = [r.n for r in spark.range(5_000).coalesce(1).mapInPandas(sizes, "n long").collect()]
+    assert sum(found) == 5_000 and max(found) <= 1_000
+
+
 def test_explicit_settings_win(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(key, "5m")
