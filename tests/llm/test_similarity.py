@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -144,6 +145,45 @@ def test_a_passage_after_parts_of_it_in_a_long_text(frame):
     assert tied(frame, docs, 0, 1)
 
 
+def test_no_text_of_a_group_is_passed_over():
+    n = 9
+    place = passages._pack(0, np.zeros(n, np.int64), np.arange(n), np.full(n, 60))
+    columns = dict.fromkeys([f.split()[0] for f in passages.REFINED.split(", ")], np.int64(0))
+    keys = pd.DataFrame(columns | {"v": np.int64(7), "tid": np.arange(n), "place": place})
+    found = passages._agreeing(keys)
+    member = found["pa"].to_numpy().view(np.uint64) >> np.uint64(61) == passages._MEMBER
+    group = set(found["a"][member])
+    met = {tuple(sorted(x)) for x in zip(found["a"][~member], found["b"][~member])}
+    assert met | {(a, b) for a in group for b in group if a < b} == {(a, b) for a in range(n) for b in range(a + 1, n)}
+
+
+@pytest.mark.parametrize("sides", [1, 2])
+def test_a_group_is_settled_like_all_pairs(sides):
+    words = prose(4, 90)
+    texts = [" ".join(prose(500 + i, 30) + changed(words[i % 5 * 8 :][:60], i, 0.02) + prose(600 + i, 15 * i)) for i in range(24)]
+    values, offsets = passages._shingled(pd.Series([zlib.compress(t.encode(), 1) for t in texts]))
+    side = np.arange(len(texts)) % sides
+
+    def of(links):
+        """Words of each text that runs similar to others cover, and the classes."""
+        inside, root = [set() for _ in texts], list(range(len(texts)))
+        for i, j, *both in links:
+            for t, (starts, ends) in zip((i, j), both, strict=True):
+                inside[t] |= {w for x, y in zip(starts, ends, strict=True) for w in range(x, y + passages.SHINGLE - 1)}
+            root = [root[i] if r == root[j] else r for r in root]
+        return inside, {frozenset(k for k, r in enumerate(root) if r == of) for of in root}
+
+    own = [values[offsets[i] : offsets[i + 1]] for i in range(len(texts))]
+    runs = [passages.runs(x) for x in own]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    verbatim = [(i, j, *(np.flatnonzero(np.isin(x, y)) for x, y in ((runs[i], runs[j]), (runs[j], runs[i])))) for i, j in pairs]
+    verbatim = [(i, j, (x, x + passages.LEAST), (y, y + passages.LEAST)) for i, j, x, y in verbatim if len(x)]
+    every = [(i, j, *passages.both(own[i], own[j], *passages._anchors(own[i], own[j]))) for i, j in pairs if sides == 1 or side[i] != side[j]]
+    every = [link for link in every if len(link[2][0])]
+    some = passages.settle(values, offsets, side)
+    assert of(some + verbatim) == of(every + verbatim) and len(some) < len(every)
+
+
 def test_near_copies_share_enough_hashes():
     n, p = passages.HASHES, passages.SIMILARITY
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.ENOUGH, n + 1)) >= 0.99
