@@ -18,18 +18,25 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return df.withColumn("__rn", F.expr(rank)).filter("__rn = 1").drop("__rn")
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
+def dedupe(
+    df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = (), place: Sequence[str] = ()
+) -> DataFrame:
     """One row per key, chosen by ``prefer`` and then by every other column in turn,
     nulls last, so the choice never depends on the order in which rows arrive.
 
     Without ``prefer`` it is a minimum, which aggregates before the exchange and compares
     other columns only where a key repeats; rows are sorted by their keys alone.
+
+    To aggregate before the exchange is to sort wide rows in shares that the files decide: a
+    task reads a row group as a whole, however large.  With ``place``, some of the keys, rows
+    are exchanged by these first and sorted once, in the exchange's shares.  Copies travel then.
     """
     rest = [c for c in df.columns if c not in set(keys)]
     if prefer or not rest:
         return latest_by(df, keys, [*prefer, *[f"`{c}` ASC NULLS LAST" for c in rest]])
     ordered = ", ".join(f"`{c}` IS NULL, `{c}`" for c in rest)
-    least = df.groupBy(*keys).agg(F.expr(f"min(struct({ordered})) AS __least"))
+    placed = df.repartition(*place) if place else df
+    least = placed.groupBy(*keys).agg(F.expr(f"min(struct({ordered})) AS __least"))
     # A plain column keeps its name as a field of the struct.
     return least.selectExpr(*[f"`{c}`" if c in keys else f"__least.`{c}`" for c in df.columns])
 

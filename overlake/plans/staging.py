@@ -15,6 +15,8 @@ from overlake.operators.versions import dedupe
 _INNINGS_KEY = ["match_id", "innings_number"]
 _DELIVERY_KEY = ["match_id", "innings_number", "over_number", "ball_in_over"]
 _PLAYER_KEY = ["match_id", "player_name", "team"]
+# Where rows are sorted for de-duplication: those of an over together, which also packs them well.
+_OVER = ["match_id", "innings_number", "over_number"]
 
 
 def _default(value: str, *names: str) -> dict[str, Column]:
@@ -47,10 +49,10 @@ def stage_innings(innings: DataFrame, stg_matches: DataFrame) -> DataFrame:
 
 
 def stage_deliveries(deliveries: DataFrame, stg_matches: DataFrame) -> DataFrame:
-    """One row per ball.  The key reaches down to the ball, so even a match with very many
+    """One row per ball.  Rows are placed by over, so even a match with very many
     rows spreads over all tasks.  Files that only have the joined fielders' names get the
     list from them."""
-    return dedupe(current_only(_typed(deliveries), stg_matches), [*_DELIVERY_KEY, "revision"]).withColumns(
+    return dedupe(current_only(_typed(deliveries), stg_matches), [*_DELIVERY_KEY, "revision"], place=_OVER).withColumns(
         {
             **_default("false", "runs_non_boundary"),
             **_default("split(wicket_fielders, ', ')", "wicket_fielders_arr"),
@@ -59,7 +61,7 @@ def stage_deliveries(deliveries: DataFrame, stg_matches: DataFrame) -> DataFrame
 
 
 def stage_players(players: DataFrame, stg_matches: DataFrame) -> DataFrame:
-    return dedupe(current_only(_typed(players), stg_matches), [*_PLAYER_KEY, "revision"])
+    return dedupe(current_only(_typed(players), stg_matches), [*_PLAYER_KEY, "revision"], place=["match_id", "player_name"])
 
 
 def current_only(rows: DataFrame, stg_matches: DataFrame) -> DataFrame:

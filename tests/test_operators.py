@@ -50,6 +50,15 @@ def test_dedupe_takes_the_least_row_nulls_last(spark):
     assert dedupe(df, ["k"]).columns == df.columns
 
 
+def test_placed_rows_are_sorted_only_behind_the_exchange(spark):
+    data = [(k, i % 3, f"p{i % 4}", None if i % 5 else i) for i in range(40) for k in ("a", "b", None)] * 2
+    df = spark.createDataFrame(data, "k string, n int, p string, x int")
+    plain, placed = dedupe(df, ["k", "n"]), dedupe(df, ["k", "n"], place=["k"])
+    text = placed._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Sort" not in text[text.index("Exchange"):]
+    assert rows(placed) == rows(plain) and placed.count() == 9
+
+
 def test_upsert_counts_and_result(spark):
     schema = "match_id string, revision int, payload string"
     current = spark.createDataFrame([("a", 1, "old"), ("b", 2, "old"), ("c", 1, "old")], schema)

@@ -64,6 +64,17 @@ def test_staged_deliveries_sort_by_key_only(spark, ingested):
     assert sorts and all(s.count(" ASC ") <= 5 for s in sorts)
 
 
+def test_staging_sorts_no_share_of_a_file(spark, ingested):
+    """A task reads a row group as a whole: what is sorted before the exchange grows with it and spills."""
+    from overlake import MatchTables, Seeds, Silver
+
+    t = MatchTables(Silver.read(spark, ingested[0]), Seeds.standard(spark))
+    for table in (t.stg_deliveries, t.stg_players):
+        text = plan(table)
+        placed = text.index("REPARTITION_BY_COL")
+        assert "SortAggregate" in text[:placed] and "SortAggregate" not in text[placed:]
+
+
 def test_format_filter_prunes_partitions(t):
     text = plan(leaders.economy_by_over(t))
     assert re.search(r"PartitionFilters: \[[^\]]*match_type", text)
