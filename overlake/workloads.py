@@ -606,9 +606,15 @@ def streamed_changes(spark, sf_dir):
     """
     configure(spark)
     key = ["match_id", "revision", "innings_number", "over_number", "ball_in_over"]
-    balls = dedupe(dt.silver(spark, sf_dir).deliveries.drop("match_type", "year", "wicket_fielders_arr"), key)
+    balls = dt.silver(spark, sf_dir).deliveries.drop("match_type", "year", "wicket_fielders_arr")
+    # A document is a revision of a match: its balls meet in one exchange and are summed up there.
+    balls = dedupe(balls, key, place=["match_id", "revision"])
     items = F.to_json(F.array_sort(F.collect_list(F.array(*[F.col(c).cast("string") for c in _BALL.names]))))
-    docs = balls.groupBy("match_id", "revision").agg(items.alias("items"))
+    made = balls.groupBy("match_id", "revision").agg(items.alias("items"))
+    # Made once, delivered twice.
+    path = fresh_path(spark, "changes-documents")
+    made.write.parquet(path)
+    docs = spark.read.schema(made.schema).parquet(path)
     newest = "revision = cast(match_id AS bigint) % 3 + 1"
     older = f"cast(match_id AS bigint) % 2 = 1 AND cast(match_id AS bigint) % 3 > 0 AND NOT {newest}"
     first = docs.filter(f"cast(match_id AS bigint) % 2 = 0 AND {newest} OR {older}")

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from overlake.plans.ingest import transform_unseen
 from overlake.sources import FileLedger, read_silver
-from overlake.streaming import follow_changes
+from overlake.streaming import changes_of, follow_changes
 from tests import documents as docs
 
 ITEM = T.StructType([T.StructField(c, T.StringType()) for c in ("ball", "runs")])
@@ -57,6 +57,17 @@ def test_only_accepted_revisions_and_what_they_take_back(spark, tmp_path):
     assert {k for k, n in net.items() if n} == {("a", "1", "4"), ("a", "2", "1"), ("a", "3", "2")}
 
 
+def test_a_match_leaves_the_state_as_one_row(spark, tmp_path):
+    """A row per change would be made in Python one by one; values may be missing or numbers."""
+    spark.createDataFrame([], DOCUMENT).write.parquet(f"{tmp_path}/landing")
+    stream = changes_of(spark.readStream.schema(DOCUMENT).parquet(f"{tmp_path}/landing"), ITEM)
+    assert stream.columns == ["match_id", "revision", "ball", "runs", "change"]
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "Generate inline(from_json(" in plan and "TransformWithState" in plan
+    feed = Feed(spark, tmp_path / "feed")
+    assert feed.bring(("a", 1, '[["1",null],["2",4],["2",4]]')) == [("a", 1, "1", None, 1), ("a", 1, "2", "4", 1)]
+
+
 def test_files_that_arrive_late_are_loaded_once(spark, raw, tmp_path):
     folder, silver = tmp_path / "raw", str(tmp_path / "silver")
     first = {k: docs.ALL[k] for k in list(docs.ALL)[:4]}
