@@ -70,6 +70,20 @@ def bronze_rows(texts: DataFrame, name: str = "name", content: str = "content")
     )
 
 
+def taken_rows(rows: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The rows of a batch that are accepted, one per match, with their status.
+
+    A match has one accepted revision and text, so the join is by match alone and places the
+    texts where one of equal copies is chosen: they are exchanged once.  What else must agree is
+    written without an equality of two columns, which would become a key of the join.
+    """
+    renamed = {c: f"__{c}" for c in ("revision", "h1", "h2")}
+    same = " AND ".join(f"({c} ^ {other}) = 0" for c, other in renamed.items())
+    joined = rows.join(accepted.withColumnsRenamed(renamed), "match_id").filter(same).drop(*renamed.values())
+    # Copies of an accepted document agree in all columns: any one of them will do.
+    return latest_by(joined, ["match_id"], ["h1"])
+
+
 class BronzeStore:
     def __init__(self, spark: SparkSession, path: str, ranges: int | None = None):
         self.spark, self.path, self._ranges = spark, path.rstrip("/"), ranges or RANGES
@@ -167,10 +181,7 @@ class BronzeStore:
         newest_ = latest_by(narrow, ["match_id"], ["revision DESC NULLS LAST", "h1", "h2"])
         classified = classify_revisions(self._index(state, touched), newest_)
         accepted = classified.filter("status <> 'skipped'").select("match_id", "revision", "h1", "h2", "status")
-        # Copies of an accepted document agree in all columns: any one of them will do.
-        taken = latest_by(
-            rows.filter("error IS NULL").join(accepted, ["match_id", "revision", "h1", "h2"]), ["match_id"], ["h1"]
-        )
+        taken = taken_rows(rows.filter("error IS NULL"), accepted)
         self._about_to("documents")
         (
             taken.select("match_id", "revision", "content", "status", *origin, "match_type", "year")

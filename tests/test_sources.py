@@ -27,6 +27,7 @@ from overlake.sources import (
     write_silver,
 )
 from overlake.sources.archives import member_stem
+from overlake.sources.bronze import taken_rows
 from overlake.sources.seeds import SEED_ROWS
 from overlake.streaming import ingest_available
 from tests import documents as docs
@@ -221,6 +222,22 @@ def test_bronze_is_idempotent(spark, tmp_path):
     assert "match_type=t20" in {p.name for p in first.iterdir() if p.is_dir()}
 
 
+def test_accepted_texts_are_exchanged_once(spark):
+    schema = "match_id string, revision int, content string, h1 long, h2 long"
+    texts = [("a", 1, "x", 5, 6), ("a", 2, "y", 7, 8), ("a", 2, "y", 7, 8), ("b", 1, "z", 9, 9), (None, 1, "n", 1, 1), ("c", 1, "w", 3, 4)]
+    accepted = [("a", 2, 7, 8, "new"), ("b", 1, 9, 0, "new"), ("c", 1, 3, 4, "updated")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        taken = taken_rows(
+            spark.createDataFrame(texts, schema), spark.createDataFrame(accepted, "match_id string, revision int, h1 long, h2 long, status string")
+        )
+        plan = taken._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # one for either side
+    assert [(r["match_id"], r["content"], r["status"]) for r in rows(taken, "match_id")] == [("a", "y", "new"), ("c", "w", "updated")]
+
+
 def test_bronze_refuses_a_number_with_other_content(spark, tmp_path):
     store = BronzeStore(spark, str(tmp_path / "bronze"))
     one = bronze_rows(spark.createDataFrame([("a.json", '{"meta":{"revision":1}}')], "name string, content string"))
