@@ -1,7 +1,9 @@
 """The joins: n-gram Jaccard, repeated passages, nearest neighbours, components."""
 
+import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -184,6 +186,28 @@ def test_a_group_is_settled_like_all_pairs(sides):
     assert of(some + verbatim) == of(every + verbatim) and len(some) < len(every)
 
 
+def test_what_a_task_holds_does_not_grow_with_a_group(spark, monkeypatch):
+    monkeypatch.setattr(passages, "BLOCK", 8)
+    members = spark.range(600).selectExpr("7L AS unit", "id AS tid").unionByName(spark.createDataFrame([(9, 1), (9, 2)], "unit long, tid long"))
+    dealt = passages._dealt(members)[0].toPandas()
+    assert dealt.groupby("task").size().max() <= 200
+    # Each two texts of a unit meet in a task, within the same pair of blocks.
+    met = {(u, *pair) for (u, _, _), g in dealt.groupby(["unit", "i", "j"]) for pair in itertools.combinations(sorted(g["tid"]), 2)}
+    assert met == {(9, 1, 2)} | {(7, *pair) for pair in itertools.combinations(range(600), 2)}
+
+
+def test_what_settling_holds_does_not_grow_with_repeats_in_a_text():
+    line = prose(3, 60)
+    texts = [" ".join(w for k in range(60) for w in (*line, f"u{i}x{k}")) for i in range(30)]
+    values, offsets = passages._shingled(pd.Series([zlib.compress(t.encode(), 1) for t in texts]))
+    tracemalloc.start()
+    passages.settle(values, offsets, np.zeros(len(texts), np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Every place of a text with every place of all others is 6 million numbers.
+    assert peak < 100 << 20
+
+
 def test_near_copies_share_enough_hashes():
     n, p = passages.HASHES, passages.SIMILARITY
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.ENOUGH, n + 1)) >= 0.99
