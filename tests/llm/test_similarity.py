@@ -186,6 +186,77 @@ def test_a_group_is_settled_like_all_pairs(sides):
     assert of(some + verbatim) == of(every + verbatim) and len(some) < len(every)
 
 
+def listing(texts):
+    return passages._listing(pd.Series([zlib.compress(t.encode(), 1) for t in texts]))
+
+
+def words_and_classes(n, links):
+    """Words of each of ``n`` texts that links cover, and the classes."""
+    inside, root = [set() for _ in range(n)], list(range(n))
+    for i, j, *both in links:
+        for t, (starts, ends) in zip((i, j), both, strict=True):
+            inside[t] |= {w for x, y in zip(starts, ends, strict=True) for w in range(x, y + passages.SHINGLE - 1)}
+        root = [root[i] if r == root[j] else r for r in root]
+    return inside, {frozenset(k for k, r in enumerate(root) if r == of) for of in root}
+
+
+def mixed_up(seed):
+    """Texts of one passage: with words exchanged, put in, left out or said again, parts turned round, and short lines that come back."""
+    draw = random.Random(seed)
+    base, line = prose(seed, 110), prose(seed + 1, 7)
+    out = []
+    for i in range(26):
+        w = base[draw.randint(0, 20) : draw.randint(80, 110)]
+        for _ in range(draw.randint(0, 4)):
+            at, n = draw.randrange(len(w)), draw.randint(1, 4)
+            change = draw.choice(["other", "more", "less", "again", "line", "turned"])
+            if change == "turned":
+                w = w[at:] + w[:at]
+            else:
+                put = {"other": prose(seed + 50 * i + at, n), "more": prose(seed + 70 * i + at, n), "less": [], "again": w[at - n : at], "line": line}[change]
+                w = w[:at] + put + w[at + n * (change in ("other", "less")) :]
+        out.append(" ".join(prose(seed + 900 + i, draw.randint(0, 30)) + w + prose(seed + 990 + i, draw.randint(0, 30)) + line * draw.randint(0, 3)))
+    return out
+
+
+@pytest.mark.parametrize("sides", [1, 2])
+@pytest.mark.parametrize("seed", range(8))
+def test_texts_that_differ_in_many_ways_are_settled_like_all_pairs(sides, seed):
+    texts = mixed_up(1000 * seed)
+    values, offsets, *words = listing(texts)
+    n, side = len(texts), np.arange(len(texts)) % sides
+    own = [values[offsets[i] : offsets[i + 1]] for i in range(n)]
+    runs = [passages.runs(x) for x in own]
+    pairs = [(i, j) for i in range(n) for j in range(i)]
+    verbatim = [(i, j, *(np.flatnonzero(np.isin(x, y)) for x, y in ((runs[i], runs[j]), (runs[j], runs[i])))) for i, j in pairs]
+    verbatim = [(i, j, (x, x + passages.LEAST), (y, y + passages.LEAST)) for i, j, x, y in verbatim if len(x)]
+    every = [(i, j, *passages.both(own[i], own[j], *passages._anchors(own[i], own[j]))) for i, j in pairs if sides == 1 or side[i] != side[j]]
+    every = [link for link in every if len(link[2][0])]
+    whole = words_and_classes(n, every + verbatim)
+    for given in (None, tuple(words)):
+        assert words_and_classes(n, passages.settle(values, offsets, side, given) + verbatim) == whole
+    # What is known of a text is not looked for again, all else is found.
+    known = [([0], [20]) if i % 3 else ([], []) for i in range(n)]
+    found = words_and_classes(n, passages.settle(values, offsets, side, tuple(words), known) + verbatim)
+    for i, (got, all_) in enumerate(zip(found[0], whole[0], strict=True)):
+        assert got <= all_ and all_ - got <= (set(range(20)) if i % 3 else set())
+    assert found[1] == whole[1]
+
+
+def test_texts_of_a_group_are_compared_only_where_a_word_can_be_added():
+    base = prose(8, 300)
+
+    def text(i):
+        """Some words of the passage put as two words that no other text has."""
+        draw = random.Random(i)
+        return " ".join(f"{w}x{i} {w}y{i}" if draw.random() < 0.02 else w for w in base)
+
+    texts = [text(i) for i in range(60)]
+    values, offsets = passages._shingled(pd.Series([zlib.compress(t.encode(), 1) for t in texts]))
+    # Of 1,770 pairs.
+    assert len(passages.settle(values, offsets, np.zeros(len(texts), np.int64))) < 2 * len(texts)
+
+
 def test_what_a_task_holds_does_not_grow_with_a_group(spark, monkeypatch):
     monkeypatch.setattr(passages, "BLOCK", 8)
     members = spark.range(600).selectExpr("7L AS unit", "id AS tid").unionByName(spark.createDataFrame([(9, 1), (9, 2)], "unit long, tid long"))
